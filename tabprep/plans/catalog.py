@@ -607,3 +607,112 @@ def flagship(spark, d):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quality").alias("n_positive"),
                  rnd(F.avg("num__n_chars")).alias("mean_num__n_chars"))
             .withColumn("n_features", F.lit(len(fitted.feature_names()))))
+
+
+# ------------------------------------------------------------------ G5, G6, G7
+
+def _u_sql(salt: str, id_col: str) -> str:
+    return (f"(('0x' || substr(md5(concat_ws('|', '{SEED}', '{salt}', CAST({id_col} AS VARCHAR))), 1, 13))::BIGINT"
+            f" / 4503599627370496.0::DOUBLE)")
+
+
+def q_synth_independent(spark, d):
+    from tabprep.operators.synthesizer import IndependentSynthesizer
+    c = t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    fitted = IndependentSynthesizer("c_mktsegment", ["c_custkey"], SEED,
+                                    columns=["c_nationkey", "c_acctbal"]).fit(c)
+    n = sum(fitted.counts.values())
+    return fitted.generate(spark, n)
+
+
+SQL_SYNTH_INDEPENDENT = f"""
+WITH src AS (SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+cc AS (SELECT c_mktsegment AS y, count(*) AS n FROM src GROUP BY c_mktsegment),
+cum AS (SELECT y, n, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM cc),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM cc),
+ids AS (SELECT unnest(range(total)) AS synth_id FROM tot),
+cls AS (SELECT synth_id, CAST(floor({_u_sql('class', 'synth_id')} * total) AS BIGINT) AS r FROM ids, tot),
+dc AS (SELECT cls.synth_id, cum.y, cum.n FROM cls JOIN cum ON cls.r >= cum.lo AND cls.r < cum.hi),
+ranked AS (SELECT src.*, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {_md5('c_custkey')}) AS rk
+           FROM src)
+SELECT dc.synth_id, a.c_nationkey, b.c_acctbal, dc.y AS c_mktsegment
+FROM dc
+JOIN ranked a ON a.c_mktsegment = dc.y
+             AND a.rk = CAST(floor({_u_sql('c_nationkey', 'dc.synth_id')} * dc.n) AS BIGINT) + 1
+JOIN ranked b ON b.c_mktsegment = dc.y
+             AND b.rk = CAST(floor({_u_sql('c_acctbal', 'dc.synth_id')} * dc.n) AS BIGINT) + 1
+"""
+
+
+def q_synth_sample_report(spark, d):
+    """G7: the 50 synthetic rows with the smallest hash of their id."""
+    gen = q_synth_independent(spark, d)
+    return sampling.sample_rows(gen, "synth_id", 50, SEED)
+
+
+SQL_SYNTH_SAMPLE_REPORT = f"""
+WITH g AS ({SQL_SYNTH_INDEPENDENT})
+SELECT * FROM g ORDER BY {_md5('synth_id')}, synth_id LIMIT 50
+"""
+
+
+def q_synth_copula(spark, d):
+    from tabprep.operators.synthesizer import CopulaSynthesizer
+    o = t(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderpriority",
+                                     F.dayofyear("o_orderdate").alias("o_dayofyear"))
+    fitted = CopulaSynthesizer("o_orderstatus", SEED).fit(o)
+    return fitted.generate(spark, sum(fitted.counts.values()))
+
+
+def q_synth_quality(spark, d):
+    from tabprep.operators.synthesizer import quality_by_column
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    real = o.where(F.col("o_orderkey") % 2 == 0)
+    synth = o.where(F.col("o_orderkey") % 2 == 1)
+    q = quality_by_column(real, synth, ["o_totalprice", "o_orderstatus", "o_orderpriority"])
+    return q.select("column", "kind", rnd(F.col("js_distance")).alias("js_distance"))
+
+
+def _cells_sql(src: str, side: str) -> str:
+    return f"""
+  SELECT '{side}' AS side, 'o_totalprice' AS col,
+         coalesce(CAST(CAST(least(greatest(floor((o_totalprice - lo) / (CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END)
+                  * 20), 0), 19) AS BIGINT) AS VARCHAR), 'null') AS cell FROM {src}, mm
+  UNION ALL SELECT '{side}', 'o_orderstatus', coalesce(o_orderstatus, 'null') FROM {src}
+  UNION ALL SELECT '{side}', 'o_orderpriority', coalesce(o_orderpriority, 'null') FROM {src}"""
+
+
+SQL_SYNTH_QUALITY = f"""
+WITH r AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0),
+s AS (SELECT * FROM orders WHERE o_orderkey % 2 = 1),
+mm AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM r),
+cells AS ({_cells_sql('r', 'real')} UNION ALL {_cells_sql('s', 'synth')}),
+cnt AS (SELECT col, cell, sum(CASE WHEN side = 'real' THEN 1 ELSE 0 END) AS nr,
+               sum(CASE WHEN side = 'synth' THEN 1 ELSE 0 END) AS ns FROM cells GROUP BY col, cell),
+pr AS (SELECT col, CAST(nr AS DOUBLE) / sum(nr) OVER (PARTITION BY col) AS p,
+              CAST(ns AS DOUBLE) / sum(ns) OVER (PARTITION BY col) AS q FROM cnt)
+SELECT col AS "column", CASE WHEN col = 'o_totalprice' THEN 'numeric' ELSE 'categorical' END AS kind,
+       round(sqrt(greatest(sum(0.5 * CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                             + 0.5 * CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END), 0)), 6)
+         AS js_distance
+FROM pr GROUP BY col
+"""
+
+
+def q_augment_training(spark, d):
+    """G2-G4: documents x labels, train split, balance strategy (over-sample
+    then synthesize), union with origin tags."""
+    from tabprep.operators.synthesizer import augment_training
+    df = docs_labelled(spark, d).select("doc_id", "quality", "lang", "source", "n_chars")
+    train = sampling.split_exact(df, "doc_id", SEED, stratify="quality") \
+        .where(F.col("split") == "train").drop("split")
+    return augment_training(spark, train, "quality", "doc_id", "balance", 1.0, 1.0, SEED)
+
+
+EXTRA = {
+    "synth_independent": (q_synth_independent, SQL_SYNTH_INDEPENDENT),
+    "synth_sample_report": (q_synth_sample_report, SQL_SYNTH_SAMPLE_REPORT),
+    "synth_copula": (q_synth_copula, None),
+    "synth_quality": (q_synth_quality, SQL_SYNTH_QUALITY),
+    "augment_training": (q_augment_training, None),
+}
