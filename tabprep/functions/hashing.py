@@ -31,3 +31,10 @@ def hash_uniform(seed, *parts) -> Column:
 
 def uniform_from_hex(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(TWO_POW_52)
+
+
+def range_partitions(spark, n: int, rows_per_partition: int = 1_000_000) -> int:
+    """Partitions for ``spark.range(n)``: at least the cluster's parallelism,
+    at most ~``rows_per_partition`` generated rows per task."""
+    par = spark.sparkContext.defaultParallelism
+    return int(max(1, min(max(par, n // rows_per_partition + 1), max(par, 200_000), max(n, 1))))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.hashing import hash_key, hash_uniform
+from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.ranks import hash_cutoffs, hash_rank
 from tabprep.operators.stats import class_counts
@@ -200,7 +200,7 @@ def oversample(df: DataFrame, label: str, key: str, ratio: float = 1.0, seed: in
         ranked = hash_rank(minority.withColumn(h, hash_key(seed, qcol(key))), h,
                            rank_col="_os_rank", n=n_minor).drop(h)
         spark = df.sparkSession
-        draws = (spark.range(0, k, numPartitions=max(1, min(k // 1_000_000 + 1, 100_000)))
+        draws = (spark.range(0, k, numPartitions=range_partitions(spark, k))
                  .select(F.col("id").alias(DRAW),
                          (F.floor(hash_uniform(seed, F.lit("draw"), F.col("id")) * F.lit(n_minor))
                           + 1).cast("long").alias("_os_rank")))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.hashing import hash_key, hash_uniform
+from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.normal import norm_cdf, norm_ppf
 from tabprep.functions.ranks import hash_rank
@@ -42,15 +42,45 @@ from tabprep.operators.synth import row_budget, union_real_synthetic
 SYNTH_ID = "synth_id"
 
 
-def _class_expr(labels: list, cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
-    """Label of a generated row: class whose cumulative-count interval holds
-    ``floor(u * total)`` (classes in sorted order)."""
+def _class_index(cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
+    """0-based index (in sorted label order) of a generated row's class: the
+    class whose cumulative-count interval holds ``floor(u * total)``."""
     r = F.floor(hash_uniform(seed, F.lit(salt), ids) * F.lit(total))
-    his = F.array(*[F.lit(int(h)) for h in cum_hi])
-    idx = F.size(F.filter(his, lambda h: h <= r))
+    expr = F.lit(len(cum_hi) - 1)
+    for i in range(len(cum_hi) - 2, -1, -1):
+        expr = F.when(r < F.lit(int(cum_hi[i])), F.lit(i)).otherwise(expr)
+    return expr
+
+
+def _class_expr(labels: list, cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
+    idx = _class_index(cum_hi, total, seed, salt, ids)
     return F.element_at(F.array(*[F.lit(v) for v in labels]), idx + 1)
 
 
+def _flat(values) -> Column:
+    """A literal double array (folded once, indexed in O(1) per row)."""
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def upper_bound(df: DataFrame, flat: Column, base: Column, length: int, x: Column,
+                out: str) -> DataFrame:
+    """Add ``out`` = number of entries <= x in the sorted slice
+    ``flat[base : base + length]`` (0-based base), by an unrolled binary search:
+    ceil(log2(length + 1)) staged projections of plain arithmetic, so the
+    search stays inside whole-stage codegen."""
+    lo, hi = f"_{out}_lo", f"_{out}_hi"
+    df = df.withColumns({lo: F.lit(0), hi: F.lit(length)})
+    for _ in range(max(1, math.ceil(math.log2(length + 1)))):
+        mid = F.floor((F.col(lo) + F.col(hi)) / 2).cast("int")
+        go_right = (F.col(lo) < F.col(hi)) & (F.element_at(flat, base + mid + 1) <= x)
+        still = F.col(lo) < F.col(hi)
+        df = df.withColumns({
+            lo: F.when(go_right, mid + 1).otherwise(F.col(lo)),
+            hi: F.when(still & ~go_right, mid).otherwise(F.col(hi)),
+        })
+    return df.withColumnRenamed(lo, out).drop(hi)
+
+
 # ------------------------------------------------------------------ independent
 
 @dataclass
@@ -93,7 +123,7 @@ class FittedIndependent:
             acc += self.counts[y]
             cum.append(acc)
         total = acc
-        ids = spark.range(0, n, numPartitions=max(1, min(n // 1_000_000 + 1, 100_000)))
+        ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
         size_map = F.create_map(*[x for y in labels for x in (F.lit(y), F.lit(self.counts[y]))])
         base = ids.select(F.col("id").alias(SYNTH_ID),
                           _class_expr(labels, cum, total, self.seed, "class", F.col("id"))
@@ -209,12 +239,6 @@ def _psd_cholesky(m: np.ndarray) -> np.ndarray:
     return np.linalg.cholesky(fixed + 1e-9 * np.eye(len(m)))
 
 
-def _lookup(mapping: dict, labels: list, y: Column, arrays) -> Column:
-    """element_at(map(label -> array literal), y)."""
-    return F.element_at(F.create_map(*[x for lab in labels for x in (
-        F.lit(lab), F.array(*[F.lit(float(v)) for v in arrays(lab)]))]), y)
-
-
 @dataclass
 class FittedCopula:
     label: str
@@ -233,12 +257,35 @@ class FittedCopula:
     def labels(self):
         return sorted(self.counts)
 
-    def _grid(self, c, y: Column) -> Column:
-        return _lookup(self.grids, self.labels, y, lambda lab: self.grids[(lab, c)])
+    # -- flat literal tables: class i's entries start at i * width
+    def _flat_grid(self, c) -> Column:
+        return _flat([v for lab in self.labels for v in _pad(self.grids[(lab, c)], self.grid_width)])
 
-    def _cum(self, c, y: Column) -> Column:
-        return _lookup(self.levels, self.labels, y,
-                       lambda lab: self.levels.get((lab, c), ([None], [1.0]))[1])
+    @property
+    def grid_width(self) -> int:
+        return max(len(g) for g in self.grids.values()) if self.grids else 1
+
+    def _level_width(self, c) -> int:
+        return max(len(self.levels.get((lab, c), ([None], [1.0]))[0]) for lab in self.labels)
+
+    def _flat_cum(self, c) -> Column:
+        w = self._level_width(c)
+        return _flat([v for lab in self.labels for v in _pad(
+            self.levels.get((lab, c), ([None], [1.0]))[1], w, 2.0)])
+
+    def _flat_levels(self, c) -> Column:
+        w = self._level_width(c)
+        vals = []
+        for lab in self.labels:
+            lv = list(self.levels.get((lab, c), ([None], [1.0]))[0])
+            vals += lv + [lv[-1]] * (w - len(lv))
+        return F.array(*[F.lit(v).cast("string") for v in vals])
+
+    def _class_of_label(self, y: Column) -> Column:
+        expr = F.lit(None).cast("int")
+        for i, lab in enumerate(self.labels):
+            expr = F.when(y == F.lit(lab), F.lit(i)).otherwise(expr)
+        return expr
 
     def _level_midpoints(self, c, y: Column) -> Column:
         """map(level -> mid-point of its cumulative interval) for the row's class."""
@@ -260,27 +307,27 @@ class FittedCopula:
         y = qcol(self.label)
         num = self.numeric
         base = len(num)
-        st = df.select(y.alias("y"),
+        G = self.grid_width
+        st = df.select(y.alias("y"), self._class_of_label(y).alias("_ci"),
                        *[stats.clean_double(c).alias(f"_x{i}") for i, c in enumerate(num)],
                        *[as_category(df, c).alias(f"_c{j}") for j, c in enumerate(self.categorical)])
-        yy = F.col("y")
-        st = st.select("*", *[self._grid(c, yy).alias(f"_g{i}") for i, c in enumerate(num)])
-        st = st.select("*", *[
-            F.greatest(F.least(F.size(F.filter(F.col(f"_g{i}"), _le(F.col(f"_x{i}")))),
-                               F.size(F.col(f"_g{i}")) - 1), F.lit(1)).alias(f"_i{i}")
-            for i in range(len(num))])
-        st = st.select("*", *[x for i in range(len(num)) for x in (
-            F.element_at(F.col(f"_g{i}"), F.col(f"_i{i}")).alias(f"_lo{i}"),
-            F.element_at(F.col(f"_g{i}"), F.col(f"_i{i}") + 1).alias(f"_hi{i}"))])
+        flats = {i: self._flat_grid(c) for i, c in enumerate(num)}
+        for i in range(len(num)):
+            st = upper_bound(st, flats[i], F.col("_ci") * G, G, F.col(f"_x{i}"), f"_b{i}")
+        st = st.withColumns({f"_i{i}": F.greatest(F.least(F.col(f"_b{i}"), F.lit(G - 1)), F.lit(1))
+                             for i in range(len(num))})
+        st = st.withColumns({k: v for i in range(len(num)) for k, v in (
+            (f"_lo{i}", F.element_at(flats[i], F.col("_ci") * G + F.col(f"_i{i}"))),
+            (f"_hi{i}", F.element_at(flats[i], F.col("_ci") * G + F.col(f"_i{i}") + 1)))})
         us = []
         for i in range(len(num)):
             x, lo, hi = F.col(f"_x{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
             frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.5)
             frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
-            us.append(F.when(x.isNotNull(), ((F.col(f"_i{i}") - 1) + frac) / (F.size(F.col(f"_g{i}")) - 1))
-                      .alias(f"_u{i}"))
+            us.append(F.when(x.isNotNull(), ((F.col(f"_i{i}") - 1) + frac) / F.lit(G - 1)).alias(f"_u{i}"))
         for j, c in enumerate(self.categorical):
-            us.append(F.element_at(self._level_midpoints(c, yy), F.col(f"_c{j}")).alias(f"_u{base + j}"))
+            us.append(F.element_at(self._level_midpoints(c, F.col("y")), F.col(f"_c{j}"))
+                      .alias(f"_u{base + j}"))
         st = st.select("y", *us)
         k = base + len(self.categorical)
         st = st.select("y", *[F.least(F.greatest(F.col(f"_u{a}"), F.lit(1e-4)), F.lit(1 - 1e-4))
@@ -293,70 +340,66 @@ class FittedCopula:
         for yv in labels:
             acc += self.counts[yv]
             cum.append(acc)
-        ids = spark.range(0, n, numPartitions=max(1, min(n // 1_000_000 + 1, 100_000)))
-        y = _class_expr(labels, cum, acc, self.seed, "class", F.col("id")).cast(self.label_type)
+        ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
         allc = self.numeric + self.categorical
         k = len(allc)
-        yl = qcol(self.label)
-        # stage 1: class, uniforms
-        st = ids.select(F.col("id").alias(SYNTH_ID), y.alias(self.label),
+        G = self.grid_width
+        ci = F.col("_ci")
+        # stage 1: class index, uniforms
+        st = ids.select(F.col("id").alias(SYNTH_ID),
+                        _class_index(cum, acc, self.seed, "class", F.col("id")).alias("_ci"),
                         *[F.least(F.greatest(hash_uniform(self.seed, F.lit("e"), F.lit(j), F.col("id")),
                                              F.lit(1e-12)), F.lit(1 - 1e-12)).alias(f"_u{j}")
                           for j in range(k)],
                         *[hash_uniform(self.seed, F.lit("null"), F.lit(c), F.col("id")).alias(f"_n{i}")
                           for i, c in enumerate(self.numeric)])
-        keep = [SYNTH_ID, self.label] + [f"_n{i}" for i in range(len(self.numeric))]
+        keep = [SYNTH_ID, "_ci"] + [f"_n{i}" for i in range(len(self.numeric))]
         # stage 2: independent standard normals
         st = st.select(*keep, *[norm_ppf(F.col(f"_u{j}")).alias(f"_e{j}") for j in range(k)])
-        # stage 3: correlate with the class's Cholesky factor
-        zs = []
-        for a in range(k):
-            if self.chol:
-                row_map = _lookup(self.chol, labels, yl,
-                                  lambda lab, a=a: self.chol.get(lab, np.eye(k).tolist())[a][:a + 1])
-                z = sum((F.element_at(row_map, b + 1) * F.col(f"_e{b}") for b in range(a + 1)),
-                        F.lit(0.0))
-            else:
-                z = F.col(f"_e{a}")
-            zs.append(z.alias(f"_z{a}"))
+        # stage 3: correlate with the class's Cholesky factor (flat k x k per class)
+        if self.chol:
+            flat_l = _flat([v for lab in labels
+                            for row in self.chol.get(lab, np.eye(k).tolist()) for v in row])
+            zs = [sum((F.element_at(flat_l, ci * (k * k) + (a * k + b + 1)) * F.col(f"_e{b}")
+                       for b in range(a + 1)), F.lit(0.0)).alias(f"_z{a}") for a in range(k)]
+        else:
+            zs = [F.col(f"_e{a}").alias(f"_z{a}") for a in range(k)]
         st = st.select(*keep, *zs)
         # stage 4: back to uniforms
         st = st.select(*keep, *[norm_cdf(F.col(f"_z{a}")).alias(f"_v{a}") for a in range(k)])
-        # stage 5: grid positions / level lookups
-        pre = []
-        for a, c in enumerate(self.numeric):
-            g = self._grid(c, yl)
-            pre += [g.alias(f"_g{a}")]
-        for j, c in enumerate(self.categorical):
-            pre += [self._cum(c, yl).alias(f"_cum{j}")]
-        st = st.select("*", *pre)
-        st = st.select("*", *[(F.col(f"_v{a}") * (F.size(F.col(f"_g{a}")) - 1)).alias(f"_pos{a}")
-                              for a in range(len(self.numeric))])
-        st = st.select("*", *[F.greatest(F.least(F.floor(F.col(f"_pos{a}")).cast("int"),
-                                                 F.size(F.col(f"_g{a}")) - 2), F.lit(0)).alias(f"_i{a}")
-                              for a in range(len(self.numeric))])
+        # stage 5: numeric columns - interpolate inside the class's grid
+        st = st.withColumns({f"_pos{a}": F.col(f"_v{a}") * F.lit(G - 1) for a in range(len(self.numeric))})
+        st = st.withColumns({f"_i{a}": F.greatest(F.least(F.floor(F.col(f"_pos{a}")).cast("int"),
+                                                          F.lit(G - 2)), F.lit(0))
+                             for a in range(len(self.numeric))})
         outs = []
         for a, c in enumerate(self.numeric):
-            g, i0, pos = F.col(f"_g{a}"), F.col(f"_i{a}"), F.col(f"_pos{a}")
-            lo, hi = F.element_at(g, i0 + 1), F.element_at(g, F.least(i0 + 2, F.size(g)))
+            g, i0, pos = self._flat_grid(c), F.col(f"_i{a}"), F.col(f"_pos{a}")
+            lo = F.element_at(g, ci * G + i0 + 1)
+            hi = F.element_at(g, ci * G + F.least(i0 + 2, F.lit(G)))
             v = lo + (pos - i0) * (hi - lo)
-            null_rate = F.element_at(F.create_map(*[x for lab in labels for x in (
-                F.lit(lab), F.lit(self.nulls[(lab, c)]))]), yl)
+            null_rate = F.element_at(_flat([self.nulls[(lab, c)] for lab in labels]), ci + 1)
             v = F.when(F.col(f"_n{a}") < null_rate, F.lit(None)).otherwise(v)
             dt = self.types[c]
             if isinstance(dt, NUMERIC_TYPES) and not isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
                 v = F.round(v)
             outs.append(v.cast(dt if isinstance(dt, NUMERIC_TYPES) else T.DoubleType()).alias(c))
+        # categorical columns - first level whose cumulative share exceeds u
         for j, c in enumerate(self.categorical):
             a = len(self.numeric) + j
-            u = F.col(f"_v{a}")
-            cum_arr = F.col(f"_cum{j}")
-            idx = F.least(F.size(F.filter(cum_arr, lambda h: h <= u)), F.size(cum_arr) - 1)
-            lv = F.element_at(F.create_map(*[x for lab in labels for x in (
-                F.lit(lab), F.array(*[F.lit(v).cast("string") for v in
-                                      self.levels.get((lab, c), ([None], [1.0]))[0]]))]), yl)
-            outs.append(F.element_at(lv, idx + 1).alias(c))
-        return st.select(SYNTH_ID, *outs, yl)
+            w = self._level_width(c)
+            st = upper_bound(st, self._flat_cum(c), ci * w, w, F.col(f"_v{a}"), f"_k{j}")
+            idx = F.least(F.col(f"_k{j}"), F.lit(w - 1))
+            outs.append(F.element_at(self._flat_levels(c), ci * w + idx + 1).alias(c))
+        label = F.element_at(F.array(*[F.lit(v) for v in labels]), ci + 1).cast(self.label_type)
+        return st.select(SYNTH_ID, *outs, label.alias(self.label))
+
+
+def _pad(values, width: int, fill=None) -> list:
+    values = list(values)
+    if len(values) >= width:
+        return values
+    return values + [values[-1] if fill is None else fill] * (width - len(values))
 
 
 # ------------------------------------------------------------------ quality (G6)
