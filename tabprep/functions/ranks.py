@@ -30,8 +30,22 @@ def digits_for(n: int, rows_per_bucket: int) -> int:
     return min(MAX_DIGITS, max(1, math.ceil(math.log(n / rows_per_bucket, 16))))
 
 
+def prefix_counts(df: DataFrame, hash_col: str, group_col: str | None = None,
+                  digits: int = 3) -> DataFrame:
+    """Rows per (group, md5 prefix): the first level of ``hash_cutoffs``.
+
+    Its group totals are the class counts, so callers that need both get them
+    from one scan (persist the result; it has at most groups x 16**digits rows).
+    """
+    g = F.col(group_col) if group_col else F.lit(0)
+    return (df.select(g.alias("_g"), F.col(hash_col).alias("_h"))
+            .groupBy("_g", F.lit("").alias("_p"), F.substring("_h", 1, digits).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
 def hash_cutoffs(df: DataFrame, hash_col: str, wanted: dict, group_col: str | None = None,
-                 max_rank_rows: int = 2_000_000, start_digits: int = 3) -> dict:
+                 max_rank_rows: int = 2_000_000, start_digits: int = 3,
+                 first_level: DataFrame | None = None) -> dict:
     """k-th smallest hash per group, for every k in ``wanted[group]``.
 
     Returns ``{(group, k): hash}``; ``k == 0`` maps to ``""`` (no row is
@@ -76,8 +90,11 @@ def hash_cutoffs(df: DataFrame, hash_col: str, wanted: dict, group_col: str | No
                     .join(F.broadcast(par_df), ["_g", "_p"]))
         else:
             cand = cand.withColumn("_p", F.lit(""))
-        counts = (cand.groupBy("_g", "_p", F.substring("_h", 1, digits).alias("_b"))
-                  .agg(F.count(F.lit(1)).alias("_n")))
+        if digits == start_digits and first_level is not None:
+            counts = first_level
+        else:
+            counts = (cand.groupBy("_g", "_p", F.substring("_h", 1, digits).alias("_b"))
+                      .agg(F.count(F.lit(1)).alias("_n")))
         w = (Window.partitionBy("_g", "_p").orderBy("_b")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         cum = counts.withColumn("_cum", F.sum("_n").over(w))
@@ -134,8 +151,9 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
     offsets = counts.withColumn(
         "_off", F.sum("_bn").over(wpart.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1))
     ).select(*group_cols, "_bkt", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
-    n_buckets = 16 ** digits
-    if n_buckets <= BROADCAST_ROWS:
+    if not group_cols and 16 ** digits <= BROADCAST_ROWS:
+        # one row per bucket: size proven by the bucket count.  With groups
+        # the table is groups x buckets; AQE broadcasts it at runtime if small.
         offsets = F.broadcast(offsets)
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(F.col(hash_col))
     return (keyed.join(offsets, [*group_cols, "_bkt"])

@@ -5,8 +5,10 @@ std of the imputed column (a zero std divides by 1).  Categorical block:
 null -> ``"missing"``, then one indicator per sorted level seen while fitting;
 an unseen level gets all zeros.  All-null numeric columns leave the features.
 
-Fitting is three aggregate passes (counts / medians, moments, levels); the
-fitted state is a few numbers and level lists per column.  Transforming is a
+Fitting is two scans on small and mid-size inputs (counts and moments; then
+median windows and levels in one group-by), plus two per narrowing level of
+the median window on very large ones.  The fitted state is a few numbers and
+level lists per column.  Transforming is a
 single narrow projection, so it pipelines into whatever reads it (including
 a streaming DataFrame).
 """
@@ -208,14 +210,17 @@ class TabularPreprocessor:
                        else stats.clean_double(c)) for c in numeric}
         staged = df.select(*[num_src[c].alias(c) for c in numeric],
                            *[as_category(df, c).alias(c) for c in categorical])
-        medians = (stats.exact_medians(staged, numeric) if self.exact_median
-                   else stats.approx_medians(staged, numeric))
+        cat_exprs = {c: F.coalesce(qcol(c), F.lit(MISSING)) for c in categorical}
+        if self.exact_median:
+            fit = stats.fit_columns(staged, numeric, cat_exprs, self.max_levels)
+            medians, moments, levels = fit["medians"], fit["moments"], fit["levels"]
+        else:
+            medians = stats.approx_medians(staged, numeric)
+            moments = stats.mean_std_pop(staged, {c: F.coalesce(qcol(c), F.lit(medians[c]))
+                                                  for c in numeric if medians[c] is not None})
+            levels = stats.distinct_levels(staged, cat_exprs, self.max_levels)
         kept = [c for c in numeric if medians[c] is not None]
         dropped = [c for c in numeric if medians[c] is None]
-        moments = stats.mean_std_pop(
-            staged, {c: F.coalesce(qcol(c), F.lit(medians[c])) for c in kept})
-        levels = stats.distinct_levels(
-            staged, {c: F.coalesce(qcol(c), F.lit(MISSING)) for c in categorical}, self.max_levels)
         return FittedPreprocessor(
             numeric=[(c, medians[c], moments[c][0], moments[c][1]) for c in kept],
             categorical=[(c, levels[c]) for c in categorical],

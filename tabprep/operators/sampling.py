@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
 from tabprep.functions.names import qcol, require_columns
-from tabprep.functions.ranks import hash_cutoffs, hash_rank
+from tabprep.functions.ranks import hash_cutoffs, hash_rank, prefix_counts
 from tabprep.operators.stats import class_counts
 
 SPLIT = "split"
+MAX_CLASSES = 10_000
 
 
 # ---------------------------------------------------------------- D1
@@ -107,18 +109,26 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, stratify: str | None =
     per class (largest-remainder quotas) when ``stratify`` is given.
     """
     require_columns(df, [key] + ([stratify] if stratify else []))
-    if stratify:
-        counts = class_counts(df, stratify)
-        if None in counts:
-            raise ValueError(f"null values in stratification column {stratify!r}")
-    else:
-        counts = {0: df.count()}
-    quotas = split_quotas(counts, test_size, val_size, has_test, has_val,
-                          stratified=stratify is not None)
     h = "_split_h"
     hashed = df.withColumn(h, hash_key(seed, qcol(key)))
-    wanted = {y: [t, t + v] for y, (t, v) in quotas.items()}
-    cut = hash_cutoffs(hashed, h, wanted, group_col=stratify)
+    # one scan gives both the class sizes and the first md5-prefix level
+    level1 = prefix_counts(hashed, h, stratify).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = (level1.groupBy("_g").agg(F.sum("_n").alias("n"))
+                .limit(MAX_CLASSES + 1).collect())
+        if len(rows) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} strata in {stratify!r}")
+        counts = {r["_g"]: int(r["n"]) for r in rows}
+        if stratify and None in counts:
+            raise ValueError(f"null values in stratification column {stratify!r}")
+        if not counts:
+            raise ValueError("cannot split an empty table")
+        quotas = split_quotas(counts, test_size, val_size, has_test, has_val,
+                              stratified=stratify is not None)
+        wanted = {y: [t, t + v] for y, (t, v) in quotas.items()}
+        cut = hash_cutoffs(hashed, h, wanted, group_col=stratify, first_level=level1)
+    finally:
+        level1.unpersist()
     return hashed.withColumn(split_col, _split_expr(F.col(h), quotas, cut, stratify)).drop(h)
 
 

@@ -5,6 +5,8 @@ is bounded by the number of columns, levels or classes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,54 +23,63 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
                   collect_limit: int = 200_000) -> dict:
     """Exact median per column (nulls skipped; mean of the two middle values
     for an even count), without holding a column's values in one task.
+    See ``fit_columns``."""
+    return fit_columns(df, cols, {}, accuracy=accuracy, collect_limit=collect_limit)["medians"]
+
+
+def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels: int = 10_000,
+                accuracy: int = 100_000, collect_limit: int = 200_000) -> dict:
+    """Medians, imputed moments and category levels in as few scans as possible.
+
+    ``categorical`` maps a name to the (already null-filled) string expression.
+
+    Scan 1: per numeric column the non-null count, mean and population
+    variance, plus the row count.  The mean / population std of the column
+    *after* median imputation follow exactly from these and the median (the
+    parallel-variance formula), so no extra scan is needed for them.
 
-    Each level narrows a value window [lo, hi] around the two middle ranks
-    with ``percentile_approx`` and counts rows below / inside it exactly.
-    Once a window holds at most ``collect_limit`` rows, its (value, count)
-    pairs are aggregated and the middle ranks are read off.  Small inputs
-    skip straight to that last step.
+    Median: a value window [lo, hi] around the two middle ranks, narrowed with
+    ``percentile_approx`` and exact counts until it holds at most
+    ``collect_limit`` rows; small inputs need no narrowing.
+
+    Last scan: one ``groupBy(column, value)`` gives both the (value, count)
+    pairs inside each median window and the distinct levels of every
+    categorical column; a hot value collapses map-side.
     """
-    if not cols:
-        return {}
-    xs = {c: clean_double(c) for c in cols}
-    first = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    state = {}
-    out = {}
-    for i, c in enumerate(cols):
+    xs = {c: clean_double(c) for c in numeric}
+    aggs = [F.count(F.lit(1)).alias("N")]
+    for i, c in enumerate(numeric):
+        aggs += [F.count(xs[c]).alias(f"n{i}"), F.avg(xs[c]).alias(f"m{i}"),
+                 F.var_pop(xs[c]).alias(f"v{i}")]
+    first = df.agg(*aggs).first()
+    N = int(first["N"])
+    state, medians = {}, {}
+    for i, c in enumerate(numeric):
         n = int(first[f"n{i}"])
         if n == 0:
-            out[c] = None
+            medians[c] = None
             continue
         state[c] = dict(n=n, k1=(n + 1) // 2, k2=n // 2 + 1, lo=None, hi=None, below=0, inside=n)
 
     delta = 4.0 / accuracy
-    while state:
-        small = [c for c, s in state.items() if s["inside"] <= collect_limit]
-        large = [c for c in state if c not in small]
-        if small:
-            _resolve_windows(df, xs, small, state, out)
-            for c in small:
-                del state[c]
-        if not large:
-            break
-        # Narrow the windows of the large columns.
-        aggs = []
+    while any(s["inside"] > collect_limit for s in state.values()):
+        large = [c for c, s in state.items() if s["inside"] > collect_limit]
+        qaggs = []
         for i, c in enumerate(large):
             s = state[c]
-            x = xs[c]
-            inw = _in_window(x, s)
             p_lo = max(0.0, (s["k1"] - s["below"]) / s["inside"] - delta)
             p_hi = min(1.0, (s["k2"] - s["below"]) / s["inside"] + delta)
-            aggs.append(F.percentile_approx(F.when(inw, x), [p_lo, p_hi], accuracy).alias(f"q{i}"))
-        qs = df.agg(*aggs).first()
-        cnt_aggs = []
+            qaggs.append(F.percentile_approx(F.when(_in_window(xs[c], s), xs[c]), [p_lo, p_hi],
+                                             accuracy).alias(f"q{i}"))
+        qs = df.agg(*qaggs).first()
+        caggs = []
         for i, c in enumerate(large):
             lo, hi = qs[f"q{i}"]
             state[c]["new"] = (lo, hi)
             x = xs[c]
-            cnt_aggs.append(F.count_if(x < F.lit(lo)).alias(f"b{i}"))
-            cnt_aggs.append(F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"w{i}"))
-        cnts = df.agg(*cnt_aggs).first()
+            caggs += [F.count_if(x < F.lit(lo)).alias(f"b{i}"),
+                      F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"w{i}")]
+        cnts = df.agg(*caggs).first()
         for i, c in enumerate(large):
             s = state[c]
             lo, hi = s.pop("new")
@@ -76,12 +87,68 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
             if below < s["k1"] and below + inside >= s["k2"] and inside < s["inside"]:
                 s.update(lo=lo, hi=hi, below=below, inside=inside)
             else:
-                # The sketch missed (or cannot narrow further): widen and retry
-                # with a tighter sketch; the exact counts keep this correct.
+                # the sketch missed or cannot narrow: tighten it; past a point,
+                # take the current (exactly counted) window as it is
                 delta *= 4
                 if delta > 0.5:
-                    s["inside"] = 0  # force collection of the current window
-    return out
+                    s["inside"] = 0
+
+    num_cols = list(state)
+    cat_names = list(categorical)
+    entries = []
+    for i, c in enumerate(num_cols):
+        entries.append(F.when(_in_window(xs[c], state[c]), F.struct(
+            F.lit(i).alias("i"), xs[c].alias("v"), F.lit(None).cast("string").alias("s"))))
+    for j, c in enumerate(cat_names):
+        entries.append(F.struct(F.lit(len(num_cols) + j).alias("i"), F.lit(None).cast("double").alias("v"),
+                                categorical[c].alias("s")))
+    levels: dict = {c: [] for c in cat_names}
+    if entries:
+        pairs = (df.select(F.explode(F.array(*entries)).alias("e"))
+                 .where(F.col("e").isNotNull())
+                 .groupBy("e.i", "e.v", "e.s").agg(F.count(F.lit(1)).alias("c")))
+        cap = collect_limit * len(num_cols) + max_levels * len(cat_names)
+        rows = pairs.limit(cap + 1).collect()
+        if len(rows) > cap:
+            raise ValueError(f"more than {max_levels} levels in a categorical column; "
+                             "raise max_levels or drop high-cardinality columns")
+        by_col: dict = {}
+        for r in rows:
+            if r["i"] < len(num_cols):
+                by_col.setdefault(r["i"], []).append((r["v"], r["c"]))
+            else:
+                levels[cat_names[r["i"] - len(num_cols)]].append(r["s"])
+        for i, c in enumerate(num_cols):
+            medians[c] = _middle(sorted(by_col.get(i, [])), state[c])
+        for c in cat_names:
+            if len(levels[c]) > max_levels:
+                raise ValueError(f"column {c!r} has {len(levels[c])} levels > max_levels={max_levels}")
+            levels[c] = sorted(v for v in levels[c] if v is not None)
+
+    moments = {}
+    for i, c in enumerate(numeric):
+        med = medians[c]
+        if med is None:
+            continue
+        n_nn, m, v = int(first[f"n{i}"]), first[f"m{i}"], first[f"v{i}"]
+        n_miss = N - n_nn
+        mean = (n_nn * m + n_miss * med) / N
+        m2 = n_nn * v + n_nn * (m - mean) ** 2 + n_miss * (med - mean) ** 2
+        moments[c] = (mean, math.sqrt(max(m2, 0.0) / N))
+    return {"medians": medians, "moments": moments, "levels": levels}
+
+
+def _middle(vals: list, s: dict):
+    pos = s["below"]
+    v1 = v2 = None
+    for v, cnt in vals:
+        if v1 is None and pos + cnt >= s["k1"]:
+            v1 = v
+        if pos + cnt >= s["k2"]:
+            v2 = v
+            break
+        pos += cnt
+    return v1 if v1 == v2 else (v1 + v2) / 2.0
 
 
 def _in_window(x, s):
@@ -91,33 +158,6 @@ def _in_window(x, s):
     return cond
 
 
-def _resolve_windows(df, xs, cols, state, out):
-    entries = []
-    for i, c in enumerate(cols):
-        x = xs[c]
-        entries.append(F.when(_in_window(x, state[c]), F.struct(F.lit(i).alias("i"), x.alias("v"))))
-    pairs = (df.select(F.explode(F.array(*entries)).alias("e"))
-             .where(F.col("e").isNotNull())
-             .groupBy(F.col("e.i").alias("i"), F.col("e.v").alias("v"))
-             .agg(F.count(F.lit(1)).alias("c")))
-    by_col: dict[int, list] = {}
-    for r in pairs.collect():
-        by_col.setdefault(r["i"], []).append((r["v"], r["c"]))
-    for i, c in enumerate(cols):
-        s = state[c]
-        vals = sorted(by_col.get(i, []))
-        pos = s["below"]
-        v1 = v2 = None
-        for v, cnt in vals:
-            if v1 is None and pos + cnt >= s["k1"]:
-                v1 = v
-            if pos + cnt >= s["k2"]:
-                v2 = v
-                break
-            pos += cnt
-        out[c] = v1 if v1 == v2 else (v1 + v2) / 2.0
-
-
 def approx_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000) -> dict:
     if not cols:
         return {}

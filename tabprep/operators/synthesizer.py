@@ -334,7 +334,23 @@ class FittedCopula:
                               .alias(f"_p{a}") for a in range(k)])
         return st.select("y", *[norm_ppf(F.col(f"_p{a}")).alias(f"z{a}") for a in range(k)])
 
-    def generate(self, spark, n: int) -> DataFrame:
+    def generate(self, spark, n: int, materialize: bool = True) -> DataFrame:
+        """``n`` synthetic rows.
+
+        With ``materialize`` (default) the rows are checkpointed into the
+        session's checkpoint folder: the generator is a chain of staged
+        projections, and a later filter pushed through them would inline the
+        whole chain into its predicate.  Writing once also spares re-running
+        the generator for each of its readers (union, training, report).
+        """
+        out = self._generate(spark, n)
+        if materialize:
+            from tabprep.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)
+            out = out.checkpoint(eager=True)
+        return out
+
+    def _generate(self, spark, n: int) -> DataFrame:
         labels = self.labels
         cum, acc = [], 0
         for yv in labels:
