@@ -42,11 +42,18 @@ def _check_binary(df: DataFrame, label: str) -> None:
 
 
 def pr_curve(df: DataFrame, label: str, score: str, check: bool = True,
-             rows_per_bucket: int = 1_000_000) -> tuple[DataFrame, int, int]:
-    """Curve points (threshold, pos, neg, tp, fp, precision, recall) and (P, N)."""
+             rows_per_bucket: int = 1_000_000, per: DataFrame | None = None
+             ) -> tuple[DataFrame, int, int]:
+    """Curve points (threshold, pos, neg, tp, fp, precision, recall) and (P, N).
+
+    The per-score table is read several times (totals, bucket edges, curve);
+    pass a persisted one as ``per`` to control its lifetime, otherwise it is
+    persisted here and stays cached while the returned curve is in use.
+    """
     if check:
         _check_binary(df, label)
-    per = score_points(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    if per is None:
+        per = score_points(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     tot = per.agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("P"),
                   F.sum("neg").alias("N")).first()
     n, P, N = int(tot["n"]), int(tot["P"] or 0), int(tot["N"] or 0)
@@ -83,10 +90,11 @@ def auc_terms(curve: DataFrame, P: int, N: int) -> DataFrame:
         (ap / F.lit(float(P)) if P > 0 else F.lit(0.0)).alias("aucpr"))
 
 
-def classification_report(df: DataFrame, label: str, score: str) -> DataFrame:
+def classification_report(df: DataFrame, label: str, score: str,
+                          per: DataFrame | None = None) -> DataFrame:
     """One row: auc, aucpr, precision, recall, f1, threshold, tn/fp/fn/tp and
     ``confusion_matrix`` as ``[[tn, fp], [fn, tp]]``."""
-    curve, P, N = pr_curve(df, label, score)
+    curve, P, N = pr_curve(df, label, score, per=per)
     b = best_f1(curve, P, N)
     a = auc_terms(curve, P, N)
     row = _one_row_join(b, a)
@@ -135,5 +143,15 @@ def regression_report(df: DataFrame, label: str, pred: str) -> DataFrame:
                       "mae_std", F.col("mae_std").alias("rmse_std"), "R2_std")
 
 
+def classification_metrics(df: DataFrame, label: str, score: str):
+    """The classification report as a collected Row; its cache is released."""
+    _check_binary(df, label)
+    per = score_points(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return classification_report(df, label, score, per=per).first()
+    finally:
+        per.unpersist()
+
+
 def metric_value(report: DataFrame, metric: str) -> float:
     return report.select(metric).first()[0]

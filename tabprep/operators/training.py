@@ -90,17 +90,21 @@ def score(model, df: DataFrame, task: str, out: str = "score", hard_labels: bool
     return scored.withColumn(out, s.cast("double"))
 
 
-def evaluate(scored: DataFrame, task: str, metric: str, label_col: str = "label",
+def evaluate(scored: DataFrame, task: str, metric, label_col: str = "label",
              score_col: str = "score") -> float:
-    if task == "classification":
+    """Metric of a scored DataFrame.  ``metric`` is a report key, or any
+    callable ``metric(scored_df) -> float`` (a custom metric that runs its
+    own Spark aggregate)."""
+    if callable(metric):
+        v = metric(scored)
+    elif task == "classification":
         if metric not in CLASSIFICATION_METRICS:
             raise ValueError(f"unknown classification metric {metric!r}")
-        rep = metrics.classification_report(scored, label_col, score_col)
+        v = metrics.classification_metrics(scored, label_col, score_col)[metric]
     else:
         if metric not in REGRESSION_METRICS:
             raise ValueError(f"unknown regression metric {metric!r}")
-        rep = metrics.regression_report(scored, label_col, score_col)
-    v = rep.select(metric).first()[0]
+        v = metrics.regression_report(scored, label_col, score_col).select(metric).first()[0]
     return float("nan") if v is None else float(v)
 
 
@@ -111,7 +115,7 @@ class TuningResult:
     best_value: float
 
 
-def tune(train: DataFrame, valid: DataFrame, task: str, metric: str, maximize: bool,
+def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
          space: SearchSpace | None = None, n_trials: int = 6, parallelism: int = 2,
          seed: int = 42, adjust=None, features_col: str = "features", label_col: str = "label",
          hard_labels: bool = False) -> TuningResult:
@@ -128,8 +132,12 @@ def tune(train: DataFrame, valid: DataFrame, task: str, metric: str, maximize: b
         value = evaluate(score(model, valid, task, hard_labels=hard_labels), task, metric, label_col)
         return (i, *[p[k] for k in ("eta", "min_child_weight", "alpha", "max_depth", "num_round")], value)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(objective, enumerate(trials)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(objective, enumerate(trials)))
+    finally:
+        train.unpersist()
+        valid.unpersist()
     table = spark.createDataFrame(
         [tuple(None if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows],
         "trial int, eta double, min_child_weight double, alpha double, max_depth int, "
