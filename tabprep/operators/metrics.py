@@ -143,6 +143,19 @@ def regression_report(df: DataFrame, label: str, pred: str) -> DataFrame:
                       "mae_std", F.col("mae_std").alias("rmse_std"), "R2_std")
 
 
+def predict_at(score: Column, threshold: float) -> Column:
+    """Hard label: 1 where ``score >= threshold``."""
+    return (score >= F.lit(float(threshold))).cast("int")
+
+
+def confusion_at(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+    """One row: tn, fp, fn, tp of ``score >= threshold`` (four counts, one pass)."""
+    y = qcol(label)
+    p = predict_at(qcol(score), threshold)
+    return df.agg(F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+                  F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"))
+
+
 def classification_metrics(df: DataFrame, label: str, score: str):
     """The classification report as a collected Row; its cache is released."""
     _check_binary(df, label)

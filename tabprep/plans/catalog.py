@@ -739,3 +739,103 @@ def q_train_score_gate(spark, d):
 
 
 EXTRA["train_score_gate"] = (q_train_score_gate, None)
+
+
+# ------------------------------------------------------------------ B9, C10 at a threshold
+
+def q_confusion_at_threshold(spark, d):
+    """Hard labels at the best-F1 threshold, counted row by row."""
+    sc = scored_labels(spark, d)
+    curve, P, N = metrics.pr_curve(sc, "y", "score")
+    t_best = metrics.best_f1(curve, P, N).first()["threshold"]
+    return metrics.confusion_at(sc, "y", "score", t_best).select(
+        F.lit(t_best).alias("threshold"), "tn", "fp", "fn", "tp")
+
+
+SQL_CONFUSION_AT_THRESHOLD = _CURVE + "," + _BEST + f""",
+s2 AS {SCORED}
+SELECT max(best.threshold) AS threshold,
+       CAST(count(*) FILTER (WHERE y = 0 AND score < best.threshold) AS BIGINT) AS tn,
+       CAST(count(*) FILTER (WHERE y = 0 AND score >= best.threshold) AS BIGINT) AS fp,
+       CAST(count(*) FILTER (WHERE y = 1 AND score < best.threshold) AS BIGINT) AS fn,
+       CAST(count(*) FILTER (WHERE y = 1 AND score >= best.threshold) AS BIGINT) AS tp
+FROM s2, best
+"""
+
+
+# ------------------------------------------------------------------ H5/H6 fitted on train rows only
+
+def q_preprocess_fit_train(spark, d):
+    """Fit the preprocessor on the train split only (no test leakage), then
+    encode every row; long form."""
+    df = docs_labelled(spark, d).select("doc_id", "quality", "lang", "n_chars")
+    split = sampling.split_exact(df, "doc_id", SEED, stratify="quality")
+    fitted = features.TabularPreprocessor(["lang", "n_chars"]).fit(split.where(F.col("split") == "train"))
+    long = _long(fitted.transform(split, keep=["doc_id", "split"]), ["doc_id", "split"])
+    return long.withColumn("value", rnd(F.col("value")))
+
+
+SQL_PREPROCESS_FIT_TRAIN = f"""
+WITH sp AS ({stratified_split_sql(DOCS_LABELLED, "doc_id", "quality", "doc_id, lang, n_chars")}),
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+m AS (SELECT median(n_chars) AS med FROM tr),
+mom AS (SELECT avg(coalesce(CAST(n_chars AS DOUBLE), med)) AS mu,
+               stddev_pop(coalesce(CAST(n_chars AS DOUBLE), med)) AS sd FROM tr, m),
+lv AS (SELECT DISTINCT coalesce(lang, 'missing') AS level FROM tr)
+SELECT doc_id, split, 'num__n_chars' AS feature,
+       round((coalesce(CAST(n_chars AS DOUBLE), med) - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END, 6) AS value
+FROM sp, m, mom
+UNION ALL
+SELECT doc_id, split, 'cat__lang_' || level AS feature,
+       CAST(coalesce(lang, 'missing') = level AS DOUBLE) AS value
+FROM sp, lv
+"""
+
+
+# ------------------------------------------------------------------ G6 summary
+
+def q_synth_quality_summary(spark, d):
+    from tabprep.operators.synthesizer import quality_summary
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    real = o.where(F.col("o_orderkey") % 2 == 0)
+    synth = o.where(F.col("o_orderkey") % 2 == 1)
+    q = quality_summary(real, synth, ["o_custkey", "o_totalprice", "o_orderstatus"])
+    return q.select(*[rnd(F.col(c)).alias(c) for c in q.columns])
+
+
+def _cells2_sql(src: str, side: str) -> str:
+    parts = []
+    for c in ("o_custkey", "o_totalprice"):
+        parts.append(f"""
+  SELECT '{side}' AS side, '{c}' AS col,
+         coalesce(CAST(CAST(least(greatest(floor((CAST({c} AS DOUBLE) - lo_{c})
+                  / (CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1.0 END) * 20), 0), 19) AS BIGINT)
+                  AS VARCHAR), 'null') AS cell FROM {src}, mm""")
+    parts.append(f"\n  SELECT '{side}', 'o_orderstatus', coalesce(o_orderstatus, 'null') FROM {src}")
+    return " UNION ALL".join(parts)
+
+
+SQL_SYNTH_QUALITY_SUMMARY = f"""
+WITH r AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0),
+s AS (SELECT * FROM orders WHERE o_orderkey % 2 = 1),
+mm AS (SELECT CAST(min(o_custkey) AS DOUBLE) AS lo_o_custkey, CAST(max(o_custkey) AS DOUBLE) AS hi_o_custkey,
+              min(o_totalprice) AS lo_o_totalprice, max(o_totalprice) AS hi_o_totalprice FROM r),
+cells AS ({_cells2_sql('r', 'real')} UNION ALL {_cells2_sql('s', 'synth')}),
+cnt AS (SELECT col, cell, sum(CASE WHEN side = 'real' THEN 1 ELSE 0 END) AS nr,
+               sum(CASE WHEN side = 'synth' THEN 1 ELSE 0 END) AS ns FROM cells GROUP BY col, cell),
+pr AS (SELECT col, CAST(nr AS DOUBLE) / sum(nr) OVER (PARTITION BY col) AS p,
+              CAST(ns AS DOUBLE) / sum(ns) OVER (PARTITION BY col) AS q FROM cnt),
+js AS (SELECT col, sqrt(greatest(sum(0.5 * CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                                    + 0.5 * CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END), 0)) AS d
+       FROM pr GROUP BY col),
+cs AS (SELECT 100.0 * (1.0 - avg(d)) AS column_similarity FROM js),
+cr AS (SELECT 100.0 * (1.0 - abs((SELECT corr(o_custkey, o_totalprice) FROM r)
+                               - (SELECT corr(o_custkey, o_totalprice) FROM s)) / 2.0) AS correlation_similarity)
+SELECT round(column_similarity, 6) AS column_similarity, round(correlation_similarity, 6) AS correlation_similarity,
+       round((column_similarity + correlation_similarity) / 2, 6) AS overall
+FROM cs, cr
+"""
+
+EXTRA["confusion_at_threshold"] = (q_confusion_at_threshold, SQL_CONFUSION_AT_THRESHOLD)
+EXTRA["preprocess_fit_train"] = (q_preprocess_fit_train, SQL_PREPROCESS_FIT_TRAIN)
+EXTRA["synth_quality_summary"] = (q_synth_quality_summary, SQL_SYNTH_QUALITY_SUMMARY)

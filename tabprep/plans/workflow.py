@@ -79,9 +79,14 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
     fit_rows = splits if fit_on == "all" else splits.where(F.col("split") == "train")
     fitted = features.TabularPreprocessor(feats).fit(fit_rows.select(*feats))
 
-    train = splits.where(F.col("split") == "train").drop("split")
-    train = augment_training(spark, train, label, key, spec.strategy, spec.generate_factor,
+    real_train = splits.where(F.col("split") == "train").drop("split")
+    train = augment_training(spark, real_train, label, key, spec.strategy, spec.generate_factor,
                              spec.target_balance, spec.seed, synthesizer)
+    if out_dir:
+        real_train.write.mode("overwrite").parquet(f"{out_dir}/train_source")
+        if spec.strategy is not None:
+            write_synthetic_report(real_train, train.where(F.col("origin") == "synthetic"),
+                                   [label, *feats], f"{out_dir}/synthetic", spec.seed)
 
     def encode(part):
         return fitted.transform(part.withColumnRenamed(label, "label"), keep=["label"], assemble=True)
@@ -111,6 +116,16 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
     return WorkflowResult(splits, fitted, tuning, model, flat, g, published)
 
 
+def write_synthetic_report(real: DataFrame, synthetic: DataFrame, columns: list, path: str,
+                           seed: int = 42, sample_size: int = 100) -> None:
+    """Quality by column, quality summary and a seeded sample of synthetic rows."""
+    from tabprep.operators.synthesizer import SYNTH_ID, quality_by_column, quality_summary
+    quality_by_column(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/by_column")
+    quality_summary(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    sampling.sample_rows(synthetic, SYNTH_ID, sample_size, seed).write.mode("overwrite") \
+        .parquet(f"{path}/sample")
+
+
 def _apply_codes(df: DataFrame, label: str, enc: features.LabelEncoding) -> DataFrame:
     """Encode a supplied file's label with the fitted codes; unseen labels fail."""
     coded = df.withColumn("_label_given", qcol(label).isNotNull()).withColumn(label, enc.code())

@@ -32,6 +32,21 @@ def test_regression_workflow_and_stream_scoring(spark, sf, tmp_path):
     assert spark.sql("SELECT count(*) AS n FROM scored").first()["n"] == 500
 
 
+def test_classification_workflow_writes_outputs(spark, sf, tmp_path):
+    from tabprep.plans.catalog import docs_labelled
+    df = docs_labelled(spark, sf).select("quality", "lang", "source", "n_chars")
+    spec = TabularSpec(target_column="quality", ml_eval_metric="f1", strategy="augment")
+    out = str(tmp_path / "job")
+    res = run_workflow(spark, df, spec, space=SearchSpace(max_depth=(2, 2), num_round=(3, 3)),
+                       n_trials=1, parallelism=1, out_dir=out, synthesizer="copula")
+    assert res.published
+    assert spark.read.parquet(f"{out}/train_source").count() == 239
+    assert spark.read.json(f"{out}/synthetic/summary").first()["overall"] > 0
+    assert spark.read.parquet(f"{out}/synthetic/sample").count() == 100
+    cm = res.report.first()["confusion_matrix"]
+    assert sum(map(sum, cm)) == 80
+
+
 def test_spec_normalisation():
     s = TabularSpec(target_column="y", drop_columns="id", target_balance=None, objective_type="Maximize")
     assert s.drop_columns == ["id"] and s.target_balance == 1.0 and s.maximize
