@@ -95,9 +95,21 @@ def classification_report(df: DataFrame, label: str, score: str,
     """One row: auc, aucpr, precision, recall, f1, threshold, tn/fp/fn/tp and
     ``confusion_matrix`` as ``[[tn, fp], [fn, tp]]``."""
     curve, P, N = pr_curve(df, label, score, per=per)
-    b = best_f1(curve, P, N)
-    a = auc_terms(curve, P, N)
-    row = _one_row_join(b, a)
+    # best-F1 point, ROC AUC and average precision in one pass over the curve
+    kept = ~((F.col("precision") == 0) & (F.col("recall") == 0))
+    f1 = (2 * (F.col("precision") * F.col("recall"))) / (F.col("precision") + F.col("recall"))
+    roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
+    ap = F.sum(_f(F.col("pos")) * F.col("precision"))
+    row = curve.withColumn("f1", f1).agg(
+        F.max_by(F.struct("threshold", "f1", "precision", "recall", "tp", "fp"),
+                 F.when(kept, F.struct(F.col("f1"), -F.col("threshold")))).alias("b"),
+        (roc / F.lit(2.0 * P * N) if P > 0 and N > 0 else F.lit(None).cast("double")).alias("auc"),
+        (ap / F.lit(float(P)) if P > 0 else F.lit(0.0)).alias("aucpr"))
+    row = row.select(
+        F.col("b.threshold").alias("threshold"), F.col("b.f1").alias("f1"),
+        F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"),
+        (F.lit(N) - F.col("b.fp")).cast("long").alias("tn"), F.col("b.fp").alias("fp"),
+        (F.lit(P) - F.col("b.tp")).cast("long").alias("fn"), F.col("b.tp").alias("tp"), "auc", "aucpr")
     return row.withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
