@@ -20,7 +20,7 @@ def clean_double(name: str):
 
 
 def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
-                  collect_limit: int = 200_000) -> dict:
+                  collect_limit: int = 50_000) -> dict:
     """Exact median per column (nulls skipped; mean of the two middle values
     for an even count), without holding a column's values in one task.
     See ``fit_columns``."""
@@ -28,7 +28,7 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
 
 
 def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels: int = 10_000,
-                accuracy: int = 100_000, collect_limit: int = 200_000) -> dict:
+                accuracy: int = 100_000, collect_limit: int = 50_000) -> dict:
     """Medians, imputed moments and category levels in as few scans as possible.
 
     ``categorical`` maps a name to the (already null-filled) string expression.
@@ -50,7 +50,7 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
     aggs = [F.count(F.lit(1)).alias("N")]
     for i, c in enumerate(numeric):
         aggs += [F.count(xs[c]).alias(f"n{i}"), F.avg(xs[c]).alias(f"m{i}"),
-                 F.var_pop(xs[c]).alias(f"v{i}")]
+                 F.var_pop(xs[c]).alias(f"v{i}"), F.approx_count_distinct(xs[c], 0.05).alias(f"d{i}")]
     first = df.agg(*aggs).first()
     N = int(first["N"])
     state, medians = {}, {}
@@ -59,7 +59,11 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
         if n == 0:
             medians[c] = None
             continue
-        state[c] = dict(n=n, k1=(n + 1) // 2, k2=n // 2 + 1, lo=None, hi=None, below=0, inside=n)
+        # what is collected are (value, count) pairs: a column with few
+        # distinct values (counts, codes, flags) needs no narrowing at all
+        few = first[f"d{i}"] <= collect_limit // 2
+        state[c] = dict(n=n, k1=(n + 1) // 2, k2=n // 2 + 1, lo=None, hi=None, below=0,
+                        inside=0 if few else n)
 
     delta = 4.0 / accuracy
     while any(s["inside"] > collect_limit for s in state.values()):
@@ -107,7 +111,9 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
         pairs = (df.select(F.explode(F.array(*entries)).alias("e"))
                  .where(F.col("e").isNotNull())
                  .groupBy("e.i", "e.v", "e.s").agg(F.count(F.lit(1)).alias("c")))
-        cap = collect_limit * len(num_cols) + max_levels * len(cat_names)
+        # windows hold <= collect_limit rows (or, for low-cardinality columns,
+        # about collect_limit / 2 distinct values; allow for the sketch error)
+        cap = 2 * collect_limit * len(num_cols) + max_levels * len(cat_names)
         rows = pairs.limit(cap + 1).collect()
         if len(rows) > cap:
             raise ValueError(f"more than {max_levels} levels in a categorical column; "
