@@ -36,5 +36,8 @@ def uniform_from_hex(h: Column) -> Column:
 def range_partitions(spark, n: int, rows_per_partition: int = 1_000_000) -> int:
     """Partitions for ``spark.range(n)``: at least the cluster's parallelism,
     at most ~``rows_per_partition`` generated rows per task."""
-    par = spark.sparkContext.defaultParallelism
+    try:
+        par = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect sessions have no SparkContext
+        par = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return int(max(1, min(max(par, n // rows_per_partition + 1), max(par, 200_000), max(n, 1))))

@@ -175,7 +175,13 @@ def running_totals_desc(per_score: DataFrame, score_col: str, sum_cols: dict,
         n = per_score.count()
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     if n_buckets == 1:
-        bucketed = per_score.withColumn("_sb", F.lit(0.0))
+        # one range: a plain window over at most rows_per_bucket rows
+        w = Window.partitionBy(F.lit(0)).orderBy(F.col(score_col).desc()).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        out = per_score
+        for c, name in sum_cols.items():
+            out = out.withColumn(name, F.sum(c).over(w))
+        return out
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         splits = per_score.agg(

@@ -40,7 +40,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; create a scratch one only if unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
