@@ -113,19 +113,20 @@ def classification_report(df: DataFrame, label: str, score: str,
     return row.withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    # Both sides are single-row aggregates: join on a constant key.
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+def metrics_struct(report: DataFrame, names=("auc", "aucpr", "precision", "recall", "f1",
+                                             "confusion_matrix")) -> Column:
+    """``metrics.<name>.value`` (and ``.std`` where present) as one struct Column."""
+    present = [n for n in names if n in report.columns]
+    return F.struct(*[
+        F.struct(F.col(n).alias("value"), *([F.col(n + "_std").alias("std")]
+                                             if n + "_std" in report.columns else [])).alias(n)
+        for n in present])
 
 
 def report_struct(report: DataFrame, names=("auc", "aucpr", "precision", "recall", "f1",
                                             "confusion_matrix")) -> DataFrame:
     """Nest a flat report into ``metrics.<name>.value`` (the JSON layout)."""
-    present = [n for n in names if n in report.columns]
-    return report.select(F.struct(*[
-        F.struct(F.col(n).alias("value"), *([F.col(n + "_std").alias("std")]
-                                             if n + "_std" in report.columns else [])).alias(n)
-        for n in present]).alias("metrics"))
+    return report.select(metrics_struct(report, names).alias("metrics"))
 
 
 def regression_report(df: DataFrame, label: str, pred: str) -> DataFrame:

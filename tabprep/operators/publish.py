@@ -15,8 +15,8 @@ def best_trial(trials: DataFrame, metric: str, maximize: bool, trial_col: str =
 
 
 def gate(report: DataFrame, metric: str, threshold: float, maximize: bool,
-         strict: bool = False) -> DataFrame:
-    """One row: metric, value, threshold, passed.
+         strict: bool = False, keep=()) -> DataFrame:
+    """One row: metric, value, threshold, passed (plus ``keep`` columns).
 
     ``report`` has the nested ``metrics.<name>.value`` layout.  By default
     equality passes (``>=`` / ``<=``); ``strict`` makes it ``>`` / ``<``.
@@ -28,7 +28,7 @@ def gate(report: DataFrame, metric: str, threshold: float, maximize: bool,
     else:
         passed = v < thr if strict else v <= thr
     return report.select(F.lit(metric).alias("metric"), v.alias("value"), thr.alias("threshold"),
-                         F.coalesce(passed, F.lit(False)).alias("passed"))
+                         F.coalesce(passed, F.lit(False)).alias("passed"), *keep)
 
 
 def publish_if_passed(spark, gate_row: DataFrame, model, model_path: str, registry_path: str,

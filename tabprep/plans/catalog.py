@@ -734,8 +734,12 @@ def q_train_score_gate(spark, d):
                        ml_eval_metric="aucpr", ml_metric_threshold=0.0, strategy="balance")
     space = SearchSpace(max_depth=(2, 4), num_round=(5, 10))
     res = run_workflow(spark, df, spec, space=space, n_trials=2, parallelism=2)
-    return metrics._one_row_join(res.gate, res.report.select(
-        rnd(F.col("auc")).alias("auc"), rnd(F.col("f1")).alias("f1"), "tn", "fp", "fn", "tp"))
+    from tabprep.operators.publish import gate
+    flat = res.report
+    rep = flat.select(metrics.metrics_struct(flat).alias("metrics"), rnd(F.col("auc")).alias("auc"),
+                      rnd(F.col("f1")).alias("f1"), "tn", "fp", "fn", "tp")
+    return gate(rep, spec.ml_eval_metric, spec.ml_metric_threshold, spec.maximize,
+                keep=["auc", "f1", "tn", "fp", "fn", "tp"])
 
 
 EXTRA["train_score_gate"] = (q_train_score_gate, None)
