@@ -41,3 +41,32 @@ def range_partitions(spark, n: int, rows_per_partition: int = 1_000_000) -> int:
     except Exception:  # Spark Connect sessions have no SparkContext
         par = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return int(max(1, min(max(par, n // rows_per_partition + 1), max(par, 200_000), max(n, 1))))
+
+
+# ---- counter-based uniforms for Arrow-batched tasks ----
+
+_M64 = (1 << 64) - 1
+
+
+def _splitmix64(x):
+    """SplitMix64 finaliser on a uint64 numpy array (wrapping arithmetic)."""
+    import numpy as np
+    x = (x + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(_M64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def stream_key(seed, *salt) -> int:
+    """A 64-bit stream id from the seed and a salt (stable across processes)."""
+    import hashlib
+    h = hashlib.md5("|".join([str(seed), *map(str, salt)]).encode()).hexdigest()
+    return int(h[:16], 16)
+
+
+def np_uniform(stream: int, ids):
+    """Uniform in (0, 1) per id for one stream: a pure function of (stream, id)."""
+    import numpy as np
+    with np.errstate(over="ignore"):
+        x = _splitmix64(np.asarray(ids, dtype=np.uint64) ^ np.uint64(stream))
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)

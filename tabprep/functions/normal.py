@@ -56,3 +56,41 @@ def norm_ppf(p: Column) -> Column:
     r = q * q
     mid = _horner(AC_A, r) * q / (_horner(AC_B, r) * r + F.lit(1.0))
     return (F.when(p < AC_P_LOW, low).when(p > 1 - AC_P_LOW, high).otherwise(mid))
+
+
+# ---- numpy versions (same fixed coefficients), for Arrow-batched tasks ----
+
+def np_norm_cdf(z):
+    import numpy as np
+    az = np.abs(z)
+    t = 1.0 / (1.0 + AS_P * az)
+    poly = np.zeros_like(t)
+    for b in reversed(AS_B):
+        poly = poly * t + b
+    poly = poly * t
+    upper = 1.0 - np.exp(-az * az / 2.0) / math.sqrt(2 * math.pi) * poly
+    return np.where(z >= 0, upper, 1.0 - upper)
+
+
+def np_norm_ppf(p):
+    import numpy as np
+    p = np.asarray(p, dtype=float)
+
+    def horner(coefs, x):
+        acc = np.full_like(x, coefs[0])
+        for c in coefs[1:]:
+            acc = acc * x + c
+        return acc
+
+    out = np.empty_like(p)
+    lo = p < AC_P_LOW
+    hi = p > 1 - AC_P_LOW
+    mid = ~(lo | hi)
+    q = np.sqrt(-2.0 * np.log(p[lo]))
+    out[lo] = horner(AC_C, q) / (horner(AC_D, q) * q + 1.0)
+    q = np.sqrt(-2.0 * np.log(1.0 - p[hi]))
+    out[hi] = -horner(AC_C, q) / (horner(AC_D, q) * q + 1.0)
+    q = p[mid] - 0.5
+    r = q * q
+    out[mid] = horner(AC_A, r) * q / (horner(AC_B, r) * r + 1.0)
+    return out

@@ -152,7 +152,7 @@ class CopulaSynthesizer:
     columns: list = field(default_factory=list)
     grid_size: int = 101
     accuracy: int = 10_000
-    max_columns: int = 64
+    max_columns: int = 256
     max_levels: int = 1_000
     correlated: bool = True
 
@@ -209,7 +209,9 @@ class CopulaSynthesizer:
         allc = numeric + categorical
         k = len(allc)
         chol = {}
-        if self.correlated and k > 1:
+        if self.correlated and k > 1 and fitted.wide:
+            chol = fitted.wide_correlation(df)
+        elif self.correlated and k > 1:
             zs = fitted.normal_scores(df)
             pairs_ix = [(a, b) for a in range(k) for b in range(a + 1, k)]
             corr_rows = zs.groupBy("y").agg(*[
@@ -257,6 +259,16 @@ class FittedCopula:
     def labels(self):
         return sorted(self.counts)
 
+    @property
+    def wide(self) -> bool:
+        return len(self.numeric) + len(self.categorical) > WIDE_COLUMNS
+
+    def wide_correlation(self, df: DataFrame) -> dict:
+        return _wide_correlation(self, df)
+
+    def _generate_wide(self, spark, n: int) -> DataFrame:
+        return _generate_wide(self, spark, n)
+
     # -- flat literal tables: class i's entries start at i * width
     def _flat_grid(self, c) -> Column:
         return _flat([v for lab in self.labels for v in _pad(self.grids[(lab, c)], self.grid_width)])
@@ -343,7 +355,7 @@ class FittedCopula:
         whole chain into its predicate.  Writing once also spares re-running
         the generator for each of its readers (union, training, report).
         """
-        out = self._generate(spark, n)
+        out = self._generate_wide(spark, n) if self.wide else self._generate(spark, n)
         if materialize:
             from tabprep.session import ensure_checkpoint_dir
             ensure_checkpoint_dir(spark)
@@ -411,6 +423,153 @@ class FittedCopula:
         return st.select(SYNTH_ID, *outs, label.alias(self.label))
 
 
+# Above this many columns the per-column Column expressions no longer fit in
+# one generated method (Java's 64 KB limit) and Spark would interpret them;
+# wider tables use the Arrow-batched numpy path below.
+WIDE_COLUMNS = 8
+
+
+def _wide_tables(self):
+    grids = {key: np.asarray(v, dtype=float) for key, v in self.grids.items()}
+    mids, cats = {}, {}
+    for (lab, c), (vals, cum) in self.levels.items():
+        lo = [0.0] + list(cum[:-1])
+        mids[(lab, c)] = {v: (a + b) / 2 for v, a, b in zip(vals, lo, cum) if v is not None}
+        cats[(lab, c)] = (np.asarray(vals, dtype=object), np.asarray(cum, dtype=float))
+    return grids, mids, cats
+
+
+def _wide_correlation(self, df: DataFrame) -> dict:
+    """Per-class correlation of normal scores for wide tables: numpy marginal
+    transforms in Arrow batches, then Spark ML's ``Correlation`` (a tree
+    aggregate of the Gram matrix) per class.  Missing scores count as 0."""
+    import pandas as pd
+    from pyspark import StorageLevel
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+    from tabprep.functions.normal import np_norm_ppf
+
+    labels, num, cat = self.labels, list(self.numeric), list(self.categorical)
+    k = len(num) + len(cat)
+    grids, mids, _ = _wide_tables(self)
+    y = qcol(self.label)
+    sel = df.select(y.alias("y"), *[stats.clean_double(c).alias(f"x{a}") for a, c in enumerate(num)],
+                    *[as_category(df, c).alias(f"c{j}") for j, c in enumerate(cat)])
+
+    def scores(batches):
+        for pdf in batches:
+            yv = pdf["y"].to_numpy()
+            Z = np.zeros((len(pdf), k))
+            for lab in labels:
+                m = yv == lab
+                if not m.any():
+                    continue
+                for a, c in enumerate(num):
+                    x = pdf[f"x{a}"].to_numpy(dtype=float)[m]
+                    g = grids[(lab, c)]
+                    G = len(g)
+                    i0 = np.clip(np.searchsorted(g, x, side="right"), 1, max(G - 1, 1))
+                    lo, hi = g[i0 - 1], g[np.minimum(i0, G - 1)]
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        frac = np.where(hi > lo, (x - lo) / (hi - lo), 0.5)
+                    u = ((i0 - 1) + np.clip(frac, 0, 1)) / max(G - 1, 1)
+                    z = np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4))
+                    Z[m, a] = np.where(np.isnan(x), 0.0, z)
+                for j, c in enumerate(cat):
+                    u = pdf[f"c{j}"][m].map(mids.get((lab, c), {})).to_numpy(dtype=float)
+                    z = np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4))
+                    Z[m, len(num) + j] = np.where(np.isnan(u), 0.0, z)
+            yield pd.DataFrame({"y": pdf["y"], "z": list(Z)})
+
+    ytype = df.schema[self.label].dataType.simpleString()
+    zdf = sel.mapInPandas(scores, f"y {ytype}, z array<double>") \
+        .select("y", array_to_vector("z").alias("z")).persist(StorageLevel.MEMORY_AND_DISK)
+    chol = {}
+    try:
+        for lab in labels:
+            sub = zdf.where(F.col("y") == F.lit(lab))
+            m = Correlation.corr(sub, "z").head()[0].toArray()
+            m = np.nan_to_num(m, nan=0.0)
+            np.fill_diagonal(m, 1.0)
+            chol[lab] = _psd_cholesky(m).tolist()
+    finally:
+        zdf.unpersist()
+    return chol
+
+
+def _generate_wide(self, spark, n: int) -> DataFrame:
+    """Arrow-batched generation over ``spark.range(n)`` for wide tables.
+
+    Uniforms come from a counter-based hash of (seed, stream, row id), so a
+    row's values do not depend on batch or partition boundaries.
+    """
+    import pandas as pd
+    from tabprep.functions.hashing import np_uniform, stream_key
+    from tabprep.functions.normal import np_norm_cdf, np_norm_ppf
+
+    labels, num, cat = self.labels, list(self.numeric), list(self.categorical)
+    k = len(num) + len(cat)
+    grids, _, cats = _wide_tables(self)
+    cum_hi = np.cumsum([self.counts[lab] for lab in labels])
+    total = int(cum_hi[-1])
+    chol = {lab: np.asarray(self.chol.get(lab, np.eye(k).tolist())) for lab in labels}
+    nulls = {key: v for key, v in self.nulls.items()}
+    types = self.types
+    s_class = stream_key(self.seed, "class")
+    s_e = [stream_key(self.seed, "e", j) for j in range(k)]
+    s_null = {c: stream_key(self.seed, "null", c) for c in num}
+    int_like = {c for c in num if isinstance(types[c], NUMERIC_TYPES)
+                and not isinstance(types[c], (T.FloatType, T.DoubleType, T.DecimalType))}
+    label = self.label
+
+    def gen(batches):
+        for pdf in batches:
+            ids = pdf["id"].to_numpy().astype(np.uint64)
+            r = np.floor(np_uniform(s_class, ids) * total)
+            ci = np.searchsorted(cum_hi, r, side="right")
+            E = np.column_stack([np_norm_ppf(np_uniform(s_e[j], ids)) for j in range(k)])
+            Z = np.empty_like(E)
+            for i, lab in enumerate(labels):
+                m = ci == i
+                Z[m] = E[m] @ chol[lab].T
+            V = np_norm_cdf(Z)
+            out = {SYNTH_ID: pdf["id"]}
+            for a, c in enumerate(num):
+                val = np.empty(len(ids))
+                for i, lab in enumerate(labels):
+                    m = ci == i
+                    g = grids[(lab, c)]
+                    G = len(g)
+                    pos = V[m, a] * (G - 1)
+                    i0 = np.clip(np.floor(pos).astype(int), 0, max(G - 2, 0))
+                    val[m] = g[i0] + (pos - i0) * (g[np.minimum(i0 + 1, G - 1)] - g[i0])
+                    val[m] = np.where(np_uniform(s_null[c], ids[m]) < nulls[(lab, c)], np.nan, val[m])
+                col = pd.Series(np.round(val) if c in int_like else val).astype(
+                    "Int64" if c in int_like else "Float64")
+                out[c] = col
+            for j, c in enumerate(cat):
+                vals = np.empty(len(ids), dtype=object)
+                for i, lab in enumerate(labels):
+                    m = ci == i
+                    lv, cum = cats.get((lab, c), (np.asarray([None], dtype=object), np.asarray([1.0])))
+                    idx = np.minimum(np.searchsorted(cum, V[m, len(num) + j], side="right"), len(lv) - 1)
+                    vals[m] = lv[idx]
+                out[c] = vals
+            out[label] = np.asarray(labels, dtype=object)[ci]
+            yield pd.DataFrame(out)
+
+    def spark_type(c):
+        dt = types[c]
+        if c in int_like:
+            return dt.simpleString()
+        return "double" if c in num else "string"
+
+    schema = ", ".join([f"{SYNTH_ID} bigint"] + [f"`{c}` {spark_type(c)}" for c in num + cat]
+                       + [f"`{label}` {self.label_type.simpleString()}"])
+    ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
+    return ids.mapInPandas(gen, schema)
+
+
 def _pad(values, width: int, fill=None) -> list:
     values = list(values)
     if len(values) >= width:

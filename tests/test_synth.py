@@ -64,3 +64,27 @@ def test_augment_strategies(spark):
     assert rep.count() == 20 and {r["origin"] for r in rep.collect()} == {"synthetic"}
     with pytest.raises(ValueError):
         augment_training(spark, df, "y", "key", "other")
+
+
+def test_wide_copula_path(spark):
+    from tabprep.operators.synthesizer import WIDE_COLUMNS
+    base = spark.range(6000).select((F.col("id") % 3).cast("int").alias("y"), F.randn(3).alias("a"),
+                                    F.col("id"))
+    cols = {f"n{i}": F.col("a") * (i % 3) + F.randn(10 + i) for i in range(WIDE_COLUMNS)}
+    cols["cnt"] = (F.abs(F.col("a")) * 3).cast("int")
+    cols["k"] = F.when(F.col("id") % 10 == 0, None).when(F.col("a") > 0, "hi").otherwise("lo")
+    cols["m"] = F.when(F.col("id") % 5 == 0, None).otherwise(F.col("a"))
+    df = base.withColumns(cols).drop("id", "a")
+    fitted = CopulaSynthesizer("y", seed=11).fit(df)
+    assert fitted.wide
+    gen = fitted.generate(spark, 6000)
+    assert gen.count() == 6000
+    assert dict(gen.dtypes)["cnt"] == "int" and dict(gen.dtypes)["k"] == "string"
+    assert abs(df.stat.corr("n1", "n2") - gen.stat.corr("n1", "n2")) < 0.05
+    null_rate = gen.where(F.col("m").isNull()).count() / 6000
+    assert 0.15 < null_rate < 0.25
+    assert {r["k"] for r in gen.select("k").distinct().collect()} == {"hi", "lo", None}
+    assert {r["y"] for r in gen.select("y").distinct().collect()} == {0, 1, 2}
+    # same seed, same rows, whatever the partitioning
+    again = fitted.generate(spark, 6000)
+    assert gen.exceptAll(again).count() == 0
