@@ -19,7 +19,7 @@ def clean_double(name: str):
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
-def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
+def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000,
                   collect_limit: int = 50_000) -> dict:
     """Exact median per column (nulls skipped; mean of the two middle values
     for an even count), without holding a column's values in one task.
@@ -27,90 +27,108 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100_000,
     return fit_columns(df, cols, {}, accuracy=accuracy, collect_limit=collect_limit)["medians"]
 
 
+GRID = 1000  # narrowing grid: 1001 sketch points per column and level
+
+
 def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels: int = 10_000,
-                accuracy: int = 100_000, collect_limit: int = 50_000) -> dict:
+                accuracy: int = 10_000, collect_limit: int = 50_000) -> dict:
     """Medians, imputed moments and category levels in as few scans as possible.
 
     ``categorical`` maps a name to the (already null-filled) string expression.
 
-    Scan 1: per numeric column the non-null count, mean and population
-    variance, plus the row count.  The mean / population std of the column
-    *after* median imputation follow exactly from these and the median (the
-    parallel-variance formula), so no extra scan is needed for them.
+    Every pass works on the long form ``(column index, value)`` and groups by
+    the column index, so the generated code does not grow with the number of
+    columns (a 100-column table is one small aggregate, not 400 of them).
+
+    Scan 1: per numeric column the row count, non-null count, mean,
+    population variance and approximate distinct count.  The mean /
+    population std of the column *after* median imputation follow exactly
+    from these and the median (the parallel-variance formula).
 
-    Median: a value window [lo, hi] around the two middle ranks, narrowed with
-    ``percentile_approx`` and exact counts until it holds at most
-    ``collect_limit`` rows; small inputs need no narrowing.
+    Median: a value window [lo, hi] around the two middle ranks.  Each
+    narrowing level reads a 1001-point ``percentile_approx`` grid of the
+    current window (per column), keeps the grid points bracketing the middle
+    ranks, and counts rows below / inside the new window exactly, shrinking
+    it ~500x.  Columns with few distinct values, and windows of at most
+    ``collect_limit`` rows, skip to the last scan.
 
     Last scan: one ``groupBy(column, value)`` gives both the (value, count)
     pairs inside each median window and the distinct levels of every
     categorical column; a hot value collapses map-side.
     """
     xs = {c: clean_double(c) for c in numeric}
-    aggs = [F.count(F.lit(1)).alias("N")]
-    for i, c in enumerate(numeric):
-        aggs += [F.count(xs[c]).alias(f"n{i}"), F.avg(xs[c]).alias(f"m{i}"),
-                 F.var_pop(xs[c]).alias(f"v{i}"), F.approx_count_distinct(xs[c], 0.05).alias(f"d{i}")]
-    first = df.agg(*aggs).first()
-    N = int(first["N"])
-    state, medians = {}, {}
-    for i, c in enumerate(numeric):
-        n = int(first[f"n{i}"])
+    state, medians, first = {}, {}, {}
+    N = None
+    if numeric:
+        long = _long(df, [xs[c] for c in numeric])
+        rows = long.groupBy("i").agg(
+            F.count(F.lit(1)).alias("N"), F.count("x").alias("n"), F.avg("x").alias("m"),
+            F.var_pop("x").alias("v"), F.approx_count_distinct("x", 0.05).alias("d")).collect()
+        first = {numeric[r["i"]]: r for r in rows}
+        N = int(rows[0]["N"]) if rows else 0
+    for c in numeric:
+        n = int(first[c]["n"]) if c in first else 0
         if n == 0:
             medians[c] = None
             continue
         # what is collected are (value, count) pairs: a column with few
         # distinct values (counts, codes, flags) needs no narrowing at all
-        few = first[f"d{i}"] <= collect_limit // 2
+        few = first[c]["d"] <= collect_limit // 2
         state[c] = dict(n=n, k1=(n + 1) // 2, k2=n // 2 + 1, lo=None, hi=None, below=0,
                         inside=0 if few else n)
 
-    delta = 4.0 / accuracy
-    while any(s["inside"] > collect_limit for s in state.values()):
-        large = [c for c, s in state.items() if s["inside"] > collect_limit]
-        qaggs = []
+    while any(s_["inside"] > collect_limit for s_ in state.values()):
+        large = [c for c, s_ in state.items() if s_["inside"] > collect_limit]
+        long = _long(df, [xs[c] for c in large])
+        inw = _window_expr(large, state)
+        probs = [j / GRID for j in range(GRID + 1)]
+        grids = {r["i"]: r["q"] for r in long.where(inw).groupBy("i").agg(
+            F.percentile_approx("x", probs, accuracy).alias("q")).collect()}
         for i, c in enumerate(large):
-            s = state[c]
-            p_lo = max(0.0, (s["k1"] - s["below"]) / s["inside"] - delta)
-            p_hi = min(1.0, (s["k2"] - s["below"]) / s["inside"] + delta)
-            qaggs.append(F.percentile_approx(F.when(_in_window(xs[c], s), xs[c]), [p_lo, p_hi],
-                                             accuracy).alias(f"q{i}"))
-        qs = df.agg(*qaggs).first()
-        caggs = []
+            s_ = state[c]
+            q = grids[i]
+            mg = s_.setdefault("margin", 2)
+            j_lo = max(0, int((s_["k1"] - s_["below"]) / s_["inside"] * GRID) - mg)
+            j_hi = min(GRID, int((s_["k2"] - s_["below"]) / s_["inside"] * GRID) + mg + 1)
+            s_["new"] = (q[j_lo], q[j_hi])
+        lo_arr = F.array(*[F.lit(float(state[c]["new"][0])) for c in large])
+        hi_arr = F.array(*[F.lit(float(state[c]["new"][1])) for c in large])
+        lo, hi = F.try_element_at(lo_arr, F.col("i") + 1), F.try_element_at(hi_arr, F.col("i") + 1)
+        cnts = {r["i"]: r for r in long.groupBy("i").agg(
+            F.count_if(F.col("x") < lo).alias("b"),
+            F.count_if((F.col("x") >= lo) & (F.col("x") <= hi)).alias("w")).collect()}
         for i, c in enumerate(large):
-            lo, hi = qs[f"q{i}"]
-            state[c]["new"] = (lo, hi)
-            x = xs[c]
-            caggs += [F.count_if(x < F.lit(lo)).alias(f"b{i}"),
-                      F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"w{i}")]
-        cnts = df.agg(*caggs).first()
-        for i, c in enumerate(large):
-            s = state[c]
-            lo, hi = s.pop("new")
-            below, inside = int(cnts[f"b{i}"]), int(cnts[f"w{i}"])
-            if below < s["k1"] and below + inside >= s["k2"] and inside < s["inside"]:
-                s.update(lo=lo, hi=hi, below=below, inside=inside)
+            s_ = state[c]
+            lo_v, hi_v = s_.pop("new")
+            below, inside = int(cnts[i]["b"]), int(cnts[i]["w"])
+            if not (below < s_["k1"] and below + inside >= s_["k2"]):
+                # the bracket missed the middle ranks (sketch error): widen it
+                s_["margin"] *= 4
+                if s_["margin"] > GRID // 4:
+                    raise RuntimeError(f"median window of {c!r} did not narrow")
+            elif inside < s_["inside"]:
+                s_.update(lo=lo_v, hi=hi_v, below=below, inside=inside)
             else:
-                # the sketch missed or cannot narrow: tighten it; past a point,
-                # take the current (exactly counted) window as it is
-                delta *= 4
-                if delta > 0.5:
-                    s["inside"] = 0
+                # bracketed but no smaller: ties (a hot value fills the window),
+                # so the window holds few distinct values - collect its pairs
+                s_.update(lo=lo_v, hi=hi_v, below=below, inside=0)
 
     num_cols = list(state)
     cat_names = list(categorical)
     entries = []
     for i, c in enumerate(num_cols):
-        entries.append(F.when(_in_window(xs[c], state[c]), F.struct(
-            F.lit(i).alias("i"), xs[c].alias("v"), F.lit(None).cast("string").alias("s"))))
+        entries.append(F.struct(F.lit(i).alias("i"), xs[c].alias("v"),
+                                F.lit(None).cast("string").alias("s")))
     for j, c in enumerate(cat_names):
         entries.append(F.struct(F.lit(len(num_cols) + j).alias("i"), F.lit(None).cast("double").alias("v"),
                                 categorical[c].alias("s")))
     levels: dict = {c: [] for c in cat_names}
     if entries:
-        pairs = (df.select(F.explode(F.array(*entries)).alias("e"))
-                 .where(F.col("e").isNotNull())
-                 .groupBy("e.i", "e.v", "e.s").agg(F.count(F.lit(1)).alias("c")))
+        long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.i", "e.v", "e.s")
+        keep = F.col("i") >= len(num_cols)
+        if num_cols:
+            keep = keep | _window_expr(num_cols, state, "v")
+        pairs = long.where(keep).groupBy("i", "v", "s").agg(F.count(F.lit(1)).alias("c"))
         # windows hold <= collect_limit rows (or, for low-cardinality columns,
         # about collect_limit / 2 distinct values; allow for the sketch error)
         cap = 2 * collect_limit * len(num_cols) + max_levels * len(cat_names)
@@ -132,11 +150,11 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
             levels[c] = sorted(v for v in levels[c] if v is not None)
 
     moments = {}
-    for i, c in enumerate(numeric):
+    for c in numeric:
         med = medians[c]
         if med is None:
             continue
-        n_nn, m, v = int(first[f"n{i}"]), first[f"m{i}"], first[f"v{i}"]
+        n_nn, m, v = int(first[c]["n"]), first[c]["m"], first[c]["v"]
         n_miss = N - n_nn
         mean = (n_nn * m + n_miss * med) / N
         m2 = n_nn * v + n_nn * (m - mean) ** 2 + n_miss * (med - mean) ** 2
@@ -144,6 +162,25 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
     return {"medians": medians, "moments": moments, "levels": levels}
 
 
+def _long(df: DataFrame, exprs: list) -> DataFrame:
+    """(i, x) rows: the i-th expression's value for every input row."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), e.alias("x")) for i, e in enumerate(exprs)])).alias("e")) \
+        .select("e.i", "e.x")
+
+
+def _window_expr(cols: list, state: dict, value: str = "x"):
+    """Per-row test 'value inside its column's current window' on the long
+    form (column index ``i``; indices past ``cols`` get a null bound)."""
+    x = F.col(value)
+    if all(state[c]["lo"] is None for c in cols):
+        return x.isNotNull()
+    idx = F.col("i") + 1
+    lo = F.try_element_at(F.array(*[F.lit(state[c]["lo"]).cast("double") for c in cols]), idx)
+    hi = F.try_element_at(F.array(*[F.lit(state[c]["hi"]).cast("double") for c in cols]), idx)
+    return x.isNotNull() & (lo.isNull() | ((x >= lo) & (x <= hi)))
+
+
 def _middle(vals: list, s: dict):
     pos = s["below"]
     v1 = v2 = None
@@ -157,13 +194,6 @@ def _middle(vals: list, s: dict):
     return v1 if v1 == v2 else (v1 + v2) / 2.0
 
 
-def _in_window(x, s):
-    cond = x.isNotNull()
-    if s["lo"] is not None:
-        cond = cond & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
-    return cond
-
-
 def approx_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000) -> dict:
     if not cols:
         return {}

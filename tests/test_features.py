@@ -111,3 +111,19 @@ def test_preprocessor_roundtrip(spark, tmp_path):
     assert again.feature_names() == fitted.feature_names()
     assert [tuple(r) for r in again.transform(df).collect()] == [tuple(r) for r in fitted.transform(df).collect()]
     assert not math.isnan(fitted.numeric[0][1])
+
+
+def test_wide_fit_long_form_matches_exact(spark):
+    base = spark.range(4000).select("id", F.randn(1).alias("a"))
+    cols = {f"n{i}": F.when(F.col("id") % (i + 3) == 0, None).otherwise(
+        F.round(F.col("a") * (i % 4) + F.randn(20 + i), 2 if i % 2 else 6)) for i in range(30)}
+    cols["hot"] = F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("a"))   # a third of rows tie
+    df = spark.range(4000).select("id").join(base.withColumns(cols), "id").drop("a")
+    names = [c for c in df.columns if c != "id"]
+    got = stats.fit_columns(df, names, {}, collect_limit=100)
+    want = df.agg(*[F.median(c).alias(c) for c in names]).first()
+    for c in names:
+        assert got["medians"][c] == pytest.approx(want[c], abs=1e-12), c
+    mom = df.agg(*[F.avg(F.coalesce(F.col(c), F.lit(got["medians"][c]))).alias(c) for c in names]).first()
+    for c in names:
+        assert got["moments"][c][0] == pytest.approx(mom[c], rel=1e-12)
