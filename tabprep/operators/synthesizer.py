@@ -590,41 +590,68 @@ def _js_distance(p: Column, q: Column) -> Column:
 def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20) -> DataFrame:
     """Per column: Jensen-Shannon distance between real and synthetic
     distributions (numeric: ``bins`` equal-width bins over the real range;
-    categorical: levels, null counted as a level)."""
+    categorical: levels, null counted as a level).
+
+    Both tables are read in long form (column index, value), so the plan does
+    not grow with the number of columns; the per-column histograms are
+    partial aggregates keyed by (column, cell)."""
     numeric, categorical = split_types(real, columns)
-    mm = {}
+    names = numeric + categorical
+    nn = len(numeric)
+
+    def long(df):
+        return df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), stats.clean_double(c).alias("x"),
+                     F.lit(None).cast("string").alias("s")) for i, c in enumerate(numeric)] + [
+            F.struct(F.lit(nn + j).alias("i"), F.lit(None).cast("double").alias("x"),
+                     as_category(df, c).alias("s")) for j, c in enumerate(categorical)])).alias("e")) \
+            .select("e.i", "e.x", "e.s")
+
+    lo_w = {}
     if numeric:
-        r = real.agg(*[x for i, c in enumerate(numeric) for x in (
-            F.min(stats.clean_double(c)).alias(f"lo{i}"), F.max(stats.clean_double(c)).alias(f"hi{i}"))]).first()
-        mm = {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(numeric)}
+        for r in long(real).where(F.col("i") < nn).groupBy("i").agg(
+                F.min("x").alias("lo"), F.max("x").alias("hi")).collect():
+            lo, hi = r["lo"], r["hi"]
+            lo_w[r["i"]] = (lo if lo is not None else 0.0,
+                            (hi - lo) if (lo is not None and hi is not None and hi > lo) else 1.0)
+    lo_arr = F.array(*[F.lit(float(lo_w.get(i, (0.0, 1.0))[0])) for i in range(nn)] or [F.lit(0.0)])
+    w_arr = F.array(*[F.lit(float(lo_w.get(i, (0.0, 1.0))[1])) for i in range(nn)] or [F.lit(1.0)])
 
     def cells(df, side):
-        entries = []
-        for c in numeric:
-            lo, hi = mm[c]
-            x = stats.clean_double(c)
-            width = (hi - lo) if (lo is not None and hi is not None and hi > lo) else 1.0
-            b = F.least(F.greatest(F.floor((x - F.lit(lo)) / F.lit(width) * bins), F.lit(0)),
-                        F.lit(bins - 1)).cast("string")
-            entries.append(F.struct(F.lit(c).alias("column"),
-                                    F.coalesce(b, F.lit("null")).alias("cell")))
-        for c in categorical:
-            entries.append(F.struct(F.lit(c).alias("column"),
-                                    F.coalesce(as_category(df, c), F.lit("null")).alias("cell")))
-        return (df.select(F.explode(F.array(*entries)).alias("e"))
-                .groupBy("e.column", "e.cell").agg(F.count(F.lit(1)).alias(side)))
-
-    joined = cells(real, "n_real").join(cells(synth, "n_synth"), ["column", "cell"], "full_outer") \
+        i = F.col("i")
+        b = F.least(F.greatest(F.floor((F.col("x") - F.try_element_at(lo_arr, i + 1))
+                                       / F.try_element_at(w_arr, i + 1) * bins), F.lit(0)),
+                    F.lit(bins - 1)).cast("string")
+        cell = F.when(i < nn, F.coalesce(b, F.lit("null"))).otherwise(F.coalesce(F.col("s"), F.lit("null")))
+        return long(df).select("i", cell.alias("cell")).groupBy("i", "cell") \
+            .agg(F.count(F.lit(1)).alias(side))
+
+    joined = cells(real, "n_real").join(cells(synth, "n_synth"), ["i", "cell"], "full_outer") \
         .fillna(0, ["n_real", "n_synth"])
     from pyspark.sql import Window
-    w = Window.partitionBy("column")
-    probs = joined.select("column", (F.col("n_real") / F.sum("n_real").over(w)).alias("p"),
+    w = Window.partitionBy("i")
+    probs = joined.select("i", (F.col("n_real") / F.sum("n_real").over(w)).alias("p"),
                           (F.col("n_synth") / F.sum("n_synth").over(w)).alias("q"))
-    kinds = F.create_map(*[x for c in numeric for x in (F.lit(c), F.lit("numeric"))],
-                         *[x for c in categorical for x in (F.lit(c), F.lit("categorical"))])
-    return probs.groupBy("column").agg(F.sqrt(F.greatest(F.sum(_js_distance(F.col("p"), F.col("q"))),
-                                                         F.lit(0.0))).alias("js_distance")) \
-        .withColumn("kind", F.element_at(kinds, F.col("column")))
+    name_arr = F.array(*[F.lit(c) for c in names])
+    return probs.groupBy("i").agg(F.sqrt(F.greatest(F.sum(_js_distance(F.col("p"), F.col("q"))),
+                                                    F.lit(0.0))).alias("js_distance")) \
+        .select(F.element_at(name_arr, F.col("i") + 1).alias("column"), "js_distance",
+                F.when(F.col("i") < nn, "numeric").otherwise("categorical").alias("kind"))
+
+
+def _corr_matrix_pairs(df: DataFrame, numeric: list) -> list:
+    """Upper-triangle Pearson correlations for many columns: Spark ML's
+    ``Correlation`` (a tree aggregate of the Gram matrix) on mean-filled
+    vectors, instead of k(k-1)/2 separate aggregate expressions."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    means = df.agg(*[F.avg(stats.clean_double(c)).alias(f"m{i}") for i, c in enumerate(numeric)]).first()
+    filled = df.select(*[F.coalesce(stats.clean_double(c), F.lit(means[f"m{i}"] or 0.0)).alias(f"x{i}")
+                         for i, c in enumerate(numeric)])
+    vec = VectorAssembler(inputCols=[f"x{i}" for i in range(len(numeric))], outputCol="v").transform(filled)
+    m = Correlation.corr(vec, "v").head()[0].toArray()
+    k = len(numeric)
+    return [None if np.isnan(m[a, b]) else float(m[a, b]) for a in range(k) for b in range(a + 1, k)]
 
 
 def quality_summary(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20) -> DataFrame:
@@ -634,11 +661,16 @@ def quality_summary(real: DataFrame, synth: DataFrame, columns: list, bins: int
     pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1:]]
     col_score = by_col.agg((100.0 * (1.0 - F.avg("js_distance"))).alias("column_similarity"))
     if pairs:
-        def corr_row(df):
-            return df.agg(*[F.corr(stats.clean_double(a), stats.clean_double(b)).alias(f"c{i}")
-                            for i, (a, b) in enumerate(pairs)]).first()
+        if len(numeric) <= 10:
+            def corr_row(df):
+                r = df.agg(*[F.corr(stats.clean_double(a), stats.clean_double(b)).alias(f"c{i}")
+                             for i, (a, b) in enumerate(pairs)]).first()
+                return [r[f"c{i}"] for i in range(len(pairs))]
+        else:
+            def corr_row(df):
+                return _corr_matrix_pairs(df, numeric)
         rr, ss = corr_row(real), corr_row(synth)
-        diffs = [abs((rr[f"c{i}"] or 0.0) - (ss[f"c{i}"] or 0.0)) for i in range(len(pairs))]
+        diffs = [abs((a or 0.0) - (b or 0.0)) for a, b in zip(rr, ss)]
         corr_sim = 100.0 * (1.0 - sum(diffs) / len(diffs) / 2.0)
     else:
         corr_sim = 100.0

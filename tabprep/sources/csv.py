@@ -43,26 +43,27 @@ def infer_types(df: DataFrame, cols=None) -> DataFrame:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not cols:
         return df
-    aggs = []
-    for i, c in enumerate(cols):
-        x = qcol(c)
-        nn = x.isNotNull()
-        aggs += [
-            F.count_if(nn & F.expr(f"try_cast({_q(c)} as double)").isNull()).alias(f"d{i}"),
-            F.count_if(nn & F.expr(f"try_cast({_q(c)} as long)").isNull()).alias(f"l{i}"),
-            F.count_if(nn & ~x.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
-            F.count(x).alias(f"n{i}"),
-        ]
-    row = df.agg(*aggs).first()
+    # long form (column index, text): one small aggregate however wide the file
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), qcol(c).alias("s")) for i, c in enumerate(cols)])).alias("e")) \
+        .select("e.i", "e.s")
+    x = F.col("s")
+    nn = x.isNotNull()
+    rows = {r["i"]: r for r in long.groupBy("i").agg(
+        F.count_if(nn & F.expr("try_cast(s as double)").isNull()).alias("d"),
+        F.count_if(nn & F.expr("try_cast(s as long)").isNull()).alias("l"),
+        F.count_if(nn & ~x.isin(TRUE_TOKENS + FALSE_TOKENS)).alias("b"),
+        F.count(x).alias("n")).collect()}
     kinds = {}
     for i, c in enumerate(cols):
-        if row[f"n{i}"] == 0:
+        row = rows[i]
+        if row["n"] == 0:
             kinds[c] = "double"          # all missing: a numeric column of nulls
-        elif row[f"b{i}"] == 0:
+        elif row["b"] == 0:
             kinds[c] = "boolean"
-        elif row[f"l{i}"] == 0:
+        elif row["l"] == 0:
             kinds[c] = "long"
-        elif row[f"d{i}"] == 0:
+        elif row["d"] == 0:
             kinds[c] = "double"
     out = []
     for c in df.columns:
@@ -77,10 +78,6 @@ def infer_types(df: DataFrame, cols=None) -> DataFrame:
     return df.select(*out)
 
 
-def _q(c: str) -> str:
-    return "`" + c.replace("`", "``") + "`"
-
-
 def read_csv(spark: SparkSession, path: str, na_tokens=NA_TOKENS, infer: bool = True,
              **options) -> DataFrame:
     """Header CSV (plain or ``.gz``) -> NA tokens to null -> typed columns."""

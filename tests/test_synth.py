@@ -88,3 +88,15 @@ def test_wide_copula_path(spark):
     # same seed, same rows, whatever the partitioning
     again = fitted.generate(spark, 6000)
     assert gen.exceptAll(again).count() == 0
+
+
+def test_quality_summary_wide_matches_pairwise(spark):
+    from tabprep.operators.synthesizer import _corr_matrix_pairs
+    base = spark.range(3000).select(F.randn(4).alias("a"))
+    df = base.withColumns({f"n{i}": F.col("a") * (i % 3) + F.randn(30 + i) for i in range(12)})
+    names = [f"n{i}" for i in range(12)]
+    got = _corr_matrix_pairs(df, names)
+    want = [df.stat.corr(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    assert got == pytest.approx(want, abs=1e-9)
+    q = quality_summary(df, df, names).first()
+    assert q["correlation_similarity"] == pytest.approx(100.0)
