@@ -851,3 +851,33 @@ FROM cs, cr
 EXTRA["confusion_at_threshold"] = (q_confusion_at_threshold, SQL_CONFUSION_AT_THRESHOLD)
 EXTRA["preprocess_fit_train"] = (q_preprocess_fit_train, SQL_PREPROCESS_FIT_TRAIN)
 EXTRA["synth_quality_summary"] = (q_synth_quality_summary, SQL_SYNTH_QUALITY_SUMMARY)
+
+
+# ------------------------------------------------------------------ parameter variants
+
+def q_oversample_even_half(spark, d):
+    """Over-sample the minority class to half the majority (ratio 0.5)."""
+    lab = t(spark, d, "labels").select("doc_id", "quality", "toxic")
+    return sampling.oversample(lab, "quality", "doc_id", 0.5, SEED, mode="even")
+
+
+SQL_OVERSAMPLE_EVEN_HALF = _OS_HEAD.replace("* 1.0::DOUBLE", "* 0.5::DOUBLE") + """,
+cp AS (SELECT ranked.*, k // nm + CASE WHEN rk <= k % nm THEN 1 ELSE 0 END AS copies FROM ranked, k)
+SELECT doc_id, quality, toxic, CAST(NULL AS BIGINT) AS oversample_draw FROM labels
+UNION ALL
+SELECT doc_id, quality, toxic, CAST(unnest(range(1, copies + 1)) AS BIGINT) AS oversample_draw
+FROM cp WHERE copies > 0
+"""
+
+
+def q_split_stratified_segments(spark, d):
+    """Five-class stratified split (customer market segments)."""
+    c = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    return sampling.split_exact(c, "c_custkey", SEED, stratify="c_mktsegment")
+
+
+SQL_SPLIT_STRATIFIED_SEGMENTS = stratified_split_sql("customer", "c_custkey", "c_mktsegment",
+                                                     "c_custkey, c_mktsegment")
+
+EXTRA["oversample_even_half"] = (q_oversample_even_half, SQL_OVERSAMPLE_EVEN_HALF)
+EXTRA["split_stratified_segments"] = (q_split_stratified_segments, SQL_SPLIT_STRATIFIED_SEGMENTS)
