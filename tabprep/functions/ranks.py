@@ -121,15 +121,21 @@ def hash_cutoffs(df: DataFrame, hash_col: str, wanted: dict, group_col: str | No
         bdf = spark.createDataFrame(
             [(b["_g"], b["_b"], b["_k"], b["_res"]) for b in bounds],
             "_g " + _group_type(df, group_col) + ", _b string, _k long, _res long")
+        wb = Window.partitionBy("_g", "_b").orderBy(*hash_order(F.col("_h")))
         rows = (base.withColumn("_b", F.substring("_h", 1, digits))
                 .join(F.broadcast(bdf.select("_g", "_b").distinct()), ["_g", "_b"])
-                .withColumn("_rn", F.row_number().over(
-                    Window.partitionBy("_g", "_b").orderBy(*hash_order(F.col("_h")))))
+                .withColumn("_rn", F.row_number().over(wb))
+                .withColumn("_next", F.lead("_h").over(wb))
                 .join(F.broadcast(bdf), ["_g", "_b"])
                 .where(F.col("_rn") == F.col("_res"))
-                .select("_g", "_k", "_h")
+                .select("_g", "_k", "_h", "_next")
                 .collect())
         for r in rows:
+            if r["_next"] == r["_h"]:
+                # equal hashes straddle the cut: the key is not unique, and
+                # "h <= threshold" would select more than k rows
+                raise ValueError(f"duplicate keys at a split boundary (group {r['_g']!r}); "
+                                 "the key column must be unique")
             result[(r["_g"], r["_k"])] = r["_h"]
         return result
 

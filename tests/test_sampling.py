@@ -82,3 +82,11 @@ def test_oversample_counts(spark, mode):
 def test_sample_rows_exact_n(spark, sf):
     p = spark.read.parquet(f"{sf}/part.parquet")
     assert sampling.sample_rows(p, "p_partkey", 37).count() == 37
+
+
+def test_duplicate_key_at_boundary_is_an_error(spark):
+    # every key twice; 22 rows -> the test cut is at rank 5, between the two
+    # copies of one key, so "hash <= threshold" would take 6 rows
+    df = spark.range(22).select((F.col("id") % 11).alias("key"))
+    with pytest.raises(ValueError, match="unique"):
+        sampling.split_exact(df, "key")
