@@ -54,10 +54,14 @@ class TabularSpec:
 
     @classmethod
     def from_dict(cls, d: dict) -> "TabularSpec":
-        """Build from the three-section layout (dataset / ML / generation)."""
+        """Build from the three-section layout: dataset, ML and a generation
+        section (strategy, generate_factor, target_balance); hosted-service
+        keys such as ``mode`` or ``sink_bucket`` are ignored."""
         ds = d.get("dataset", {})
         ml = d.get("ML", {})
-        gen = d.get("generation", d.get("gretel", {})) or {}
+        # the generation section is whichever other section holds "strategy"
+        gen = next((v for k, v in d.items() if k not in ("dataset", "ML")
+                    and isinstance(v, dict) and "strategy" in v), {}) or {}
         return cls(
             target_column=ds["target_column"],
             drop_columns=ds.get("drop_columns"),

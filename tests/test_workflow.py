@@ -50,3 +50,22 @@ def test_classification_workflow_writes_outputs(spark, sf, tmp_path):
 def test_spec_normalisation():
     s = TabularSpec(target_column="y", drop_columns="id", target_balance=None, objective_type="Maximize")
     assert s.drop_columns == ["id"] and s.target_balance == 1.0 and s.maximize
+
+
+def test_spec_from_three_section_dict():
+    d = {"dataset": {"name": "house-rent", "train_path": "s3a://bucket/train.csv", "validation_path": None,
+                     "test_path": None, "target_column": "Rent",
+                     "drop_columns": ["Area Locality", "Point of Contact"]},
+         "ML": {"ml_task": "regression", "objective": "reg:linear", "objective_type": "Minimize",
+                "ml_eval_metric": "rmse", "ml_metric_threshold": 6.0},
+         "generator": {"strategy": "augment", "generate_factor": 1.0, "target_balance": None,
+                       "mode": "cloud", "sink_bucket": None}}
+    s = TabularSpec.from_dict(d)
+    assert (s.target_column, s.ml_task, s.strategy, s.maximize, s.target_balance) == \
+        ("Rent", "regression", "augment", False, 1.0)
+    assert s.drop_columns == ["Area Locality", "Point of Contact"]
+    churn = {"dataset": {"target_column": "Exited", "drop_columns": "CustomerId"},
+             "ML": {"ml_task": "classification", "objective_type": "Maximize", "ml_eval_metric": "aucpr"},
+             "gen": {"strategy": "balance", "generate_factor": 1.0, "target_balance": 1.0}}
+    s = TabularSpec.from_dict(churn)
+    assert s.drop_columns == ["CustomerId"] and s.strategy == "balance" and s.maximize
