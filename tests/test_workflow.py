@@ -69,3 +69,29 @@ def test_spec_from_three_section_dict():
              "gen": {"strategy": "balance", "generate_factor": 1.0, "target_balance": 1.0}}
     s = TabularSpec.from_dict(churn)
     assert s.drop_columns == ["CustomerId"] and s.strategy == "balance" and s.maximize
+
+
+def test_csv_job_with_supplied_test_file(spark, sf, tmp_path):
+    from tabprep.plans.catalog import docs_labelled
+    from tabprep.sources.csv import read_csv
+    rows = docs_labelled(spark, sf).select(
+        "doc_id", F.when(F.col("quality") == 1, "good").otherwise("bad").alias("Quality Flag"),
+        F.coalesce("lang", F.lit("N/A")).alias("lang"), "source",
+        F.coalesce(F.col("n_chars").cast("string"), F.lit("NA")).alias("n_chars"))
+    main_dir, test_dir = str(tmp_path / "train_csv"), str(tmp_path / "test_csv")
+    rows.where(F.col("doc_id") % 4 != 0).write.option("header", True).csv(main_dir)
+    rows.where(F.col("doc_id") % 4 == 0).write.option("header", True).csv(test_dir)
+    main, test = read_csv(spark, main_dir), read_csv(spark, test_dir)
+    assert dict(main.dtypes)["n_chars"] == "bigint"
+    spec = TabularSpec(target_column="Quality Flag", drop_columns="doc_id", ml_eval_metric="aucpr",
+                       strategy="balance")
+    res = run_workflow(spark, main, spec, test_df=test.drop("doc_id"),
+                       space=SearchSpace(max_depth=(2, 2), num_round=(3, 3)), n_trials=1, parallelism=1)
+    counts = {r["split"]: r["count"] for r in res.splits.groupBy("split").count().collect()}
+    assert counts["test"] == test.count()
+    n_main = main.count()
+    assert counts["validation"] == -(-n_main // 4) and counts["train"] == n_main - counts["validation"]
+    # supplied test labels got the fitted codes (bad=0, good=1)
+    codes = {r["Quality Flag"] for r in res.splits.where(F.col("split") == "test").collect()}
+    assert codes == {0, 1}
+    assert res.gate.first()["metric"] == "aucpr"
