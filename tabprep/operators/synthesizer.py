@@ -83,12 +83,17 @@ def upper_bound(df: DataFrame, flat: Column, base: Column, length: int, x: Colum
 
 # ------------------------------------------------------------------ independent
 
+FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+               T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 @dataclass
 class IndependentSynthesizer:
     label: str
     key_cols: list
     seed: int = 42
     columns: list = field(default_factory=list)
+    max_levels: int = 10_000
 
     def fit(self, df: DataFrame) -> "FittedIndependent":
         require_columns(df, [self.label, *self.key_cols])
@@ -96,14 +101,31 @@ class IndependentSynthesizer:
         counts = stats.class_counts(df, self.label)
         if None in counts:
             raise ValueError("null labels cannot be synthesized")
+        # Text columns travel as dictionary codes, so the re-assembly after the
+        # join is a hash aggregate over fixed-width values (a string buffer
+        # would force a sort-based aggregate of every draw).
+        text = [c for c in cols if not isinstance(df.schema[c].dataType, FIXED_WIDTH)
+                and isinstance(df.schema[c].dataType, T.StringType)]
+        dicts = {}
+        if text:
+            lv = stats.distinct_levels(df, {c: qcol(c) for c in text}, self.max_levels)
+            dicts = {c: lv[c] for c in text}
+        coded = df
+        spark = df.sparkSession
+        for j, c in enumerate(text):
+            d = spark.createDataFrame([(v, i) for i, v in enumerate(dicts[c])],
+                                      f"_v{j} string, _code{j} int")
+            # a bounded dictionary (<= max_levels rows): broadcast
+            coded = coded.join(F.broadcast(d), qcol(c) == F.col(f"_v{j}"), "left") \
+                .drop(f"_v{j}").drop(c).withColumnRenamed(f"_code{j}", c)
         h = "_syn_h"
-        hashed = df.withColumn(h, hash_key(self.seed, *[qcol(k) for k in self.key_cols]))
+        hashed = coded.withColumn(h, hash_key(self.seed, *[qcol(k) for k in self.key_cols]))
         ranked = hash_rank(hashed, h, group_cols=[self.label], rank_col="_syn_rank",
                            n=sum(counts.values()))
         ranked = ranked.select(qcol(self.label), "_syn_rank", *[qcol(c) for c in cols])
         return FittedIndependent(self.label, cols, counts, ranked, self.seed,
                                  {c: df.schema[c].dataType for c in cols},
-                                 df.schema[self.label].dataType)
+                                 df.schema[self.label].dataType, dicts)
 
 
 @dataclass
@@ -115,6 +137,7 @@ class FittedIndependent:
     seed: int
     types: dict
     label_type: T.DataType
+    dicts: dict = field(default_factory=dict)
 
     def generate(self, spark, n: int) -> DataFrame:
         labels = sorted(self.counts)
@@ -140,7 +163,12 @@ class FittedIndependent:
         picked = draws.join(self.ranked, [self.label, "_syn_rank"])
         out = picked.groupBy(SYNTH_ID, qcol(self.label)).agg(*[
             F.max(F.when(F.col("_j") == j, qcol(c))).alias(c) for j, c in enumerate(self.columns)])
-        return out.select(SYNTH_ID, *[qcol(c) for c in self.columns], qcol(self.label))
+
+        def decoded(c):
+            if c not in self.dicts:
+                return qcol(c)
+            return F.element_at(F.array(*[F.lit(v) for v in self.dicts[c]]), qcol(c) + 1).alias(c)
+        return out.select(SYNTH_ID, *[decoded(c) for c in self.columns], qcol(self.label))
 
 
 # ------------------------------------------------------------------ copula
