@@ -108,6 +108,11 @@ def evaluate(scored: DataFrame, task: str, metric, label_col: str = "label",
     return float("nan") if v is None else float(v)
 
 
+def _is_cached(df: DataFrame) -> bool:
+    lvl = df.storageLevel
+    return bool(lvl.useMemory or lvl.useDisk)
+
+
 @dataclass
 class TuningResult:
     trials: DataFrame
@@ -123,8 +128,11 @@ def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
     spark = train.sparkSession
     space = space or SearchSpace()
     trials = space.sample(n_trials, seed, adjust)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+    # cache the inputs for the trials unless the caller already did (then the
+    # caller also owns the unpersist)
+    own = [d for d in (train, valid) if not _is_cached(d)]
+    for d in own:
+        d.persist(StorageLevel.MEMORY_AND_DISK)
 
     def objective(i_p):
         i, p = i_p
@@ -136,8 +144,8 @@ def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             rows = list(pool.map(objective, enumerate(trials)))
     finally:
-        train.unpersist()
-        valid.unpersist()
+        for d in own:
+            d.unpersist()
     table = spark.createDataFrame(
         [tuple(None if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows],
         "trial int, eta double, min_child_weight double, alpha double, max_depth int, "

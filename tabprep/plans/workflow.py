@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,13 +92,18 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
     def encode(part):
         return fitted.transform(part.withColumnRenamed(label, "label"), keep=["label"], assemble=True)
 
-    tr = encode(train)
-    va = encode(splits.where(F.col("split") == "validation"))
+    # encoded train / validation rows feed every trial and the refit: cache
+    # them once (recomputable from lineage if an executor is lost)
+    tr = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
+    va = encode(splits.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
     te = encode(splits.where(F.col("split") == "test"))
-
-    tuning = training.tune(tr, va, task, spec.ml_eval_metric, spec.maximize, space, n_trials,
-                           parallelism, spec.seed)
-    model = training.fit_model(tr, task, tuning.best_params, seed=spec.seed)
+    try:
+        tuning = training.tune(tr, va, task, spec.ml_eval_metric, spec.maximize, space, n_trials,
+                               parallelism, spec.seed)
+        model = training.fit_model(tr, task, tuning.best_params, seed=spec.seed)
+    finally:
+        tr.unpersist()
+        va.unpersist()
     scored = training.score(model, te, task)
     if task == "classification":
         flat = metrics.classification_report(scored, "label", "score")
