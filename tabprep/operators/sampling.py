@@ -180,17 +180,19 @@ def oversample_plan(counts: dict, ratio: float = 1.0) -> tuple:
 
 
 def oversample(df: DataFrame, label: str, key: str, ratio: float = 1.0, seed: int = 42,
-               mode: str = "random") -> DataFrame:
+               mode: str = "random", counts: dict | None = None) -> DataFrame:
     """Keep every row and add ``int(ratio * n_major) - n_minor`` minority copies.
 
     ``random``: draws with replacement; draw ``i`` takes the minority row whose
     hash rank is ``1 + floor(u(seed, i) * n_minor)`` (an equi-join on rank).
     ``even``: every minority row is copied ``k // n_minor`` times and the
     ``k % n_minor`` rows with the smallest hashes once more.
-    Added rows carry ``oversample_draw`` (null on original rows).
+    Added rows carry ``oversample_draw`` (null on original rows).  Pass
+    ``counts`` (label -> rows) if already known to skip the counting scan.
     """
     require_columns(df, [label, key])
-    counts = class_counts(df, label)
+    if counts is None:
+        counts = class_counts(df, label)
     minor, _, k = oversample_plan(counts, ratio)
     n_minor = counts[minor]
     base = df.withColumn(DRAW, F.lit(None).cast("bigint"))

@@ -37,7 +37,7 @@ from tabprep.functions.normal import norm_cdf, norm_ppf
 from tabprep.functions.ranks import hash_rank
 from tabprep.operators import stats
 from tabprep.operators.features import NUMERIC_TYPES, as_category, split_types
-from tabprep.operators.synth import row_budget, union_real_synthetic
+from tabprep.operators.synth import union_real_synthetic
 
 SYNTH_ID = "synth_id"
 
@@ -95,10 +95,11 @@ class IndependentSynthesizer:
     columns: list = field(default_factory=list)
     max_levels: int = 10_000
 
-    def fit(self, df: DataFrame) -> "FittedIndependent":
+    def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedIndependent":
         require_columns(df, [self.label, *self.key_cols])
         cols = self.columns or [c for c in df.columns if c != self.label and c not in self.key_cols]
-        counts = stats.class_counts(df, self.label)
+        if counts is None:
+            counts = stats.class_counts(df, self.label)
         if None in counts:
             raise ValueError("null labels cannot be synthesized")
         # Text columns travel as dictionary codes, so the re-assembly after the
@@ -184,14 +185,15 @@ class CopulaSynthesizer:
     max_levels: int = 1_000
     correlated: bool = True
 
-    def fit(self, df: DataFrame) -> "FittedCopula":
+    def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedCopula":
         require_columns(df, [self.label])
         cols = self.columns or [c for c in df.columns if c != self.label]
         if len(cols) > self.max_columns:
             raise ValueError(f"copula fit over {len(cols)} columns exceeds max_columns="
                              f"{self.max_columns}; the correlation factor is columns x columns")
         numeric, categorical = split_types(df, cols)
-        counts = stats.class_counts(df, self.label)
+        if counts is None:
+            counts = stats.class_counts(df, self.label)
         if None in counts:
             raise ValueError("null labels cannot be synthesized")
         labels = sorted(counts)
@@ -732,18 +734,23 @@ def augment_training(spark, train: DataFrame, label: str, key: str, strategy: st
         return real
     if strategy not in ("balance", "augment", "replace"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    from tabprep.operators.sampling import oversample_plan
     source = train
     key_cols = [key]
+    counts = stats.class_counts(train, label)
     if strategy == "balance":
-        source = oversample(train, label, key, target_balance, seed)
+        source = oversample(train, label, key, target_balance, seed, counts=counts)
         key_cols = [key, DRAW]
-    n_src = source.count()
-    n_gen = int(spark.range(1).select(row_budget(F.lit(n_src), generate_factor)).first()[0])
+        minor, _, k = oversample_plan(counts, target_balance)
+        counts = {**counts, minor: counts[minor] + k}
+    # row budget: floor(rows * factor) of the (possibly over-sampled) source
+    n_gen = math.floor(sum(counts.values()) * float(generate_factor))
     cols = [c for c in train.columns if c not in (label, key)]
     if synthesizer == "independent":
-        syn = IndependentSynthesizer(label, key_cols, seed, columns=cols, **opts).fit(source)
+        syn = IndependentSynthesizer(label, key_cols, seed, columns=cols, **opts).fit(source, counts)
     else:
-        syn = CopulaSynthesizer(label, seed, columns=cols, **opts).fit(source.drop(*key_cols[1:]))
+        syn = CopulaSynthesizer(label, seed, columns=cols, **opts).fit(source.drop(*key_cols[1:]),
+                                                                        counts)
     generated = syn.generate(spark, n_gen).withColumn("origin", F.lit("synthetic"))
     if strategy == "replace":
         return generated
