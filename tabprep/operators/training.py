@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
@@ -210,4 +210,4 @@ def params_table(spark, params: dict) -> DataFrame:
 
 
 __all__ = ["SearchSpace", "fit_model", "score", "evaluate", "tune", "utility_score",
-           "generator_search", "load_model", "params_table", "asdict"]
+           "generator_search", "load_model", "params_table"]
