@@ -52,7 +52,14 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
                  fit_on: str = "all", synthesizer: str = "independent",
                  space: training.SearchSpace | None = None, n_trials: int = 6,
                  parallelism: int = 2, out_dir: str | None = None,
-                 strict_gate: bool = False) -> WorkflowResult:
+                 strict_gate: bool = False, tune_on_hard_labels: bool = False) -> WorkflowResult:
+    """Run the whole job.
+
+    Parity options: ``fit_on="all"`` fits the encoders on every row before
+    splitting (the reference's behaviour; ``"train"`` avoids test leakage);
+    ``tune_on_hard_labels`` scores tuning trials on 0/1 predictions instead
+    of probabilities; ``strict_gate`` makes equality fail the gate.
+    """
     check_unique_names(df)
     label = spec.target_column
     require_columns(df, [label])
@@ -99,7 +106,7 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
     te = encode(splits.where(F.col("split") == "test"))
     try:
         tuning = training.tune(tr, va, task, spec.ml_eval_metric, spec.maximize, space, n_trials,
-                               parallelism, spec.seed)
+                               parallelism, spec.seed, hard_labels=tune_on_hard_labels)
         model = training.fit_model(tr, task, tuning.best_params, seed=spec.seed)
     finally:
         tr.unpersist()
