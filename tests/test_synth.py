@@ -100,3 +100,17 @@ def test_quality_summary_wide_matches_pairwise(spark):
     assert got == pytest.approx(want, abs=1e-9)
     q = quality_summary(df, df, names).first()
     assert q["correlation_similarity"] == pytest.approx(100.0)
+
+
+def test_independent_dictionary_coded_text(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source", "n_chars") \
+        .join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    plain = IndependentSynthesizer("quality", ["doc_id"], columns=["lang", "source", "n_chars"]).fit(d)
+    coded = IndependentSynthesizer("quality", ["doc_id"], columns=["lang", "source", "n_chars"],
+                                   dictionary_min_rows=0).fit(d)
+    assert set(coded.dicts) == {"lang", "source"} and not plain.dicts
+    a, b = plain.generate(spark, 500), coded.generate(spark, 500)
+    # same draws, same values: coding is only a transport format
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
