@@ -97,7 +97,9 @@ def classification_report(df: DataFrame, label: str, score: str,
     curve, P, N = pr_curve(df, label, score, per=per)
     # best-F1 point, ROC AUC and average precision in one pass over the curve
     kept = ~((F.col("precision") == 0) & (F.col("recall") == 0))
-    f1 = (2 * (F.col("precision") * F.col("recall"))) / (F.col("precision") + F.col("recall"))
+    # points with precision = recall = 0 take no part (and would divide by 0)
+    f1 = F.when(kept, (2 * (F.col("precision") * F.col("recall")))
+                / (F.col("precision") + F.col("recall")))
     roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
     ap = F.sum(_f(F.col("pos")) * F.col("precision"))
     row = curve.withColumn("f1", f1).agg(
