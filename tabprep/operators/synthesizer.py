@@ -365,7 +365,8 @@ class FittedCopula:
             x, lo, hi = F.col(f"_x{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
             frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.5)
             frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
-            us.append(F.when(x.isNotNull(), ((F.col(f"_i{i}") - 1) + frac) / F.lit(G - 1)).alias(f"_u{i}"))
+            us.append(F.when(x.isNotNull(), ((F.col(f"_i{i}") - 1) + frac) / F.lit(max(G - 1, 1)))
+                      .alias(f"_u{i}"))
         for j, c in enumerate(self.categorical):
             us.append(F.element_at(self._level_midpoints(c, F.col("y")), F.col(f"_c{j}"))
                       .alias(f"_u{base + j}"))
@@ -659,8 +660,9 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
         .fillna(0, ["n_real", "n_synth"])
     from pyspark.sql import Window
     w = Window.partitionBy("i")
-    probs = joined.select("i", (F.col("n_real") / F.sum("n_real").over(w)).alias("p"),
-                          (F.col("n_synth") / F.sum("n_synth").over(w)).alias("q"))
+    # try_divide: an empty side (e.g. zero generated rows) gives null shares
+    probs = joined.select("i", F.try_divide(F.col("n_real"), F.sum("n_real").over(w)).alias("p"),
+                          F.try_divide(F.col("n_synth"), F.sum("n_synth").over(w)).alias("q"))
     name_arr = F.array(*[F.lit(c) for c in names])
     return probs.groupBy("i").agg(F.sqrt(F.greatest(F.sum(_js_distance(F.col("p"), F.col("q"))),
                                                     F.lit(0.0))).alias("js_distance")) \

@@ -114,3 +114,9 @@ def test_independent_dictionary_coded_text(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_quality_with_empty_synthetic_side(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_totalprice", "o_orderstatus")
+    rows = quality_by_column(o, o.limit(0), ["o_totalprice", "o_orderstatus"]).collect()
+    assert len(rows) == 2
