@@ -664,8 +664,10 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
     probs = joined.select("i", F.try_divide(F.col("n_real"), F.sum("n_real").over(w)).alias("p"),
                           F.try_divide(F.col("n_synth"), F.sum("n_synth").over(w)).alias("q"))
     name_arr = F.array(*[F.lit(c) for c in names])
-    return probs.groupBy("i").agg(F.sqrt(F.greatest(F.sum(_js_distance(F.col("p"), F.col("q"))),
-                                                    F.lit(0.0))).alias("js_distance")) \
+    js = F.sum(_js_distance(F.col("p"), F.col("q")))
+    # undefined (null) when either side has no rows
+    return probs.groupBy("i").agg(F.when(js.isNotNull(), F.sqrt(F.greatest(js, F.lit(0.0))))
+                                  .alias("js_distance")) \
         .select(F.element_at(name_arr, F.col("i") + 1).alias("column"), "js_distance",
                 F.when(F.col("i") < nn, "numeric").otherwise("categorical").alias("kind"))
 
