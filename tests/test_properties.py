@@ -85,3 +85,74 @@ def test_oversample_and_synth_independent_of_partitioning(spark, sf):
     g1 = IndependentSynthesizer("c_mktsegment", ["c_custkey"]).fit(c.repartition(2)).generate(spark, 700)
     g2 = IndependentSynthesizer("c_mktsegment", ["c_custkey"]).fit(c.repartition(9)).generate(spark, 700)
     assert g1.exceptAll(g2).count() == 0
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5)), min_size=2, max_size=30))
+def test_regression_report_matches_numpy(spark, pairs):
+    y = np.array([a for a, _ in pairs], dtype=float)
+    p = np.array([b for _, b in pairs], dtype=float)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double")
+    r = metrics.regression_report(df, "y", "p").first()
+    e = y - p
+    assert r["mse"] == pytest.approx(np.mean(e ** 2), abs=1e-12)
+    assert r["mae"] == pytest.approx(np.mean(np.abs(e)), abs=1e-12)
+    assert r["mse_std"] == pytest.approx(np.std(e ** 2), abs=1e-9)
+    assert r["rmse_std"] == pytest.approx(np.std(np.abs(e)), abs=1e-9)
+    sst, sse = np.sum((y - y.mean()) ** 2), np.sum(e ** 2)
+    r2 = (1 - sse / sst) if sst != 0 else (1.0 if sse == 0 else 0.0)
+    assert r["R2"] == pytest.approx(r2, abs=1e-12)
+    d2 = (y - y.mean()) ** 2
+    ok = d2 != 0
+    want_std = np.std(1 - (e[ok] ** 2) / d2[ok]) if ok.any() else None
+    if want_std is None:
+        assert r["R2_std"] is None
+    else:
+        assert r["R2_std"] == pytest.approx(want_std, rel=1e-9, abs=1e-9)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=1, max_size=25),
+       st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), min_size=1, max_size=25))
+def test_preprocessor_matches_direct_definition(spark, xs, ks):
+    from tabprep.operators.features import TabularPreprocessor
+    n = min(len(xs), len(ks))
+    rows = [(i, None if xs[i] is None else float(xs[i]), ks[i]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, x double, k string")
+    fitted = TabularPreprocessor(["x", "k"]).fit(df)
+    got = {r["id"]: r for r in fitted.transform(df, keep=["id"]).collect()}
+    vals = np.array([r[1] for r in rows if r[1] is not None])
+    if len(vals) == 0:
+        assert "x" in fitted.dropped
+        return
+    med = float(np.median(vals))
+    filled = np.array([med if r[1] is None else r[1] for r in rows])
+    mu, sd = filled.mean(), filled.std()
+    sd = sd if sd > 10 * np.finfo(float).eps else 1.0
+    levels = sorted({r[2] if r[2] is not None else "missing" for r in rows})
+    assert [lv for _, lvs in fitted.categorical for lv in lvs] == levels
+    for i, r in enumerate(rows):
+        assert got[r[0]]["num__x"] == pytest.approx((filled[i] - mu) / sd, abs=1e-9)
+        k = r[2] if r[2] is not None else "missing"
+        for lv in levels:
+            assert got[r[0]][f"cat__k_{lv}"] == (1.0 if lv == k else 0.0)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=300), st.integers(5, 60))
+def test_exact_median_with_ties_and_narrowing(spark, xs, limit):
+    from tabprep.operators.stats import exact_medians
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in xs], "x double")
+    got = exact_medians(df, ["x"], accuracy=1000, collect_limit=limit)["x"]
+    vals = [v for v in xs if v is not None]
+    assert got == (float(np.median(vals)) if vals else None)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 400)), min_size=50, max_size=400))
+def test_exact_median_narrowing_many_values(spark, xs):
+    from tabprep.operators.stats import exact_medians
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in xs], "x double")
+    got = exact_medians(df, ["x"], accuracy=5000, collect_limit=10)["x"]
+    vals = [v for v in xs if v is not None]
+    assert got == (float(np.median(vals)) if vals else None)
