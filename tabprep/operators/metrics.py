@@ -29,8 +29,11 @@ def _f(x) -> Column:
 def score_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row per distinct score: (threshold, pos, neg)."""
     y = qcol(label)
-    return (df.where(qcol(score).isNotNull())
-            .groupBy(qcol(score).cast("double").alias("threshold"))
+    s = qcol(score).cast("double")
+    # a missing or NaN score has no place on the curve (Spark would sort NaN
+    # above every number)
+    return (df.where(s.isNotNull() & ~F.isnan(s))
+            .groupBy(s.alias("threshold"))
             .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
                  F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg")))
 

@@ -60,3 +60,11 @@ def test_running_totals_buckets_equal_plain_window(spark, sf):
 def test_binary_only(spark):
     with pytest.raises(ValueError):
         metrics.classification_report(_df(spark, [0, 1, 2], [.1, .2, .3]), "y", "s")
+
+
+def test_nan_and_null_scores_are_ignored(spark):
+    base = _df(spark, [0, 0, 1, 1, 1, 0], [.1, .4, .35, .8, .4, .2])
+    extra = spark.createDataFrame([(1, float("nan")), (0, None)], "y int, s double")
+    a = metrics.classification_report(base, "y", "s").first()
+    b = metrics.classification_report(base.unionByName(extra), "y", "s").first()
+    assert (a["auc"], a["aucpr"], a["f1"]) == (b["auc"], b["aucpr"], b["f1"])
