@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,11 +147,14 @@ class FittedPreprocessor:
         return exprs
 
     def transform(self, df: DataFrame, keep=(), assemble: bool = False,
-                  output_col: str = "features") -> DataFrame:
+                  output_col: str = "features", sparse_levels: int = 64) -> DataFrame:
         """Encoded features next to the ``keep`` columns (label, key, split).
 
         Input columns not fitted are ignored; a fitted column that is missing
-        is an error.
+        is an error.  With ``assemble`` the features become one vector column;
+        categorical columns with more than ``sparse_levels`` levels are then
+        encoded as sparse one-hot vectors (hash lookup of the level, the
+        unknown-level slot dropped) instead of one column per level.
         """
         need = [c for c, *_ in self.numeric] + [c for c, _ in self.categorical]
         require_columns(df, need)
@@ -159,13 +162,41 @@ class FittedPreprocessor:
         staged = df.select(*[qcol(k) for k in keep],
                            *[qcol(c) for c, *_ in self.numeric],
                            *[cat_exprs[c].alias(c) for c in cat_exprs])
-        out = staged.select(*[qcol(k) for k in keep], *self.feature_exprs())
-        if assemble:
-            names = self.feature_names()
-            out = VectorAssembler(inputCols=names, outputCol=output_col,
-                                  handleInvalid="keep").transform(out)
-            out = out.select(*[qcol(k) for k in keep], output_col)
-        return out
+        if not assemble:
+            return staged.select(*[qcol(k) for k in keep], *self.feature_exprs())
+        wide = [(c, lv) for c, lv in self.categorical if len(lv) > sparse_levels]
+        narrow = FittedPreprocessor(self.numeric, [(c, lv) for c, lv in self.categorical
+                                                   if len(lv) <= sparse_levels],
+                                    self.bool_numeric, self.dropped, self.input_columns)
+        out = staged.select(*[qcol(k) for k in keep], *narrow.feature_exprs(),
+                            *[F.coalesce(qcol(c), F.lit(MISSING)).alias(f"_sp_{i}")
+                              for i, (c, _) in enumerate(wide)])
+        parts = list(narrow.feature_names())
+        for i, (c, lv) in enumerate(wide):
+            out = StringIndexerModel.from_labels(lv, inputCol=f"_sp_{i}", outputCol=f"_ix_{i}",
+                                                 handleInvalid="keep").transform(out)
+            # the indexer's "keep" slot (index = number of levels) is the last
+            # category, and dropLast removes it: unseen levels -> all zeros
+            out = OneHotEncoder(inputCols=[f"_ix_{i}"], outputCols=[f"_oh_{i}"],
+                                dropLast=True).fit(out).transform(out)
+            parts.append(f"_oh_{i}")
+        order = self._vector_order(parts, wide)
+        out = VectorAssembler(inputCols=order, outputCol=output_col,
+                              handleInvalid="keep").transform(out)
+        return out.select(*[qcol(k) for k in keep], output_col)
+
+    def _vector_order(self, parts: list, wide: list) -> list:
+        """Assembler inputs in feature_names() order (numeric, then each
+        categorical column's levels, sparse blocks in their column's place)."""
+        wide_idx = {c: i for i, (c, _) in enumerate(wide)}
+        order = [f"num__{c}" for c, *_ in self.numeric]
+        for c, levels in self.categorical:
+            if c in wide_idx:
+                order.append(f"_oh_{wide_idx[c]}")
+            else:
+                order += [f"cat__{c}_{v}" for v in levels]
+        assert set(order) == set(parts)
+        return order
 
     def _cat_source(self, df, c):
         return as_category(df, c)

@@ -127,3 +127,19 @@ def test_wide_fit_long_form_matches_exact(spark):
     mom = df.agg(*[F.avg(F.coalesce(F.col(c), F.lit(got["medians"][c]))).alias(c) for c in names]).first()
     for c in names:
         assert got["moments"][c][0] == pytest.approx(mom[c], rel=1e-12)
+
+
+def test_sparse_one_hot_equals_dense(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    d = spark.read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", F.when(F.col("doc_id") % 6 == 0, None).otherwise(F.col("lang")).alias("lang"),
+        "source", "n_chars")
+    fitted = features.TabularPreprocessor(["lang", "source", "n_chars"]).fit(
+        d.where(F.col("source") != "src_03"))            # src_03 is unseen when fitting
+    dense = fitted.transform(d, keep=["doc_id"], assemble=True)
+    sparse = fitted.transform(d, keep=["doc_id"], assemble=True, sparse_levels=3)
+    a = dense.select("doc_id", vector_to_array("features").alias("v"))
+    b = sparse.select("doc_id", vector_to_array("features").alias("v"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    n = len(fitted.feature_names())
+    assert len(a.first()["v"]) == n
