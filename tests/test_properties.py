@@ -156,3 +156,26 @@ def test_exact_median_narrowing_many_values(spark, xs):
     got = exact_medians(df, ["x"], accuracy=5000, collect_limit=10)["x"]
     vals = [v for v in xs if v is not None]
     assert got == (float(np.median(vals)) if vals else None)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=12, max_size=200), st.integers(0, 10**6))
+def test_stratified_split_matches_brute_force(spark, ys, seed):
+    import hashlib
+    rows = [(i * 7919 + 3, y) for i, y in enumerate(ys)]
+    counts = {}
+    for _, y in rows:
+        counts[y] = counts.get(y, 0) + 1
+    try:
+        quotas = sampling.split_quotas(counts)
+    except ValueError:
+        return
+    df = spark.createDataFrame(rows, "key long, y int")
+    got = {r["key"]: r["split"] for r in sampling.split_exact(df, "key", seed, "y").collect()}
+    for y in counts:
+        keys = sorted((k for k, yy in rows if yy == y),
+                      key=lambda k: hashlib.md5(f"{seed}|{k}".encode()).hexdigest())
+        t, v = quotas[y]
+        for pos, k in enumerate(keys):
+            want = "test" if pos < t else "validation" if pos < t + v else "train"
+            assert got[k] == want
