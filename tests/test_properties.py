@@ -179,3 +179,20 @@ def test_stratified_split_matches_brute_force(spark, ys, seed):
         for pos, k in enumerate(keys):
             want = "test" if pos < t else "validation" if pos < t + v else "train"
             assert got[k] == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(2, 40), st.integers(41, 120), st.integers(0, 10**6))
+def test_random_oversample_matches_brute_force(spark, n_min, n_maj, seed):
+    import hashlib
+    rows = [(k, 1) for k in range(n_min)] + [(1000 + k, 0) for k in range(n_maj)]
+    df = spark.createDataFrame(rows, "key long, y int")
+    out = sampling.oversample(df, "y", "key", 1.0, seed, mode="random")
+    got = sorted((r["oversample_draw"], r["key"]) for r in out.where("oversample_draw is not null").collect())
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    ranked = sorted(range(n_min), key=lambda k: md5(f"{seed}|{k}"))
+    want = []
+    for i in range(n_maj - n_min):
+        u = int(md5(f"{seed}|draw|{i}")[:13], 16) / 2 ** 52
+        want.append((i, ranked[math.floor(u * n_min)]))
+    assert got == want
