@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,14 +38,23 @@ class WorkflowResult:
 
 
 def with_row_key(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Attach a unique row id and cut lineage so the id never changes.
-
-    ``monotonically_increasing_id`` depends on partitioning, so the keyed
-    rows are checkpointed (reliably, into ``spark.checkpoint.dir``) before
-    any split or sample hashes the id.
+    """Attach a unique row id that never changes on recomputation.
+
+    Rows read straight from parquet files get ``file path # row index``
+    from the scan's hidden ``_metadata`` column: a file position, so it does
+    not depend on how files are split into tasks, and nothing is written.
+    Other inputs (CSV, unions, aggregates) get ``monotonically_increasing_id``
+    - which depends on partitioning - and are checkpointed (reliably, into
+    ``spark.checkpoint.dir``) before any split or sample hashes the id.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(key, F.monotonically_increasing_id()).checkpoint(eager=True)
+    try:
+        keyed = df.withColumn(key, F.concat_ws("#", F.col("_metadata.file_path"),
+                                               F.col("_metadata.row_index").cast("string")))
+        keyed.schema  # resolve now: raises if the source has no row index
+        return keyed
+    except AnalysisException:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.withColumn(key, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
 def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,

@@ -95,3 +95,22 @@ def test_csv_job_with_supplied_test_file(spark, sf, tmp_path):
     codes = {r["Quality Flag"] for r in res.splits.where(F.col("split") == "test").collect()}
     assert codes == {0, 1}
     assert res.gate.first()["metric"] == "aucpr"
+
+
+def test_row_key_from_parquet_position_or_checkpoint(spark, sf, tmp_path):
+    from tabprep.plans.workflow import with_row_key
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    k = with_row_key(o.where("o_orderstatus <> 'P'"))
+    plan = k._jdf.queryExecution().analyzed().toString()
+    assert "LogicalRDD" not in plan          # no checkpoint: keyed from the scan
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        again = with_row_key(o.where("o_orderstatus <> 'P'"))
+        assert again.rdd.getNumPartitions() > 1
+        assert k.exceptAll(again).count() == 0 and k.select("_row_key").distinct().count() == k.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    csv_dir = str(tmp_path / "c")
+    o.limit(50).write.option("header", True).csv(csv_dir)
+    c = with_row_key(spark.read.option("header", True).csv(csv_dir))
+    assert c.select("_row_key").distinct().count() == 50
