@@ -881,3 +881,26 @@ SQL_SPLIT_STRATIFIED_SEGMENTS = stratified_split_sql("customer", "c_custkey", "c
 
 EXTRA["oversample_even_half"] = (q_oversample_even_half, SQL_OVERSAMPLE_EVEN_HALF)
 EXTRA["split_stratified_segments"] = (q_split_stratified_segments, SQL_SPLIT_STRATIFIED_SEGMENTS)
+
+
+def q_synth_copula_class_counts(spark, d):
+    """Class sizes of copula-generated orders: the class of row i is drawn
+    from the real class shares with the md5 uniform of (seed, 'class', i)."""
+    from tabprep.operators.synthesizer import CopulaSynthesizer
+    o = t(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderpriority")
+    fitted = CopulaSynthesizer("o_orderstatus", SEED).fit(o)
+    gen = fitted.generate(spark, sum(fitted.counts.values()))
+    return gen.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+SQL_SYNTH_COPULA_CLASS_COUNTS = f"""
+WITH cc AS (SELECT o_orderstatus AS y, count(*) AS n FROM orders GROUP BY o_orderstatus),
+cum AS (SELECT y, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM cc),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM cc),
+ids AS (SELECT unnest(range(total)) AS synth_id FROM tot),
+cls AS (SELECT CAST(floor({_u_sql('class', 'synth_id')} * total) AS BIGINT) AS r FROM ids, tot)
+SELECT cum.y AS o_orderstatus, CAST(count(*) AS BIGINT) AS n_rows
+FROM cls JOIN cum ON cls.r >= cum.lo AND cls.r < cum.hi GROUP BY cum.y
+"""
+
+EXTRA["synth_copula_class_counts"] = (q_synth_copula_class_counts, SQL_SYNTH_COPULA_CLASS_COUNTS)
