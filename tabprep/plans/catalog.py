@@ -904,3 +904,30 @@ FROM cls JOIN cum ON cls.r >= cum.lo AND cls.r < cum.hi GROUP BY cum.y
 """
 
 EXTRA["synth_copula_class_counts"] = (q_synth_copula_class_counts, SQL_SYNTH_COPULA_CLASS_COUNTS)
+
+
+def q_augment_origin_counts(spark, d):
+    """Rows per (origin, class) after the balance strategy: the train split,
+    the over-sampled copies, and the synthetic rows' class draw."""
+    return q_augment_training(spark, d).groupBy("origin", "quality") \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+SQL_AUGMENT_ORIGIN_COUNTS = f"""
+WITH sp AS ({stratified_split_sql(DOCS_LABELLED, "doc_id", "quality", "doc_id, quality")}),
+c AS (SELECT quality AS y, count(*) AS n FROM sp WHERE split = 'train' GROUP BY quality),
+mj AS (SELECT y, n FROM c ORDER BY n DESC, y LIMIT 1),
+k AS (SELECT c.y AS ym, CAST(trunc((SELECT n FROM mj) * 1.0::DOUBLE - c.n) AS BIGINT) AS k
+      FROM c WHERE c.y <> (SELECT y FROM mj)),
+c2 AS (SELECT c.y, c.n + coalesce((SELECT k FROM k WHERE k.ym = c.y), 0) AS n FROM c),
+cum AS (SELECT y, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM c2),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM c2),
+ids AS (SELECT unnest(range(CAST(floor(total * 1.0::DOUBLE) AS BIGINT))) AS synth_id FROM tot),
+cls AS (SELECT CAST(floor({_u_sql('class', 'synth_id')} * total) AS BIGINT) AS r FROM ids, tot),
+syn AS (SELECT cum.y, count(*) AS n FROM cls JOIN cum ON cls.r >= cum.lo AND cls.r < cum.hi GROUP BY cum.y)
+SELECT 'real' AS origin, y AS quality, CAST(n AS BIGINT) AS n_rows FROM c
+UNION ALL SELECT 'oversampled', ym, k FROM k WHERE k > 0
+UNION ALL SELECT 'synthetic', y, CAST(n AS BIGINT) FROM syn
+"""
+
+EXTRA["augment_origin_counts"] = (q_augment_origin_counts, SQL_AUGMENT_ORIGIN_COUNTS)
