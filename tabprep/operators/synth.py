@@ -1,11 +1,13 @@
-"""Real + synthetic rows: union, row budget, strategy dispatch (synthesizers
-live in ``tabprep.operators.synthesizer``)."""
+"""Real + synthetic rows: union, row budget, and the class draw shared by
+the synthesizers (``synthesizer``, ``copula``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.functions.hashing import hash_uniform
+
 
 def union_real_synthetic(real: DataFrame, synthetic: DataFrame) -> DataFrame:
     """Union all, aligned by name; a column missing on one side is null there."""
@@ -15,3 +17,22 @@ def union_real_synthetic(real: DataFrame, synthetic: DataFrame) -> DataFrame:
 def row_budget(count: Column, factor: float) -> Column:
     """Rows to generate: ``floor(count * factor)``."""
     return F.floor(count.cast("double") * F.lit(float(factor))).cast("long")
+
+
+SYNTH_ID = "synth_id"
+
+
+def _class_index(cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
+    """0-based index (in sorted label order) of a generated row's class: the
+    class whose cumulative-count interval holds ``floor(u * total)``."""
+    r = F.floor(hash_uniform(seed, F.lit(salt), ids) * F.lit(total))
+    expr = F.lit(len(cum_hi) - 1)
+    for i in range(len(cum_hi) - 2, -1, -1):
+        expr = F.when(r < F.lit(int(cum_hi[i])), F.lit(i)).otherwise(expr)
+    return expr
+
+
+def _class_expr(labels: list, cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
+    idx = _class_index(cum_hi, total, seed, salt, ids)
+    return F.element_at(F.array(*[F.lit(v) for v in labels]), idx + 1)
+
