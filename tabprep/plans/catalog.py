@@ -931,3 +931,38 @@ UNION ALL SELECT 'synthetic', y, CAST(n AS BIGINT) FROM syn
 """
 
 EXTRA["augment_origin_counts"] = (q_augment_origin_counts, SQL_AUGMENT_ORIGIN_COUNTS)
+
+
+# ------------------------------------------------------------------ registry
+
+# query name -> (Spark builder, SQL twin or None for a rows-only check)
+REGISTRY = {
+    "normalize_na_tokens": (q_normalize_na_tokens, SQL_NORMALIZE_NA_TOKENS),
+    "drop_and_type_columns": (q_drop_and_type_columns, SQL_DROP_AND_TYPE_COLUMNS),
+    "union_real_synthetic": (q_union_real_synthetic, SQL_UNION_REAL_SYNTHETIC),
+    "impute_median": (q_impute_median, SQL_IMPUTE_MEDIAN),
+    "standardize": (q_standardize, SQL_STANDARDIZE),
+    "impute_constant_onehot": (q_impute_constant_onehot, SQL_IMPUTE_CONSTANT_ONEHOT),
+    "onehot_unseen": (q_onehot_unseen, SQL_ONEHOT_UNSEEN),
+    "encode_label": (q_encode_label, SQL_ENCODE_LABEL),
+    "preprocess_full": (q_preprocess_full, SQL_PREPROCESS_FULL),
+    "shuffle_rows": (q_shuffle_rows, SQL_SHUFFLE_ROWS),
+    "sample_rows": (q_sample_rows, SQL_SAMPLE_ROWS),
+    "split_random": (q_split_random, SQL_SPLIT_RANDOM),
+    "split_stratified": (q_split_stratified, SQL_SPLIT_STRATIFIED),
+    "split_stratified_labels": (q_split_stratified_labels, SQL_SPLIT_STRATIFIED_LABELS),
+    "split_with_test_file": (q_split_with_test_file, SQL_SPLIT_WITH_TEST_FILE),
+    "class_counts": (q_class_counts, SQL_CLASS_COUNTS),
+    "oversample_random": (q_oversample_random, SQL_OVERSAMPLE_RANDOM),
+    "oversample_even": (q_oversample_even, SQL_OVERSAMPLE_EVEN),
+    "row_budget": (q_row_budget, SQL_ROW_BUDGET),
+    "pr_curve": (q_pr_curve, SQL_PR_CURVE),
+    "best_f1": (q_best_f1, SQL_BEST_F1),
+    "roc_auc": (q_roc_auc, SQL_ROC_AUC),
+    "average_precision": (q_average_precision, SQL_AVERAGE_PRECISION),
+    "classification_report": (q_classification_report, SQL_CLASSIFICATION_REPORT),
+    "regression_report": (q_regression_report, SQL_REGRESSION_REPORT),
+    "best_trial": (q_best_trial, SQL_BEST_TRIAL),
+    "metric_gate": (q_metric_gate, SQL_METRIC_GATE),
+}
+REGISTRY.update(EXTRA)
