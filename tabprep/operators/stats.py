@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
@@ -54,7 +55,9 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
 
     Last scan: one ``groupBy(column, value)`` gives both the (value, count)
     pairs inside each median window and the distinct levels of every
-    categorical column; a hot value collapses map-side.
+    categorical column; a hot value collapses map-side.  The middle ranks are
+    found by a running count per column in Spark, so only two values per
+    column (and the category levels) reach the driver.
     """
     xs = {c: clean_double(c) for c in numeric}
     state, medians, first = {}, {}, {}
@@ -128,22 +131,22 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
         keep = F.col("i") >= len(num_cols)
         if num_cols:
             keep = keep | _window_expr(num_cols, state, "v")
-        pairs = long.where(keep).groupBy("i", "v", "s").agg(F.count(F.lit(1)).alias("c"))
-        # windows hold <= collect_limit rows (or, for low-cardinality columns,
-        # about collect_limit / 2 distinct values; allow for the sketch error)
-        cap = 2 * collect_limit * len(num_cols) + max_levels * len(cat_names)
-        rows = pairs.limit(cap + 1).collect()
-        if len(rows) > cap:
-            raise ValueError(f"more than {max_levels} levels in a categorical column; "
-                             "raise max_levels or drop high-cardinality columns")
-        by_col: dict = {}
-        for r in rows:
-            if r["i"] < len(num_cols):
-                by_col.setdefault(r["i"], []).append((r["v"], r["c"]))
-            else:
-                levels[cat_names[r["i"] - len(num_cols)]].append(r["s"])
-        for i, c in enumerate(num_cols):
-            medians[c] = _middle(sorted(by_col.get(i, [])), state[c])
+        pairs = long.where(keep).groupBy("i", "v", "s").agg(F.count(F.lit(1)).alias("c")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            nn = len(num_cols)
+            if cat_names:
+                cap = max_levels * len(cat_names)
+                rows = pairs.where(F.col("i") >= nn).select("i", "s").limit(cap + 1).collect()
+                if len(rows) > cap:
+                    raise ValueError(f"more than {max_levels} levels in a categorical column; "
+                                     "raise max_levels or drop high-cardinality columns")
+                for r in rows:
+                    levels[cat_names[r["i"] - nn]].append(r["s"])
+            if num_cols:
+                medians.update(_window_middles(pairs.where(F.col("i") < nn), num_cols, state))
+        finally:
+            pairs.unpersist()
         for c in cat_names:
             if len(levels[c]) > max_levels:
                 raise ValueError(f"column {c!r} has {len(levels[c])} levels > max_levels={max_levels}")
@@ -181,6 +184,79 @@ def _window_expr(cols: list, state: dict, value: str = "x"):
     return x.isNotNull() & (lo.isNull() | ((x >= lo) & (x <= hi)))
 
 
+def _window_middles(pairs: DataFrame, cols: list, state: dict) -> dict:
+    """Median of each column from its window's (value, count) pairs.
+
+    A running count per column (a window partitioned by column over at most
+    ``collect_limit`` pairs each) finds the values at the two middle ranks in
+    Spark; only those (two rows per column) reach the driver."""
+    below = F.element_at(F.array(*[F.lit(int(state[c]["below"])) for c in cols]), F.col("i") + 1)
+    k1 = F.element_at(F.array(*[F.lit(int(state[c]["k1"])) for c in cols]), F.col("i") + 1)
+    k2 = F.element_at(F.array(*[F.lit(int(state[c]["k2"])) for c in cols]), F.col("i") + 1)
+    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = pairs.select("i", "v", "c", (below + F.sum("c").over(w)).alias("cum"))
+    hit1 = (F.col("cum") - F.col("c") < k1) & (k1 <= F.col("cum"))
+    hit2 = (F.col("cum") - F.col("c") < k2) & (k2 <= F.col("cum"))
+    rows = cum.where(hit1 | hit2).select("i", "v", hit1.alias("h1"), hit2.alias("h2")).collect()
+    v1, v2 = {}, {}
+    for r in rows:
+        if r["h1"]:
+            v1[r["i"]] = r["v"]
+        if r["h2"]:
+            v2[r["i"]] = r["v"]
+    out = {}
+    for i, c in enumerate(cols):
+        a, b = v1.get(i), v2.get(i)
+        out[c] = a if a == b else (a + b) / 2.0
+    return out
+
+
+def _long(df: DataFrame, exprs: list) -> DataFrame:
+    """(i, x) rows: the i-th expression's value for every input row."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), e.alias("x")) for i, e in enumerate(exprs)])).alias("e")) \
+        .select("e.i", "e.x")
+
+
+def _window_expr(cols: list, state: dict, value: str = "x"):
+    """Per-row test 'value inside its column's current window' on the long
+    form (column index ``i``; indices past ``cols`` get a null bound)."""
+    x = F.col(value)
+    if all(state[c]["lo"] is None for c in cols):
+        return x.isNotNull()
+    idx = F.col("i") + 1
+    lo = F.try_element_at(F.array(*[F.lit(state[c]["lo"]).cast("double") for c in cols]), idx)
+    hi = F.try_element_at(F.array(*[F.lit(state[c]["hi"]).cast("double") for c in cols]), idx)
+    return x.isNotNull() & (lo.isNull() | ((x >= lo) & (x <= hi)))
+
+
+def _window_middles(pairs: DataFrame, cols: list, state: dict) -> dict:
+    """Median of each column from its window's (value, count) pairs.
+
+    A running count per column (a window partitioned by column over at most
+    ``collect_limit`` pairs each) finds the values at the two middle ranks in
+    Spark; only those (two rows per column) reach the driver."""
+    below = F.element_at(F.array(*[F.lit(int(state[c]["below"])) for c in cols]), F.col("i") + 1)
+    k1 = F.element_at(F.array(*[F.lit(int(state[c]["k1"])) for c in cols]), F.col("i") + 1)
+    k2 = F.element_at(F.array(*[F.lit(int(state[c]["k2"])) for c in cols]), F.col("i") + 1)
+    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = pairs.select("i", "v", "c", (below + F.sum("c").over(w)).alias("cum"))
+    hit1 = (F.col("cum") - F.col("c") < k1) & (k1 <= F.col("cum"))
+    hit2 = (F.col("cum") - F.col("c") < k2) & (k2 <= F.col("cum"))
+    rows = cum.where(hit1 | hit2).select("i", "v", hit1.alias("h1"), hit2.alias("h2")).collect()
+    v1, v2 = {}, {}
+    for r in rows:
+        if r["h1"]:
+            v1[r["i"]] = r["v"]
+        if r["h2"]:
+            v2[r["i"]] = r["v"]
+    out = {}
+    for i, c in enumerate(cols):
+        a, b = v1.get(i), v2.get(i)
+        out[c] = a if a == b else (a + b) / 2.0
+    return out
+
+
 def _middle(vals: list, s: dict):
     pos = s["below"]
     v1 = v2 = None
