@@ -130,24 +130,34 @@ def make_synthesizer(mode: str, label: str, key_cols: list, seed: int = 42, **op
 
 def augment_training(spark, train: DataFrame, label: str, key: str, strategy: str | None,
                      generate_factor: float = 1.0, target_balance: float = 1.0, seed: int = 42,
-                     synthesizer: str = "independent", **opts) -> DataFrame:
+                     synthesizer: str = "independent", conditional: bool = True,
+                     **opts) -> DataFrame:
     """Training rows after the generation strategy, tagged by ``origin``.
 
     ``None``: real rows only.  ``balance``: over-sample the minority class,
     then add synthetic rows.  ``augment``: add synthetic rows.  ``replace``:
     synthetic rows only.  The row budget is ``floor(rows * factor)`` of the
-    (possibly over-sampled) source.
+    (possibly over-sampled) source.  With ``conditional`` (classification)
+    the synthesizer fits each class separately; otherwise (regression, a
+    continuous label) the label is synthesized like any other column.
     """
-    from tabprep.operators.sampling import DRAW, oversample
+    from tabprep.operators.sampling import DRAW, oversample, oversample_plan
     real = train.withColumn("origin", F.lit("real"))
     if strategy is None:
         return real
     if strategy not in ("balance", "augment", "replace"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    from tabprep.operators.sampling import oversample_plan
+    if strategy == "balance" and not conditional:
+        raise ValueError("the balance strategy needs a class label")
     source = train
     key_cols = [key]
-    counts = stats.class_counts(train, label)
+    if conditional:
+        group = label
+        counts = stats.class_counts(train, label)
+    else:
+        group = "_all_rows"                     # one pseudo-class for everything
+        source = source.withColumn(group, F.lit(0))
+        counts = {0: train.count()}
     if strategy == "balance":
         source = oversample(train, label, key, target_balance, seed, counts=counts)
         key_cols = [key, DRAW]
@@ -155,13 +165,15 @@ def augment_training(spark, train: DataFrame, label: str, key: str, strategy: st
         counts = {**counts, minor: counts[minor] + k}
     # row budget: floor(rows * factor) of the (possibly over-sampled) source
     n_gen = math.floor(sum(counts.values()) * float(generate_factor))
-    cols = [c for c in train.columns if c not in (label, key)]
+    cols = [c for c in train.columns if c not in (group, key) and (c != label or not conditional)]
     if synthesizer == "independent":
-        syn = IndependentSynthesizer(label, key_cols, seed, columns=cols, **opts).fit(source, counts)
+        syn = IndependentSynthesizer(group, key_cols, seed, columns=cols, **opts).fit(source, counts)
     else:
-        syn = CopulaSynthesizer(label, seed, columns=cols, **opts).fit(source.drop(*key_cols[1:]),
-                                                                        counts)
+        syn = CopulaSynthesizer(group, seed, columns=cols, **opts).fit(source, counts)
     generated = syn.generate(spark, n_gen).withColumn("origin", F.lit("synthetic"))
+    if not conditional:
+        generated = generated.drop(group)
+        source = source.drop(group)
     if strategy == "replace":
         return generated
     src = source.withColumn("origin", F.lit("real"))

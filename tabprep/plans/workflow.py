@@ -99,7 +99,8 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
 
     real_train = splits.where(F.col("split") == "train").drop("split")
     train = augment_training(spark, real_train, label, key, spec.strategy, spec.generate_factor,
-                             spec.target_balance, spec.seed, synthesizer)
+                             spec.target_balance, spec.seed, synthesizer,
+                             conditional=task == "classification")
     if out_dir:
         real_train.write.mode("overwrite").parquet(f"{out_dir}/train_source")
         if spec.strategy is not None:

@@ -120,3 +120,19 @@ def test_quality_with_empty_synthetic_side(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select("o_totalprice", "o_orderstatus")
     rows = quality_by_column(o, o.limit(0), ["o_totalprice", "o_orderstatus"]).collect()
     assert len(rows) == 2 and all(r["js_distance"] is None for r in rows)
+
+
+@pytest.mark.parametrize("mode", ["independent", "copula"])
+def test_regression_augment_synthesizes_the_label(spark, sf, mode):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        (F.monotonically_increasing_id()).alias("k"), (F.col("l_extendedprice") / 1000).alias("price"),
+        "l_quantity", "l_returnflag").limit(3000)
+    li = li.checkpoint()
+    out = augment_training(spark, li, "price", "k", "augment", synthesizer=mode, conditional=False)
+    counts = {r["origin"]: r["count"] for r in out.groupBy("origin").count().collect()}
+    assert counts == {"real": 3000, "synthetic": 3000}
+    syn = out.where(F.col("origin") == "synthetic")
+    assert syn.where(F.col("price").isNull()).count() == 0
+    assert syn.select("price").distinct().count() > 100       # a continuous label, not classes
+    with pytest.raises(ValueError):
+        augment_training(spark, li, "price", "k", "balance", conditional=False)

@@ -12,7 +12,7 @@ def test_regression_workflow_and_stream_scoring(spark, sf, tmp_path):
         "l_linestatus")
     spec = TabularSpec(target_column="price", ml_task="regression", objective="reg:linear",
                        objective_type="Minimize", ml_eval_metric="rmse", ml_metric_threshold=60.0,
-                       drop_columns="l_linestatus")
+                       drop_columns="l_linestatus", strategy="augment")
     res = run_workflow(spark, li, spec, space=SearchSpace(max_depth=(2, 3), num_round=(3, 5)),
                        n_trials=2, parallelism=2, out_dir=str(tmp_path / "out"))
     counts = {r["split"]: r["count"] for r in res.splits.groupBy("split").count().collect()}
