@@ -17,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.functions.names import qcol
+
 MAX_DIGITS = 32
 # Bucket-offset tables up to this many rows are broadcast; the size is known
 # exactly because we choose the bucket count.
@@ -44,7 +46,7 @@ def prefix_counts(df: DataFrame, hash_col: str, group_col: str | None = None,
     Its group totals are the class counts, so callers that need both get them
     from one scan (persist the result; it has at most groups x 16**digits rows).
     """
-    g = F.col(group_col) if group_col else F.lit(0)
+    g = qcol(group_col) if group_col else F.lit(0)
     return (df.select(g.alias("_g"), F.col(hash_col).alias("_h"))
             .groupBy("_g", F.lit("").alias("_p"), F.substring("_h", 1, digits).alias("_b"))
             .agg(F.count(F.lit(1)).alias("_n")))
@@ -65,7 +67,7 @@ def hash_cutoffs(df: DataFrame, hash_col: str, wanted: dict, group_col: str | No
     locate the prefix holding the k-th row; only rows of those few prefixes
     are ever sorted.  No full shuffle or sort of ``df`` happens.
     """
-    g = F.col(group_col) if group_col else F.lit(0)
+    g = qcol(group_col) if group_col else F.lit(0)
     base = df.select(g.alias("_g"), F.col(hash_col).alias("_h"))
     spark = df.sparkSession
 
@@ -157,12 +159,15 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
     table (n / 100k rows) is joined on the window's own partition keys, so
     the join and the window share one shuffle.
     """
-    group_cols = list(group_cols)
+    user_groups = list(group_cols)
+    # internal aliases: group names may hold dots or spaces
+    group_cols = [f"_rk_g{i}" for i in range(len(user_groups))]
     if n is None:
         n = df.count()
     digits = digits_for(n, rows_per_bucket)
     b = F.substring(F.col(hash_col), 1, digits)
-    keyed = df.withColumn("_bkt", b)
+    keyed = df.select("*", *[qcol(g).alias(a) for g, a in zip(user_groups, group_cols)],
+                      b.alias("_bkt"))
     counts = keyed.groupBy(*group_cols, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
     wpart = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
     offsets = counts.withColumn(
@@ -175,7 +180,7 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(*hash_order(F.col(hash_col)))
     return (keyed.join(offsets, [*group_cols, "_bkt"])
             .withColumn(rank_col, F.col("_off") + F.row_number().over(w))
-            .drop("_bkt", "_off"))
+            .drop("_bkt", "_off", *group_cols))
 
 
 def running_totals_desc(per_score: DataFrame, score_col: str, sum_cols: dict,

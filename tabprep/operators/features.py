@@ -168,10 +168,14 @@ class FittedPreprocessor:
         narrow = FittedPreprocessor(self.numeric, [(c, lv) for c, lv in self.categorical
                                                    if len(lv) <= sparse_levels],
                                     self.bool_numeric, self.dropped, self.input_columns)
-        out = staged.select(*[qcol(k) for k in keep], *narrow.feature_exprs(),
+        # assembler inputs get positional names: feature names may hold dots
+        safe = {name: f"_f{j}" for j, name in enumerate(narrow.feature_names())}
+        out = staged.select(*[qcol(k) for k in keep],
+                            *[e.alias(safe[n]) for e, n in zip(narrow.feature_exprs(),
+                                                               narrow.feature_names())],
                             *[F.coalesce(qcol(c), F.lit(MISSING)).alias(f"_sp_{i}")
                               for i, (c, _) in enumerate(wide)])
-        parts = list(narrow.feature_names())
+        parts = list(safe.values())
         for i, (c, lv) in enumerate(wide):
             out = StringIndexerModel.from_labels(lv, inputCol=f"_sp_{i}", outputCol=f"_ix_{i}",
                                                  handleInvalid="keep").transform(out)
@@ -180,21 +184,21 @@ class FittedPreprocessor:
             out = OneHotEncoder(inputCols=[f"_ix_{i}"], outputCols=[f"_oh_{i}"],
                                 dropLast=True).fit(out).transform(out)
             parts.append(f"_oh_{i}")
-        order = self._vector_order(parts, wide)
+        order = self._vector_order(parts, wide, safe)
         out = VectorAssembler(inputCols=order, outputCol=output_col,
                               handleInvalid="keep").transform(out)
         return out.select(*[qcol(k) for k in keep], output_col)
 
-    def _vector_order(self, parts: list, wide: list) -> list:
+    def _vector_order(self, parts: list, wide: list, safe: dict) -> list:
         """Assembler inputs in feature_names() order (numeric, then each
         categorical column's levels, sparse blocks in their column's place)."""
         wide_idx = {c: i for i, (c, _) in enumerate(wide)}
-        order = [f"num__{c}" for c, *_ in self.numeric]
+        order = [safe[f"num__{c}"] for c, *_ in self.numeric]
         for c, levels in self.categorical:
             if c in wide_idx:
                 order.append(f"_oh_{wide_idx[c]}")
             else:
-                order += [f"cat__{c}_{v}" for v in levels]
+                order += [safe[f"cat__{c}_{v}"] for v in levels]
         assert set(order) == set(parts)
         return order
 

@@ -219,4 +219,4 @@ def oversample(df: DataFrame, label: str, key: str, ratio: float = 1.0, seed: in
         added = draws.join(ranked, "_os_rank").drop("_os_rank")
     else:
         raise ValueError(f"unknown over-sampling mode {mode!r}")
-    return base.unionByName(added.select(*base.columns))
+    return base.unionByName(added.select(*[qcol(c) for c in base.columns]))

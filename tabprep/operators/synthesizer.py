@@ -68,7 +68,7 @@ class IndependentSynthesizer:
         hashed = coded.withColumn(h, hash_key(self.seed, *[qcol(k) for k in self.key_cols]))
         ranked = hash_rank(hashed, h, group_cols=[self.label], rank_col="_syn_rank",
                            n=sum(counts.values()))
-        ranked = ranked.select(qcol(self.label), "_syn_rank", *[qcol(c) for c in cols])
+        ranked = ranked.select(qcol(self.label).alias("_syn_y"), "_syn_rank", *[qcol(c) for c in cols])
         return FittedIndependent(self.label, cols, counts, ranked, self.seed,
                                  {c: df.schema[c].dataType for c in cols},
                                  df.schema[self.label].dataType, dicts)
@@ -106,7 +106,8 @@ class FittedIndependent:
             for j, c in enumerate(self.columns)])).alias("d"))
         draws = draws.select(SYNTH_ID, qcol(self.label), F.col("d.j").alias("_j"),
                              F.col("d._syn_rank").alias("_syn_rank"))
-        picked = draws.join(self.ranked, [self.label, "_syn_rank"])
+        picked = draws.withColumnRenamed(self.label, "_syn_y").join(self.ranked, ["_syn_y", "_syn_rank"]) \
+            .withColumnRenamed("_syn_y", self.label)
         out = picked.groupBy(SYNTH_ID, qcol(self.label)).agg(*[
             F.max(F.when(F.col("_j") == j, qcol(c))).alias(c) for j, c in enumerate(self.columns)])
 

@@ -192,7 +192,7 @@ def generator_search(spark, train: DataFrame, valid: DataFrame, fitted, label: s
             gen = IndependentSynthesizer(label, [key], seed + i, columns=cols).fit(train).generate(spark, n)
         else:
             gen = CopulaSynthesizer(label, seed + i, columns=cols, grid_size=cfg["grid_size"],
-                                    correlated=cfg["correlated"]).fit(train.select(label, *cols)) \
+                                    correlated=cfg["correlated"]).fit(train.select(*[qcol(c) for c in [label, *cols]])) \
                 .generate(spark, n)
         v = utility_score(gen, valid, fitted, label, task, metric, maximize, inner_space,
                           inner_trials, 1, seed)

@@ -95,7 +95,7 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
 
     splits = sampling.split_with_files(coded, key, test_df, val_df, spec.seed, stratify)
     fit_rows = splits if fit_on == "all" else splits.where(F.col("split") == "train")
-    fitted = features.TabularPreprocessor(feats).fit(fit_rows.select(*feats))
+    fitted = features.TabularPreprocessor(feats).fit(fit_rows.select(*[qcol(c) for c in feats]))
 
     real_train = splits.where(F.col("split") == "train").drop("split")
     train = augment_training(spark, real_train, label, key, spec.strategy, spec.generate_factor,

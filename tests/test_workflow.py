@@ -114,3 +114,17 @@ def test_row_key_from_parquet_position_or_checkpoint(spark, sf, tmp_path):
     o.limit(50).write.option("header", True).csv(csv_dir)
     c = with_row_key(spark.read.option("header", True).csv(csv_dir))
     assert c.select("_row_key").distinct().count() == 50
+
+
+def test_workflow_with_punctuated_names(spark, sf):
+    from tabprep.plans.catalog import docs_labelled
+    df = docs_labelled(spark, sf).select(
+        F.col("doc_id").alias("row id"), F.col("quality").alias("Loan Status"),
+        F.col("lang").alias("a.b"), F.col("n_chars").alias("Bankrupt?"), "source")
+    spec = TabularSpec(target_column="Loan Status", key_column="row id", strategy="balance",
+                       ml_eval_metric="f1")
+    for synth in ("independent", "copula"):
+        res = run_workflow(spark, df, spec, space=SearchSpace(max_depth=(2, 2), num_round=(2, 2)),
+                           n_trials=1, parallelism=1, synthesizer=synth)
+        assert res.gate.first()["metric"] == "f1"
+        assert "num__Bankrupt?" in res.preprocessor.feature_names()
