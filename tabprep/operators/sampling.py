@@ -53,7 +53,8 @@ def approximate_mode(counts: dict, n_draws: int) -> dict:
     cont = {y: counts[y] * n_draws / total for y in labels}
     floored = {y: math.floor(cont[y]) for y in labels}
     need = n_draws - sum(floored.values())
-    order = sorted(labels, key=lambda y: (-(cont[y] - floored[y]), labels.index(y)))
+    rank = {y: i for i, y in enumerate(labels)}
+    order = sorted(labels, key=lambda y: (-(cont[y] - floored[y]), rank[y]))
     for y in order[:need]:
         floored[y] += 1
     return floored
