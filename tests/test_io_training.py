@@ -73,3 +73,34 @@ def test_generator_search(spark, sf):
                              inner_trials=1)
     rows = table.collect()
     assert len(rows) == 2 and all(r["value"] is not None for r in rows)
+
+
+def test_align_columns_by_position(spark):
+    df = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    assert features.align_columns(df, ["x", "y"]).columns == ["x", "y"]
+    import pytest
+    with pytest.raises(ValueError):
+        features.align_columns(df, ["x"])
+
+
+def test_search_space_hook_and_hard_label_tuning_and_model_roundtrip(spark, sf, tmp_path):
+    from tabprep.operators import training
+    space = SearchSpace(max_depth=(2, 3), num_round=(2, 3))
+    tied = space.sample(3, seed=1, adjust=lambda p: {**p, "min_child_weight": float(p["max_depth"])})
+    assert all(p["min_child_weight"] == p["max_depth"] for p in tied)          # J2 hook
+    split, fitted = _encoded(spark, sf)
+
+    def enc(part):
+        return fitted.transform(split.where(F.col("split") == part).withColumnRenamed("quality", "label"),
+                                keep=["label"], assemble=True)
+    tr, va = enc("train"), enc("validation")
+    hard = tune(tr, va, "classification", "f1", True, space, n_trials=1, parallelism=1, hard_labels=True)
+    assert hard.trials.first()["value"] is not None                               # I4 parity flag
+    model = training.fit_model(tr, "classification", hard.best_params)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = training.load_model(str(tmp_path / "m"), "classification")            # A7 / A15
+    a = training.score(model, va, "classification").select("score").collect()
+    b = training.score(again, va, "classification").select("score").collect()
+    assert a == b
+    training.params_table(spark, hard.best_params).write.json(str(tmp_path / "p"))
+    assert spark.read.json(str(tmp_path / "p")).first()["max_depth"] == hard.best_params["max_depth"]
