@@ -196,3 +196,31 @@ def test_random_oversample_matches_brute_force(spark, n_min, n_maj, seed):
         u = int(md5(f"{seed}|draw|{i}")[:13], 16) / 2 ** 52
         want.append((i, ranked[math.floor(u * n_min)]))
     assert got == want
+
+
+def test_hot_value_skew(spark):
+    """A third of the rows share one class, one score and one numeric value."""
+    from tabprep.operators.stats import exact_medians
+    n = 3000
+    rows = []
+    for i in range(n):
+        hot = i % 3 == 0
+        y = 1 if hot else (i % 7 == 0) * 1
+        s = 0.5 if hot else ((i * 37) % 101) / 101
+        x = 42.0 if hot else float((i * 13) % 997)
+        rows.append((i, y, s, x))
+    df = spark.createDataFrame(rows, "key long, y int, s double, x double")
+    ys, ss = [r[1] for r in rows], [r[2] for r in rows]
+    r = metrics.classification_report(df, "y", "s").first()
+    auc, ap, f1, t = _brute(ys, ss)
+    assert r["auc"] == pytest.approx(auc, abs=1e-12) and r["aucpr"] == pytest.approx(ap, abs=1e-12)
+    assert exact_medians(df, ["x"], accuracy=1000, collect_limit=50)["x"] == float(np.median([r[3] for r in rows]))
+    counts = {0: ys.count(0), 1: ys.count(1)}
+    q = sampling.split_quotas(counts)
+    got = {(g["y"], g["split"]): g["count"] for g in
+           sampling.split_exact(df, "key", stratify="y").groupBy("y", "split").count().collect()}
+    for y, (tq, vq) in q.items():
+        assert got[(y, "test")] == tq and got[(y, "validation")] == vq
+    over = sampling.oversample(df, "y", "key")
+    minor = min(counts, key=counts.get)
+    assert over.where("oversample_draw is not null").count() == max(counts.values()) - counts[minor]
