@@ -158,3 +158,15 @@ def _apply_codes(df: DataFrame, label: str, enc: features.LabelEncoding) -> Data
     if unseen:
         raise ValueError(f"label values in a supplied file were not seen in training: {label!r}")
     return coded
+
+
+def run_spec(spark: SparkSession, spec: TabularSpec, **kw) -> WorkflowResult:
+    """Run a job from its spec alone: read the train CSV (and the optional
+    validation / test CSVs) named in the spec, then ``run_workflow``."""
+    from tabprep.sources.csv import read_csv
+    if not spec.train_path:
+        raise ValueError("the spec names no train_path")
+    df = read_csv(spark, spec.train_path)
+    test_df = read_csv(spark, spec.test_path) if spec.test_path else None
+    val_df = read_csv(spark, spec.validation_path) if spec.validation_path else None
+    return run_workflow(spark, df, spec, test_df=test_df, val_df=val_df, **kw)

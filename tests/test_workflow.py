@@ -128,3 +128,22 @@ def test_workflow_with_punctuated_names(spark, sf):
                            n_trials=1, parallelism=1, synthesizer=synth)
         assert res.gate.first()["metric"] == "f1"
         assert "num__Bankrupt?" in res.preprocessor.feature_names()
+
+
+def test_run_spec_from_paths(spark, sf, tmp_path):
+    from tabprep.plans.catalog import docs_labelled
+    from tabprep.plans.workflow import run_spec
+    rows = docs_labelled(spark, sf).select("doc_id", "quality", "lang", "source", "n_chars")
+    rows.where(F.col("doc_id") % 5 != 0).write.option("header", True).csv(str(tmp_path / "train"))
+    rows.where(F.col("doc_id") % 5 == 0).write.option("header", True).csv(str(tmp_path / "valid"))
+    spec = TabularSpec.from_dict({
+        "dataset": {"train_path": str(tmp_path / "train"), "validation_path": str(tmp_path / "valid"),
+                    "test_path": None, "target_column": "quality", "drop_columns": "doc_id"},
+        "ML": {"ml_task": "classification", "objective_type": "Maximize", "ml_eval_metric": "aucpr"},
+        "gen": {"strategy": None}})
+    res = run_spec(spark, spec, space=SearchSpace(max_depth=(2, 2), num_round=(2, 2)), n_trials=1,
+                   parallelism=1)
+    counts = {r["split"]: r["count"] for r in res.splits.groupBy("split").count().collect()}
+    n_train_file = spark.read.option("header", True).csv(str(tmp_path / "train")).count()
+    assert counts["validation"] == spark.read.option("header", True).csv(str(tmp_path / "valid")).count()
+    assert counts["test"] == -(-n_train_file * 2 // 10)
