@@ -123,14 +123,17 @@ class TuningResult:
 def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
          space: SearchSpace | None = None, n_trials: int = 6, parallelism: int = 2,
          seed: int = 42, adjust=None, features_col: str = "features", label_col: str = "label",
-         hard_labels: bool = False) -> TuningResult:
-    """Seeded random search: fit each trial on ``train``, score ``valid``."""
+         hard_labels: bool = False, cache_inputs: bool = True) -> TuningResult:
+    """Seeded random search: fit each trial on ``train``, score ``valid``.
+
+    With ``cache_inputs`` the inputs are cached for the trials unless they
+    already are; pass False when the caller manages their caching."""
     spark = train.sparkSession
     space = space or SearchSpace()
     trials = space.sample(n_trials, seed, adjust)
     # cache the inputs for the trials unless the caller already did (then the
     # caller also owns the unpersist)
-    own = [d for d in (train, valid) if not _is_cached(d)]
+    own = [d for d in (train, valid) if cache_inputs and not _is_cached(d)]
     for d in own:
         d.persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -112,16 +112,18 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
 
     # encoded train / validation rows feed every trial and the refit: cache
     # them once (recomputable from lineage if an executor is lost)
-    tr = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
-    va = encode(splits.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
+    tr_cached = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
+    va_cached = encode(splits.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
     te = encode(splits.where(F.col("split") == "test"))
     try:
+        tr, va = _right_sized(tr_cached), _right_sized(va_cached)
         tuning = training.tune(tr, va, task, spec.ml_eval_metric, spec.maximize, space, n_trials,
-                               parallelism, spec.seed, hard_labels=tune_on_hard_labels)
+                               parallelism, spec.seed, hard_labels=tune_on_hard_labels,
+                               cache_inputs=False)
         model = training.fit_model(tr, task, tuning.best_params, seed=spec.seed)
     finally:
-        tr.unpersist()
-        va.unpersist()
+        tr_cached.unpersist()
+        va_cached.unpersist()
     scored = training.score(model, te, task)
     if task == "classification":
         flat = metrics.classification_report(scored, "label", "score")
@@ -150,6 +152,22 @@ def write_synthetic_report(real: DataFrame, synthetic: DataFrame, columns: list,
         .parquet(f"{path}/sample")
 
 
+def _right_sized(cached: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
+    """Materialise a cached training set and merge its partitions (no
+    shuffle) down to ~``rows_per_partition`` rows each, never below the
+    cluster's parallelism: every boosting iteration visits every partition,
+    and unions of shuffled inputs can arrive in hundreds of tiny ones."""
+    n = cached.count()
+    try:
+        par = cached.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        return cached
+    target = max(par, -(-n // rows_per_partition))
+    if cached.rdd.getNumPartitions() > 2 * target:
+        return cached.coalesce(target)
+    return cached
+
+
 def _apply_codes(df: DataFrame, label: str, enc: features.LabelEncoding) -> DataFrame:
     """Encode a supplied file's label with the fitted codes; unseen labels fail."""
     coded = df.withColumn("_label_given", qcol(label).isNotNull()).withColumn(label, enc.code())
