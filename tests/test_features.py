@@ -143,3 +143,14 @@ def test_sparse_one_hot_equals_dense(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     n = len(fitted.feature_names())
     assert len(a.first()["v"]) == n
+
+
+def test_approximate_median_option(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_totalprice", "o_orderstatus")
+    exact = features.TabularPreprocessor(["o_totalprice", "o_orderstatus"]).fit(o)
+    approx = features.TabularPreprocessor(["o_totalprice", "o_orderstatus"], exact_median=False).fit(o)
+    (_, m_exact, mu_e, sd_e), = exact.numeric
+    (_, m_apx, mu_a, sd_a), = approx.numeric
+    assert abs(m_apx - m_exact) / m_exact < 1e-3          # within the sketch's rank error
+    assert mu_a == pytest.approx(mu_e, rel=1e-9) and sd_a == pytest.approx(sd_e, rel=1e-9)
+    assert approx.categorical == exact.categorical
