@@ -73,23 +73,29 @@ class CopulaSynthesizer:
             raise ValueError(f"copula fit over {len(cols)} columns exceeds max_columns="
                              f"{self.max_columns}; the correlation factor is columns x columns")
         numeric, categorical = split_types(df, cols)
-        if counts is None:
-            counts = stats.class_counts(df, self.label)
-        if None in counts:
-            raise ValueError("null labels cannot be synthesized")
-        labels = sorted(counts)
         y = qcol(self.label)
         probs = [i / (self.grid_size - 1) for i in range(self.grid_size)]
-        # marginals of numeric columns: grids and null rates, per class
+        # marginals of numeric columns: grids and null rates, per class (the
+        # class sizes come out of the same aggregate when not given)
         num_rows = {}
         if numeric:
-            aggs = []
+            aggs = [F.count(F.lit(1)).alias("_n")]
             for i, c in enumerate(numeric):
                 x = stats.clean_double(c)
                 aggs += [F.percentile_approx(x, probs, self.accuracy).alias(f"g{i}"),
                          F.avg(x.isNull().cast("double")).alias(f"z{i}")]
-            for r in df.groupBy(y.alias("y")).agg(*aggs).collect():
+            rows = df.groupBy(y.alias("y")).agg(*aggs).limit(stats.MAX_CLASSES + 1).collect()
+            if len(rows) > stats.MAX_CLASSES:
+                raise ValueError(f"label {self.label!r} has more than {stats.MAX_CLASSES} classes")
+            for r in rows:
                 num_rows[r["y"]] = r
+            if counts is None:
+                counts = {r["y"]: int(r["_n"]) for r in rows}
+        if counts is None:
+            counts = stats.class_counts(df, self.label)
+        if None in counts:
+            raise ValueError("null labels cannot be synthesized")
+        labels = sorted(counts)
         grids = {(yv, c): (num_rows[yv][f"g{i}"] or [0.0]) for yv in labels for i, c in enumerate(numeric)}
         nulls = {(yv, c): float(num_rows[yv][f"z{i}"] or 0.0) for yv in labels for i, c in enumerate(numeric)}
         # marginals of categorical columns: level frequencies (null is a level)

@@ -317,7 +317,10 @@ def distinct_levels(df: DataFrame, exprs: dict, max_levels: int = 10_000) -> dic
     return levels
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
+MAX_CLASSES = 10_000
+
+
+def class_counts(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> dict:
     """``{label_value: count}`` (null labels counted under None)."""
     rows = (df.groupBy(qcol(label).alias("y")).agg(F.count(F.lit(1)).alias("n"))
             .limit(max_classes + 1).collect())
