@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -39,18 +40,46 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _runs_in_one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; create a scratch one only if unset."""
+    """The folder all executors share for intermediate tables.
+
+    Read from ``spark.checkpoint.dir``.  Where that is unset, a scratch folder
+    is made only if driver and executors are one process (``local[N]``, as in
+    tests); on a cluster a machine-local folder would lose data with its
+    machine, so that raises.
+    """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
         return conf_dir
     current = sc.getCheckpointDir()
-    if current:
-        return current
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")
+        if current:
+            conf_dir = os.path.dirname(current.rstrip("/")) or current
+        elif _runs_in_one_process(spark):
+            conf_dir = tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if not current:
+        sc.setCheckpointDir(conf_dir)
+    return conf_dir
+
+
+def store(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Cuts the lineage: a lost executor rereads files instead of recomputing,
+    and several readers share one computation.  Rows are compressed and
+    columns prunable, unlike ``checkpoint()``.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tabprep-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
