@@ -8,9 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabprep.llm import decontaminate, mixing, sharding
+from pyspark.sql import functions as F
+
+from tabprep.llm import decontaminate, language, mixing, ngram_join, sharding
 from tabprep.llm.common import store, table
 
+#: Texts less like every language than this are rejected, as are letterless ones.
+MIN_COSINE = 0.03
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages stay."""
+    rows = language.identified(docs).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_COSINE))
+    return rows.select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of linked documents stays."""
+    return ngram_join.one_of_each(docs).select(*docs.columns)
+
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth of their words in benchmark windows go."""
@@ -28,6 +44,8 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", without_near_copies),
     ("benchmark decontamination", decontaminated),
     ("mixing sources", mixed),
     ("sharding", sharded),

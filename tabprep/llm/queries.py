@@ -1,9 +1,11 @@
 """Queries of this package: name -> (builder, SQL twin or None)."""
 
-from tabprep.llm import decontaminate, mixing, sharding
+from tabprep.llm import decontaminate, language, mixing, ngram_join, sharding
 
 REGISTRY = {
     "op2_hypergeometric_mix": (mixing.op2_hypergeometric_mix, mixing.SQL_OP2),
+    "op5_hyperdimensional_language": (language.op5_hyperdimensional_language, None),
     "op7_positional_index": (decontaminate.op7_positional_index, decontaminate.SQL_OP7),
     "op8_kd_tree_shards": (sharding.op8_kd_tree_shards, None),
+    "op10_count_vector_join": (ngram_join.op10_count_vector_join, ngram_join.SQL_OP10),
 }
