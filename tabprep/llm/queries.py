@@ -1,8 +1,9 @@
 """Queries of this package: name -> (builder, SQL twin or None)."""
 
-from tabprep.llm import decontaminate, language, mixing, ngram_join, sharding
+from tabprep.llm import decontaminate, language, mixing, ngram_join, sharding, toxicity
 
 REGISTRY = {
+    "op1_weak_supervision_toxicity": (toxicity.op1_weak_supervision_toxicity, None),
     "op2_hypergeometric_mix": (mixing.op2_hypergeometric_mix, mixing.SQL_OP2),
     "op5_hyperdimensional_language": (language.op5_hyperdimensional_language, None),
     "op7_positional_index": (decontaminate.op7_positional_index, decontaminate.SQL_OP7),
