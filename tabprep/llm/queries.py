@@ -1,12 +1,13 @@
 """Queries of this package: name -> (builder, SQL twin or None)."""
 
-from tabprep.llm import decontaminate, language, mixing, ngram_join, quality, sharding, toxicity
+from tabprep.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, sharding, toxicity
 
 REGISTRY = {
     "op1_weak_supervision_toxicity": (toxicity.op1_weak_supervision_toxicity, None),
     "op2_hypergeometric_mix": (mixing.op2_hypergeometric_mix, mixing.SQL_OP2),
     "op4_line_crf_quality": (quality.op4_line_crf_quality, None),
     "op5_hyperdimensional_language": (language.op5_hyperdimensional_language, None),
+    "op6_spherical_kmeans_dedup": (embedding_dedup.op6_spherical_kmeans_dedup, embedding_dedup.SQL_OP6),
     "op7_positional_index": (decontaminate.op7_positional_index, decontaminate.SQL_OP7),
     "op8_kd_tree_shards": (sharding.op8_kd_tree_shards, None),
     "op10_count_vector_join": (ngram_join.op10_count_vector_join, ngram_join.SQL_OP10),
