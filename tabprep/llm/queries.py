@@ -1,6 +1,6 @@
 """Queries of this package: name -> (builder, SQL twin or None)."""
 
-from tabprep.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, sharding, toxicity
+from tabprep.llm import decontaminate, embedding_dedup, language, language_model, mixing, ngram_join, quality, sharding, toxicity
 
 REGISTRY = {
     "op1_weak_supervision_toxicity": (toxicity.op1_weak_supervision_toxicity, None),
@@ -10,5 +10,6 @@ REGISTRY = {
     "op6_spherical_kmeans_dedup": (embedding_dedup.op6_spherical_kmeans_dedup, embedding_dedup.SQL_OP6),
     "op7_positional_index": (decontaminate.op7_positional_index, decontaminate.SQL_OP7),
     "op8_kd_tree_shards": (sharding.op8_kd_tree_shards, None),
+    "op9_gru_language_model": (language_model.op9_gru_language_model, None),
     "op10_count_vector_join": (ngram_join.op10_count_vector_join, ngram_join.SQL_OP10),
 }
