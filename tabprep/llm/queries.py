@@ -1,10 +1,11 @@
 """Queries of this package: name -> (builder, SQL twin or None)."""
 
-from tabprep.llm import decontaminate, embedding_dedup, language, language_model, mixing, ngram_join, quality, sharding, toxicity
+from tabprep.llm import decontaminate, embedding_dedup, language, language_model, mixing, ngram_join, quality, sharding, substring_dedup, toxicity
 
 REGISTRY = {
     "op1_weak_supervision_toxicity": (toxicity.op1_weak_supervision_toxicity, None),
     "op2_hypergeometric_mix": (mixing.op2_hypergeometric_mix, mixing.SQL_OP2),
+    "op3_collinear_chaining": (substring_dedup.op3_collinear_chaining, None),
     "op4_line_crf_quality": (quality.op4_line_crf_quality, None),
     "op5_hyperdimensional_language": (language.op5_hyperdimensional_language, None),
     "op6_spherical_kmeans_dedup": (embedding_dedup.op6_spherical_kmeans_dedup, embedding_dedup.SQL_OP6),
