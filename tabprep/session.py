@@ -72,14 +72,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+#: Paths of the tables that ``store`` wrote and nobody dropped yet, by application.
+_STORED: dict[str, list[str]] = {}
+
+
 def store(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Cuts the lineage: a lost executor rereads files instead of recomputing,
     and several readers share one computation.  Rows are compressed and
-    columns prunable, unlike ``checkpoint()``.
+    columns prunable, unlike ``checkpoint()``.  The files stay until
+    ``drop_stored`` or ``release``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tabprep-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    _STORED[spark.sparkContext.applicationId].remove(path)
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``store`` returned and nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._stored_at)
+
+
+def release(spark: SparkSession, *needed: DataFrame) -> None:
+    """Delete all stored tables of this application but those that ``needed`` reads."""
+    stored = _STORED.get(spark.sparkContext.applicationId, [])
+    if stored:
+        in_use = {f.rpartition("/")[0].rpartition("/")[2] for df in needed for f in df.inputFiles()}
+        for path in list(stored):
+            if path.rpartition("/")[2] not in in_use:
+                _delete(spark, path)
