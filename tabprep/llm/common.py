@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.session import store
+from tabprep.functions.names import qcol
+from tabprep.session import drop_stored, release, store
 
 #: ASCII white space: words are the maximal runs of other characters.
 SPACE = r"\x20\x09-\x0D"
@@ -32,6 +33,21 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
 
 
+def row(df: DataFrame) -> Column:
+    """All columns of a row as one struct ``_row``, so that helper columns never clash with them."""
+    return F.struct(*[qcol(c) for c in df.columns]).alias("_row")
+
+
+#: Rows of a key table that may be broadcast (about 20 MB); beyond, Spark shuffles.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(keys: DataFrame, label: str) -> DataFrame:
+    """``keys``, stored and counted: broadcast if it has at most BROADCAST_ROWS rows."""
+    keys = store(keys, label)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small driver-made table as one literal (no Python rows in the plan)."""
     import json
@@ -91,4 +107,4 @@ def list_array(parts: list[np.ndarray], kind):
         else pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
-__all__ = ["SPACE", "WordHashes", "list_array", "literal_table", "mix64", "store", "table", "utf8", "word_count"]
+__all__ = ["SPACE", "BROADCAST_ROWS", "WordHashes", "drop_stored", "list_array", "literal_table", "mix64", "release", "row", "small_side", "store", "table", "utf8", "word_count"]

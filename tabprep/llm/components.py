@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import store
+from tabprep.llm.common import drop_stored, store
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
-        links = store(_small_star(_large_star(links)).distinct(), "stars")
+        last, links = links, store(_small_star(_large_star(links)).distinct(), "stars")
+        drop_stored(last)
         after = digest(links)
         if after == before:
             break

@@ -41,11 +41,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
-from tabprep.llm.common import WordHashes, list_array, mix64, store, table, utf8
+from tabprep.llm.common import WordHashes, drop_stored, list_array, mix64, small_side, store, table, utf8
 from tabprep.llm.components import components
 
 SHINGLE, NEAR, OUT_OF = 3, 90, 100
-BAND_RATIO, BLOCK_DIMS, COORDS, LEAF = 1.3, 64, 32, 256
+BAND_RATIO, BLOCK_DIMS, COORDS, LEAF, CROWDED = 1.3, 64, 256, 1024, 100
 STAR_ROWS, BITMAP_BITS = 2000, 26
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -99,12 +99,21 @@ def cells(hashes: np.ndarray, near: int = NEAR, out_of: int = OUT_OF) -> np.ndar
     return np.concatenate(found)
 
 
-def coordinates(hashes: np.ndarray) -> np.ndarray:
-    """Counts in ``COORDS`` groups (other bits than the cells use)."""
-    return np.bincount((hashes >> np.uint64(8)).astype(np.int64) & (COORDS - 1), minlength=COORDS)
+def coordinates(hashes: np.ndarray) -> bytes:
+    """Counts in ``COORDS`` groups (other bits than the cells use), modulo 256."""
+    return np.bincount((hashes >> np.uint64(8)).astype(np.int64) & (COORDS - 1), minlength=COORDS).astype(np.uint8).tobytes()
 
 
-SKETCH = "doc_id long, n int, set_id long, cells array<long>, coords array<int>"
+def most_overlap(a: np.ndarray, b: np.ndarray, n_a, n_b) -> np.ndarray:
+    """Sum of the coordinates' minima, ``(n_a + n_b - L1) / 2``, row by row.
+
+    Differences are taken the short way round 256, which can only raise the bound.
+    """
+    d = a - b
+    return (n_a + n_b - np.minimum(d, -d).sum(axis=1, dtype=np.int64)) // 2
+
+
+SKETCH = "doc_id long, n int, set_id long, cells array<long>, coords binary"
 
 
 def sketch(docs: DataFrame, text: str, key: str, k: int, near: int, out_of: int) -> DataFrame:
@@ -112,7 +121,7 @@ def sketch(docs: DataFrame, text: str, key: str, k: int, near: int, out_of: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
-        none, empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint64)
         for batch in batches:
             size, ids, in_cells, coords, seen = [], [], [], [], set()
             for body in batch.column(1):
@@ -124,18 +133,18 @@ def sketch(docs: DataFrame, text: str, key: str, k: int, near: int, out_of: int)
                 size.append(len(h))
                 ids.append(ident)
                 in_cells.append(cells(h, near, out_of).view(np.int64) if first else none.view(np.int64))
-                coords.append(coordinates(h) if first else empty)
+                coords.append(coordinates(h) if first else None)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(size, pa.int32()), pa.array(np.array(ids, np.uint64).view(np.int64)),
-                list_array(in_cells, pa.int64()), list_array(coords, pa.int32())],
+                list_array(in_cells, pa.int64()), pa.array(coords, pa.binary())],
                 ["doc_id", "n", "set_id", "cells", "coords"])
 
     rows = docs.select(qcol(key).cast("long").alias("doc_id"), utf8(qcol(text)).alias("body"))
     return store(rows.mapInArrow(run, SKETCH), "sketch")
 
 
-def _stars(sketches: DataFrame) -> DataFrame:
-    """(cell, a, b): b shares the cell of its first point a.  Runs of the sorted cells, streamed."""
+def _members(sketches: DataFrame) -> DataFrame:
+    """(cell, set_id) of the cells with several points: runs of the sorted cells, streamed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell_now = centre_now = last = None
@@ -148,26 +157,53 @@ def _stars(sketches: DataFrame) -> DataFrame:
             centre = np.where(at >= 0, point[at], centre_now if centre_now is not None else 0)
             before = np.concatenate([[last if last is not None else 0], point[:-1]])
             keep = (point != centre) & ((point != before) | new)
+            # the run's first point comes along with its second
+            second = keep & (before == centre)
             cell_now, centre_now, last = cell[-1], centre[-1], point[-1]
             if keep.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell[keep]), pa.array(centre[keep]), pa.array(point[keep])], ["cell", "a", "b"])
+                    [pa.array(np.concatenate([cell[keep], cell[second]])),
+                     pa.array(np.concatenate([point[keep], centre[second]]))], ["cell", "set_id"])
 
     entries = sketches.select(F.explode("cells").alias("cell"), "set_id")
     return store(entries.repartition("cell").sortWithinPartitions("cell", "set_id")
-                 .mapInArrow(run, "cell long, a long, b long"), "cell-stars")
+                 .mapInArrow(run, "cell long, set_id long"), "cell-members")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """(a, b): each cell's points against its centre, the point that shares most cells with most points.
+
+    The original of a family of near copies agrees with each copy in more
+    blocks than the copies among themselves, so it becomes the centre.
+    """
+    size = members.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+    degree = members.join(size, "cell").groupBy("set_id").agg(F.sum("size").alias("degree"))
+    ranked = members.join(degree, "set_id")
+    centre = ranked.groupBy("cell").agg(F.max(F.struct("degree", "set_id")).alias("c")).select("cell", F.col("c.set_id").alias("a"))
+    return members.join(centre, "cell").where("a != set_id").select("a", F.col("set_id").alias("b")).distinct()
 
 
 def _can_reach(n_a, n_b, overlap, near: int, out_of: int):
     return out_of * overlap >= near * (n_a + n_b - overlap)
 
 
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, COORDS)
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, near: int, out_of: int) -> DataFrame:
     """Pairs (a, b) whose summed coordinate minima can reach the similarity."""
     side = lambda x: points.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("coords").alias(f"c_{x}"))
-    minima = F.aggregate(F.zip_with("c_a", "c_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.where(_can_reach(F.col("n_a"), F.col("n_b"), minima, near, out_of)).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {n: batch.column(n) for n in batch.schema.names}
+            n_a, n_b = c["n_a"].to_numpy().astype(np.int64), c["n_b"].to_numpy().astype(np.int64)
+            most = most_overlap(_matrix(c["c_a"].to_pylist()), _matrix(c["c_b"].to_pylist()), n_a, n_b)
+            keep = pa.array(_can_reach(n_a, n_b, most, near, out_of))
+            yield pa.RecordBatch.from_arrays([c["a"].filter(keep), c["b"].filter(keep)], ["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame, k: int) -> DataFrame:
@@ -241,44 +277,90 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, sketches:
     # sets are sorted as unsigned numbers; compare them as signed ones
     signed = F.array_sort("hashes")
     rows = centres.unionByName(partners).withColumn("hashes", signed)
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()) \
-        .mapInArrow(run, "a long, b long")
+    links = store(rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+                  .mapInArrow(run, "a long, b long"), "links")
+    drop_stored(holder, sets)
+    return links
 
 
 def _leaf_pairs(members: DataFrame, points: DataFrame, near: int, out_of: int) -> DataFrame:
-    """Pairs in cells that hold several components, by bounding boxes of leaves, then points."""
-    rows = members.join(points.select("set_id", "n", "coords"), "set_id")
+    """Pairs in cells that hold several components, by leaves, bounding boxes and points.
+
+    Two points that share several crowded cells are tried in the smallest of them.
+    """
     order = Window.partitionBy("cell").orderBy("n", "set_id")
+    rows = members.join(points.select("set_id", "n"), "set_id")
     rows = store(rows.withColumn("leaf", F.floor((F.row_number().over(order) - 1) / LEAF).cast("int")), "leaves")
-    top = rows.select("cell", "leaf", "n", "component", F.posexplode("coords").alias("i", "c")).groupBy("cell", "leaf", "i").agg(
-        F.max("c").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"),
-        F.min("component").alias("c0"), F.max("component").alias("c1"))
-    boxes = top.groupBy("cell", "leaf").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "c"))), lambda s: s["c"]).alias("top"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("c0").alias("c0"), F.max("c1").alias("c1"))
-    l, r = boxes.alias("l"), boxes.alias("r")
-    minima = F.aggregate(F.zip_with("l.top", "r.top", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    reach = F.least(minima, F.col("l.hi"), F.col("r.hi"))
-    pairs = l.join(r, (F.col("l.cell") == F.col("r.cell")) & (F.col("l.leaf") <= F.col("r.leaf"))).where(
-        ~((F.col("l.c0") == F.col("r.c1")) & (F.col("l.c1") == F.col("r.c0")))
-    ).where(F.lit(out_of) * reach >= F.lit(near) * (F.col("l.lo") + F.col("r.lo") - reach)).select(
-        F.col("l.cell").alias("cell"), F.col("l.leaf").alias("i"), F.col("r.leaf").alias("j"))
+    leaves = rows.groupBy("cell", "leaf").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                              F.min("component").alias("c0"), F.max("component").alias("c1"))
+    l, r = leaves.alias("l"), leaves.alias("r")
+    pairs = store(l.join(r, (F.col("l.cell") == F.col("r.cell")) & (F.col("l.leaf") <= F.col("r.leaf")))
+                  .where("least(l.c0, r.c0) != greatest(l.c1, r.c1)")
+                  .where(F.lit(out_of) * F.col("l.hi") >= F.lit(near) * F.col("r.lo")).select(
+        F.col("l.cell").alias("cell"), F.col("l.leaf").alias("i"), F.col("r.leaf").alias("j"),
+        (F.col("l.m") + F.col("r.m") > CROWDED).alias("crowded")), "leaf-boxes")
     left = rows.withColumnRenamed("leaf", "i").join(pairs, ["cell", "i"]).withColumn("side", F.lit(0))
-    right = rows.withColumnRenamed("leaf", "j").join(pairs, ["cell", "j"]).withColumn("side", F.lit(1))
+    right = rows.withColumnRenamed("leaf", "j").join(pairs.where("i < j"), ["cell", "j"]).withColumn("side", F.lit(1))
+    narrow = store(left.unionByName(right), "leaf-rows")
+    # a set's crowded cells, for the rows in those: at most as many as its cells
+    own = narrow.where("crowded").groupBy("set_id").agg(F.array_sort(F.collect_set("cell")).alias("own"))
+    dealt = narrow.join(own, "set_id", "left").join(points.select("set_id", "coords"), "set_id").select(
+        "cell", "i", "j", "side", "set_id", "component", "n", "coords", F.when(F.col("crowded"), F.col("own")).alias("own"))
 
-    def run(_key, pdf):
-        import pandas as pd
-
-        l, r = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        a, b = np.array(l["coords"].tolist()), np.array(r["coords"].tolist())
-        out = []
-        for row, n, c, s in zip(a, l["n"], l["component"], l["set_id"]):  # at most LEAF rows a side
-            ok = _can_reach(n, r["n"].to_numpy(), np.minimum(row, b).sum(axis=1), near, out_of)
-            ok &= (r["component"].to_numpy() != c)
-            out += [(min(s, x), max(s, x)) for x in r["set_id"].to_numpy()[ok]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return left.unionByName(right).groupBy("cell", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of a pair of leaves that may go on in the next batch
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            keys = [rows.column(c).to_numpy() for c in ("cell", "i", "j")]
+            new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])) if len(keys[0]) else []
+            found = [_leaf_pair(rows.slice(s, e - s), near, out_of) for s, e in zip(new[:-1], new[1:])]
+            rest = rows.slice(new[-1]) if len(new) else None
+            yield _pairs_batch(found)
+        if rest is not None:
+            yield _pairs_batch([_leaf_pair(rest, near, out_of)])
+
+    found = store(dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "side")
+                  .mapInArrow(run, "a long, b long").distinct(), "leaf-pairs")
+    drop_stored(rows, pairs, narrow)
+    return found
+
+
+def _pairs_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    found = np.concatenate([np.zeros((0, 2), np.int64), *found])
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+
+def _leaf_pair(rows: pa.Table, near: int, out_of: int) -> np.ndarray:
+    """(a, b) that can link, of two leaves of a cell or of one leaf with itself; at most 2 * LEAF rows."""
+    none, cell = np.zeros((0, 2), np.int64), rows.column("cell")[0].as_py()
+    m = int((rows.column("side").to_numpy() == 0).sum())
+    alone = m == len(rows)
+    ids, component, n = (rows.column(c).to_numpy() for c in ("set_id", "component", "n"))
+    n, coords, own = n.astype(np.int64), _matrix(rows.column("coords").to_pylist()), rows.column("own").to_pylist()
+    r = slice(None) if alone else slice(m, None)
+    l = slice(0, m)
+    if not alone and coords.max() < 128 and n.max() < 128 * COORDS:  # true counts: compare the boxes
+        corner = np.minimum(coords[l].max(axis=0), coords[r].max(axis=0)).sum(dtype=np.int64)
+        if not _can_reach(n[l].min(), n[r].min(), corner, near, out_of):
+            return none
+    todo = component[l][:, None] != component[r][None, :]
+    todo &= _can_reach(n[l][:, None], n[r][None, :], np.minimum(n[l][:, None], n[r][None, :]), near, out_of)
+    if alone:
+        todo = np.triu(todo, 1)
+    if own[0] is not None:  # crowded: pairs that share a smaller crowded cell are tried there
+        lists = [[c for c in x if c < cell] for x in own]
+        kinds, at = np.unique(np.array([c for x in lists for c in x], np.int64), return_inverse=True)
+        has = np.zeros((len(lists), len(kinds)), np.float32)
+        has[np.repeat(np.arange(len(lists)), [len(x) for x in lists]), at] = 1
+        todo &= has[l] @ has[r].T == 0
+    x, y = np.nonzero(todo)
+    y = y if alone else y + m
+    ok = np.zeros(len(x), bool)
+    for at in range(0, len(x), 20_000):
+        p, q = x[at:at + 20_000], y[at:at + 20_000]
+        ok[at:at + 20_000] = _can_reach(n[p], n[q], most_overlap(coords[p], coords[q], n[p], n[q]), near, out_of)
+    p, q = ids[x[ok]], ids[y[ok]]
+    return np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SHINGLE,
@@ -286,23 +368,25 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     """doc_id, n_shingles and component_id (smallest id reachable) of every row."""
     sketches = sketch(docs, text, key, k, near, out_of)
     points = sketches.where("size(cells) > 0").dropDuplicates(["set_id"]).select("set_id", "n", "coords")
-    stars = _stars(sketches)
-    # first each cell's points against its first point
-    pairs = store(_bounded(stars.select("a", "b").distinct(), points, near, out_of), "star-pairs")
-    links = store(_verified(pairs, docs, text, key, sketches, k, near, out_of), "star-links")
+    members = _members(sketches)
+    # first each cell's points against its centre
+    pairs = store(_bounded(_stars(members), points, near, out_of), "star-pairs")
+    links = _verified(pairs, docs, text, key, sketches, k, near, out_of)
+    drop_stored(pairs)
     found = store(components(links), "star-components")
     # then the other pairs of cells that still hold several components
-    members = stars.select("cell", F.col("b").alias("set_id")).union(stars.select("cell", "a")).distinct() \
-        .join(found.select(F.col("node").alias("set_id"), "component"), "set_id", "left") \
+    of_cell = members.join(found.select(F.col("node").alias("set_id"), "component"), "set_id", "left") \
         .withColumn("component", F.coalesce("component", "set_id"))
-    torn = members.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("c0"),
+    torn = of_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("c0"),
                                        F.max("component").alias("c1")).where("m > 2 and c0 != c1").select("cell")
-    torn_members = store(members.join(torn, "cell"), "torn-cells")
+    torn_members = store(of_cell.join(torn, "cell"), "torn-cells")
+    drop_stored(members)
     if torn_members.limit(1).count():
-        rest = store(_leaf_pairs(torn_members, points, near, out_of).join(pairs, ["a", "b"], "left_anti"), "leaf-pairs")
+        rest = _leaf_pairs(torn_members, points, near, out_of)
         if rest.limit(1).count():
             more = _verified(rest, docs, text, key, sketches, k, near, out_of)
             found = store(components(links.union(more)), "components")
+        drop_stored(rest)
     # back to documents: equal sets are linked
     own = sketches.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least")) \
         .join(found.select(F.col("node").alias("set_id"), "component"), "set_id", "left") \
@@ -315,11 +399,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One row of each component; rows without id stay."""
-    kept = jaccard_components(docs, key=key, **options).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, qcol(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return chosen.unionByName(docs.where(qcol(key).isNull()))
+    """One row of each component; rows without id stay, of rows with one id the first stays."""
+    found = jaccard_components(docs, key=key, **options).where("doc_id is not null") \
+        .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")) \
+        .where("rows > 1 or not kept")
+    odd = store(found.select(F.col("doc_id").alias("__odd_id"), "kept"), "not-alone")
+    rest = docs.join(small_side(odd.select("__odd_id"), "odd"), qcol(key) == F.col("__odd_id"), "left_anti")
+    twice = docs.join(small_side(odd.where("kept").select("__odd_id"), "twice"), qcol(key) == F.col("__odd_id"), "left_semi")
+    return rest.unionByName(twice.dropDuplicates([key]))
 
 
 def op10_count_vector_join(spark, sf_dir: str) -> DataFrame:
