@@ -2,57 +2,42 @@
 Synthetic Data Vault", DSAA 2016), conditional on the label.
 
 Fit, per class: a quantile grid per numeric column (``percentile_approx``),
-level frequencies per categorical column, null rates, and the correlation of
-the normal scores - all aggregates, all bounded by classes x columns x grid
-size.  Generate from ``spark.range(n)`` with hash uniforms: correlated
-normals from a per-class Cholesky factor, mapped back through the marginals.
-No join at all: the fitted state is a set of literal arrays.  Narrow tables
-run as Column arithmetic; wide ones (more than ``WIDE_COLUMNS``) in Arrow
-batches.
+level frequencies per categorical column, null rates, and the
+pairwise-complete correlation of the normal scores - aggregates whose results
+are bounded by classes x columns x grid size, classes x levels and classes x
+columns squared.  Missing values take no part in a correlation; they are drawn
+apart, at each column's null rate.
+
+Generate from ``spark.range(n)``: the class of a row is a hash draw on its id,
+the normals come from a counter-based hash of (seed, column, id), correlated
+by the class's Cholesky factor and mapped back through the marginals in
+Arrow batches.  A row depends on its id only, not on batches or partitions.
+One definition holds for any number of rows and columns.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.hashing import hash_uniform, range_partitions
+from tabprep.functions.hashing import np_uniform, range_partitions, stream_key
 from tabprep.functions.names import qcol, require_columns
-from tabprep.functions.normal import norm_cdf, norm_ppf
+from tabprep.functions.normal import np_norm_cdf, np_norm_ppf
 from tabprep.operators import stats
+from tabprep.operators.correlation import correlations, pairwise_moments
 from tabprep.operators.features import NUMERIC_TYPES, as_category, split_types
-from tabprep.operators.synth import SYNTH_ID, _class_index
-
-
-def _flat(values) -> Column:
-    """A literal double array (folded once, indexed in O(1) per row)."""
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def upper_bound(df: DataFrame, flat: Column, base: Column, length: int, x: Column,
-                out: str) -> DataFrame:
-    """Add ``out`` = number of entries <= x in the sorted slice
-    ``flat[base : base + length]`` (0-based base), by an unrolled binary search:
-    ceil(log2(length + 1)) staged projections of plain arithmetic, so the
-    search stays inside whole-stage codegen."""
-    lo, hi = f"_{out}_lo", f"_{out}_hi"
-    df = df.withColumns({lo: F.lit(0), hi: F.lit(length)})
-    for _ in range(max(1, math.ceil(math.log2(length + 1)))):
-        mid = F.floor((F.col(lo) + F.col(hi)) / 2).cast("int")
-        go_right = (F.col(lo) < F.col(hi)) & (F.element_at(flat, base + mid + 1) <= x)
-        still = F.col(lo) < F.col(hi)
-        df = df.withColumns({
-            lo: F.when(go_right, mid + 1).otherwise(F.col(lo)),
-            hi: F.when(still & ~go_right, mid).otherwise(F.col(hi)),
-        })
-    return df.withColumnRenamed(lo, out).drop(hi)
-
+from tabprep.operators.synth import SYNTH_ID, class_draw
+from tabprep.session import store
 
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+#: ``percentile_approx`` columns per aggregate: a few dozen buffers a group stay in memory.
+GRID_COLUMNS = 32
 
 
 @dataclass
@@ -62,95 +47,76 @@ class CopulaSynthesizer:
     columns: list = field(default_factory=list)
     grid_size: int = 101
     accuracy: int = 10_000
-    max_columns: int = 256
-    max_levels: int = 1_000
     correlated: bool = True
 
     def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedCopula":
         require_columns(df, [self.label])
         cols = self.columns or [c for c in df.columns if c != self.label]
-        if len(cols) > self.max_columns:
-            raise ValueError(f"copula fit over {len(cols)} columns exceeds max_columns="
-                             f"{self.max_columns}; the correlation factor is columns x columns")
         numeric, categorical = split_types(df, cols)
         y = qcol(self.label)
-        probs = [i / (self.grid_size - 1) for i in range(self.grid_size)]
-        # marginals of numeric columns: grids and null rates, per class (the
-        # class sizes come out of the same aggregate when not given)
-        num_rows = {}
-        if numeric:
-            aggs = [F.count(F.lit(1)).alias("_n")]
-            for i, c in enumerate(numeric):
-                x = stats.clean_double(c)
-                aggs += [F.percentile_approx(x, probs, self.accuracy).alias(f"g{i}"),
-                         F.avg(x.isNull().cast("double")).alias(f"z{i}")]
-            rows = df.groupBy(y.alias("y")).agg(*aggs).limit(stats.MAX_CLASSES + 1).collect()
-            if len(rows) > stats.MAX_CLASSES:
-                raise ValueError(f"label {self.label!r} has more than {stats.MAX_CLASSES} classes")
-            for r in rows:
-                num_rows[r["y"]] = r
-            if counts is None:
-                counts = {r["y"]: int(r["_n"]) for r in rows}
         if counts is None:
             counts = stats.class_counts(df, self.label)
         if None in counts:
             raise ValueError("null labels cannot be synthesized")
         labels = sorted(counts)
-        grids = {(yv, c): (num_rows[yv][f"g{i}"] or [0.0]) for yv in labels for i, c in enumerate(numeric)}
-        nulls = {(yv, c): float(num_rows[yv][f"z{i}"] or 0.0) for yv in labels for i, c in enumerate(numeric)}
-        # marginals of categorical columns: level frequencies (null is a level)
-        freqs = {}
+        probs = [i / (self.grid_size - 1) for i in range(self.grid_size)]
+        grids, nulls = {}, {}
+        for at in range(0, len(numeric), GRID_COLUMNS):
+            some = numeric[at:at + GRID_COLUMNS]
+            aggs = []
+            for i, c in enumerate(some):
+                x = _number(df, c)
+                aggs += [F.percentile_approx(x, probs, self.accuracy).alias(f"g{i}"),
+                         F.avg(x.isNull().cast("double")).alias(f"z{i}")]
+            for r in df.groupBy(y.alias("y")).agg(*aggs).collect():  # a row a class
+                for i, c in enumerate(some):
+                    grids[(r["y"], c)] = np.asarray(r[f"g{i}"] or [0.0], dtype=float)
+                    nulls[(r["y"], c)] = float(r[f"z{i}"] or 0.0)
+        # level frequencies; null is a level
+        levels: dict = {}
         if categorical:
-            pairs = (df.select(y.alias("y"), F.explode(F.array(*[
+            rows = (df.select(y.alias("y"), F.explode(F.array(*[
                 F.struct(F.lit(i).alias("i"), as_category(df, c).alias("v"))
                 for i, c in enumerate(categorical)])).alias("e"))
-                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")))
-            rows = pairs.limit(self.max_levels * len(categorical) * len(labels) + 1).collect()
-            if len(rows) > self.max_levels * len(categorical) * len(labels):
-                raise ValueError("too many categorical levels for the copula synthesizer")
+                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect())
+            found: dict = {}
             for r in rows:
-                freqs.setdefault((r["y"], categorical[r["i"]]), []).append((r["v"], r["n"]))
-        levels = {}
-        for key, lst in freqs.items():
-            lst.sort(key=lambda t: (t[0] is None, t[0] if t[0] is not None else ""))
-            tot = sum(n for _, n in lst)
-            acc, cum = 0, []
-            for _, n in lst:
-                acc += n
-                cum.append(acc / tot)
-            levels[key] = ([v for v, _ in lst], cum)
-        fitted = FittedCopula(self.label, numeric, categorical, counts, grids, nulls, levels, {},
-                              self.seed, {c: df.schema[c].dataType for c in cols},
-                              df.schema[self.label].dataType)
-        # correlation of normal scores, per class
-        allc = numeric + categorical
-        k = len(allc)
-        chol = {}
-        if self.correlated and k > 1 and fitted.wide:
-            chol = fitted.wide_correlation(df)
-        elif self.correlated and k > 1:
-            zs = fitted.normal_scores(df)
-            pairs_ix = [(a, b) for a in range(k) for b in range(a + 1, k)]
-            corr_rows = zs.groupBy("y").agg(*[
-                F.corr(f"z{a}", f"z{b}").alias(f"c{a}_{b}") for a, b in pairs_ix]).collect()
-            for r in corr_rows:
-                m = np.eye(k)
-                for a, b in pairs_ix:
-                    v = r[f"c{a}_{b}"]
-                    v = 0.0 if v is None or math.isnan(v) else float(v)
-                    m[a, b] = m[b, a] = v
-                chol[r["y"]] = _psd_cholesky(m).tolist()
-        fitted.chol = chol
+                found.setdefault((r["y"], categorical[r["i"]]), []).append((r["v"], r["n"]))
+            for key, pairs in found.items():
+                pairs.sort(key=lambda t: (t[0] is None, t[0] if t[0] is not None else ""))
+                n = np.array([n for _, n in pairs], dtype=float)
+                levels[key] = (np.asarray([v for v, _ in pairs], dtype=object), np.cumsum(n) / n.sum())
+        fitted = FittedCopula(self.label, numeric, categorical, counts, grids, nulls, levels, {}, self.seed,
+                              {c: df.schema[c].dataType for c in cols}, df.schema[self.label].dataType)
+        if self.correlated and len(cols) > 1:
+            fitted.chol = {lab: _psd_cholesky(m) for lab, m in fitted.correlations(df).items() if lab in set(labels)}
         return fitted
 
 
+def _number(df: DataFrame, c: str):
+    if isinstance(df.schema[c].dataType, T.BooleanType):
+        return qcol(c).cast("double")
+    return stats.clean_double(c)
+
+
 def _psd_cholesky(m: np.ndarray) -> np.ndarray:
+    """Cholesky factor of the nearest usable correlation matrix (unknown pairs: 0)."""
+    m = np.nan_to_num(m, nan=0.0)
+    np.fill_diagonal(m, 1.0)
     w, v = np.linalg.eigh(m)
-    w = np.clip(w, 1e-6, None)
-    fixed = (v * w) @ v.T
+    fixed = (v * np.clip(w, 1e-6, None)) @ v.T
     d = np.sqrt(np.diag(fixed))
-    fixed = fixed / np.outer(d, d)
-    return np.linalg.cholesky(fixed + 1e-9 * np.eye(len(m)))
+    return np.linalg.cholesky(fixed / np.outer(d, d) + 1e-9 * np.eye(len(m)))
+
+
+def _by_class(labels: list, y: np.ndarray):
+    """(label, row positions) of the classes present."""
+    code = pd.Categorical(y, categories=labels).codes
+    order = np.argsort(code, kind="stable")
+    edge = np.searchsorted(code[order], np.arange(len(labels) + 1))
+    for i, lab in enumerate(labels):
+        if edge[i + 1] > edge[i]:
+            yield lab, order[edge[i]:edge[i + 1]]
 
 
 @dataclass
@@ -171,322 +137,106 @@ class FittedCopula:
     def labels(self):
         return sorted(self.counts)
 
-    @property
-    def wide(self) -> bool:
-        return len(self.numeric) + len(self.categorical) > WIDE_COLUMNS
-
-    def wide_correlation(self, df: DataFrame) -> dict:
-        return _wide_correlation(self, df)
-
-    def _generate_wide(self, spark, n: int) -> DataFrame:
-        return _generate_wide(self, spark, n)
-
-    # -- flat literal tables: class i's entries start at i * width
-    def _flat_grid(self, c) -> Column:
-        return _flat([v for lab in self.labels for v in _pad(self.grids[(lab, c)], self.grid_width)])
-
-    @property
-    def grid_width(self) -> int:
-        return max(len(g) for g in self.grids.values()) if self.grids else 1
-
-    def _level_width(self, c) -> int:
-        return max(len(self.levels.get((lab, c), ([None], [1.0]))[0]) for lab in self.labels)
-
-    def _flat_cum(self, c) -> Column:
-        w = self._level_width(c)
-        return _flat([v for lab in self.labels for v in _pad(
-            self.levels.get((lab, c), ([None], [1.0]))[1], w, 2.0)])
-
-    def _flat_levels(self, c) -> Column:
-        w = self._level_width(c)
-        vals = []
-        for lab in self.labels:
-            lv = list(self.levels.get((lab, c), ([None], [1.0]))[0])
-            vals += lv + [lv[-1]] * (w - len(lv))
-        return F.array(*[F.lit(v).cast("string") for v in vals])
-
-    def _class_of_label(self, y: Column) -> Column:
-        expr = F.lit(None).cast("int")
-        for i, lab in enumerate(self.labels):
-            expr = F.when(y == F.lit(lab), F.lit(i)).otherwise(expr)
-        return expr
-
-    def _level_midpoints(self, c, y: Column) -> Column:
-        """map(level -> mid-point of its cumulative interval) for the row's class."""
-        def pairs(lab):
-            vals, cum = self.levels.get((lab, c), ([None], [1.0]))
-            out = []
-            for v, hi_, lo_ in zip(vals, cum, [0.0] + cum[:-1]):
-                if v is not None:
-                    out += [F.lit(v), F.lit((hi_ + lo_) / 2)]
-            return F.create_map(*out)
-        return F.element_at(F.create_map(*[x for lab in self.labels for x in (F.lit(lab), pairs(lab))]), y)
-
     def normal_scores(self, df: DataFrame) -> DataFrame:
-        """Per real row: z-score of each column under its class marginal.
+        """(y, z): the normal score of each value under its class's marginals; missing values are NaN."""
+        numeric, categorical, labels = self.numeric, self.categorical, self.labels
+        shared = df.sparkSession.sparkContext.broadcast((self.grids, {
+            key: {v: hi - (hi - lo) / 2 for v, lo, hi in zip(vals, [0.0, *cum[:-1]], cum) if v is not None}
+            for key, (vals, cum) in self.levels.items()}))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            grids, middle = shared.value
+            for pdf in batches:
+                z = np.full((len(pdf), len(numeric) + len(categorical)), np.nan)
+                for lab, rows in _by_class(labels, pdf["y"].to_numpy()):
+                    for a, c in enumerate(numeric):
+                        x, g = pdf[f"x{a}"].to_numpy(dtype=float)[rows], grids[(lab, c)]
+                        last = max(len(g) - 1, 1)
+                        i = np.clip(np.searchsorted(g, x, side="right"), 1, last)
+                        lo, hi = g[i - 1], g[np.minimum(i, len(g) - 1)]
+                        with np.errstate(invalid="ignore", divide="ignore"):
+                            part = np.where(hi > lo, (x - lo) / (hi - lo), 0.5)
+                        u = np.clip((i - 1 + np.clip(part, 0, 1)) / last, 1e-4, 1 - 1e-4)
+                        z[rows, a] = np.where(np.isnan(x), np.nan, np_norm_ppf(u))
+                    for j, c in enumerate(categorical):
+                        u = pdf[f"c{j}"].iloc[rows].map(middle.get((lab, c), {})).to_numpy(dtype=float)
+                        z[rows, len(numeric) + j] = np.where(
+                            np.isnan(u), np.nan, np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4)))
+                yield pd.DataFrame({"y": pdf["y"], "z": list(z)})
 
-        Built in stages (position in grid -> uniform -> normal score) so that
-        every intermediate is computed once per row, not inlined repeatedly.
-        """
         y = qcol(self.label)
-        num = self.numeric
-        base = len(num)
-        G = self.grid_width
-        st = df.select(y.alias("y"), self._class_of_label(y).alias("_ci"),
-                       *[stats.clean_double(c).alias(f"_x{i}") for i, c in enumerate(num)],
-                       *[as_category(df, c).alias(f"_c{j}") for j, c in enumerate(self.categorical)])
-        flats = {i: self._flat_grid(c) for i, c in enumerate(num)}
-        for i in range(len(num)):
-            st = upper_bound(st, flats[i], F.col("_ci") * G, G, F.col(f"_x{i}"), f"_b{i}")
-        st = st.withColumns({f"_i{i}": F.greatest(F.least(F.col(f"_b{i}"), F.lit(G - 1)), F.lit(1))
-                             for i in range(len(num))})
-        st = st.withColumns({k: v for i in range(len(num)) for k, v in (
-            (f"_lo{i}", F.element_at(flats[i], F.col("_ci") * G + F.col(f"_i{i}"))),
-            (f"_hi{i}", F.element_at(flats[i], F.col("_ci") * G + F.col(f"_i{i}") + 1)))})
-        us = []
-        for i in range(len(num)):
-            x, lo, hi = F.col(f"_x{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
-            frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.5)
-            frac = F.least(F.greatest(frac, F.lit(0.0)), F.lit(1.0))
-            us.append(F.when(x.isNotNull(), ((F.col(f"_i{i}") - 1) + frac) / F.lit(max(G - 1, 1)))
-                      .alias(f"_u{i}"))
-        for j, c in enumerate(self.categorical):
-            us.append(F.element_at(self._level_midpoints(c, F.col("y")), F.col(f"_c{j}"))
-                      .alias(f"_u{base + j}"))
-        st = st.select("y", *us)
-        k = base + len(self.categorical)
-        st = st.select("y", *[F.least(F.greatest(F.col(f"_u{a}"), F.lit(1e-4)), F.lit(1 - 1e-4))
-                              .alias(f"_p{a}") for a in range(k)])
-        return st.select("y", *[norm_ppf(F.col(f"_p{a}")).alias(f"z{a}") for a in range(k)])
+        rows = df.select(y.alias("y"), *[_number(df, c).alias(f"x{a}") for a, c in enumerate(numeric)],
+                         *[as_category(df, c).alias(f"c{j}") for j, c in enumerate(categorical)])
+        return rows.mapInPandas(run, f"y {self.label_type.simpleString()}, z array<double>")
+
+    def correlations(self, df: DataFrame) -> dict:
+        """Class -> pairwise-complete correlation matrix of the normal scores (NaN: undefined)."""
+        return correlations(pairwise_moments(self.normal_scores(df), "z", "y"))
 
     def generate(self, spark, n: int, materialize: bool = True) -> DataFrame:
-        """``n`` synthetic rows.
+        """``n`` synthetic rows, in the columns' own types.
 
-        With ``materialize`` (default) the rows are checkpointed into the
-        session's checkpoint folder: the generator is a chain of staged
-        projections, and a later filter pushed through them would inline the
-        whole chain into its predicate.  Writing once also spares re-running
-        the generator for each of its readers (union, training, report).
+        With ``materialize`` (default) they are written once into the session's
+        shared folder, as several readers follow (union, training, report).
         """
-        out = self._generate_wide(spark, n) if self.wide else self._generate(spark, n)
-        if materialize:
-            from tabprep.session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(spark)
-            out = out.checkpoint(eager=True)
-        return out
+        out = self._generate(spark, n)
+        return store(out, "copula") if materialize else out
 
     def _generate(self, spark, n: int) -> DataFrame:
-        labels = self.labels
-        cum, acc = [], 0
-        for yv in labels:
-            acc += self.counts[yv]
-            cum.append(acc)
-        ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
-        allc = self.numeric + self.categorical
-        k = len(allc)
-        G = self.grid_width
-        ci = F.col("_ci")
-        # stage 1: class index, uniforms
-        st = ids.select(F.col("id").alias(SYNTH_ID),
-                        _class_index(cum, acc, self.seed, "class", F.col("id")).alias("_ci"),
-                        *[F.least(F.greatest(hash_uniform(self.seed, F.lit("e"), F.lit(j), F.col("id")),
-                                             F.lit(1e-12)), F.lit(1 - 1e-12)).alias(f"_u{j}")
-                          for j in range(k)],
-                        *[hash_uniform(self.seed, F.lit("null"), F.lit(c), F.col("id")).alias(f"_n{i}")
-                          for i, c in enumerate(self.numeric)])
-        keep = [SYNTH_ID, "_ci"] + [f"_n{i}" for i in range(len(self.numeric))]
-        # stage 2: independent standard normals
-        st = st.select(*keep, *[norm_ppf(F.col(f"_u{j}")).alias(f"_e{j}") for j in range(k)])
-        # stage 3: correlate with the class's Cholesky factor (flat k x k per class)
-        if self.chol:
-            flat_l = _flat([v for lab in labels
-                            for row in self.chol.get(lab, np.eye(k).tolist()) for v in row])
-            zs = [sum((F.element_at(flat_l, ci * (k * k) + (a * k + b + 1)) * F.col(f"_e{b}")
-                       for b in range(a + 1)), F.lit(0.0)).alias(f"_z{a}") for a in range(k)]
-        else:
-            zs = [F.col(f"_e{a}").alias(f"_z{a}") for a in range(k)]
-        st = st.select(*keep, *zs)
-        # stage 4: back to uniforms
-        st = st.select(*keep, *[norm_cdf(F.col(f"_z{a}")).alias(f"_v{a}") for a in range(k)])
-        # stage 5: numeric columns - interpolate inside the class's grid
-        st = st.withColumns({f"_pos{a}": F.col(f"_v{a}") * F.lit(G - 1) for a in range(len(self.numeric))})
-        st = st.withColumns({f"_i{a}": F.greatest(F.least(F.floor(F.col(f"_pos{a}")).cast("int"),
-                                                          F.lit(G - 2)), F.lit(0))
-                             for a in range(len(self.numeric))})
-        outs = []
-        for a, c in enumerate(self.numeric):
-            g, i0, pos = self._flat_grid(c), F.col(f"_i{a}"), F.col(f"_pos{a}")
-            lo = F.element_at(g, ci * G + i0 + 1)
-            hi = F.element_at(g, ci * G + F.least(i0 + 2, F.lit(G)))
-            v = lo + (pos - i0) * (hi - lo)
-            null_rate = F.element_at(_flat([self.nulls[(lab, c)] for lab in labels]), ci + 1)
-            v = F.when(F.col(f"_n{a}") < null_rate, F.lit(None)).otherwise(v)
-            dt = self.types[c]
-            if isinstance(dt, NUMERIC_TYPES) and not isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-                v = F.round(v)
-            outs.append(v.cast(dt if isinstance(dt, NUMERIC_TYPES) else T.DoubleType()).alias(c))
-        # categorical columns - first level whose cumulative share exceeds u
-        for j, c in enumerate(self.categorical):
-            a = len(self.numeric) + j
-            w = self._level_width(c)
-            st = upper_bound(st, self._flat_cum(c), ci * w, w, F.col(f"_v{a}"), f"_k{j}")
-            idx = F.least(F.col(f"_k{j}"), F.lit(w - 1))
-            outs.append(F.element_at(self._flat_levels(c), ci * w + idx + 1).alias(c))
-        label = F.element_at(F.array(*[F.lit(v) for v in labels]), ci + 1).cast(self.label_type)
-        return st.select(SYNTH_ID, *outs, label.alias(self.label))
-
-
-# Above this many columns the per-column Column expressions no longer fit in
-# one generated method (Java's 64 KB limit) and Spark would interpret them;
-# wider tables use the Arrow-batched numpy path below.
-WIDE_COLUMNS = 8
-
-
-def _wide_tables(self):
-    grids = {key: np.asarray(v, dtype=float) for key, v in self.grids.items()}
-    mids, cats = {}, {}
-    for (lab, c), (vals, cum) in self.levels.items():
-        lo = [0.0] + list(cum[:-1])
-        mids[(lab, c)] = {v: (a + b) / 2 for v, a, b in zip(vals, lo, cum) if v is not None}
-        cats[(lab, c)] = (np.asarray(vals, dtype=object), np.asarray(cum, dtype=float))
-    return grids, mids, cats
-
-
-def _wide_correlation(self, df: DataFrame) -> dict:
-    """Per-class correlation of normal scores for wide tables: numpy marginal
-    transforms in Arrow batches, then Spark ML's ``Correlation`` (a tree
-    aggregate of the Gram matrix) per class.  Missing scores count as 0."""
-    import pandas as pd
-    from pyspark import StorageLevel
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation
-    from tabprep.functions.normal import np_norm_ppf
-
-    labels, num, cat = self.labels, list(self.numeric), list(self.categorical)
-    k = len(num) + len(cat)
-    grids, mids, _ = _wide_tables(self)
-    y = qcol(self.label)
-    sel = df.select(y.alias("y"), *[stats.clean_double(c).alias(f"x{a}") for a, c in enumerate(num)],
-                    *[as_category(df, c).alias(f"c{j}") for j, c in enumerate(cat)])
-
-    def scores(batches):
-        for pdf in batches:
-            yv = pdf["y"].to_numpy()
-            Z = np.zeros((len(pdf), k))
-            for lab in labels:
-                m = yv == lab
-                if not m.any():
-                    continue
-                for a, c in enumerate(num):
-                    x = pdf[f"x{a}"].to_numpy(dtype=float)[m]
-                    g = grids[(lab, c)]
-                    G = len(g)
-                    i0 = np.clip(np.searchsorted(g, x, side="right"), 1, max(G - 1, 1))
-                    lo, hi = g[i0 - 1], g[np.minimum(i0, G - 1)]
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        frac = np.where(hi > lo, (x - lo) / (hi - lo), 0.5)
-                    u = ((i0 - 1) + np.clip(frac, 0, 1)) / max(G - 1, 1)
-                    z = np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4))
-                    Z[m, a] = np.where(np.isnan(x), 0.0, z)
-                for j, c in enumerate(cat):
-                    u = pdf[f"c{j}"][m].map(mids.get((lab, c), {})).to_numpy(dtype=float)
-                    z = np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4))
-                    Z[m, len(num) + j] = np.where(np.isnan(u), 0.0, z)
-            yield pd.DataFrame({"y": pdf["y"], "z": list(Z)})
-
-    ytype = df.schema[self.label].dataType.simpleString()
-    zdf = sel.mapInPandas(scores, f"y {ytype}, z array<double>") \
-        .select("y", array_to_vector("z").alias("z")).persist(StorageLevel.MEMORY_AND_DISK)
-    chol = {}
-    try:
-        for lab in labels:
-            sub = zdf.where(F.col("y") == F.lit(lab))
-            m = Correlation.corr(sub, "z").head()[0].toArray()
-            m = np.nan_to_num(m, nan=0.0)
-            np.fill_diagonal(m, 1.0)
-            chol[lab] = _psd_cholesky(m).tolist()
-    finally:
-        zdf.unpersist()
-    return chol
-
-
-def _generate_wide(self, spark, n: int) -> DataFrame:
-    """Arrow-batched generation over ``spark.range(n)`` for wide tables.
-
-    Uniforms come from a counter-based hash of (seed, stream, row id), so a
-    row's values do not depend on batch or partition boundaries.
-    """
-    import pandas as pd
-    from tabprep.functions.hashing import np_uniform, stream_key
-    from tabprep.functions.normal import np_norm_cdf, np_norm_ppf
-
-    labels, num, cat = self.labels, list(self.numeric), list(self.categorical)
-    k = len(num) + len(cat)
-    grids, _, cats = _wide_tables(self)
-    cum_hi = np.cumsum([self.counts[lab] for lab in labels])
-    total = int(cum_hi[-1])
-    chol = {lab: np.asarray(self.chol.get(lab, np.eye(k).tolist())) for lab in labels}
-    nulls = {key: v for key, v in self.nulls.items()}
-    types = self.types
-    s_class = stream_key(self.seed, "class")
-    s_e = [stream_key(self.seed, "e", j) for j in range(k)]
-    s_null = {c: stream_key(self.seed, "null", c) for c in num}
-    int_like = {c for c in num if isinstance(types[c], NUMERIC_TYPES)
-                and not isinstance(types[c], (T.FloatType, T.DoubleType, T.DecimalType))}
-    label = self.label
-
-    def gen(batches):
-        for pdf in batches:
-            ids = pdf["id"].to_numpy().astype(np.uint64)
-            r = np.floor(np_uniform(s_class, ids) * total)
-            ci = np.searchsorted(cum_hi, r, side="right")
-            E = np.column_stack([np_norm_ppf(np_uniform(s_e[j], ids)) for j in range(k)])
-            Z = np.empty_like(E)
-            for i, lab in enumerate(labels):
-                m = ci == i
-                Z[m] = E[m] @ chol[lab].T
-            V = np_norm_cdf(Z)
-            out = {SYNTH_ID: pdf["id"]}
-            for a, c in enumerate(num):
-                val = np.empty(len(ids))
-                for i, lab in enumerate(labels):
-                    m = ci == i
-                    g = grids[(lab, c)]
-                    G = len(g)
-                    pos = V[m, a] * (G - 1)
-                    i0 = np.clip(np.floor(pos).astype(int), 0, max(G - 2, 0))
-                    val[m] = g[i0] + (pos - i0) * (g[np.minimum(i0 + 1, G - 1)] - g[i0])
-                    val[m] = np.where(np_uniform(s_null[c], ids[m]) < nulls[(lab, c)], np.nan, val[m])
-                col = pd.Series(np.round(val) if c in int_like else val).astype(
-                    "Int64" if c in int_like else "Float64")
-                out[c] = col
-            for j, c in enumerate(cat):
-                vals = np.empty(len(ids), dtype=object)
-                for i, lab in enumerate(labels):
-                    m = ci == i
-                    lv, cum = cats.get((lab, c), (np.asarray([None], dtype=object), np.asarray([1.0])))
-                    idx = np.minimum(np.searchsorted(cum, V[m, len(num) + j], side="right"), len(lv) - 1)
-                    vals[m] = lv[idx]
-                out[c] = vals
-            out[label] = np.asarray(labels, dtype=object)[ci]
-            yield pd.DataFrame(out)
-
-    def spark_type(c):
-        dt = types[c]
-        if c in int_like:
-            return dt.simpleString()
-        return "double" if c in num else "string"
-
-    schema = ", ".join([f"{SYNTH_ID} bigint"] + [f"`{c}` {spark_type(c)}" for c in num + cat]
-                       + [f"`{label}` {self.label_type.simpleString()}"])
-    ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
-    return ids.mapInPandas(gen, schema)
-
-
-def _pad(values, width: int, fill=None) -> list:
-    values = list(values)
-    if len(values) >= width:
-        return values
-    return values + [values[-1] if fill is None else fill] * (width - len(values))
-
-
+        labels, numeric, categorical, label = self.labels, self.numeric, self.categorical, self.label
+        k = len(numeric) + len(categorical)
+        ends = np.cumsum([self.counts[y] for y in labels]).tolist()
+        ids = spark.range(0, n, numPartitions=range_partitions(spark, n)) \
+            .select("id", class_draw(ends[-1], self.seed, "class", F.col("id")).alias("_draw"))
+        shared = spark.sparkContext.broadcast((self.grids, self.nulls, self.levels, self.chol))
+        normal = [stream_key(self.seed, "e", j) for j in range(k)]
+        missing = [stream_key(self.seed, "null", c) for c in numeric]
+        whole = [not isinstance(self.types[c], _FRACTIONAL) for c in numeric]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            grids, nulls, levels, chol = shared.value
+            for pdf in batches:
+                at = pdf["id"].to_numpy().astype(np.uint64)
+                of = np.searchsorted(ends, pdf["_draw"].to_numpy(), side="right")
+                e = np.column_stack([np_norm_ppf(np_uniform(s, at)) for s in normal]) if k else np.zeros((len(at), 0))
+                numbers = np.full((len(at), len(numeric)), np.nan)
+                texts = np.full((len(at), len(categorical)), None, dtype=object)
+                for i, rows in _by_class(list(range(len(labels))), of):
+                    lab = labels[i]
+                    u = np_norm_cdf(e[rows] @ chol[lab].T if lab in chol else e[rows])
+                    for a, c in enumerate(numeric):
+                        g = grids[(lab, c)]
+                        place = u[:, a] * (len(g) - 1)
+                        lo = np.clip(np.floor(place).astype(int), 0, max(len(g) - 2, 0))
+                        v = g[lo] + (place - lo) * (g[np.minimum(lo + 1, len(g) - 1)] - g[lo])
+                        v = np.round(v) if whole[a] else v
+                        numbers[rows, a] = np.where(np_uniform(missing[a], at[rows]) < nulls[(lab, c)], np.nan, v)
+                    for j, c in enumerate(categorical):
+                        vals, cum = levels.get((lab, c), (np.array([None], dtype=object), np.ones(1)))
+                        pick = np.searchsorted(cum, u[:, len(numeric) + j], side="right")
+                        texts[rows, j] = vals[np.minimum(pick, len(vals) - 1)]
+                out = {"id": pdf["id"], "_class": of}
+                out |= {f"x{a}": pd.array(numbers[:, a], "Float64") for a in range(len(numeric))}
+                out |= {f"c{j}": texts[:, j] for j in range(len(categorical))}
+                frame = pd.DataFrame(out)
+                for a in range(len(numeric)):  # missing is null, not NaN
+                    frame[f"x{a}"] = frame[f"x{a}"].mask(np.isnan(numbers[:, a]))
+                yield frame
+
+        schema = ", ".join(["id long, _class int", *(f"x{a} double" for a in range(len(numeric))),
+                            *(f"c{j} string" for j in range(len(categorical)))])
+        rows = ids.mapInPandas(run, schema)
+        outs = [self._typed(F.col(f"x{a}"), c) for a, c in enumerate(numeric)] \
+            + [F.col(f"c{j}").alias(c) for j, c in enumerate(categorical)]
+        names = F.array(*[F.lit(v) for v in labels])
+        return rows.select(F.col("id").alias(SYNTH_ID), *outs,
+                           F.element_at(names, F.col("_class") + 1).cast(self.label_type).alias(label))
+
+    def _typed(self, x, c: str):
+        kind = self.types[c]
+        if isinstance(kind, T.BooleanType):
+            return (x >= 0.5).alias(c)
+        return x.cast(kind if isinstance(kind, NUMERIC_TYPES) else T.DoubleType()).alias(c)
+
+
+__all__ = ["CopulaSynthesizer", "FittedCopula"]

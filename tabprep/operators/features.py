@@ -124,11 +124,19 @@ class FittedPreprocessor:
     dropped: list = field(default_factory=list)       # all-null numeric columns
     input_columns: list = field(default_factory=list)
 
-    # names follow the block/column[_level] convention
+    # names follow the block/column[_level] convention; where two features get
+    # one name (column "a" with level "b_c", column "a_b" with level "c"), the
+    # later ones are numbered
     def feature_names(self) -> list[str]:
         names = [f"num__{c}" for c, *_ in self.numeric]
         for c, levels in self.categorical:
             names += [f"cat__{c}_{v}" for v in levels]
+        taken: set[str] = set()
+        for i, name in enumerate(names):
+            n = 2
+            while names[i].lower() in taken:  # Spark's names are not case-sensitive
+                names[i], n = f"{name}__{n}", n + 1
+            taken.add(names[i].lower())
         return names
 
     def feature_exprs(self) -> list[Column]:
@@ -137,14 +145,13 @@ class FittedPreprocessor:
             x = qcol(c)
             x = (F.when(x, 1.0).when(~x, 0.0) if c in self.bool_numeric else stats.clean_double(c))
             scale = std if std is not None and std > 10 * 2.220446049250313e-16 else 1.0
-            exprs.append(((F.coalesce(x, F.lit(median)) - F.lit(mean)) / F.lit(scale))
-                         .alias(f"num__{c}"))
+            exprs.append((F.coalesce(x, F.lit(median)) - F.lit(mean)) / F.lit(scale))
         for c, levels in self.categorical:
             s = F.coalesce(qcol(c).cast("string") if c not in self.bool_numeric else qcol(c),
                            F.lit(MISSING))
             for v in levels:
-                exprs.append((s == F.lit(v)).cast("double").alias(f"cat__{c}_{v}"))
-        return exprs
+                exprs.append((s == F.lit(v)).cast("double"))
+        return [e.alias(n) for e, n in zip(exprs, self.feature_names())]
 
     def transform(self, df: DataFrame, keep=(), assemble: bool = False,
                   output_col: str = "features", sparse_levels: int = 64) -> DataFrame:
@@ -169,13 +176,11 @@ class FittedPreprocessor:
                                                    if len(lv) <= sparse_levels],
                                     self.bool_numeric, self.dropped, self.input_columns)
         # assembler inputs get positional names: feature names may hold dots
-        safe = {name: f"_f{j}" for j, name in enumerate(narrow.feature_names())}
+        inputs = [f"_f{j}" for j in range(len(narrow.feature_names()))]
         out = staged.select(*[qcol(k) for k in keep],
-                            *[e.alias(safe[n]) for e, n in zip(narrow.feature_exprs(),
-                                                               narrow.feature_names())],
+                            *[e.alias(n) for e, n in zip(narrow.feature_exprs(), inputs)],
                             *[F.coalesce(qcol(c), F.lit(MISSING)).alias(f"_sp_{i}")
                               for i, (c, _) in enumerate(wide)])
-        parts = list(safe.values())
         for i, (c, lv) in enumerate(wide):
             out = StringIndexerModel.from_labels(lv, inputCol=f"_sp_{i}", outputCol=f"_ix_{i}",
                                                  handleInvalid="keep").transform(out)
@@ -183,23 +188,19 @@ class FittedPreprocessor:
             # category, and dropLast removes it: unseen levels -> all zeros
             out = OneHotEncoder(inputCols=[f"_ix_{i}"], outputCols=[f"_oh_{i}"],
                                 dropLast=True).fit(out).transform(out)
-            parts.append(f"_oh_{i}")
-        order = self._vector_order(parts, wide, safe)
+        order = self._vector_order(wide, inputs)
         out = VectorAssembler(inputCols=order, outputCol=output_col,
                               handleInvalid="keep").transform(out)
         return out.select(*[qcol(k) for k in keep], output_col)
 
-    def _vector_order(self, parts: list, wide: list, safe: dict) -> list:
+    def _vector_order(self, wide: list, inputs: list[str]) -> list:
         """Assembler inputs in feature_names() order (numeric, then each
         categorical column's levels, sparse blocks in their column's place)."""
         wide_idx = {c: i for i, (c, _) in enumerate(wide)}
-        order = [safe[f"num__{c}"] for c, *_ in self.numeric]
+        rest = iter(inputs)
+        order = [next(rest) for _ in self.numeric]
         for c, levels in self.categorical:
-            if c in wide_idx:
-                order.append(f"_oh_{wide_idx[c]}")
-            else:
-                order += [safe[f"cat__{c}_{v}"] for v in levels]
-        assert set(order) == set(parts)
+            order += [f"_oh_{wide_idx[c]}"] if c in wide_idx else [next(rest) for _ in levels]
         return order
 
     def _cat_source(self, df, c):

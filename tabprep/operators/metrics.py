@@ -27,17 +27,33 @@ def _f(x) -> Column:
 
 
 def score_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score: (threshold, pos, neg)."""
+    """One row per distinct score: (threshold, pos, neg).
+
+    A missing or NaN score has no place on the curve; such rows form the null
+    threshold, and the reports refuse a table that has any.
+    """
     y = qcol(label)
     s = qcol(score).cast("double")
-    # a missing or NaN score has no place on the curve (Spark would sort NaN
-    # above every number)
-    return (df.where(s.isNotNull() & ~F.isnan(s))
-            .groupBy(s.alias("threshold"))
+    return (df.groupBy(F.when(~F.isnan(s), s).alias("threshold"))
             .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
                  F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
+class UnscoredRows(ValueError):
+    """Some rows have no score: a report over the others would be incomplete."""
+
+
+def _check_scored(n: int) -> None:
+    if n:
+        raise UnscoredRows(f"{n} rows have a null or NaN score or prediction")
+
+
+def score_coverage(df: DataFrame, score: str) -> DataFrame:
+    """One row: n_rows and n_unscored (null or NaN scores)."""
+    s = qcol(score).cast("double")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(s.isNull() | F.isnan(s)).alias("n_unscored"))
+
+
 def _check_binary(df: DataFrame, label: str) -> None:
     bad = df.where(~qcol(label).isin(0, 1) | qcol(label).isNull()).limit(1).count()
     if bad:
@@ -57,8 +73,9 @@ def pr_curve(df: DataFrame, label: str, score: str, check: bool = True,
         _check_binary(df, label)
     if per is None:
         per = score_points(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
-    tot = per.agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("P"),
-                  F.sum("neg").alias("N")).first()
+    tot = per.agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+                  F.sum(F.when(F.col("threshold").isNull(), F.col("pos") + F.col("neg"))).alias("unscored")).first()
+    _check_scored(int(tot["unscored"] or 0))
     n, P, N = int(tot["n"]), int(tot["P"] or 0), int(tot["N"] or 0)
     curve = running_totals_desc(per, "threshold", {"pos": "tp", "neg": "fp"},
                                 rows_per_bucket=rows_per_bucket, n=n)
@@ -70,51 +87,56 @@ def pr_curve(df: DataFrame, label: str, score: str, check: bool = True,
     return curve, P, N
 
 
+def _kept() -> Column:
+    """Points that count for F1: precision or recall above zero."""
+    return ~((F.col("precision") == 0) & (F.col("recall") == 0))
+
+
+def _f1_of_point() -> Column:
+    return F.when(_kept(), (2 * (F.col("precision") * F.col("recall"))) / (F.col("precision") + F.col("recall")))
+
+
+def _best_point() -> Column:
+    """The point with the largest F1, ties to the lowest threshold."""
+    return F.max_by(F.struct("threshold", "f1", "precision", "recall", "tp", "fp"),
+                    F.when(_kept(), F.struct(F.col("f1"), -F.col("threshold"))))
+
+
+def _point_columns(P: int, N: int) -> list[Column]:
+    return [F.col("b.threshold").alias("threshold"), F.col("b.f1").alias("f1"),
+            F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"),
+            (F.lit(N) - F.col("b.fp")).cast("long").alias("tn"), F.col("b.fp").alias("fp"),
+            (F.lit(P) - F.col("b.tp")).cast("long").alias("fn"), F.col("b.tp").alias("tp")]
+
+
+def _area_terms(P: int, N: int) -> list[Column]:
+    """ROC AUC (null with one class) and average precision."""
+    roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
+    ap = F.sum(_f(F.col("pos")) * F.col("precision"))
+    return [(roc / F.lit(2.0 * P * N) if P > 0 and N > 0 else F.lit(None).cast("double")).alias("auc"),
+            (ap / F.lit(float(P)) if P > 0 else F.lit(0.0)).alias("aucpr")]
+
+
 def best_f1(curve: DataFrame, P: int, N: int) -> DataFrame:
     """One row: threshold, f1, precision, recall and the confusion counts."""
-    kept = curve.where(~((F.col("precision") == 0) & (F.col("recall") == 0)))
-    f1 = (2 * (F.col("precision") * F.col("recall"))) / (F.col("precision") + F.col("recall"))
-    best = kept.withColumn("f1", f1).agg(F.max_by(
-        F.struct("threshold", "f1", "precision", "recall", "tp", "fp"),
-        F.struct(F.col("f1"), -F.col("threshold"))).alias("b"))
-    return best.select(
-        F.col("b.threshold").alias("threshold"), F.col("b.f1").alias("f1"),
-        F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"),
-        (F.lit(N) - F.col("b.fp")).cast("long").alias("tn"), F.col("b.fp").alias("fp"),
-        (F.lit(P) - F.col("b.tp")).cast("long").alias("fn"), F.col("b.tp").alias("tp"))
+    return curve.withColumn("f1", _f1_of_point()).agg(_best_point().alias("b")).select(*_point_columns(P, N))
 
 
 def auc_terms(curve: DataFrame, P: int, N: int) -> DataFrame:
     """One row: ROC AUC (null with one class) and average precision."""
-    roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
-    ap = F.sum(_f(F.col("pos")) * F.col("precision"))
-    return curve.agg(
-        (roc / F.lit(2.0 * P * N) if P > 0 and N > 0 else F.lit(None).cast("double")).alias("auc"),
-        (ap / F.lit(float(P)) if P > 0 else F.lit(0.0)).alias("aucpr"))
+    return curve.agg(*_area_terms(P, N))
 
 
 def classification_report(df: DataFrame, label: str, score: str,
                           per: DataFrame | None = None) -> DataFrame:
     """One row: auc, aucpr, precision, recall, f1, threshold, tn/fp/fn/tp and
-    ``confusion_matrix`` as ``[[tn, fp], [fn, tp]]``."""
+    ``confusion_matrix`` as ``[[tn, fp], [fn, tp]]``.
+
+    Every row takes part: a null or NaN score raises ``UnscoredRows``."""
     curve, P, N = pr_curve(df, label, score, per=per)
     # best-F1 point, ROC AUC and average precision in one pass over the curve
-    kept = ~((F.col("precision") == 0) & (F.col("recall") == 0))
-    # points with precision = recall = 0 take no part (and would divide by 0)
-    f1 = F.when(kept, (2 * (F.col("precision") * F.col("recall")))
-                / (F.col("precision") + F.col("recall")))
-    roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
-    ap = F.sum(_f(F.col("pos")) * F.col("precision"))
-    row = curve.withColumn("f1", f1).agg(
-        F.max_by(F.struct("threshold", "f1", "precision", "recall", "tp", "fp"),
-                 F.when(kept, F.struct(F.col("f1"), -F.col("threshold")))).alias("b"),
-        (roc / F.lit(2.0 * P * N) if P > 0 and N > 0 else F.lit(None).cast("double")).alias("auc"),
-        (ap / F.lit(float(P)) if P > 0 else F.lit(0.0)).alias("aucpr"))
-    row = row.select(
-        F.col("b.threshold").alias("threshold"), F.col("b.f1").alias("f1"),
-        F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"),
-        (F.lit(N) - F.col("b.fp")).cast("long").alias("tn"), F.col("b.fp").alias("fp"),
-        (F.lit(P) - F.col("b.tp")).cast("long").alias("fn"), F.col("b.tp").alias("tp"), "auc", "aucpr")
+    row = curve.withColumn("f1", _f1_of_point()).agg(_best_point().alias("b"), *_area_terms(P, N))
+    row = row.select(*_point_columns(P, N), "auc", "aucpr")
     return row.withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
@@ -143,10 +165,12 @@ def regression_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """
     y = _f(qcol(label))
     p = _f(qcol(pred))
-    base = df.select(y.alias("y"), p.alias("p")).where(F.col("y").isNotNull() & F.col("p").isNotNull())
-    ybar = base.agg(F.avg("y")).first()[0]
+    base = df.select(y.alias("y"), p.alias("p")).where(F.col("y").isNotNull())
+    seen = base.agg(F.avg("y").alias("ybar"), F.count_if(F.col("p").isNull() | F.isnan("p")).alias("unscored")).first()
+    ybar = seen["ybar"]
     if ybar is None:
         raise ValueError("no rows to score")
+    _check_scored(seen["unscored"])
     e2 = (F.col("y") - F.col("p")) * (F.col("y") - F.col("p"))
     ae = F.abs(F.col("y") - F.col("p"))
     d2 = (F.col("y") - F.lit(ybar)) * (F.col("y") - F.lit(ybar))
@@ -176,13 +200,15 @@ def confusion_at(df: DataFrame, label: str, score: str, threshold: float) -> Dat
 
 def classification_metrics(df: DataFrame, label: str, score: str):
     """The classification report as a collected Row; its cache is released."""
+    return collected_report(df, label, score).first()
+
+
+def collected_report(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The classification report, computed once into a one-row table; its cache is released."""
     _check_binary(df, label)
     per = score_points(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return classification_report(df, label, score, per=per).first()
+        report = classification_report(df, label, score, per=per)
+        return df.sparkSession.createDataFrame(report.collect(), report.schema)
     finally:
         per.unpersist()
-
-
-def metric_value(report: DataFrame, metric: str) -> float:
-    return report.select(metric).first()[0]

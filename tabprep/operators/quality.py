@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators import stats
+from tabprep.operators.correlation import correlations, pairwise_moments
 from tabprep.operators.features import as_category, split_types
 
 
@@ -21,8 +22,9 @@ def _js_distance(p: Column, q: Column) -> Column:
 
 def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20) -> DataFrame:
     """Per column: Jensen-Shannon distance between real and synthetic
-    distributions (numeric: ``bins`` equal-width bins over the real range;
-    categorical: levels, null counted as a level).
+    distributions (numeric: ``bins`` equal-width bins over the real range, one
+    more on each side for synthetic values beyond it; categorical: levels).
+    Missing values are a cell of their own, apart from any level's text.
 
     Both tables are read in long form (column index, value), so the plan does
     not grow with the number of columns; the per-column histograms are
@@ -51,14 +53,14 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
 
     def cells(df, side):
         i = F.col("i")
-        b = F.least(F.greatest(F.floor((F.col("x") - F.try_element_at(lo_arr, i + 1))
-                                       / F.try_element_at(w_arr, i + 1) * bins), F.lit(0)),
-                    F.lit(bins - 1)).cast("string")
-        cell = F.when(i < nn, F.coalesce(b, F.lit("null"))).otherwise(F.coalesce(F.col("s"), F.lit("null")))
-        return long(df).select("i", cell.alias("cell")).groupBy("i", "cell") \
-            .agg(F.count(F.lit(1)).alias(side))
-
-    joined = cells(real, "n_real").join(cells(synth, "n_synth"), ["i", "cell"], "full_outer") \
+        lo, width = F.try_element_at(lo_arr, i + 1), F.try_element_at(w_arr, i + 1)
+        share = (F.col("x") - lo) / width
+        b = F.when(share < 0, -1).when(share > 1, bins).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+        cell = F.when(i < nn, b.cast("string")).otherwise(F.col("s"))
+        return long(df).select("i", cell.isNull().alias("missing"), F.coalesce(cell, F.lit("")).alias("cell")) \
+            .groupBy("i", "missing", "cell").agg(F.count(F.lit(1)).alias(side))
+
+    joined = cells(real, "n_real").join(cells(synth, "n_synth"), ["i", "missing", "cell"], "full_outer") \
         .fillna(0, ["n_real", "n_synth"])
     from pyspark.sql import Window
     w = Window.partitionBy("i")
@@ -74,42 +76,28 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
                 F.when(F.col("i") < nn, "numeric").otherwise("categorical").alias("kind"))
 
 
-def _corr_matrix_pairs(df: DataFrame, numeric: list) -> list:
-    """Upper-triangle Pearson correlations for many columns: Spark ML's
-    ``Correlation`` (a tree aggregate of the Gram matrix) on mean-filled
-    vectors, instead of k(k-1)/2 separate aggregate expressions."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def pair_correlations(df: DataFrame, numeric: list) -> list:
+    """Upper-triangle Pearson correlations, each over the rows where both columns
+    are present; None where undefined.  One definition for any number of columns."""
     means = df.agg(*[F.avg(stats.clean_double(c)).alias(f"m{i}") for i, c in enumerate(numeric)]).first()
-    filled = df.select(*[F.coalesce(stats.clean_double(c), F.lit(means[f"m{i}"] or 0.0)).alias(f"x{i}")
-                         for i, c in enumerate(numeric)])
-    vec = VectorAssembler(inputCols=[f"x{i}" for i in range(len(numeric))], outputCol="v").transform(filled)
-    m = Correlation.corr(vec, "v").head()[0].toArray()
-    k = len(numeric)
-    return [None if np.isnan(m[a, b]) else float(m[a, b]) for a in range(k) for b in range(a + 1, k)]
+    centred = df.select(F.lit(0).alias("g"), F.array(*[
+        F.coalesce(stats.clean_double(c) - F.lit(float(means[f"m{i}"] or 0.0)), F.lit(float("nan")))
+        for i, c in enumerate(numeric)]).alias("v"))
+    m = correlations(pairwise_moments(centred, "v", "g")).get(0)
+    pairs = [(a, b) for a in range(len(numeric)) for b in range(a + 1, len(numeric))]
+    return [None if m is None or np.isnan(m[a, b]) else float(m[a, b]) for a, b in pairs]
 
 
-def quality_summary(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20) -> DataFrame:
+def quality_summary(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20,
+                    by_column: DataFrame | None = None) -> DataFrame:
     """One row: column_similarity, correlation_similarity, overall (0-100)."""
-    by_col = quality_by_column(real, synth, columns, bins)
+    by_col = quality_by_column(real, synth, columns, bins) if by_column is None else by_column
     numeric, _ = split_types(real, columns)
-    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1:]]
     col_score = by_col.agg((100.0 * (1.0 - F.avg("js_distance"))).alias("column_similarity"))
-    if pairs:
-        if len(numeric) <= 10:
-            def corr_row(df):
-                r = df.agg(*[F.corr(stats.clean_double(a), stats.clean_double(b)).alias(f"c{i}")
-                             for i, (a, b) in enumerate(pairs)]).first()
-                return [r[f"c{i}"] for i in range(len(pairs))]
-        else:
-            def corr_row(df):
-                return _corr_matrix_pairs(df, numeric)
-        rr, ss = corr_row(real), corr_row(synth)
-        diffs = [abs((a or 0.0) - (b or 0.0)) for a, b in zip(rr, ss)]
+    corr_sim = 100.0
+    if len(numeric) > 1:
+        diffs = [abs((a or 0.0) - (b or 0.0)) for a, b in
+                 zip(pair_correlations(real, numeric), pair_correlations(synth, numeric))]
         corr_sim = 100.0 * (1.0 - sum(diffs) / len(diffs) / 2.0)
-    else:
-        corr_sim = 100.0
     return col_score.select("column_similarity", F.lit(corr_sim).alias("correlation_similarity"),
                             ((F.col("column_similarity") + F.lit(corr_sim)) / 2).alias("overall"))
-
-

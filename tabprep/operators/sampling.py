@@ -26,18 +26,37 @@ MAX_CLASSES = 10_000
 
 # ---------------------------------------------------------------- D1
 
-def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """Rows in a seeded pseudo-random order (a distributed range sort)."""
+def shuffle_rows(df: DataFrame, key: str, seed: int = 42, position: str | None = None) -> DataFrame:
+    """Rows in a seeded pseudo-random order (a distributed range sort).
+
+    With ``position``, a column of that name holds each row's 1-based place,
+    so that the order outlives a shuffle.
+    """
+    if position is not None:
+        h = "_shuffle_h"
+        df = hash_rank(df.withColumn(h, hash_key(seed, qcol(key))), h, rank_col=position).drop(h)
+        return df.orderBy(qcol(position))
     return df.orderBy(hash_key(seed, qcol(key)), qcol(key))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The n rows with the smallest hash: a seeded sample of exactly n rows.
 
-    ``orderBy().limit(n)`` plans as a per-partition top-n followed by one
-    merge of at most n rows per partition, so only n rows are ever collected.
+    A filter by the n-th smallest hash (``hash_cutoffs``), so no task holds
+    the sample however large n is.
     """
-    return df.orderBy(hash_key(seed, qcol(key)), qcol(key)).limit(n)
+    h = "_sample_h"
+    hashed = df.withColumn(h, hash_key(seed, qcol(key)))
+    if n <= 0:
+        return df.limit(0)
+    level1 = prefix_counts(hashed, h, None).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if (level1.agg(F.sum("_n")).first()[0] or 0) <= n:
+            return df
+        cut = hash_cutoffs(hashed, h, {0: [n]}, first_level=level1)[(0, n)]
+    finally:
+        level1.unpersist()
+    return hashed.where(F.col(h) <= F.lit(cut)).drop(h)
 
 
 # ---------------------------------------------------------------- quotas
@@ -186,8 +205,8 @@ def oversample(df: DataFrame, label: str, key: str, ratio: float = 1.0, seed: in
 
     ``random``: draws with replacement; draw ``i`` takes the minority row whose
     hash rank is ``1 + floor(u(seed, i) * n_minor)`` (an equi-join on rank).
-    ``even``: every minority row is copied ``k // n_minor`` times and the
-    ``k % n_minor`` rows with the smallest hashes once more.
+    ``even``: draw ``i`` takes rank ``1 + i % n_minor``, so every minority row
+    is copied ``k // n_minor`` times and the rows with the smallest hashes once more.
     Added rows carry ``oversample_draw`` (null on original rows).  Pass
     ``counts`` (label -> rows) if already known to skip the counting scan.
     """
@@ -201,23 +220,18 @@ def oversample(df: DataFrame, label: str, key: str, ratio: float = 1.0, seed: in
         return base
     minority = df.where(qcol(label) == F.lit(minor))
     h = "_os_h"
+    spark = df.sparkSession
+    draws = spark.range(0, k, numPartitions=range_partitions(spark, k))
     if mode == "even":
-        q, r = divmod(k, n_minor)
-        hashed = minority.withColumn(h, hash_key(seed, qcol(key)))
-        cut = hash_cutoffs(hashed, h, {0: [r]})[(0, r)]
-        copies = F.lit(q) + F.when(F.col(h) <= F.lit(cut), 1).otherwise(0)
-        added = (hashed.withColumn("_copies", copies).where(F.col("_copies") > 0)
-                 .withColumn(DRAW, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies").cast("bigint"))))
-                 .drop(h, "_copies"))
+        # copies come from the range, not from the few tasks that hold the minority rows
+        draws = draws.select((F.floor(F.col("id") / n_minor) + 1).cast("bigint").alias(DRAW),
+                             (F.col("id") % n_minor + 1).alias("_os_rank"))
     elif mode == "random":
-        ranked = hash_rank(minority.withColumn(h, hash_key(seed, qcol(key))), h,
-                           rank_col="_os_rank", n=n_minor).drop(h)
-        spark = df.sparkSession
-        draws = (spark.range(0, k, numPartitions=range_partitions(spark, k))
-                 .select(F.col("id").alias(DRAW),
-                         (F.floor(hash_uniform(seed, F.lit("draw"), F.col("id")) * F.lit(n_minor))
-                          + 1).cast("long").alias("_os_rank")))
-        added = draws.join(ranked, "_os_rank").drop("_os_rank")
+        draws = draws.select(F.col("id").alias(DRAW),
+                             (F.floor(hash_uniform(seed, F.lit("draw"), F.col("id")) * F.lit(n_minor))
+                              + 1).cast("long").alias("_os_rank"))
     else:
         raise ValueError(f"unknown over-sampling mode {mode!r}")
+    ranked = hash_rank(minority.withColumn(h, hash_key(seed, qcol(key))), h, rank_col="_os_rank", n=n_minor).drop(h)
+    added = draws.join(ranked, "_os_rank").drop("_os_rank")
     return base.unionByName(added.select(*[qcol(c) for c in base.columns]))

@@ -211,65 +211,6 @@ def _window_middles(pairs: DataFrame, cols: list, state: dict) -> dict:
     return out
 
 
-def _long(df: DataFrame, exprs: list) -> DataFrame:
-    """(i, x) rows: the i-th expression's value for every input row."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), e.alias("x")) for i, e in enumerate(exprs)])).alias("e")) \
-        .select("e.i", "e.x")
-
-
-def _window_expr(cols: list, state: dict, value: str = "x"):
-    """Per-row test 'value inside its column's current window' on the long
-    form (column index ``i``; indices past ``cols`` get a null bound)."""
-    x = F.col(value)
-    if all(state[c]["lo"] is None for c in cols):
-        return x.isNotNull()
-    idx = F.col("i") + 1
-    lo = F.try_element_at(F.array(*[F.lit(state[c]["lo"]).cast("double") for c in cols]), idx)
-    hi = F.try_element_at(F.array(*[F.lit(state[c]["hi"]).cast("double") for c in cols]), idx)
-    return x.isNotNull() & (lo.isNull() | ((x >= lo) & (x <= hi)))
-
-
-def _window_middles(pairs: DataFrame, cols: list, state: dict) -> dict:
-    """Median of each column from its window's (value, count) pairs.
-
-    A running count per column (a window partitioned by column over at most
-    ``collect_limit`` pairs each) finds the values at the two middle ranks in
-    Spark; only those (two rows per column) reach the driver."""
-    below = F.element_at(F.array(*[F.lit(int(state[c]["below"])) for c in cols]), F.col("i") + 1)
-    k1 = F.element_at(F.array(*[F.lit(int(state[c]["k1"])) for c in cols]), F.col("i") + 1)
-    k2 = F.element_at(F.array(*[F.lit(int(state[c]["k2"])) for c in cols]), F.col("i") + 1)
-    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = pairs.select("i", "v", "c", (below + F.sum("c").over(w)).alias("cum"))
-    hit1 = (F.col("cum") - F.col("c") < k1) & (k1 <= F.col("cum"))
-    hit2 = (F.col("cum") - F.col("c") < k2) & (k2 <= F.col("cum"))
-    rows = cum.where(hit1 | hit2).select("i", "v", hit1.alias("h1"), hit2.alias("h2")).collect()
-    v1, v2 = {}, {}
-    for r in rows:
-        if r["h1"]:
-            v1[r["i"]] = r["v"]
-        if r["h2"]:
-            v2[r["i"]] = r["v"]
-    out = {}
-    for i, c in enumerate(cols):
-        a, b = v1.get(i), v2.get(i)
-        out[c] = a if a == b else (a + b) / 2.0
-    return out
-
-
-def _middle(vals: list, s: dict):
-    pos = s["below"]
-    v1 = v2 = None
-    for v, cnt in vals:
-        if v1 is None and pos + cnt >= s["k1"]:
-            v1 = v
-        if pos + cnt >= s["k2"]:
-            v2 = v
-            break
-        pos += cnt
-    return v1 if v1 == v2 else (v1 + v2) / 2.0
-
-
 def approx_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000) -> dict:
     if not cols:
         return {}

@@ -22,17 +22,18 @@ def row_budget(count: Column, factor: float) -> Column:
 SYNTH_ID = "synth_id"
 
 
-def _class_index(cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
-    """0-based index (in sorted label order) of a generated row's class: the
-    class whose cumulative-count interval holds ``floor(u * total)``."""
-    r = F.floor(hash_uniform(seed, F.lit(salt), ids) * F.lit(total))
-    expr = F.lit(len(cum_hi) - 1)
-    for i in range(len(cum_hi) - 2, -1, -1):
-        expr = F.when(r < F.lit(int(cum_hi[i])), F.lit(i)).otherwise(expr)
-    return expr
+def class_draw(total: int, seed, salt: str, ids: Column) -> Column:
+    """A draw from 0 to total - 1 per generated row: a position among the real rows, in label order."""
+    return F.floor(hash_uniform(seed, F.lit(salt), ids) * F.lit(int(total)))
+
 
+def class_index(ends: list, seed, salt: str, ids: Column) -> Column:
+    """0-based index (in sorted label order) of a generated row's class: the
+    class whose cumulative-count interval (up to ``ends``) holds the row's draw."""
+    r = class_draw(ends[-1], seed, salt, ids)
+    table = F.array(*[F.lit(int(e)) for e in ends])
+    return F.least(F.size(F.filter(table, lambda e: e <= r)), F.lit(len(ends) - 1))
 
-def _class_expr(labels: list, cum_hi: list, total: int, seed, salt: str, ids: Column) -> Column:
-    idx = _class_index(cum_hi, total, seed, salt, ids)
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), idx + 1)
 
+def class_label(labels: list, ends: list, seed, salt: str, ids: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in labels]), class_index(ends, seed, salt, ids) + 1)

@@ -3,8 +3,9 @@
 ``independent`` draws every column from its class's empirical distribution:
 draw ``j`` of column ``c`` copies the value of the class row whose hash rank
 is ``1 + floor(u(seed, c, j) * n_class)``.  All columns are resolved by one
-equi-join on (class, rank) of a long draw table, then re-assembled by one
-aggregation on the draw id.  The Gaussian copula lives in ``copula``, the
+equi-join on (class, rank, column) of a long draw table with the long form of
+the ranked rows, then a row's cells are collected: the work is linear in
+rows times columns, whatever the values' types or number.  The Gaussian copula lives in ``copula``, the
 quality report in ``quality``; both are re-exported here.
 """
 
@@ -13,7 +14,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +23,10 @@ from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.ranks import hash_rank
 from tabprep.operators import stats
-from tabprep.operators.copula import WIDE_COLUMNS, CopulaSynthesizer, FittedCopula  # noqa: F401
-from tabprep.operators.quality import (_corr_matrix_pairs, quality_by_column,  # noqa: F401
-                                       quality_summary)
-from tabprep.operators.synth import SYNTH_ID, _class_expr, union_real_synthetic  # noqa: F401
+from tabprep.operators.copula import CopulaSynthesizer, FittedCopula  # noqa: F401
+from tabprep.operators.quality import pair_correlations, quality_by_column, quality_summary  # noqa: F401
+from tabprep.operators.synth import SYNTH_ID, class_index, union_real_synthetic  # noqa: F401
+from tabprep.session import store
 
 
 # ------------------------------------------------------------------ independent
@@ -35,8 +37,6 @@ class IndependentSynthesizer:
     key_cols: list
     seed: int = 42
     columns: list = field(default_factory=list)
-    max_levels: int = 10_000
-    dictionary_min_rows: int = 1_000_000
 
     def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedIndependent":
         require_columns(df, [self.label, *self.key_cols])
@@ -45,33 +45,36 @@ class IndependentSynthesizer:
             counts = stats.class_counts(df, self.label)
         if None in counts:
             raise ValueError("null labels cannot be synthesized")
-        # From dictionary_min_rows up, text columns travel as dictionary codes,
-        # so the re-assembly after the join is a hash aggregate over
-        # fixed-width values (a string buffer forces a sort-based aggregate of
-        # every draw: ~20% slower at 12M rows).  Below it the extra levels
-        # pass costs more than the sort it saves.
-        big = sum(counts.values()) >= self.dictionary_min_rows
-        text = [c for c in cols if big and isinstance(df.schema[c].dataType, T.StringType)]
-        dicts = {}
-        if text:
-            lv = stats.distinct_levels(df, {c: qcol(c) for c in text}, self.max_levels)
-            dicts = {c: lv[c] for c in text}
-        coded = df
-        spark = df.sparkSession
-        for j, c in enumerate(text):
-            d = spark.createDataFrame([(v, i) for i, v in enumerate(dicts[c])],
-                                      f"_v{j} string, _code{j} int")
-            # a bounded dictionary (<= max_levels rows): broadcast
-            coded = coded.join(F.broadcast(d), qcol(c) == F.col(f"_v{j}"), "left") \
-                .drop(f"_v{j}").drop(c).withColumnRenamed(f"_code{j}", c)
         h = "_syn_h"
-        hashed = coded.withColumn(h, hash_key(self.seed, *[qcol(k) for k in self.key_cols]))
+        hashed = df.withColumn(h, hash_key(self.seed, *[qcol(k) for k in self.key_cols]))
         ranked = hash_rank(hashed, h, group_cols=[self.label], rank_col="_syn_rank",
                            n=sum(counts.values()))
-        ranked = ranked.select(qcol(self.label).alias("_syn_y"), "_syn_rank", *[qcol(c) for c in cols])
-        return FittedIndependent(self.label, cols, counts, ranked, self.seed,
-                                 {c: df.schema[c].dataType for c in cols},
-                                 df.schema[self.label].dataType, dicts)
+        # one row per (class, rank, column): a draw then meets one value, not a whole row
+        types = {c: df.schema[c].dataType for c in cols}
+        cells = ranked.select(qcol(self.label).alias("_syn_y"), "_syn_rank", F.explode(F.array(*[
+            F.struct(F.lit(j).alias("_j"), _packed(qcol(c), types[c]).alias("_v")) for j, c in enumerate(cols)])).alias("e")) \
+            .select("_syn_y", "_syn_rank", "e._j", "e._v")
+        return FittedIndependent(self.label, cols, counts, cells, self.seed, types, df.schema[self.label].dataType)
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _packed(x: Column, kind: T.DataType) -> Column:
+    """A value as (integer, double, text): the same struct for every column type."""
+    n, d, s = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, _INTEGRAL):
+        n = x.cast("bigint")
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        d = x.cast("double")
+    else:
+        s = x.cast("string")
+    return F.struct(n.alias("n"), d.alias("d"), s.alias("s"))
+
+
+def _unpacked(v: Column, kind: T.DataType) -> Column:
+    part = "n" if isinstance(kind, _INTEGRAL) else "d" if isinstance(kind, (T.FloatType, T.DoubleType)) else "s"
+    return v[part].cast(kind)
 
 
 @dataclass
@@ -79,44 +82,31 @@ class FittedIndependent:
     label: str
     columns: list
     counts: dict
-    ranked: DataFrame
+    cells: DataFrame
     seed: int
     types: dict
     label_type: T.DataType
-    dicts: dict = field(default_factory=dict)
 
-    def generate(self, spark, n: int) -> DataFrame:
+    def generate(self, spark, n: int, materialize: bool = False) -> DataFrame:
+        """``n`` rows: one draw per (row, column), joined to its cell; a row's
+        cells are then collected.  Every step moves n * columns cells."""
         labels = sorted(self.counts)
-        cum, acc = [], 0
-        for y in labels:
-            acc += self.counts[y]
-            cum.append(acc)
-        total = acc
+        ends = np.cumsum([self.counts[y] for y in labels]).tolist()
         ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
-        size_map = F.create_map(*[x for y in labels for x in (F.lit(y), F.lit(self.counts[y]))])
-        base = ids.select(F.col("id").alias(SYNTH_ID),
-                          _class_expr(labels, cum, total, self.seed, "class", F.col("id"))
-                          .cast(self.label_type).alias(self.label))
-        # one draw per (row, column): rank inside the row's class
-        draws = base.select(SYNTH_ID, qcol(self.label), F.explode(F.array(*[
-            F.struct(F.lit(j).alias("j"),
+        sizes = F.array(*[F.lit(int(self.counts[y])) for y in labels])
+        base = ids.select(F.col("id").alias(SYNTH_ID), class_index(ends, self.seed, "class", F.col("id")).alias("_class"))
+        draws = base.select(SYNTH_ID, "_class", F.explode(F.array(*[
+            F.struct(F.lit(j).alias("_j"),
                      (F.floor(hash_uniform(self.seed, F.lit(c), F.col(SYNTH_ID))
-                              * F.element_at(size_map, qcol(self.label))) + 1)
-                     .cast("long").alias("_syn_rank"))
-            for j, c in enumerate(self.columns)])).alias("d"))
-        draws = draws.select(SYNTH_ID, qcol(self.label), F.col("d.j").alias("_j"),
-                             F.col("d._syn_rank").alias("_syn_rank"))
-        picked = draws.withColumnRenamed(self.label, "_syn_y").join(self.ranked, ["_syn_y", "_syn_rank"]) \
-            .withColumnRenamed("_syn_y", self.label)
-        out = picked.groupBy(SYNTH_ID, qcol(self.label)).agg(*[
-            F.max(F.when(F.col("_j") == j, qcol(c))).alias(c) for j, c in enumerate(self.columns)])
-
-        def decoded(c):
-            if c not in self.dicts:
-                return qcol(c)
-            return F.element_at(F.array(*[F.lit(v) for v in self.dicts[c]]), qcol(c) + 1).alias(c)
-        return out.select(SYNTH_ID, *[decoded(c) for c in self.columns], qcol(self.label))
-
+                              * F.element_at(sizes, F.col("_class") + 1)) + 1).cast("long").alias("_syn_rank"))
+            for j, c in enumerate(self.columns)])).alias("d")).select(
+            SYNTH_ID, F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("_class") + 1)
+            .cast(self.label_type).alias("_syn_y"), "d._j", "d._syn_rank")
+        rows = draws.join(self.cells, ["_syn_y", "_syn_rank", "_j"]).groupBy(SYNTH_ID, "_syn_y").agg(
+            F.array_sort(F.collect_list(F.struct("_j", "_v"))).alias("_row"))
+        out = rows.select(SYNTH_ID, *[_unpacked(F.element_at("_row", j + 1)["_v"], self.types[c]).alias(c)
+                                      for j, c in enumerate(self.columns)], F.col("_syn_y").alias(self.label))
+        return store(out, "independent") if materialize else out
 
 
 # ------------------------------------------------------------------ augmentation (G2-G4)
@@ -129,34 +119,48 @@ def make_synthesizer(mode: str, label: str, key_cols: list, seed: int = 42, **op
     raise ValueError(f"unknown synthesizer {mode!r}")
 
 
-def augment_training(spark, train: DataFrame, label: str, key: str, strategy: str | None,
-                     generate_factor: float = 1.0, target_balance: float = 1.0, seed: int = 42,
-                     synthesizer: str = "independent", conditional: bool = True,
-                     **opts) -> DataFrame:
-    """Training rows after the generation strategy, tagged by ``origin``.
+@dataclass
+class GenerationSource:
+    """What a generator is fitted on: (over-sampled) real rows and their classes."""
+    rows: DataFrame
+    group: str
+    key_cols: list
+    columns: list
+    counts: dict
+    conditional: bool
 
-    ``None``: real rows only.  ``balance``: over-sample the minority class,
-    then add synthetic rows.  ``augment``: add synthetic rows.  ``replace``:
-    synthetic rows only.  The row budget is ``floor(rows * factor)`` of the
-    (possibly over-sampled) source.  With ``conditional`` (classification)
-    the synthesizer fits each class separately; otherwise (regression, a
-    continuous label) the label is synthesized like any other column.
-    """
+    @property
+    def n_rows(self) -> int:
+        return sum(self.counts.values())
+
+    def fit(self, mode: str, seed: int = 42, **opts):
+        syn = make_synthesizer(mode, self.group, self.key_cols, seed, columns=self.columns, **opts)
+        rows = self.rows if mode == "independent" else self.rows.select(*[qcol(c) for c in (self.group, *self.columns)])
+        return syn.fit(rows, self.counts)
+
+    def generate(self, fitted, spark, n: int) -> DataFrame:
+        """``n`` rows, written once for their several readers."""
+        out = fitted.generate(spark, n, materialize=True)
+        return out if self.conditional else out.drop(self.group)
+
+
+def generation_source(train: DataFrame, label: str, key: str, strategy: str, target_balance: float = 1.0,
+                      seed: int = 42, conditional: bool = True) -> GenerationSource:
+    """The source of a strategy: over-sampled for ``balance``, else the training rows.
+
+    With ``conditional`` (classification) each class is synthesized on its own;
+    otherwise (regression, a continuous label) all rows are one pseudo-class
+    and the label is a column like any other."""
     from tabprep.operators.sampling import DRAW, oversample, oversample_plan
-    real = train.withColumn("origin", F.lit("real"))
-    if strategy is None:
-        return real
     if strategy not in ("balance", "augment", "replace"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "balance" and not conditional:
         raise ValueError("the balance strategy needs a class label")
-    source = train
-    key_cols = [key]
+    group, source, key_cols = label, train, [key]
     if conditional:
-        group = label
         counts = stats.class_counts(train, label)
     else:
-        group = "_all_rows"                     # one pseudo-class for everything
+        group = "_all_rows"
         source = source.withColumn(group, F.lit(0))
         counts = {0: train.count()}
     if strategy == "balance":
@@ -164,20 +168,33 @@ def augment_training(spark, train: DataFrame, label: str, key: str, strategy: st
         key_cols = [key, DRAW]
         minor, _, k = oversample_plan(counts, target_balance)
         counts = {**counts, minor: counts[minor] + k}
-    # row budget: floor(rows * factor) of the (possibly over-sampled) source
-    n_gen = math.floor(sum(counts.values()) * float(generate_factor))
     cols = [c for c in train.columns if c not in (group, key) and (c != label or not conditional)]
-    if synthesizer == "independent":
-        syn = IndependentSynthesizer(group, key_cols, seed, columns=cols, **opts).fit(source, counts)
-    else:
-        syn = CopulaSynthesizer(group, seed, columns=cols, **opts).fit(source, counts)
-    generated = syn.generate(spark, n_gen).withColumn("origin", F.lit("synthetic"))
-    if not conditional:
-        generated = generated.drop(group)
-        source = source.drop(group)
+    return GenerationSource(source, group, key_cols, cols, counts, conditional)
+
+
+def augment_training(spark, train: DataFrame, label: str, key: str, strategy: str | None,
+                     generate_factor: float = 1.0, target_balance: float = 1.0, seed: int = 42,
+                     synthesizer: str = "independent", conditional: bool = True,
+                     source: GenerationSource | None = None, fitted=None, **opts) -> DataFrame:
+    """Training rows after the generation strategy, tagged by ``origin``.
+
+    ``None``: real rows only.  ``balance``: over-sample the minority class,
+    then add synthetic rows.  ``augment``: add synthetic rows.  ``replace``:
+    synthetic rows only.  The row budget is ``floor(rows * factor)`` of the
+    (possibly over-sampled) source.  Pass ``source`` and ``fitted`` to generate
+    from a generator that a search has chosen.
+    """
+    from tabprep.operators.sampling import DRAW
+    if strategy is None:
+        return train.withColumn("origin", F.lit("real"))
+    source = source or generation_source(train, label, key, strategy, target_balance, seed, conditional)
+    fitted = fitted or source.fit(synthesizer, seed, **opts)
+    n_gen = math.floor(source.n_rows * float(generate_factor))
+    generated = source.generate(fitted, spark, n_gen).withColumn("origin", F.lit("synthetic"))
     if strategy == "replace":
         return generated
-    src = source.withColumn("origin", F.lit("real"))
+    src = source.rows if source.conditional else source.rows.drop(source.group)
+    src = src.withColumn("origin", F.lit("real"))
     if DRAW in src.columns:
         src = src.withColumn("origin", F.when(F.col(DRAW).isNull(), "real").otherwise("oversampled")) \
             .drop(DRAW)

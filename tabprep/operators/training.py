@@ -169,42 +169,62 @@ def utility_score(synthetic: DataFrame, valid: DataFrame, fitted, label: str, ta
     return tune(tr, va, task, metric, maximize, space, n_trials, parallelism, seed).best_value
 
 
-def generator_search(spark, train: DataFrame, valid: DataFrame, fitted, label: str, key: str,
-                     task: str, metric: str, maximize: bool, n_trials: int = 4,
-                     parallelism: int = 1, seed: int = 42, inner_space: SearchSpace | None = None,
-                     inner_trials: int = 2, adjust=None) -> DataFrame:
-    """Random search over synthesizer settings scored by ``utility_score``.
+@dataclass
+class GeneratorSearch:
+    trials: DataFrame
+    best: dict
+    fitted: object   # the winner, ready to generate
+    source: object   # the GenerationSource it was fitted on
+
+
+def tune_generator(spark, source, valid: DataFrame, fitted, label: str, task: str, metric, maximize: bool,
+                   n_trials: int = 16, parallelism: int = 4, inner_trials: int = 6, seed: int = 42,
+                   inner_space: SearchSpace | None = None, adjust=None) -> GeneratorSearch:
+    """Random search over synthesizer settings, each scored by ``utility_score``
+    of as many synthetic rows as ``source`` (a ``GenerationSource``) has.
 
-    Returns the trial table (trial, mode, grid_size, correlated, value); the
-    winner is ``best_trial(table, "value", maximize)``.
+    Works on the over-sampled source of ``balance`` and on continuous labels.
+    Trials run as concurrent Spark jobs; the trial table has one row each.
     """
-    from tabprep.operators.synthesizer import CopulaSynthesizer, IndependentSynthesizer
     rng = np.random.default_rng(seed)
-    cols = [c for c in train.columns if c not in (label, key)]
-    n = train.count()
     configs = []
-    for i in range(n_trials):
+    for _ in range(n_trials):
         cfg = {"mode": str(rng.choice(["independent", "copula"])),
                "grid_size": int(rng.choice([21, 51, 101])),
                "correlated": bool(rng.integers(0, 2))}
         configs.append(adjust(cfg) if adjust else cfg)
 
-    def run(i_cfg):
-        i, cfg = i_cfg
-        if cfg["mode"] == "independent":
-            gen = IndependentSynthesizer(label, [key], seed + i, columns=cols).fit(train).generate(spark, n)
-        else:
-            gen = CopulaSynthesizer(label, seed + i, columns=cols, grid_size=cfg["grid_size"],
-                                    correlated=cfg["correlated"]).fit(train.select(*[qcol(c) for c in [label, *cols]])) \
-                .generate(spark, n)
-        v = utility_score(gen, valid, fitted, label, task, metric, maximize, inner_space,
-                          inner_trials, 1, seed)
-        return (i, cfg["mode"], cfg["grid_size"], cfg["correlated"], v)
+    def fit(i: int):
+        cfg = configs[i]
+        opts = {k: cfg[k] for k in ("grid_size", "correlated")} if cfg["mode"] == "copula" else {}
+        return source.fit(cfg["mode"], seed + i, **opts)
+
+    def run(i: int):
+        generated = source.generate(fit(i), spark, source.n_rows)
+        value = utility_score(generated, valid, fitted, label, task, metric, maximize, inner_space,
+                              inner_trials, 1, seed)
+        cfg = configs[i]
+        return (i, cfg["mode"], cfg["grid_size"], cfg["correlated"], None if math.isnan(value) else value)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, enumerate(configs)))
-    return spark.createDataFrame(rows, "trial int, mode string, grid_size int, correlated boolean, "
-                                       "value double")
+        rows = list(pool.map(run, range(n_trials)))
+    trials = spark.createDataFrame(rows, "trial int, mode string, grid_size int, correlated boolean, value double")
+    best = best_trial(trials, "value", maximize).first()
+    if best is None:
+        raise ValueError("no generator trial produced a metric value")
+    return GeneratorSearch(trials, configs[best["trial"]], fit(best["trial"]), source)
+
+
+def generator_search(spark, train: DataFrame, valid: DataFrame, fitted, label: str, key: str,
+                     task: str, metric: str, maximize: bool, n_trials: int = 16,
+                     parallelism: int = 4, seed: int = 42, inner_space: SearchSpace | None = None,
+                     inner_trials: int = 6, adjust=None, strategy: str = "augment",
+                     target_balance: float = 1.0) -> DataFrame:
+    """Trial table (trial, mode, grid_size, correlated, value) of ``tune_generator``."""
+    from tabprep.operators.synthesizer import generation_source
+    source = generation_source(train, label, key, strategy, target_balance, seed, task == "classification")
+    return tune_generator(spark, source, valid, fitted, label, task, metric, maximize, n_trials, parallelism,
+                          inner_trials, seed, inner_space, adjust).trials
 
 
 def params_table(spark, params: dict) -> DataFrame:
@@ -213,4 +233,4 @@ def params_table(spark, params: dict) -> DataFrame:
 
 
 __all__ = ["SearchSpace", "fit_model", "score", "evaluate", "tune", "utility_score",
-           "generator_search", "load_model", "params_table"]
+           "generator_search", "tune_generator", "GeneratorSearch", "load_model", "params_table"]

@@ -279,8 +279,7 @@ FROM fy, lv
 
 def q_shuffle_rows(spark, d):
     c = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return hash_rank(c.withColumn("_h", hash_key(SEED, "c_custkey")), "_h",
-                     rank_col="position").drop("_h")
+    return sampling.shuffle_rows(c, "c_custkey", SEED, position="position")
 
 
 SQL_SHUFFLE_ROWS = f"""
@@ -381,8 +380,8 @@ SELECT c_custkey, c_mktsegment, 'test' AS split FROM customer WHERE c_mktsegment
 # ------------------------------------------------------------------ C5, D5, G3
 
 def q_class_counts(spark, d):
-    lab = t(spark, d, "labels")
-    return lab.groupBy("quality").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = stats.class_counts(t(spark, d, "labels"), "quality")
+    return spark.createDataFrame(sorted(counts.items()), "quality int, n_rows bigint")
 
 
 SQL_CLASS_COUNTS = "SELECT quality, CAST(count(*) AS BIGINT) AS n_rows FROM labels GROUP BY quality"
@@ -686,8 +685,9 @@ def q_synth_quality(spark, d):
 def _cells_sql(src: str, side: str) -> str:
     return f"""
   SELECT '{side}' AS side, 'o_totalprice' AS col,
-         coalesce(CAST(CAST(least(greatest(floor((o_totalprice - lo) / (CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END)
-                  * 20), 0), 19) AS BIGINT) AS VARCHAR), 'null') AS cell FROM {src}, mm
+         CASE WHEN o_totalprice IS NULL THEN 'null' WHEN o_totalprice < lo THEN 'below' WHEN o_totalprice > hi THEN 'above'
+              ELSE CAST(CAST(least(floor((o_totalprice - lo) / (CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END) * 20), 19)
+                        AS BIGINT) AS VARCHAR) END AS cell FROM {src}, mm
   UNION ALL SELECT '{side}', 'o_orderstatus', coalesce(o_orderstatus, 'null') FROM {src}
   UNION ALL SELECT '{side}', 'o_orderpriority', coalesce(o_orderpriority, 'null') FROM {src}"""
 
@@ -820,9 +820,10 @@ def _cells2_sql(src: str, side: str) -> str:
     for c in ("o_custkey", "o_totalprice"):
         parts.append(f"""
   SELECT '{side}' AS side, '{c}' AS col,
-         coalesce(CAST(CAST(least(greatest(floor((CAST({c} AS DOUBLE) - lo_{c})
-                  / (CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1.0 END) * 20), 0), 19) AS BIGINT)
-                  AS VARCHAR), 'null') AS cell FROM {src}, mm""")
+         CASE WHEN {c} IS NULL THEN 'null' WHEN {c} < lo_{c} THEN 'below' WHEN {c} > hi_{c} THEN 'above'
+              ELSE CAST(CAST(least(floor((CAST({c} AS DOUBLE) - lo_{c})
+                  / (CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1.0 END) * 20), 19) AS BIGINT)
+                  AS VARCHAR) END AS cell FROM {src}, mm""")
     parts.append(f"\n  SELECT '{side}', 'o_orderstatus', coalesce(o_orderstatus, 'null') FROM {src}")
     return " UNION ALL".join(parts)
 
@@ -966,3 +967,153 @@ REGISTRY = {
     "metric_gate": (q_metric_gate, SQL_METRIC_GATE),
 }
 REGISTRY.update(EXTRA)
+
+
+# ------------------------------------------------------------------ A1: typing of text columns
+
+def q_infer_column_types(spark, d):
+    """Orders as text, one column per kind of content; the types found."""
+    key = F.col("o_orderkey")
+    text = t(spark, d, "orders").select(
+        key.cast("string").alias("whole"), F.col("o_totalprice").cast("string").alias("fraction"),
+        F.col("o_orderstatus").alias("letter"), F.concat((key % 9).cast("string"), F.lit("d")).alias("suffixed"),
+        F.when(key % 2 == 0, "True").otherwise("false").alias("flag"), F.lit(None).cast("string").alias("missing"),
+        F.when(key % 3 == 0, None).otherwise(F.concat((key % 7).cast("string"), F.lit("e2"))).alias("scientific"),
+        F.when(key % 5 == 0, "x1").otherwise(key.cast("string")).alias("mixed"))
+    return spark.createDataFrame(infer_types(text).dtypes, "column string, type string")
+
+
+_TYPING = {"whole": "CAST(o_orderkey AS VARCHAR)", "fraction": "CAST(o_totalprice AS VARCHAR)", "letter": "o_orderstatus",
+           "suffixed": "(o_orderkey % 9) || 'd'", "flag": "CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'false' END",
+           "missing": "CAST(NULL AS VARCHAR)",
+           "scientific": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE (o_orderkey % 7) || 'e2' END",
+           "mixed": "CASE WHEN o_orderkey % 5 = 0 THEN 'x1' ELSE CAST(o_orderkey AS VARCHAR) END"}
+SQL_INFER_COLUMN_TYPES = "\nUNION ALL\n".join(f"""
+SELECT '{name}' AS "column", CASE WHEN count(v) = 0 THEN 'double'
+  WHEN bool_and(v IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) THEN 'boolean'
+  WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) THEN 'bigint'
+  WHEN bool_and(regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')) THEN 'double'
+  ELSE 'string' END AS type FROM (SELECT {sql} AS v FROM orders)""" for name, sql in _TYPING.items())
+
+
+# ------------------------------------------------------------------ C11, C12: unscored rows
+
+def q_score_coverage(spark, d):
+    y = scored_labels(spark, d)
+    lost = F.when(F.col("doc_id") % 11 == 0, None).when(F.col("doc_id") % 13 == 0, float("nan")).otherwise(F.col("score"))
+    return metrics.score_coverage(y.withColumn("score", lost), "score")
+
+
+SQL_SCORE_COVERAGE = f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (doc_id % 11 = 0 OR doc_id % 13 = 0) AS BIGINT) AS n_unscored FROM {SCORED}
+"""
+
+
+# ------------------------------------------------------------------ D4, H5: supplied files take no part in a fit
+
+def q_supplied_file_statistics(spark, d):
+    """Encoders of a job whose test file lies far outside the train source, and holds text for numbers."""
+    import uuid
+
+    from tabprep.plans.workflow import prepare
+    from tabprep.session import ensure_checkpoint_dir
+    from tabprep.spec import TabularSpec
+    o = orders_nulled(spark, d).select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    main = o.where(F.col("o_orderkey") % 4 != 0)
+    test = o.where(F.col("o_orderkey") % 4 == 0).withColumn(
+        "o_totalprice", (F.col("o_totalprice") + 1e9).cast("string"))
+    spec = TabularSpec(target_column="o_orderstatus", key_column="o_orderkey", seed=SEED)
+    fitted = prepare(spark, main, spec, f"{ensure_checkpoint_dir(spark)}/tabprep-job-{uuid.uuid4().hex}", test_df=test)
+    rows = [(c, float(median), float(mean), float(std)) for c, median, mean, std in fitted.numeric]
+    return spark.createDataFrame(rows, "feature string, median double, mean double, std double").select(
+        "feature", rnd(F.col("median")).alias("median"), rnd(F.col("mean")).alias("mean"), rnd(F.col("std"), 4).alias("std"))
+
+
+SQL_SUPPLIED_FILE_STATISTICS = f"""
+WITH m AS (SELECT o_totalprice AS x FROM {ORDERS_NULLED} WHERE o_orderkey % 4 <> 0),
+k AS (SELECT median(x) AS med FROM m)
+SELECT 'o_totalprice' AS feature, round(any_value(med), 6) AS median, round(avg(coalesce(x, med)), 6) AS mean,
+       round(stddev_pop(coalesce(x, med)), 4) AS std FROM m, k
+"""
+
+
+# ------------------------------------------------------------------ G6: pairwise-complete correlations at any width
+
+_WIDE = 12
+
+
+def _wide_column(i: int) -> str:
+    """The same expression in Spark SQL and DuckDB: a mix of two columns, missing by rule."""
+    return (f"CASE WHEN l_orderkey % {i + 3} = 0 THEN NULL ELSE "
+            f"l_quantity * {i % 4} + l_extendedprice * {(i * 7) % 5} / 1000 + (l_partkey % {11 + i}) END")
+
+
+def q_quality_summary_wide(spark, d):
+    from tabprep.operators.synthesizer import pair_correlations
+    li = t(spark, d, "lineitem").select("l_linenumber", *[
+        F.expr(_wide_column(i)).cast("double").alias(f"c{i}") for i in range(_WIDE)])
+    names = [f"c{i}" for i in range(_WIDE)]
+    r = pair_correlations(li, names)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    return spark.createDataFrame([(a, b, None if v is None else float(v)) for (a, b), v in zip(pairs, r)],
+                                 "a string, b string, r double").select("a", "b", rnd(F.col("r")).alias("r"))
+
+
+SQL_QUALITY_SUMMARY_WIDE = "WITH w AS (SELECT " + ", ".join(
+    f"CAST({_wide_column(i)} AS DOUBLE) AS c{i}" for i in range(_WIDE)) + " FROM lineitem)\n" + "\nUNION ALL\n".join(
+    f"SELECT 'c{i}' AS a, 'c{j}' AS b, round(corr(c{i}, c{j}), 6) AS r FROM w" for i in range(_WIDE) for j in range(i + 1, _WIDE))
+
+
+# ------------------------------------------------------------------ I1, I2, I7: one boosting step has a closed form
+
+def _stump_rows(spark, d):
+    """A feature of 7 values, a regression target and a binary label, from whole lineitem."""
+    li = t(spark, d, "lineitem")
+    x = F.col("l_linenumber").cast("double")
+    y = F.col("l_quantity") + F.when(F.col("l_linenumber") >= 4, 20.0).otherwise(0.0)
+    return li.select(x.alias("x"), y.cast("double").alias("y"), (y > 30).cast("double").alias("b"))
+
+
+def _stump(spark, d, task: str, label: str):
+    from pyspark.ml.feature import VectorAssembler
+    from tabprep.operators import training
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(_stump_rows(spark, d))
+    params = {"eta": 1.0, "max_depth": 1, "num_round": 1, "min_child_weight": 1.0}
+    model = training.fit_model(rows, task, params, label_col=label, seed=SEED)
+    values = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows.select("x").distinct())
+    return training.score(model, values, task).select("x", rnd(F.col("score")).alias("score"))
+
+
+def q_stump_regression(spark, d):
+    return _stump(spark, d, "regression", "y")
+
+
+def q_stump_classification(spark, d):
+    return _stump(spark, d, "classification", "b")
+
+
+def _stump_sql(target: str, score: str) -> str:
+    return f"""
+WITH s AS (SELECT CAST(l_linenumber AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y FROM
+  (SELECT l_linenumber, l_quantity + CASE WHEN l_linenumber >= 4 THEN 20.0 ELSE 0.0 END AS q FROM lineitem)),
+v AS (SELECT DISTINCT x FROM s),
+c AS (SELECT v.x AS cut, sum(s.y) FILTER (s.x <= v.x) AS sl, count(*) FILTER (s.x <= v.x) AS nl,
+      sum(s.y) FILTER (s.x > v.x) AS sr, count(*) FILTER (s.x > v.x) AS nr FROM s, v GROUP BY v.x),
+b AS (SELECT * FROM c WHERE nr > 0 ORDER BY sl * sl / nl + sr * sr / nr DESC, cut LIMIT 1)
+SELECT v.x, round({score}, 6) AS score FROM (SELECT v.x, CASE WHEN v.x <= cut THEN sl / nl ELSE sr / nr END AS f FROM v, b) v
+"""
+
+
+SQL_STUMP_REGRESSION = _stump_sql("q", "f")
+# the first tree fits labels of -1 and 1; the probability is 1 / (1 + exp(-2 f))
+SQL_STUMP_CLASSIFICATION = _stump_sql("CASE WHEN q > 30 THEN 1 ELSE -1 END", "1 / (1 + exp(-2 * f))")
+
+REGISTRY.update({
+    "infer_column_types": (q_infer_column_types, SQL_INFER_COLUMN_TYPES),
+    "score_coverage": (q_score_coverage, SQL_SCORE_COVERAGE),
+    "supplied_file_statistics": (q_supplied_file_statistics, SQL_SUPPLIED_FILE_STATISTICS),
+    "quality_summary_wide": (q_quality_summary_wide, SQL_QUALITY_SUMMARY_WIDE),
+    "stump_regression": (q_stump_regression, SQL_STUMP_REGRESSION),
+    "stump_classification": (q_stump_classification, SQL_STUMP_CLASSIFICATION),
+})

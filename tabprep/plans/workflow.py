@@ -1,14 +1,16 @@
 """The end-to-end job: spec -> splits -> augmentation -> encoding ->
 tuning -> refit -> test report -> gate -> publish.
 
-Every arrow is a lazy DataFrame; control returns to the driver only for
-fitted parameters (medians, levels, class counts, trial metrics).  The
-split rows are written once (or checkpointed into the cluster's checkpoint
-folder) so later stages do not recompute the source scan.
+Each stage is a function that reads the files of the stages before it and
+writes its own, so any of them can run alone or again.  The source is scanned
+once to type it; the typed rows and the split rows are written once.  Control
+returns to the driver only for fitted parameters (medians, levels, class
+counts, trial metrics).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,8 +21,10 @@ from pyspark.sql import functions as F
 from tabprep.functions.names import check_unique_names, qcol, require_columns
 from tabprep.operators import features, metrics, sampling, training
 from tabprep.operators.publish import gate, publish_if_passed
-from tabprep.operators.synthesizer import augment_training
-from tabprep.session import ensure_checkpoint_dir
+from tabprep.operators.synthesizer import SYNTH_ID, augment_training, generation_source, quality_by_column, quality_summary
+from tabprep.session import drop_stored, ensure_checkpoint_dir, store
+from tabprep.sources.csv import cast_like
+from tabprep.sources.tables import read_report, read_table, write_report, write_splits
 from tabprep.spec import TabularSpec
 
 KEY = "_row_key"
@@ -57,18 +61,16 @@ def with_row_key(df: DataFrame, key: str = KEY) -> DataFrame:
         return df.withColumn(key, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
-def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
-                 test_df: DataFrame | None = None, val_df: DataFrame | None = None,
-                 fit_on: str = "all", synthesizer: str = "independent",
-                 space: training.SearchSpace | None = None, n_trials: int = 6,
-                 parallelism: int = 2, out_dir: str | None = None,
-                 strict_gate: bool = False, tune_on_hard_labels: bool = False) -> WorkflowResult:
-    """Run the whole job.
+def prepare(spark: SparkSession, df: DataFrame, spec: TabularSpec, out_dir: str,
+            test_df: DataFrame | None = None, val_df: DataFrame | None = None,
+            fit_on: str = "all") -> features.FittedPreprocessor:
+    """Stage 1: type, split and encode; writes ``splits``, ``train_source``, ``preprocess`` and ``encoded``.
 
-    Parity options: ``fit_on="all"`` fits the encoders on every row before
-    splitting (the reference's behaviour; ``"train"`` avoids test leakage);
-    ``tune_on_hard_labels`` scores tuning trials on 0/1 predictions instead
-    of probabilities; ``strict_gate`` makes equality fail the gate.
+    The split rows are written once, partitioned by split; all later work
+    reads them pruned.  ``fit_on="all"`` fits the encoders on the whole train
+    source before it is split (the reference's behaviour), ``"train"`` on its
+    train rows.  Supplied files never take part in a fit; their columns are
+    cast to the train source's types.
     """
     check_unique_names(df)
     label = spec.target_column
@@ -79,75 +81,156 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
         df = with_row_key(df)
         key = KEY
     feats = features.feature_columns(df, label, [key])
-    task = spec.ml_task
+    supplied = [None if x is None else cast_like(x, df.schema) for x in (test_df, val_df)]
 
     # label codes (classification), fitted on the training source
-    if task == "classification":
+    if spec.ml_task == "classification":
         enc = features.fit_label_encoding(df, label)
         coded = df.withColumn(label, enc.code())
-        if test_df is not None:
-            test_df = _apply_codes(test_df, label, enc)
-        if val_df is not None:
-            val_df = _apply_codes(val_df, label, enc)
+        supplied = [None if x is None else _apply_codes(x, label, enc) for x in supplied]
     else:
         coded = df.withColumn(label, qcol(label).cast("double"))
-    stratify = label if task == "classification" else None
-
-    splits = sampling.split_with_files(coded, key, test_df, val_df, spec.seed, stratify)
-    fit_rows = splits if fit_on == "all" else splits.where(F.col("split") == "train")
+        supplied = [None if x is None else x.withColumn(label, qcol(label).cast("double")) for x in supplied]
+    stratify = label if spec.ml_task == "classification" else None
+    coded = store(coded, "typed")
+    splits = sampling.split_with_files(coded, key, *supplied, spec.seed, stratify)
+    splits.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/splits")
+    splits = read_splits(spark, out_dir)
+    fit_rows = coded if fit_on == "all" else splits.where(F.col("split") == "train")
     fitted = features.TabularPreprocessor(feats).fit(fit_rows.select(*[qcol(c) for c in feats]))
+    drop_stored(coded)
+    fitted.save(spark, f"{out_dir}/preprocess")
+    splits.where(F.col("split") == "train").drop("split").write.mode("overwrite").parquet(f"{out_dir}/train_source")
+    write_splits(_encode(fitted, splits, label, ["split"]), f"{out_dir}/encoded")
+    return fitted
+
+
+def read_splits(spark: SparkSession, out_dir: str) -> DataFrame:
+    return read_table(spark, f"{out_dir}/splits")
+
+
+def _encode(fitted: features.FittedPreprocessor, part: DataFrame, label: str, keep=()) -> DataFrame:
+    return fitted.transform(part.withColumnRenamed(label, "label"), keep=["label", *keep], assemble=True)
+
+
+def synthesize(spark: SparkSession, spec: TabularSpec, out_dir: str, synthesizer: str = "independent",
+               generator_trials: int = 16, generator_parallelism: int = 4, inner_trials: int = 6,
+               inner_space: training.SearchSpace | None = None) -> None:
+    """Stage 2 (only with a strategy): synthetic rows, their report, and the encoded augmented train rows.
+
+    ``synthesizer="tuned"`` searches the generator's settings by downstream
+    quality on the validation rows and generates from the best one.
+    """
+    if spec.strategy is None:
+        return
+    fitted = features.FittedPreprocessor.load(spark, f"{out_dir}/preprocess")
+    label, key = spec.target_column, spec.key_column or KEY
+    train = read_table(spark, f"{out_dir}/train_source")
+    conditional = spec.ml_task == "classification"
+    source = generator = None
+    if synthesizer == "tuned":
+        valid = read_splits(spark, out_dir).where(F.col("split") == "validation")
+        source = generation_source(train, label, key, spec.strategy, spec.target_balance, spec.seed, conditional)
+        found = training.tune_generator(spark, source, valid, fitted, label, spec.ml_task, spec.ml_eval_metric,
+                                        spec.maximize, generator_trials, generator_parallelism, inner_trials,
+                                        spec.seed, inner_space)
+        found.trials.coalesce(1).write.mode("overwrite").json(f"{out_dir}/generator_trials")
+        generator = found.fitted
+    rows = augment_training(spark, train, label, key, spec.strategy, spec.generate_factor, spec.target_balance,
+                            spec.seed, synthesizer, conditional, source=source, fitted=generator)
+    rows.write.mode("overwrite").partitionBy("origin").parquet(f"{out_dir}/train_augmented")
+    rows = read_table(spark, f"{out_dir}/train_augmented")
+    feats = [label, *fitted.input_columns]
+    write_synthetic_report(train, rows.where(F.col("origin") == "synthetic"), feats, f"{out_dir}/synthetic", spec.seed)
+    _encode(fitted, rows, label).write.mode("overwrite").parquet(f"{out_dir}/encoded_augmented")
+
 
-    real_train = splits.where(F.col("split") == "train").drop("split")
-    train = augment_training(spark, real_train, label, key, spec.strategy, spec.generate_factor,
-                             spec.target_balance, spec.seed, synthesizer,
-                             conditional=task == "classification")
-    if out_dir:
-        real_train.write.mode("overwrite").parquet(f"{out_dir}/train_source")
-        if spec.strategy is not None:
-            write_synthetic_report(real_train, train.where(F.col("origin") == "synthetic"),
-                                   [label, *feats], f"{out_dir}/synthetic", spec.seed)
-
-    def encode(part):
-        return fitted.transform(part.withColumnRenamed(label, "label"), keep=["label"], assemble=True)
-
-    # encoded train / validation rows feed every trial and the refit: cache
-    # them once (recomputable from lineage if an executor is lost)
-    tr_cached = encode(train).persist(StorageLevel.MEMORY_AND_DISK)
-    va_cached = encode(splits.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
-    te = encode(splits.where(F.col("split") == "test"))
+def train_stage(spark: SparkSession, spec: TabularSpec, out_dir: str, space: training.SearchSpace | None = None,
+                n_trials: int = 6, parallelism: int = 2, hard_labels: bool = False) -> training.TuningResult:
+    """Stage 3: tune on the stored encodings, refit; writes ``best_params`` and ``candidate_model``."""
+    encoded = read_table(spark, f"{out_dir}/encoded")
+    if spec.strategy is None:
+        train = encoded.where(F.col("split") == "train").drop("split")
+    else:
+        train = read_table(spark, f"{out_dir}/encoded_augmented")
+    valid = encoded.where(F.col("split") == "validation").drop("split")
+    # they feed every trial and the refit: cached once (reread from the files if an executor is lost)
+    cached = [x.persist(StorageLevel.MEMORY_AND_DISK) for x in (train, valid)]
     try:
-        tr, va = _right_sized(tr_cached), _right_sized(va_cached)
-        tuning = training.tune(tr, va, task, spec.ml_eval_metric, spec.maximize, space, n_trials,
-                               parallelism, spec.seed, hard_labels=tune_on_hard_labels,
-                               cache_inputs=False)
-        model = training.fit_model(tr, task, tuning.best_params, seed=spec.seed)
+        tr, va = map(_right_sized, cached)
+        tuning = training.tune(tr, va, spec.ml_task, spec.ml_eval_metric, spec.maximize, space, n_trials,
+                               parallelism, spec.seed, hard_labels=hard_labels, cache_inputs=False)
+        model = training.fit_model(tr, spec.ml_task, tuning.best_params, seed=spec.seed)
     finally:
-        tr_cached.unpersist()
-        va_cached.unpersist()
-    scored = training.score(model, te, task)
-    if task == "classification":
-        flat = metrics.classification_report(scored, "label", "score")
+        for x in cached:
+            x.unpersist()
+    training.params_table(spark, tuning.best_params).coalesce(1).write.mode("overwrite").json(f"{out_dir}/best_params")
+    model.write().overwrite().save(f"{out_dir}/candidate_model")
+    return tuning
+
+
+def evaluate_stage(spark: SparkSession, spec: TabularSpec, out_dir: str) -> DataFrame:
+    """Stage 4: score the stored model on the stored test rows; writes ``evaluation``; returns the flat report."""
+    model = training.load_model(f"{out_dir}/candidate_model", spec.ml_task)
+    test = read_table(spark, f"{out_dir}/encoded").where(F.col("split") == "test").drop("split")
+    scored = training.score(model, test, spec.ml_task)
+    if spec.ml_task == "classification":
+        flat = metrics.collected_report(scored, "label", "score")
         report = metrics.report_struct(flat)
     else:
         flat = metrics.regression_report(scored, "label", "score")
+        flat = spark.createDataFrame(flat.collect(), flat.schema)
         report = metrics.report_struct(flat, names=("mse", "mae", "R2", "rmse"))
-    g = gate(report, spec.ml_eval_metric, spec.ml_metric_threshold, spec.maximize, strict_gate)
-    published = False
-    if out_dir:
-        fitted.save(spark, f"{out_dir}/preprocess")
-        training.params_table(spark, tuning.best_params).coalesce(1).write.mode("overwrite") \
-            .json(f"{out_dir}/best_params")
-        report.coalesce(1).write.mode("overwrite").json(f"{out_dir}/evaluation")
-        published = publish_if_passed(spark, g, model, f"{out_dir}/model", f"{out_dir}/registry")
-    return WorkflowResult(splits, fitted, tuning, model, flat, g, published)
+    write_report(report, f"{out_dir}/evaluation")
+    return flat
+
+
+def gate_stage(spark: SparkSession, spec: TabularSpec, out_dir: str, strict: bool = False,
+               publish: bool = True) -> tuple[DataFrame, bool]:
+    """Stage 5: gate the stored report; publishes the stored model if it passes."""
+    g = gate(read_report(spark, f"{out_dir}/evaluation"), spec.ml_eval_metric, spec.ml_metric_threshold,
+             spec.maximize, strict)
+    if not publish:
+        return g, False
+    model = training.load_model(f"{out_dir}/candidate_model", spec.ml_task)
+    return g, publish_if_passed(spark, g, model, f"{out_dir}/model", f"{out_dir}/registry")
+
+
+def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
+                 test_df: DataFrame | None = None, val_df: DataFrame | None = None,
+                 fit_on: str = "all", synthesizer: str = "independent",
+                 space: training.SearchSpace | None = None, n_trials: int = 6,
+                 parallelism: int = 2, out_dir: str | None = None,
+                 strict_gate: bool = False, tune_on_hard_labels: bool = False,
+                 generator_trials: int = 16, generator_parallelism: int = 4,
+                 inner_trials: int = 6) -> WorkflowResult:
+    """Run the whole job, stage by stage, each from the files of the one before.
+
+    Without ``out_dir`` the files go to the session's shared folder and
+    nothing is published.  Parity options: ``fit_on`` (see ``prepare``);
+    ``synthesizer="tuned"`` searches the generator (``generator_trials``, so
+    many at once, ``inner_trials`` models each: the reference's sizes);
+    ``tune_on_hard_labels`` scores tuning trials on 0/1 predictions instead
+    of probabilities; ``strict_gate`` makes equality fail the gate.
+    """
+    where = out_dir or f"{ensure_checkpoint_dir(spark)}/tabprep-job-{uuid.uuid4().hex}"
+    fitted = prepare(spark, df, spec, where, test_df, val_df, fit_on)
+    synthesize(spark, spec, where, synthesizer, generator_trials, generator_parallelism, inner_trials, space)
+    tuning = train_stage(spark, spec, where, space, n_trials, parallelism, tune_on_hard_labels)
+    flat = evaluate_stage(spark, spec, where)
+    g, published = gate_stage(spark, spec, where, strict_gate, publish=out_dir is not None)
+    model = training.load_model(f"{where}/candidate_model", spec.ml_task)
+    return WorkflowResult(read_splits(spark, where), fitted, tuning, model, flat, g, published)
 
 
 def write_synthetic_report(real: DataFrame, synthetic: DataFrame, columns: list, path: str,
                            seed: int = 42, sample_size: int = 100) -> None:
     """Quality by column, quality summary and a seeded sample of synthetic rows."""
-    from tabprep.operators.synthesizer import SYNTH_ID, quality_by_column, quality_summary
-    quality_by_column(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/by_column")
-    quality_summary(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    by_column = quality_by_column(real, synthetic, columns)
+    by_column = by_column.sparkSession.createDataFrame(by_column.collect(), by_column.schema)  # a row a column
+    by_column.coalesce(1).write.mode("overwrite").json(f"{path}/by_column")
+    quality_summary(real, synthetic, columns, by_column=by_column).coalesce(1).write.mode("overwrite") \
+        .json(f"{path}/summary")
     sampling.sample_rows(synthetic, SYNTH_ID, sample_size, seed).write.mode("overwrite") \
         .parquet(f"{path}/sample")
 
@@ -180,11 +263,14 @@ def _apply_codes(df: DataFrame, label: str, enc: features.LabelEncoding) -> Data
 
 def run_spec(spark: SparkSession, spec: TabularSpec, **kw) -> WorkflowResult:
     """Run a job from its spec alone: read the train CSV (and the optional
-    validation / test CSVs) named in the spec, then ``run_workflow``."""
+    validation / test CSVs) named in the spec, then ``run_workflow`` with a
+    generator search.  Supplied files are read as text and take the train
+    file's types."""
     from tabprep.sources.csv import read_csv
+    kw.setdefault("synthesizer", "tuned")
     if not spec.train_path:
         raise ValueError("the spec names no train_path")
     df = read_csv(spark, spec.train_path)
-    test_df = read_csv(spark, spec.test_path) if spec.test_path else None
-    val_df = read_csv(spark, spec.validation_path) if spec.validation_path else None
+    test_df = read_csv(spark, spec.test_path, infer=False) if spec.test_path else None
+    val_df = read_csv(spark, spec.validation_path, infer=False) if spec.validation_path else None
     return run_workflow(spark, df, spec, test_df=test_df, val_df=val_df, **kw)

@@ -72,6 +72,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python tasks import this package where only the driver's ``sys.path`` has it.
+
+    Sets the workers' ``PYTHONPATH``; on a cluster whose machines lack the
+    package, install it or submit it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 #: Paths of the tables that ``store`` wrote and nobody dropped yet, by application.
 _STORED: dict[str, list[str]] = {}
 

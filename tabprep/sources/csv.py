@@ -24,6 +24,8 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 # Text read as booleans.
 TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
+#: Text that is a number: decimal or scientific notation, or an infinity.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
 
 def normalize_na(df: DataFrame, cols=None, tokens=NA_TOKENS) -> DataFrame:
@@ -49,9 +51,11 @@ def infer_types(df: DataFrame, cols=None) -> DataFrame:
         .select("e.i", "e.s")
     x = F.col("s")
     nn = x.isNotNull()
+    # a cast alone would also take Java literals such as "1d" or "2f"
+    number = x.rlike(NUMBER)
     rows = {r["i"]: r for r in long.groupBy("i").agg(
-        F.count_if(nn & F.expr("try_cast(s as double)").isNull()).alias("d"),
-        F.count_if(nn & F.expr("try_cast(s as long)").isNull()).alias("l"),
+        F.count_if(nn & ~(number & F.expr("try_cast(s as double)").isNotNull())).alias("d"),
+        F.count_if(nn & ~(number & F.expr("try_cast(s as long)").isNotNull())).alias("l"),
         F.count_if(nn & ~x.isin(TRUE_TOKENS + FALSE_TOKENS)).alias("b"),
         F.count(x).alias("n")).collect()}
     kinds = {}
@@ -78,6 +82,25 @@ def infer_types(df: DataFrame, cols=None) -> DataFrame:
     return df.select(*out)
 
 
+def cast_like(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns that ``schema`` names, cast to its types (text to boolean by token).
+
+    A value that does not fit its column is null.  Columns the schema lacks stay as they are.
+    """
+    want = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for f in df.schema.fields:
+        kind = want.get(f.name)
+        if kind is None or kind == f.dataType:
+            out.append(qcol(f.name))
+        elif isinstance(kind, T.BooleanType) and isinstance(f.dataType, T.StringType):
+            out.append(F.when(qcol(f.name).isin(TRUE_TOKENS), True)
+                       .when(qcol(f.name).isin(FALSE_TOKENS), False).alias(f.name))
+        else:
+            out.append(qcol(f.name).try_cast(kind).alias(f.name))
+    return df.select(*out)
+
+
 def read_csv(spark: SparkSession, path: str, na_tokens=NA_TOKENS, infer: bool = True,
              **options) -> DataFrame:
     """Header CSV (plain or ``.gz``) -> NA tokens to null -> typed columns."""

@@ -5,6 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 TASKS = ("classification", "regression")
+# The learner objectives that job specs name, by task.
+OBJECTIVES = {"binary:logistic": "classification", "reg:linear": "regression",
+              "reg:squarederror": "regression"}
 STRATEGIES = (None, "balance", "augment", "replace")
 
 
@@ -16,7 +19,7 @@ class TabularSpec:
     train_path: str | None = None
     validation_path: str | None = None
     test_path: str | None = None
-    objective: str = "binary:logistic"
+    objective: str | None = None
     objective_type: str = "Maximize"
     ml_eval_metric: str = "f1"
     ml_metric_threshold: float = 0.0
@@ -30,6 +33,11 @@ class TabularSpec:
     def __post_init__(self):
         if self.ml_task not in TASKS:
             raise ValueError(f"ml_task must be one of {TASKS}, got {self.ml_task!r}")
+        if self.objective is None:
+            self.objective = "binary:logistic" if self.ml_task == "classification" else "reg:squarederror"
+        if OBJECTIVES.get(self.objective) != self.ml_task:
+            raise ValueError(f"objective {self.objective!r} does not fit the task {self.ml_task!r}; "
+                             f"known objectives: {sorted(OBJECTIVES)}")
         if self.strategy not in STRATEGIES:
             raise ValueError(f"unknown generation strategy {self.strategy!r}; "
                              f"expected one of {STRATEGIES}")
@@ -69,11 +77,12 @@ class TabularSpec:
             validation_path=ds.get("validation_path"),
             test_path=ds.get("test_path"),
             ml_task=ml.get("ml_task", "classification"),
-            objective=ml.get("objective", "binary:logistic"),
+            objective=ml.get("objective"),
             objective_type=ml.get("objective_type", "Maximize"),
             ml_eval_metric=ml.get("ml_eval_metric", "f1"),
             ml_metric_threshold=float(ml.get("ml_metric_threshold", 0.0)),
             strategy=gen.get("strategy"),
-            generate_factor=float(gen.get("generate_factor", 1.0) or 1.0),
+            # only a missing value takes the default; 0 generates nothing
+            generate_factor=1.0 if gen.get("generate_factor") is None else float(gen["generate_factor"]),
             target_balance=gen.get("target_balance"),
         )

@@ -62,9 +62,15 @@ def test_binary_only(spark):
         metrics.classification_report(_df(spark, [0, 1, 2], [.1, .2, .3]), "y", "s")
 
 
-def test_nan_and_null_scores_are_ignored(spark):
+def test_unscored_rows_are_refused(spark):
     base = _df(spark, [0, 0, 1, 1, 1, 0], [.1, .4, .35, .8, .4, .2])
     extra = spark.createDataFrame([(1, float("nan")), (0, None)], "y int, s double")
-    a = metrics.classification_report(base, "y", "s").first()
-    b = metrics.classification_report(base.unionByName(extra), "y", "s").first()
-    assert (a["auc"], a["aucpr"], a["f1"]) == (b["auc"], b["aucpr"], b["f1"])
+    rows = base.unionByName(extra)
+    assert tuple(metrics.score_coverage(rows, "s").first()) == (8, 2)
+    with pytest.raises(metrics.UnscoredRows, match="2 rows"):
+        metrics.classification_report(rows, "y", "s")
+    with pytest.raises(metrics.UnscoredRows, match="2 rows"):
+        metrics.classification_metrics(rows, "y", "s")
+    with pytest.raises(metrics.UnscoredRows, match="2 rows"):
+        metrics.regression_report(rows, "y", "s")
+    assert metrics.classification_metrics(base, "y", "s")["tp"] > 0

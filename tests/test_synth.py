@@ -1,9 +1,12 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabprep.operators.correlation import correlations, pairwise_moments
 from tabprep.operators.synth import union_real_synthetic
-from tabprep.operators.synthesizer import (CopulaSynthesizer, IndependentSynthesizer,
-                                           augment_training, quality_by_column, quality_summary)
+from tabprep.operators.synthesizer import (CopulaSynthesizer, IndependentSynthesizer, augment_training,
+                                           pair_correlations, quality_by_column, quality_summary)
 
 
 def test_union_missing_column(spark):
@@ -67,16 +70,14 @@ def test_augment_strategies(spark):
 
 
 def test_wide_copula_path(spark):
-    from tabprep.operators.synthesizer import WIDE_COLUMNS
     base = spark.range(6000).select((F.col("id") % 3).cast("int").alias("y"), F.randn(3).alias("a"),
                                     F.col("id"))
-    cols = {f"n{i}": F.col("a") * (i % 3) + F.randn(10 + i) for i in range(WIDE_COLUMNS)}
+    cols = {f"n{i}": F.col("a") * (i % 3) + F.randn(10 + i) for i in range(8)}
     cols["cnt"] = (F.abs(F.col("a")) * 3).cast("int")
     cols["k"] = F.when(F.col("id") % 10 == 0, None).when(F.col("a") > 0, "hi").otherwise("lo")
     cols["m"] = F.when(F.col("id") % 5 == 0, None).otherwise(F.col("a"))
     df = base.withColumns(cols).drop("id", "a")
     fitted = CopulaSynthesizer("y", seed=11).fit(df)
-    assert fitted.wide
     gen = fitted.generate(spark, 6000)
     assert gen.count() == 6000
     assert dict(gen.dtypes)["cnt"] == "int" and dict(gen.dtypes)["k"] == "string"
@@ -91,29 +92,56 @@ def test_wide_copula_path(spark):
 
 
 def test_quality_summary_wide_matches_pairwise(spark):
-    from tabprep.operators.synthesizer import _corr_matrix_pairs
     base = spark.range(3000).select(F.randn(4).alias("a"))
     df = base.withColumns({f"n{i}": F.col("a") * (i % 3) + F.randn(30 + i) for i in range(12)})
     names = [f"n{i}" for i in range(12)]
-    got = _corr_matrix_pairs(df, names)
+    got = pair_correlations(df, names)
     want = [df.stat.corr(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
     assert got == pytest.approx(want, abs=1e-9)
     q = quality_summary(df, df, names).first()
     assert q["correlation_similarity"] == pytest.approx(100.0)
 
 
-def test_independent_dictionary_coded_text(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source", "n_chars") \
-        .join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
-    plain = IndependentSynthesizer("quality", ["doc_id"], columns=["lang", "source", "n_chars"]).fit(d)
-    coded = IndependentSynthesizer("quality", ["doc_id"], columns=["lang", "source", "n_chars"],
-                                   dictionary_min_rows=0).fit(d)
-    assert set(coded.dicts) == {"lang", "source"} and not plain.dicts
-    a, b = plain.generate(spark, 500), coded.generate(spark, 500)
-    # same draws, same values: coding is only a transport format
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan
+def test_independent_keeps_types_and_any_number_of_values(spark):
+    d = spark.range(4000).selectExpr(
+        "id", "id % 2 as y", "concat('text ', id) as t", "cast(id as decimal(12,2)) / 4 as amount",
+        "id % 3 = 0 as flag", "date_add(date'2024-01-01', cast(id % 90 as int)) as day",
+        "cast(id * 0.1 as float) as f", "if(id % 5 = 0, null, cast(id as int)) as n")
+    gen = IndependentSynthesizer("y", ["id"]).fit(d).generate(spark, 3000)
+    assert dict(gen.dtypes) == {"synth_id": "bigint", **{c: k for c, k in d.dtypes if c != "id"}}
+    for c in ("t", "amount", "day", "f", "n", "flag"):  # values come from the class's own rows
+        assert gen.select("y", c).exceptAll(gen.select("y", c).join(d.select("y", c).distinct(), ["y", c], "left_semi")
+                                            .unionByName(gen.select("y", c).where(F.col(c).isNull()))).count() == 0
+    assert gen.select("t").distinct().count() > 1800
+    assert 0.15 < gen.where("n is null").count() / 3000 < 0.25
+
+
+def test_copula_takes_no_part_of_missing_values(spark):
+    """Correlations are those of the complete pairs, at any width; types are kept."""
+    base = spark.range(6000).withColumn("a", F.randn(1)).withColumn("u", F.rand(2))
+    df = base.select("id", F.lit(1).alias("y"), "a", (F.col("a") + 0.02 * F.randn(3)).alias("full"),
+                     F.when(F.col("u") > 0.6, F.col("a") + 0.02 * F.randn(3)).alias("b"), (F.col("a") > 0).alias("flag"),
+                     F.col("a").cast("decimal(10,3)").alias("dec")).checkpoint()
+    wide = df.withColumns({f"n{i}": F.rand(i) for i in range(9)})
+    for d in (df, wide):
+        fitted = CopulaSynthesizer("y").fit(d.drop("id"))
+        m = fitted.correlations(d)[1]
+        names = fitted.numeric
+        assert m[names.index("a"), names.index("b")] > 0.98
+        gen = fitted.generate(spark, 6000)
+        assert dict(gen.dtypes) == {"synth_id": "bigint", **{c: k for c, k in d.dtypes if c != "id"}}
+        both = gen.where("b is not null")
+        assert both.stat.corr("a", "b") > 0.95 and abs(both.count() / 6000 - 0.4) < 0.05
+    out = augment_training(spark, df.withColumn("y", (F.col("id") % 10 < 3).cast("int")), "y", "id", "augment", synthesizer="copula")
+    assert out.where("origin = 'synthetic'").count() == 6000
+
+
+def test_correlations_of_pairs(spark):
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.array(*[
+        F.when(F.rand(i) > 0.3, F.randn(40 + i % 2) + F.randn(50 + i)).otherwise(float("nan")) for i in range(12)]).alias("v")).checkpoint()
+    m = correlations(pairwise_moments(df, "v", "g"))["g"]
+    x = pd.DataFrame(df.toPandas()["v"].tolist())
+    assert np.allclose(m, x.corr().to_numpy(), atol=1e-9)
 
 
 def test_quality_with_empty_synthetic_side(spark, sf):

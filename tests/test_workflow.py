@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tabprep.operators import features
 from tabprep.operators.training import SearchSpace
 from tabprep.plans.workflow import run_workflow
 from tabprep.spec import TabularSpec
@@ -147,3 +148,71 @@ def test_run_spec_from_paths(spark, sf, tmp_path):
     n_train_file = spark.read.option("header", True).csv(str(tmp_path / "train")).count()
     assert counts["validation"] == spark.read.option("header", True).csv(str(tmp_path / "valid")).count()
     assert counts["test"] == -(-n_train_file * 2 // 10)
+
+
+def test_spec_values_are_kept_or_refused():
+    import pytest
+    zero = {"dataset": {"target_column": "y"}, "gen": {"strategy": "augment", "generate_factor": 0}}
+    assert TabularSpec.from_dict(zero).generate_factor == 0.0
+    zero["gen"]["generate_factor"] = None
+    assert TabularSpec.from_dict(zero).generate_factor == 1.0
+    assert TabularSpec("y", ml_task="regression").objective == "reg:squarederror"
+    with pytest.raises(ValueError):
+        TabularSpec("y", objective="rank:pairwise")
+    with pytest.raises(ValueError):
+        TabularSpec("y", ml_task="regression", objective="binary:logistic")
+
+
+def test_stages_run_alone_from_files(spark, sf, tmp_path):
+    """Every stage starts from the stored files; a text column whose test file holds only digits keeps its type."""
+    from tabprep.plans import workflow as w
+    from tabprep.plans.catalog import docs_labelled
+    df = docs_labelled(spark, sf).select(F.col("doc_id").alias("id"), "quality", "source", "n_chars")
+    main = df.where(F.col("id") % 5 != 0)
+    test = df.where(F.col("id") % 5 == 0).withColumn("source", (F.col("id") % 7).cast("string")) \
+        .withColumn("n_chars", F.lit("1000000"))
+    spec = TabularSpec(target_column="quality", key_column="id", strategy="replace", ml_eval_metric="aucpr")
+    out = str(tmp_path / "job")
+    fitted = w.prepare(spark, main, spec, out, test_df=test)
+    alone = features.TabularPreprocessor(["source", "n_chars"]).fit(main.select("source", "n_chars"))
+    assert fitted.numeric == alone.numeric and fitted.categorical == alone.categorical
+    encoded = spark.read.parquet(f"{out}/encoded")
+    assert {r["split"] for r in encoded.select("split").distinct().collect()} == {"train", "validation", "test"}
+    w.synthesize(spark, spec, out)
+    assert {r["origin"] for r in spark.read.parquet(f"{out}/train_augmented").select("origin").distinct().collect()} == {"synthetic"}
+    space = SearchSpace(max_depth=(2, 2), num_round=(2, 2))
+    w.train_stage(spark, spec, out, space, n_trials=1, parallelism=1)
+    first = w.evaluate_stage(spark, spec, out).first()
+    assert w.evaluate_stage(spark, spec, out).first() == first
+    assert first["tp"] + first["fn"] + first["tn"] + first["fp"] == test.count()
+    g, published = w.gate_stage(spark, spec, out)
+    assert published and g.first()["passed"] and spark.read.json(f"{out}/evaluation").count() == 1
+
+
+def test_job_tunes_its_generator(spark, sf, tmp_path):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 20 = 0").select(
+        (F.col("l_extendedprice") / 1000).alias("price"), "l_quantity", "l_returnflag")
+    spec = TabularSpec(target_column="price", ml_task="regression", objective_type="Minimize", ml_eval_metric="rmse",
+                       ml_metric_threshold=1000.0, strategy="augment")
+    out = str(tmp_path / "job")
+    res = run_workflow(spark, li, spec, synthesizer="tuned", generator_trials=2, generator_parallelism=2, inner_trials=1,
+                       space=SearchSpace(max_depth=(2, 2), num_round=(2, 3)), n_trials=1, parallelism=1, out_dir=out)
+    trials = spark.read.json(f"{out}/generator_trials").collect()
+    assert len(trials) == 2 and all(r["value"] > 0 for r in trials) and res.published
+    assert spark.read.parquet(f"{out}/train_augmented").where("origin = 'synthetic'").count() > 0
+
+
+def test_colliding_feature_names(spark):
+    df = spark.createDataFrame([("b_c", "c"), ("x", "y"), ("b_c", "y")], "a string, a_b string")
+    fitted = features.TabularPreprocessor().fit(df)
+    names = fitted.feature_names()
+    assert len({n.lower() for n in names}) == len(names) and "cat__a_b_c" in names and "cat__a_b_c__2" in names
+    flat = [tuple(r) for r in fitted.transform(df).collect()]
+    dense = [tuple(r["features"].toArray()) for r in fitted.transform(df, assemble=True).collect()]
+    assert flat == dense
+
+
+def test_java_number_literals_are_text(spark):
+    from tabprep.sources.csv import infer_types
+    df = spark.createDataFrame([("1d", "2f", "1.5", "7", "-1e3", "inf")], "a string, b string, c string, d string, e string, f string")
+    assert dict(infer_types(df).dtypes) == {"a": "string", "b": "string", "c": "double", "d": "bigint", "e": "double", "f": "double"}
