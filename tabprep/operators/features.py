@@ -102,16 +102,34 @@ class LabelEncoding:
         m = F.create_map(*[x for i, v in enumerate(self.classes) for x in (F.lit(v), F.lit(i))])
         return F.coalesce(F.element_at(m, qcol(self.label)), F.lit(-1)).cast("int")
 
+    def apply(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """``df`` with the code in ``out`` (default: in place of the label).
 
-def fit_label_encoding(df: DataFrame, label: str, max_classes: int = 10_000) -> LabelEncoding:
+        A few classes are a literal map; more are a table that is joined
+        (broadcast up to BROADCAST_CLASSES rows), so the plan stays small.
+        """
+        out = out or self.label
+        if len(self.classes) <= LITERAL_CLASSES:
+            return df.withColumn(out, self.code())
+        kind = df.schema[self.label].dataType.simpleString()
+        table = df.sparkSession.createDataFrame(list(zip(self.classes, range(len(self.classes)))), f"_class {kind}, _code int")
+        table = F.broadcast(table) if len(self.classes) <= BROADCAST_CLASSES else table
+        return df.join(table, qcol(self.label) == F.col("_class"), "left") \
+            .withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_class", "_code")
+
+
+#: Classes that may stand in the plan as a literal map; classes of a table that may be broadcast.
+LITERAL_CLASSES, BROADCAST_CLASSES = 64, 500_000
+
+
+def fit_label_encoding(df: DataFrame, label: str) -> LabelEncoding:
     """Sorted distinct labels (numbers sort as numbers, strings as strings)."""
-    counts = stats.class_counts(df, label, max_classes)
+    counts = stats.class_counts(df, label)
     return LabelEncoding(label, sorted(v for v in counts if v is not None))
 
 
 def encode_label(df: DataFrame, label: str, out: str | None = None) -> DataFrame:
-    enc = fit_label_encoding(df, label)
-    return df.withColumn(out or label, enc.code())
+    return fit_label_encoding(df, label).apply(df, out)
 
 
 # ---------------------------------------------------------------- preprocessor

@@ -21,7 +21,10 @@ from tabprep.functions.ranks import hash_cutoffs, hash_rank, prefix_counts
 from tabprep.operators.stats import class_counts
 
 SPLIT = "split"
-MAX_CLASSES = 10_000
+#: Strata whose thresholds may stand in the plan as literals; more become a joined table.
+LITERAL_STRATA = 64
+#: Rows of a threshold table that may be broadcast.
+BROADCAST_STRATA = 500_000
 
 
 # ---------------------------------------------------------------- D1
@@ -134,10 +137,7 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, stratify: str | None =
     # one scan gives both the class sizes and the first md5-prefix level
     level1 = prefix_counts(hashed, h, stratify).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = (level1.groupBy("_g").agg(F.sum("_n").alias("n"))
-                .limit(MAX_CLASSES + 1).collect())
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} strata in {stratify!r}")
+        rows = level1.groupBy("_g").agg(F.sum("_n").alias("n")).collect()  # a row a class
         counts = {r["_g"]: int(r["n"]) for r in rows}
         if stratify and None in counts:
             raise ValueError(f"null values in stratification column {stratify!r}")
@@ -149,7 +149,15 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, stratify: str | None =
         cut = hash_cutoffs(hashed, h, wanted, group_col=stratify, first_level=level1)
     finally:
         level1.unpersist()
-    return hashed.withColumn(split_col, _split_expr(F.col(h), quotas, cut, stratify)).drop(h)
+    if len(quotas) <= LITERAL_STRATA:
+        return hashed.withColumn(split_col, _split_expr(F.col(h), quotas, cut, stratify)).drop(h)
+    kind = df.schema[stratify].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(
+        [(c, cut[(c, t)], cut[(c, t + v)]) for c, (t, v) in quotas.items()], f"_y {kind}, _t string, _v string")
+    table = F.broadcast(table) if len(quotas) <= BROADCAST_STRATA else table
+    tagged = hashed.join(table, qcol(stratify) == F.col("_y"))
+    return tagged.withColumn(split_col, F.when(F.col(h) <= F.col("_t"), "test").when(
+        F.col(h) <= F.col("_v"), "validation").otherwise("train")).drop(h, "_y", "_t", "_v")
 
 
 def _split_expr(h: Column, quotas: dict, cut: dict, stratify: str | None) -> Column:

@@ -1109,7 +1109,38 @@ SQL_STUMP_REGRESSION = _stump_sql("q", "f")
 # the first tree fits labels of -1 and 1; the probability is 1 / (1 + exp(-2 f))
 SQL_STUMP_CLASSIFICATION = _stump_sql("CASE WHEN q > 30 THEN 1 ELSE -1 END", "1 / (1 + exp(-2 * f))")
 
+# ------------------------------------------------------------------ C7, D3 with thousands of classes
+
+def q_split_many_classes(spark, d):
+    """A stratum per customer: thousands of classes, thresholds joined as a table."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    often = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n >= 10").select("o_custkey")
+    return sampling.split_exact(o.join(often, "o_custkey").select("o_orderkey", "o_custkey"), "o_orderkey", SEED,
+                                stratify="o_custkey")
+
+
+SQL_SPLIT_MANY_CLASSES = stratified_split_sql(
+    "(SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN "
+    "(SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) >= 10))",
+    "o_orderkey", "o_custkey", "o_orderkey, o_custkey")
+
+
+def q_encode_many_labels(spark, d):
+    """Label codes of the part key's text: thousands of classes."""
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 13 == 0, None).otherwise(
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string"))).alias("part"))
+    return features.encode_label(li, "part", "code")
+
+
+SQL_ENCODE_MANY_LABELS = """
+WITH b AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE 'part ' || l_partkey END AS part FROM lineitem),
+lv AS (SELECT part, CAST(row_number() OVER (ORDER BY part) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT part FROM b WHERE part IS NOT NULL))
+SELECT b.l_orderkey, b.l_linenumber, b.part, coalesce(lv.code, -1) AS code FROM b LEFT JOIN lv ON b.part = lv.part
+"""
+
 REGISTRY.update({
+    "split_many_classes": (q_split_many_classes, SQL_SPLIT_MANY_CLASSES),
+    "encode_many_labels": (q_encode_many_labels, SQL_ENCODE_MANY_LABELS),
     "infer_column_types": (q_infer_column_types, SQL_INFER_COLUMN_TYPES),
     "score_coverage": (q_score_coverage, SQL_SCORE_COVERAGE),
     "supplied_file_statistics": (q_supplied_file_statistics, SQL_SUPPLIED_FILE_STATISTICS),

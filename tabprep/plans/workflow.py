@@ -86,7 +86,7 @@ def prepare(spark: SparkSession, df: DataFrame, spec: TabularSpec, out_dir: str,
     # label codes (classification), fitted on the training source
     if spec.ml_task == "classification":
         enc = features.fit_label_encoding(df, label)
-        coded = df.withColumn(label, enc.code())
+        coded = enc.apply(df)
         supplied = [None if x is None else _apply_codes(x, label, enc) for x in supplied]
     else:
         coded = df.withColumn(label, qcol(label).cast("double"))
@@ -253,7 +253,7 @@ def _right_sized(cached: DataFrame, rows_per_partition: int = 1_000_000) -> Data
 
 def _apply_codes(df: DataFrame, label: str, enc: features.LabelEncoding) -> DataFrame:
     """Encode a supplied file's label with the fitted codes; unseen labels fail."""
-    coded = df.withColumn("_label_given", qcol(label).isNotNull()).withColumn(label, enc.code())
+    coded = enc.apply(df.withColumn("_label_given", qcol(label).isNotNull()))
     unseen = coded.where((qcol(label) == -1) & F.col("_label_given")).limit(1).count()
     coded = coded.drop("_label_given")
     if unseen:
