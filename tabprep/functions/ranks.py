@@ -169,10 +169,17 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
     keyed = df.select("*", *[qcol(g).alias(a) for g, a in zip(user_groups, group_cols)],
                       b.alias("_bkt"))
     counts = keyed.groupBy(*group_cols, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
-    wpart = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-    offsets = counts.withColumn(
-        "_off", F.sum("_bn").over(wpart.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1))
-    ).select(*group_cols, "_bkt", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
+    # prefix sums in two levels: over coarse prefixes (256 buckets each), then
+    # within each, so no task sums more than n / 25M coarse rows of a group
+    coarse = counts.withColumn("_coarse", F.substring("_bkt", 1, max(0, digits - 2)))
+    before = Window.unboundedPreceding, -1
+    wcoarse = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))).orderBy("_coarse")
+    coarse_off = coarse.groupBy(*group_cols, "_coarse").agg(F.sum("_bn").alias("_cn")).withColumn(
+        "_coff", F.coalesce(F.sum("_cn").over(wcoarse.rowsBetween(*before)), F.lit(0))).drop("_cn")
+    wfine = Window.partitionBy(*group_cols, "_coarse").orderBy("_bkt").rowsBetween(*before)
+    offsets = coarse.withColumn("_foff", F.coalesce(F.sum("_bn").over(wfine), F.lit(0))) \
+        .join(coarse_off, [*group_cols, "_coarse"]).select(
+        *group_cols, "_bkt", (F.col("_coff") + F.col("_foff")).alias("_off"))
     if not group_cols and 16 ** digits <= BROADCAST_ROWS:
         # one row per bucket: size proven by the bucket count.  With groups
         # the table is groups x buckets; AQE broadcasts it at runtime if small.
