@@ -15,9 +15,10 @@
    on the posteriors of the bounded sample (``SAMPLE`` rows per annotation),
    and scores every whole text.
 
-The driver holds the pattern counts and the sample's word hashes (both
-bounded by parameters); no text is shuffled: the sample's ids are broadcast
-(at most 3 * ``SAMPLE``).
+The driver holds the pattern counts, the vocabulary and the sample's columns
+(all bounded by parameters); no text is shuffled: the sample's ids are
+broadcast (at most 3 * ``SAMPLE``), and every text is read once for its
+features.
 
 Defined cases: null and empty texts have no words and get the model's
 base score; unlabelled tables give a model from votes alone; repeated rows
@@ -28,6 +29,8 @@ and an id labelled twice counts as toxic if any label says so.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_uniform
 from tabprep.functions.names import qcol
-from tabprep.llm.common import WordHashes, list_array, store, table, utf8
+from tabprep.llm.common import list_array, store, table, utf8
 from tabprep.llm.language import fold
 
 SAMPLE, MINED, MINED_VOTERS, VOCABULARY, MIN_DOCS = 3000, 240, 5, 20_000, 4
@@ -70,12 +73,16 @@ def words_of(text: bytes) -> set[bytes]:
     return set(text.translate(_FOLD).split())
 
 
-def terms_of(words: set[bytes]) -> list[bytes]:
+def beginnings(words: set[bytes], k: int) -> set[bytes]:
+    return {w[:k] for w in words if len(w) > k}
+
+
+def terms_of(words: set[bytes]) -> set[bytes]:
     """The words and, marked, their beginnings."""
     out = set(words)
     for k in BEGINNINGS:
-        out.update(b"^" + w[:k] for w in words if len(w) > k)
-    return list(out)
+        out.update(b"^" + x for x in beginnings(words, k))
+    return out
 
 
 def fixed_votes(text: bytes, words: set[bytes]) -> int:
@@ -88,24 +95,31 @@ def fixed_votes(text: bytes, words: set[bytes]) -> int:
     return bits | (insults > 1) << (n + len(_PATTERNS))
 
 
-class MinedVotes:
-    """Votes of the mined terms: which lexicons fire, and how many words have a mined term."""
+class Terms:
+    """The vocabulary (term -> column) and its mined part (term -> lexicon voter), ready for look-up."""
 
-    def __init__(self, mined: dict[int, int]):
-        self.mined, self.listed = mined, np.array(sorted(mined), np.uint64)
+    def __init__(self, column: dict[bytes, int], mined: dict[bytes, int]):
+        self.column, self.mined = column, mined
+        self.words = frozenset(t for t in column if t[:1] != b"^")
+        self.starts = {k: frozenset(t[1:] for t in column if t[:1] == b"^" and len(t) == k + 1) for k in BEGINNINGS}
 
-    def __call__(self, words: set[bytes], hashed: WordHashes, hashes: np.ndarray) -> int:
-        if not len(self.listed) or not len(hashes):
-            return 0
-        at = np.minimum(np.searchsorted(self.listed, hashes), len(self.listed) - 1)
-        hit = hashes[self.listed[at] == hashes]
-        if not len(hit):
+    def __call__(self, words: set[bytes]) -> list[bytes]:
+        """The text's terms that are in the vocabulary."""
+        found = list(self.words & words)
+        for k, listed in self.starts.items():
+            if listed:
+                found += [b"^" + x for x in listed & beginnings(words, k)]
+        return found
+
+    def votes(self, words: set[bytes], found: list[bytes]) -> int:
+        """Which mined lexicons fire, and how many words have a mined term."""
+        hit = [t for t in found if t in self.mined]
+        if not hit:
             return 0
-        first = len(_LISTED) + len(_PATTERNS) + 1
-        bits = 0
-        for h in hit.tolist():
-            bits |= 1 << (first + self.mined[h])
-        n = sum(1 for w in words if not self.mined.keys().isdisjoint(hashed(terms_of({w})).tolist()))
+        first, bits = len(_LISTED) + len(_PATTERNS) + 1, 0
+        for t in hit:
+            bits |= 1 << (first + self.mined[t])
+        n = sum(1 for w in words if not self.mined.keys().isdisjoint(terms_of({w})))
         return bits | (n > 1) << (first + MINED_VOTERS) | (n > 2) << (first + MINED_VOTERS + 1)
 
 
@@ -215,112 +229,112 @@ def sampled_ids(notes: DataFrame, per_note: int, seed: str) -> DataFrame:
     return notes.where(hash_uniform(seed, "_id") < share)
 
 
-def _sample(train: DataFrame, ids: DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Ids, term hashes and notes of the sampled texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = WordHashes()
-        for batch in batches:
-            terms = [np.sort(hashed(terms_of(words_of(body.as_py())))).view(np.int64) for body in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(terms, pa.int64()), batch.column(2)],
-                                             ["_id", "terms", "note"])
-
-    rows = train.join(F.broadcast(ids), "_id").select("_id", "body", "note")
-    got = rows.mapInArrow(run, "_id long, terms array<long>, note int").toArrow()
-    terms = [t.values.to_numpy().view(np.uint64) for chunk in got.column("terms").chunks for t in chunk]
-    return got.column("_id").to_numpy(), terms, got.column("note").to_numpy().astype(np.int64)
-
+def learn_terms(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
+                sample: int = SAMPLE) -> tuple[Terms, DataFrame]:
+    """The vocabulary from a bounded sample, and the sample's (``_id``, ``note``).
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
-        sample: int = SAMPLE):
-    """(word hashes, weights, vote weights, offset, mined words by hash) from training rows."""
+    Terms are counted by documents and annotation in Spark; the VOCABULARY
+    terms that tell most are kept, and the MINED that speak most for toxicity.
+    """
     train = docs.select(qcol(key).cast("long").alias("_id"), utf8(qcol(text)).alias("body"))
     notes = _annotated(labels, key, label)
     noted = train.select("_id").where("_id is not null").distinct().join(notes, "_id", "left") \
         .select("_id", F.coalesce("note", F.lit(-1)).alias("note"))
     ids = store(sampled_ids(noted, sample, "toxic-sample"), "toxic-sample")
-    own_ids, words, note = _sample(train, ids)
-
-    # words far commoner in annotated toxic texts
-    flat = np.concatenate([*words, np.zeros(0, np.uint64)])
-    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    vocabulary, column = np.unique(flat, return_inverse=True)
-    bad, good = (np.bincount(column[(note == k)[row]], minlength=len(vocabulary)) for k in (1, 0))
-    n_bad, n_good = max(1, (note == 1).sum()), max(1, (note == 0).sum())
-    lift = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
-    strong = np.flatnonzero((bad >= max(MIN_DOCS, 0.002 * n_bad)) & (lift > 2.5))
-    strong = strong[np.argsort(-lift[strong] * np.sqrt(bad[strong]), kind="stable")][:MINED]
-    mined = {int(vocabulary[i]): int(vocabulary[i] % np.uint64(MINED_VOTERS)) for i in strong}
-
-    # votes of all training documents, by annotation
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, mined_votes = WordHashes(), MinedVotes(mined)
+    rows = {r["note"]: r["count"] for r in ids.groupBy("note").count().collect()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = []
-            for body in batch.column(1):
-                t = body.as_py()
-                own = words_of(t)
-                codes.append(fixed_votes(t, own) | mined_votes(own, hashed, hashed(terms_of(own))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int32())], ["_id", "votes"])
+            counts: dict[int, Counter] = {}
+            for body, note in zip(batch.column(0), batch.column(1).to_pylist()):
+                counts.setdefault(note, Counter()).update(terms_of(words_of(body.as_py())))
+            for note, own in counts.items():
+                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array([note] * len(own), pa.int32()),
+                                                  pa.array(list(own.values()), pa.int64())], ["term", "note", "n"])
+
+    counted = train.join(F.broadcast(ids), "_id").select("body", "note").mapInArrow(run, "term binary, note int, n long") \
+        .groupBy("term").agg(F.sum("n").alias("n"), *[
+            F.coalesce(F.sum(F.when(F.col("note") == k, F.col("n"))), F.lit(0)).alias(name) for k, name in ((1, "bad"), (0, "good"))])
+    share = lambda c, k: F.log((F.col(c) + 0.5) / F.lit(rows.get(k, 0) + 1.0))
+    top = counted.where(F.col("n") >= MIN_DOCS).withColumn("lift", share("bad", 1) - share("good", 0)) \
+        .orderBy(F.desc(F.abs("lift") * F.sqrt(F.col("bad") + F.col("good"))), "term").limit(VOCABULARY).toPandas()
+    top["term"] = [bytes(t) for t in top["term"]]
+    strong = top[(top["bad"] >= max(MIN_DOCS, 0.002 * rows.get(1, 0))) & (top["lift"] > 2.5)].head(MINED)
+    mined = {t: zlib.crc32(t) % MINED_VOTERS for t in strong["term"]}
+    return Terms({t: i for i, t in enumerate(top["term"])}, mined), ids
+
+
+def featurize(docs: DataFrame, terms: Terms, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, votes, columns of the vocabulary that occur) of every whole text."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)  # at most VOCABULARY terms
 
-    cast = store(train.mapInArrow(vote, "_id long, votes int"), "votes")
-    counts = cast.join(notes, "_id", "left").groupBy(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            votes, columns = [], []
+            for body in batch.column(1):
+                own = words_of(body.as_py())
+                found = known(own)
+                votes.append(fixed_votes(body.as_py(), own) | known.votes(own, found))
+                columns.append(np.array(sorted(known.column[t] for t in found), np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.int32()), list_array(columns, pa.int32())],
+                                             [key, "votes", "columns"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(qcol(key), utf8(qcol(text)).alias("body")).mapInArrow(
+        run, f"`{key}` {kind}, votes int, columns array<int>")
+
+
+def fit(features: DataFrame, labels: DataFrame, terms: Terms, sample_ids: DataFrame, key: str = "doc_id",
+        label: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
+    """(term weights, vote weights, offset): the label model over all rows, the classifier on the sample."""
+    rows = features.select(qcol(key).cast("long").alias("_id"), "votes", "columns")
+    counts = rows.join(_annotated(labels, key, label), "_id", "left").groupBy(
         "votes", F.coalesce("note", F.lit(-1)).alias("note")).count().toPandas()  # at most 3 * 2 ** voters rows
     model = LabelModel().fit(counts["votes"].to_numpy(np.int64), counts["note"].to_numpy(np.int64), counts["count"].to_numpy())
-
-    of = dict(cast.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.max("votes")).collect())  # the sample's
-    codes = np.array([of[i] for i in own_ids.tolist()], np.int64)
+    got = rows.join(F.broadcast(sample_ids), "_id").orderBy("_id", "votes").toArrow()  # the bounded sample
+    note, codes = (got.column(c).to_numpy().astype(np.int64) for c in ("note", "votes"))
     target = model.posterior(codes, note)
-    frequent = np.flatnonzero(np.bincount(column, minlength=len(vocabulary)) >= MIN_DOCS)
-    kept = frequent[np.argsort(-np.abs(lift[frequent]) * np.sqrt((bad + good)[frequent]), kind="stable")][:VOCABULARY]
-    place = np.full(len(vocabulary), -1)
-    place[kept] = np.arange(len(kept))
-    n_words, n_votes = len(kept), len(VOTERS)
-    word_at = place[column]
-    in_use = word_at >= 0
+    lengths = got.column("columns").combine_chunks().value_lengths().to_numpy().astype(np.int64)
+    flat = got.column("columns").combine_chunks().flatten().to_numpy().astype(np.int64)
+    n_terms, n_votes = len(terms.column), len(VOTERS)
     fired_row, fired = np.nonzero(_patterns(codes, n_votes))
-    rows, cols = np.append(row[in_use], fired_row), np.append(word_at[in_use], n_words + fired)
-    order = np.argsort(rows, kind="stable")
+    row_of = np.append(np.repeat(np.arange(len(lengths)), lengths), fired_row)
+    column = np.append(flat, n_terms + fired)
+    order = np.argsort(row_of, kind="stable")
     # the sample has as many rows of each note; weigh them as in the corpus
     share = counts.groupby("note")["count"].sum()
     weight = np.array([share.get(k, 0) / max(1, (note == k).sum()) for k in note]).reshape(-1)
     weight = np.minimum(weight, 20 * np.median(weight)) if len(weight) else weight
-    w, offset = logistic(cols[order], np.bincount(rows, minlength=len(words)), n_words + n_votes, target, weight)
-    return vocabulary[kept], w[:n_words], w[n_words:], offset, mined
+    w, offset = logistic(column[order], np.bincount(row_of, minlength=len(lengths)), n_terms + n_votes, target, weight)
+    return w[:n_terms], w[n_terms:], offset
 
 
-def score(docs: DataFrame, model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, score) of every whole text."""
-    vocabulary, weights, vote_weights, offset, mined = model
-    order = np.argsort(vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary[order], weights[order]))  # at most VOCABULARY words
+def score(features: DataFrame, model, key: str = "doc_id") -> DataFrame:
+    """(key, score) of every row of ``featurize``."""
+    shared = features.sparkSession.sparkContext.broadcast(model)  # at most VOCABULARY weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, mined_votes = WordHashes(), MinedVotes(mined)
-        known, weight = shared.value
+        weights, vote_weights, offset = shared.value
+        weights = np.append(weights, 0.0)
         for batch in batches:
-            out = []
-            for body in batch.column(1):
-                t = body.as_py()
-                own = words_of(t)
-                h = hashed(terms_of(own))
-                z = offset
-                if len(known) and len(h):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    z += weight[at[known[at] == h]].sum()
-                code = fixed_votes(t, own) | mined_votes(own, hashed, h)
-                z += sum(vote_weights[j] for j in range(len(VOTERS)) if code >> j & 1)
-                out.append(1 / (1 + np.exp(-np.clip(z, -40, 40))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], [key, "score"])
-
-    rows = docs.select(qcol(key), utf8(qcol(text)).alias("body"))
-    return rows.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, score double")
+            columns = batch.column(2)
+            lengths = columns.value_lengths().to_numpy().astype(np.int64)
+            z = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights[columns.flatten().to_numpy()], len(lengths))
+            z = z + offset + _patterns(batch.column(1).to_numpy().astype(np.int64), len(VOTERS)) @ vote_weights
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], [key, "score"])
+
+    return features.select(qcol(key), "votes", "columns").mapInArrow(
+        run, f"`{key}` {features.schema[key].dataType.simpleString()}, score double")
 
 
 def op1_weak_supervision_toxicity(spark, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
-    model = fit(docs.where(fold("doc_id", 5) != 0), labels)
-    return score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
-                                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    learn = fold("doc_id", 5) != 0
+    labels = table(spark, sf_dir, "labels").where(learn)
+    terms, ids = learn_terms(docs.where(learn), labels)
+    features = store(featurize(docs, terms), "toxic-features")
+    model = fit(features.where(learn), labels, terms, ids)
+    return score(features, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+                                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
