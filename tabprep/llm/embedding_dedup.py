@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_uniform
 from tabprep.functions.names import qcol
-from tabprep.llm.common import list_array, store, table
+from tabprep.llm.common import list_array, row, store, table
 from tabprep.llm.components import components
 
 COSINE, CELL, MAX_CELLS, SAMPLE, ROWS, COLUMNS, SEED = 0.93, 2000, 1024, 40_000, 1024, 4096, 11
@@ -58,11 +58,16 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = SEED)
     return c
 
 
+def _vector(name: str):
+    """As doubles, with one zero (-0.0 becomes 0.0), so that equal vectors are equal bits."""
+    return F.transform(qcol(name).cast("array<double>"), lambda x: x + F.lit(0.0))
+
+
 def _points(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """One row per distinct usable vector of a label: point (smallest id), multiplicity."""
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = vectors.select(qcol(key).cast("long").alias("id"), qcol(label).cast("string").alias("label"),
-                            qcol(vector).cast("array<double>").alias("v")) \
+                            _vector(vector).alias("v")) \
         .where(F.col("label").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
     return store(usable.groupBy("label", "v").agg(F.min("id").alias("point"), F.count(F.lit(1)).alias("copies"))
                  .withColumn("label", F.concat_ws("|", F.size("v").cast("string"), "label")), "points")
@@ -187,15 +192,16 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         F.col("label").alias("_l"), F.col("v").alias("_v"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "point").alias("component_id"))
-    wide = vectors.drop("n_links", "component_id", "kept").withColumn("_dv", qcol(vector).cast("array<double>")) \
-        .withColumn("_dl", F.concat_ws("|", F.size("_dv").cast("string"), qcol(label).cast("string")))
-    # rows that are no point (null label: concat_ws skips it) find no partner
-    usable = F.when(qcol(label).isNotNull(), F.col("_dl"))
-    joined = wide.join(per_point, (usable == F.col("_l")) & (F.xxhash64("_dv") == F.xxhash64("_v"))
+    vectors = vectors.drop("n_links", "component_id", "kept")
+    wide = vectors.select(row(vectors), qcol(key).cast("long").alias("_id"), qcol(label).cast("string").alias("_label"),
+                          _vector(vector).alias("_dv"))
+    # rows that are no point find no partner: a null label has no group
+    group = F.when(F.col("_label").isNotNull(), F.concat_ws("|", F.size("_dv").cast("string"), "_label"))
+    joined = wide.join(per_point, (group == F.col("_l")) & (F.xxhash64("_dv") == F.xxhash64("_v"))
                        & (F.col("_dv") == F.col("_v")), "left")
-    out = joined.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long")) \
-        .withColumn("component_id", F.coalesce("component_id", qcol(key).cast("long")))
-    return out.withColumn("kept", F.col("component_id") == qcol(key)).drop("_dv", "_dl", "_l", "_v")
+    component = F.coalesce("component_id", "_id")
+    return joined.select("_row.*", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                         component.alias("component_id"), (component == F.col("_id")).alias("kept"))
 
 
 def op6_spherical_kmeans_dedup(spark, sf_dir: str) -> DataFrame:

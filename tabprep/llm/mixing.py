@@ -5,8 +5,8 @@
    shared again by weight (water-filling, in closed form over the sources).
 2. Copies per document: every document of a source is drawn
    ``floor(target / words)`` times; the rest is the longest prefix of the
-   source's hash order that fits, plus the one later document whose size is
-   nearest to the gap.  The prefix ends at one hash per source, found by sums
+   source's hash order that fits, plus a few later documents that fill
+   the gap (``FILL_ROUNDS``).  The prefix ends at one hash per source, found by sums
    per hash prefix, so no rows are sorted and a hot source is one more sum.
 3. Blocks: the draws of a source are dealt at random (by hash) to blocks of
    about ``block_words`` words.  The tree splits the vector of block counts
@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_key, uniform_from_hex
 from tabprep.functions.names import qcol
-from tabprep.llm.common import SPACE, literal_table, store, table, word_count
+from tabprep.llm.common import SPACE, literal_table, row, store, table, word_count
 
 SEED, WEIGHTS, AMOUNT, MAX_REPEAT = 7, (5, 2, 1), 1.5, 2.0
 SHARDS, BLOCK_WORDS = 8, 4096
-PREFIX, ROWS_AT_CUT = 3, 200_000
+PREFIX, ROWS_AT_CUT, FILL_ROUNDS = 3, 200_000, 5
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, amount=AMOUNT,
@@ -110,16 +110,38 @@ def _cut(docs: DataFrame, rest: DataFrame, n_sources: int) -> dict[int, tuple[st
     return cut | {r["_s"]: (r["_hash"], r["_cum"]) for r in fits}
 
 
+def _fill(docs: DataFrame, gaps: dict[int, tuple[str, float]]) -> dict[int, list[str]]:
+    """source index -> hashes of later documents that fill the gap after its prefix.
+
+    Each round takes the largest document that fits, the last one the nearest.
+    """
+    found: dict[int, list[str]] = {}
+    for last in [False] * (FILL_ROUNDS - 1) + [True]:
+        state = [(i, c, g, found.get(i, [])) for i, (c, g) in gaps.items() if g > 0]
+        if not state:
+            break
+        rest = _small(literal_table(docs.sparkSession, state, "_s int, _cut string, _gap double, _used array<string>"), len(state))
+        miss = F.abs(F.col("size") - F.col("_gap"))
+        rows = docs.join(rest, "_s").where((F.col("_hash") > F.col("_cut")) & ~F.array_contains("_used", F.col("_hash")))
+        rows = rows.where(miss < F.col("_gap")) if last else rows.where(F.col("size") <= F.col("_gap"))
+        best = rows.groupBy("_s").agg(F.min(F.struct(miss.alias("m"), "_hash", "size")).alias("c")).select("_s", "c.*").collect()
+        for r in best:
+            found.setdefault(r["_s"], []).append(r["_hash"])
+            gaps[r["_s"]] = (gaps[r["_s"]][0], gaps[r["_s"]][1] - r["size"])
+    return found
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights=WEIGHTS,
         amount: float = AMOUNT, max_repeat: float = MAX_REPEAT, n_shards: int = SHARDS,
         block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """``df`` with ``size``, ``source_size``, ``target`` and ``shards``: the output shard of each draw."""
     spark = df.sparkSession
     df = df.drop("size", "source_size", "target", "shards")
-    sized = df.select("*", word_count(qcol(text)).alias("size"), hash_key(seed, qcol(key)).alias("_hash"))
-    sizes_only = store(sized.select(qcol(source).cast("string").alias("_source"), "_hash", "size"), "mix-sizes")
+    sized = df.select(row(df), qcol(source).cast("string").alias("_name"), word_count(qcol(text)).alias("size"),
+                      hash_key(seed, qcol(key)).alias("_hash"))
+    sizes_only = store(sized.select("_name", "_hash", "size"), "mix-sizes")
     # one row a source
-    sizes = [(r[0], r[1] or 0) for r in sizes_only.groupBy("_source").agg(F.sum("size")).collect()]
+    sizes = [(r[0], r[1] or 0) for r in sizes_only.groupBy("_name").agg(F.sum("size")).collect()]
     want = targets(sizes, weights, amount, max_repeat)
     names, n = list(want), len(want)
     size = dict(sizes)
@@ -127,42 +149,36 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     index = _small(literal_table(spark, [(i, s, size[s], want[s], full[s], want[s] - full[s] * size[s] if size[s] else 0.0)
                                          for i, s in enumerate(names)],
                                  "_s int, _source string, source_size long, target double, _full int, _rest double"), n)
-    docs = sized.join(index, qcol(source).cast("string").eqNullSafe(index["_source"])).drop("_source")
-    narrow = sizes_only.join(index.select("_s", F.col("_source").alias("_name")),
-                             F.col("_source").eqNullSafe(F.col("_name"))).select("_s", "_hash", "size").where("size > 0")
+    docs = sized.join(index, sized["_name"].eqNullSafe(index["_source"]))
+    narrow = sizes_only.join(index.select("_s", "_source"), F.col("_source").eqNullSafe(F.col("_name"))) \
+        .select("_s", "_hash", "size").where("size > 0")
     cut = _cut(narrow, index.select("_s", "_rest"), n)
-    gaps = _small(literal_table(spark, [(i, cut[i][0], want[s] - full[s] * size[s] - cut[i][1])
-                                        for i, s in enumerate(names) if i in cut],
-                                "_s int, _cut string, _gap double"), n)
-    miss = F.abs(F.col("size") - F.col("_gap"))
-    filler = {r["_s"]: r["c"]["_hash"] for r in narrow.join(gaps, "_s").where(F.col("_hash") > F.col("_cut"))
-              .where(miss < F.col("_gap")).groupBy("_s")
-              .agg(F.min(F.struct(miss.alias("_m"), "_hash")).alias("c")).collect()}
+    fillers = _fill(narrow, {i: (c[0], want[names[i]] - full[names[i]] * size[names[i]] - c[1]) for i, c in cut.items()})
 
     # the tree over block counts
     blocks = np.array([max(1, math.ceil(want[s] / block_words)) for s in names], dtype=np.int64)
     quotas = split_quotas(blocks, n_shards, seed) if n else np.zeros((n_shards, 0), dtype=np.int64)
     ends = quotas.cumsum(axis=0)
     plan = _small(literal_table(
-        spark, [(i, *(cut.get(i) or ("~", 0))[:1], filler.get(i), int(blocks[i]), [int(e) for e in ends[:, i]])
+        spark, [(i, *(cut.get(i) or ("~", 0))[:1], fillers.get(i, []), int(blocks[i]), [int(e) for e in ends[:, i]])
                 for i in range(n)],
-        "_s int, _cut string, _filler string, _blocks int, _ends array<int>"), n)
+        "_s int, _cut string, _fillers array<string>, _blocks int, _ends array<int>"), n)
     docs = docs.join(plan, "_s")
-    extra = ((F.col("_rest") > 0) & ((F.col("_hash") <= F.col("_cut")) | F.col("_filler").eqNullSafe(F.col("_hash"))))
+    extra = ((F.col("_rest") > 0) & ((F.col("_hash") <= F.col("_cut")) | F.array_contains("_fillers", F.col("_hash"))))
     copies = F.col("_full") + extra.cast("int")
     block = lambda c: F.floor(uniform_from_hex(F.md5(F.concat_ws("|", F.lit("block"), c.cast("string"), "_hash")))
                               * F.col("_blocks"))
     shard = lambda c: F.size(F.filter(F.col("_ends"), lambda e: e <= block(c)))
     draws = F.when(copies > 0, F.transform(F.sequence(F.lit(1), copies), shard)).otherwise(F.array().cast("array<int>"))
-    return docs.select(*[qcol(c) for c in df.columns], "size", "source_size", "target", draws.alias("shards"))
+    return docs.select("_row.*", "size", "source_size", "target", draws.alias("shards"))
 
 
 def mixed_rows(df: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """One row per draw, with its output ``shard`` and place (``order``) in it."""
-    drawn = mix(df, seed=seed, **options)
-    key = options.get("key", "doc_id")
-    rows = drawn.select("*", F.posexplode("shards").alias("_copy", "shard"))
-    return rows.withColumn("order", hash_key(f"{seed}-order", "shard", "_copy", qcol(key))).drop("shards", "_copy")
+    drawn = mix(df.drop("shard", "order"), seed=seed, **options)
+    key = qcol(options.get("key", "doc_id"))
+    rows = drawn.select(row(drawn.drop("shards")), key.alias("_key"), F.posexplode("shards").alias("_copy", "shard"))
+    return rows.select("_row.*", "shard", hash_key(f"{seed}-order", "shard", "_copy", "_key").alias("order"))
 
 
 def write_mix(df: DataFrame, path: str, **options) -> None:
@@ -179,6 +195,19 @@ def op2_hypergeometric_mix(spark, sf_dir: str) -> DataFrame:
                         (F.col("size") * draws).alias("taken"), draws.alias("draws"))
 
 
+def _sql_fill() -> str:
+    """One step per round: pick a row of each source, lessen its gap."""
+    steps = []
+    for r in range(FILL_ROUNDS):
+        fits = "abs(size - gap) < gap" if r == FILL_ROUNDS - 1 else "size <= gap"
+        steps.append(f"""
+e{r} AS (SELECT *, NOT fits AND NOT fills AND size > 0 AND rest > 0 AND gap > 0 AND {fits} AS may FROM p{r}),
+k{r} AS (SELECT * EXCLUDE (may), may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(size - gap), h) = 1 AS pick FROM e{r}),
+p{r + 1} AS (SELECT * EXCLUDE (pick, fills, gap), fills OR pick AS fills,
+    gap - coalesce(sum(CASE WHEN pick THEN size END) OVER (PARTITION BY source), 0) AS gap FROM k{r})""")
+    return ",".join(steps)
+
+
 SQL_OP2 = f"""
 WITH d AS (SELECT doc_id, source, md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR))) AS h,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+')) AS BIGINT) AS size FROM documents),
@@ -195,10 +224,9 @@ o AS (SELECT d.*, f.s_size, f.target, f.whole, f.rest,
     sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS cum
   FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
 g AS (SELECT source, max(rest) - coalesce(max(cum) FILTER (cum <= rest), 0) AS gap FROM o GROUP BY source),
-p AS (SELECT o.*, gap, o.cum <= o.rest AND o.rest > 0 AS fits FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source),
-b AS (SELECT *, row_number() OVER (PARTITION BY source, NOT fits AND size > 0 AND rest > 0 AND abs(size - gap) < gap
-    ORDER BY abs(size - gap), h) = 1 AND NOT fits AND size > 0 AND rest > 0 AND abs(size - gap) < gap AS fills FROM p)
+p0 AS (SELECT o.*, gap, o.cum <= o.rest AND o.rest > 0 AS fits, false AS fills FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source),
+{_sql_fill()}
 SELECT doc_id, size, s_size AS source_size, round(target, 6) AS target,
   size * (whole + CASE WHEN fits OR fills THEN 1 ELSE 0 END) AS taken,
-  CAST(whole + CASE WHEN fits OR fills THEN 1 ELSE 0 END AS INT) AS draws FROM b
+  CAST(whole + CASE WHEN fits OR fills THEN 1 ELSE 0 END AS INT) AS draws FROM p{FILL_ROUNDS}
 """
