@@ -1109,6 +1109,61 @@ SQL_STUMP_REGRESSION = _stump_sql("q", "f")
 # the first tree fits labels of -1 and 1; the probability is 1 / (1 + exp(-2 f))
 SQL_STUMP_CLASSIFICATION = _stump_sql("CASE WHEN q > 30 THEN 1 ELSE -1 END", "1 / (1 + exp(-2 * f))")
 
+# ------------------------------------------------------------------ G2, G4: value-level twins of the strategies
+
+def _train_labelled(spark, d):
+    df = docs_labelled(spark, d).select("doc_id", "quality", "lang", "source", "n_chars")
+    return sampling.split_exact(df, "doc_id", SEED, stratify="quality").where(F.col("split") == "train").drop("split")
+
+
+def q_replace_training(spark, d):
+    """The replace strategy: synthetic rows only, drawn per class and column from the train rows."""
+    from tabprep.operators.synthesizer import augment_training
+    return augment_training(spark, _train_labelled(spark, d), "quality", "doc_id", "replace", 1.0, 1.0, SEED)
+
+
+_DRAWN = ("lang", "source", "n_chars")
+_TRAIN_SQL = ("tr AS (SELECT doc_id, quality, lang, source, n_chars FROM ("
+              + stratified_split_sql(DOCS_LABELLED, "doc_id", "quality", "doc_id, quality, lang, source, n_chars")
+              + ") x WHERE split = 'train')")
+
+
+def _synthetic_sql() -> str:
+    """CTEs from ``src`` (rows with ``draw``) to ``syn``: as many synthetic rows."""
+    joins = "\n".join(f"JOIN ranked t_{c} ON t_{c}.quality = dc.y AND t_{c}.rk = CAST(floor({_u_sql(c, 'dc.synth_id')} * dc.n) AS BIGINT) + 1"
+                      for c in _DRAWN)
+    return f"""
+cc AS (SELECT quality AS y, count(*) AS n FROM src GROUP BY quality),
+cum AS (SELECT y, n, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM cc),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM cc),
+ids AS (SELECT unnest(range(total)) AS synth_id FROM tot),
+cls AS (SELECT synth_id, CAST(floor({_u_sql('class', 'synth_id')} * total) AS BIGINT) AS r FROM ids, tot),
+dc AS (SELECT cls.synth_id, cum.y, cum.n FROM cls JOIN cum ON cls.r >= cum.lo AND cls.r < cum.hi),
+ranked AS (SELECT src.*, row_number() OVER (PARTITION BY quality ORDER BY
+  md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR), CAST(draw AS VARCHAR)))) AS rk FROM src),
+syn AS (SELECT dc.synth_id, {', '.join(f't_{c}.{c}' for c in _DRAWN)}, dc.y AS quality, 'synthetic' AS origin FROM dc
+{joins})"""
+
+
+SQL_REPLACE_TRAINING = f"""
+WITH {_TRAIN_SQL}, src AS (SELECT *, CAST(NULL AS BIGINT) AS draw FROM tr), {_synthetic_sql()}
+SELECT * FROM syn
+"""
+SQL_AUGMENT_TRAINING = f"""
+WITH {_TRAIN_SQL},
+c AS (SELECT quality AS y, count(*) AS n FROM tr GROUP BY quality),
+mj AS (SELECT y, n FROM c ORDER BY n DESC, y LIMIT 1),
+k AS (SELECT c.y AS ym, c.n AS nm, CAST(trunc((SELECT n FROM mj) * 1.0::DOUBLE - c.n) AS BIGINT) AS k FROM c WHERE c.y <> (SELECT y FROM mj)),
+mr AS (SELECT tr.*, row_number() OVER (ORDER BY {_md5('doc_id')}) AS rk FROM tr WHERE quality = (SELECT ym FROM k)),
+dr AS (SELECT i AS draw, CAST(floor({_u_sql('draw', 'i')} * nm) AS BIGINT) + 1 AS rk FROM (SELECT unnest(range(k)) AS i, nm FROM k)),
+src AS (SELECT *, CAST(NULL AS BIGINT) AS draw FROM tr UNION ALL
+  SELECT doc_id, quality, lang, source, n_chars, draw FROM dr JOIN mr USING (rk)), {_synthetic_sql()}
+SELECT doc_id, quality, lang, source, n_chars, CASE WHEN draw IS NULL THEN 'real' ELSE 'oversampled' END AS origin,
+  CAST(NULL AS BIGINT) AS synth_id FROM src
+UNION ALL SELECT CAST(NULL AS BIGINT), quality, lang, source, n_chars, origin, synth_id FROM syn
+"""
+
+
 # ------------------------------------------------------------------ C7, D3 with thousands of classes
 
 def q_split_many_classes(spark, d):
@@ -1139,6 +1194,8 @@ SELECT b.l_orderkey, b.l_linenumber, b.part, coalesce(lv.code, -1) AS code FROM
 """
 
 REGISTRY.update({
+    "replace_training": (q_replace_training, SQL_REPLACE_TRAINING),
+    "augment_training": (q_augment_training, SQL_AUGMENT_TRAINING),
     "split_many_classes": (q_split_many_classes, SQL_SPLIT_MANY_CLASSES),
     "encode_many_labels": (q_encode_many_labels, SQL_ENCODE_MANY_LABELS),
     "infer_column_types": (q_infer_column_types, SQL_INFER_COLUMN_TYPES),

@@ -28,5 +28,4 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(E.queries()) == set(E.oracle_sql()) | set(E.ROWS_ONLY)
     assert set(catalog.REGISTRY) <= set(E.queries())
-    assert set(catalog.REGISTRY) - set(ORACLES) == {
-        "augment_training", "synth_copula", "train_score_gate"}
+    assert set(catalog.REGISTRY) - set(ORACLES) == {"synth_copula", "train_score_gate"}
