@@ -118,11 +118,19 @@ def drop_stored(*tables: DataFrame) -> None:
         _delete(df.sparkSession, df._stored_at)
 
 
-def release(spark: SparkSession, *needed: DataFrame) -> None:
-    """Delete all stored tables of this application but those that ``needed`` reads."""
-    stored = _STORED.get(spark.sparkContext.applicationId, [])
-    if stored:
+def stored_paths(spark: SparkSession) -> list[str]:
+    """Paths of this application's stored tables, oldest first."""
+    return list(_STORED.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str], *needed: DataFrame) -> None:
+    """Delete those of the stored tables at ``paths`` that ``needed`` does not read.
+
+    The caller answers for it that no other pending result reads them.
+    """
+    left = set(paths) & set(stored_paths(spark))
+    if left:
         in_use = {f.rpartition("/")[0].rpartition("/")[2] for df in needed for f in df.inputFiles()}
-        for path in list(stored):
+        for path in left:
             if path.rpartition("/")[2] not in in_use:
                 _delete(spark, path)
