@@ -140,6 +140,7 @@ def classification_report(df: DataFrame, label: str, score: str,
     return row.withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
+# The names under which reports are stored and gated.
 def metrics_struct(report: DataFrame, names=("auc", "aucpr", "precision", "recall", "f1",
                                              "confusion_matrix")) -> Column:
     """``metrics.<name>.value`` (and ``.std`` where present) as one struct Column."""

@@ -30,7 +30,8 @@ REGRESSION_METRICS = ("mse", "mae", "rmse", "R2")
 
 @dataclass
 class SearchSpace:
-    """Ranges of the searched parameters (defaults: the reference's space).
+    """Ranges of the searched parameters (the defaults are fixed values: the
+    ranges that the job specs were written for).
 
     ``alpha`` (L1 term) has no Spark counterpart; it is sampled and recorded
     so trial tables stay comparable, but does not change the fit.

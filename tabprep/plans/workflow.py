@@ -24,7 +24,7 @@ from tabprep.operators.publish import gate, publish_if_passed
 from tabprep.operators.synthesizer import SYNTH_ID, augment_training, generation_source, quality_by_column, quality_summary
 from tabprep.session import drop_stored, ensure_checkpoint_dir, store
 from tabprep.sources.csv import cast_like
-from tabprep.sources.tables import read_report, read_table, write_report, write_splits
+from tabprep.sources.tables import expand_vector, read_report, read_table, write_csv, write_report, write_splits
 from tabprep.spec import TabularSpec
 
 KEY = "_row_key"
@@ -63,9 +63,12 @@ def with_row_key(df: DataFrame, key: str = KEY) -> DataFrame:
 
 def prepare(spark: SparkSession, df: DataFrame, spec: TabularSpec, out_dir: str,
             test_df: DataFrame | None = None, val_df: DataFrame | None = None,
-            fit_on: str = "all") -> features.FittedPreprocessor:
+            fit_on: str = "all", csv: bool = False) -> features.FittedPreprocessor:
     """Stage 1: type, split and encode; writes ``splits``, ``train_source``, ``preprocess`` and ``encoded``.
 
+    ``csv`` also writes each encoded split as CSV without header, label first
+    (``encoded_csv/<split>``), for trainers that read text.
+
     The split rows are written once, partitioned by split; all later work
     reads them pruned.  ``fit_on="all"`` fits the encoders on the whole train
     source before it is split (the reference's behaviour), ``"train"`` on its
@@ -102,6 +105,11 @@ def prepare(spark: SparkSession, df: DataFrame, spec: TabularSpec, out_dir: str,
     fitted.save(spark, f"{out_dir}/preprocess")
     splits.where(F.col("split") == "train").drop("split").write.mode("overwrite").parquet(f"{out_dir}/train_source")
     write_splits(_encode(fitted, splits, label, ["split"]), f"{out_dir}/encoded")
+    if csv:
+        encoded = read_table(spark, f"{out_dir}/encoded")
+        for split in ("train", "validation", "test"):
+            write_csv(expand_vector(encoded.where(F.col("split") == split), "features", fitted.feature_names(), ["label"]),
+                      f"{out_dir}/encoded_csv/{split}", header=False)
     return fitted
 
 

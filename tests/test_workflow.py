@@ -173,7 +173,10 @@ def test_stages_run_alone_from_files(spark, sf, tmp_path):
         .withColumn("n_chars", F.lit("1000000"))
     spec = TabularSpec(target_column="quality", key_column="id", strategy="replace", ml_eval_metric="aucpr")
     out = str(tmp_path / "job")
-    fitted = w.prepare(spark, main, spec, out, test_df=test)
+    fitted = w.prepare(spark, main, spec, out, test_df=test, csv=True)
+    plain = spark.read.csv(f"{out}/encoded_csv/test").collect()
+    assert len(plain) == test.count() and len(plain[0]) == 1 + len(fitted.feature_names())
+    assert {r["_c0"] for r in plain} <= {"0", "1"}
     alone = features.TabularPreprocessor(["source", "n_chars"]).fit(main.select("source", "n_chars"))
     assert fitted.numeric == alone.numeric and fitted.categorical == alone.categorical
     encoded = spark.read.parquet(f"{out}/encoded")
