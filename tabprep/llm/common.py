@@ -7,13 +7,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
-from tabprep.session import drop_stored, release, store
+from tabprep.session import drop_stored, release, store, stored_paths
 
 #: ASCII white space: words are the maximal runs of other characters.
 SPACE = r"\x20\x09-\x0D"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python tasks in batches of 1000 rows, unless the session chose a number.
+
+    Spark's default of 10,000 rows suits narrow rows; with whole texts the
+    batches alone would take a good part of a task's memory.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -87,7 +99,7 @@ class WordHashes:
             self.owner.table[i] = xxhash.xxh64_intdigest(word)
             return i
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         self.limit, self.table, self.ids = limit, np.zeros(1 << 16, np.uint64), self._Ids(self)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
@@ -107,4 +119,4 @@ def list_array(parts: list[np.ndarray], kind):
         else pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
-__all__ = ["SPACE", "BROADCAST_ROWS", "WordHashes", "drop_stored", "list_array", "literal_table", "mix64", "release", "row", "small_side", "store", "table", "utf8", "word_count"]
+__all__ = ["SPACE", "BROADCAST_ROWS", "WordHashes", "drop_stored", "list_array", "literal_table", "mix64", "release", "row", "small_batches", "small_side", "store", "stored_paths", "table", "utf8", "word_count"]

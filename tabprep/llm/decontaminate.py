@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
-from tabprep.llm.common import WordHashes, list_array, store, table, utf8
+from tabprep.llm.common import WordHashes, list_array, small_side, store, table, utf8
 
 WINDOW, SEGMENT_WORDS, BLOCK_WORDS = 13, 500_000, 2_000_000
 GAP = 64  # at least the longest window or phrase with its slack
@@ -256,8 +256,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated; rows of equal id and text share the verdict."""
     bad = contamination(docs, items).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_k")).distinct()
-    return docs.join(bad, qcol("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_k")), "left_anti")
+        F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_key")).distinct()
+    bad = small_side(bad, "contaminated")
+    return docs.join(bad, qcol("doc_id").eqNullSafe(F.col("__bad_id")) & (F.xxhash64("text") == F.col("__bad_key")), "left_anti")
 
 
 def op7_positional_index(spark, sf_dir: str) -> DataFrame:

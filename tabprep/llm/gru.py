@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, WINDOW, LANES = 16, 16, 64
+HIDDEN, WINDOW, LANES = 16, 12, 64
 CLASSES, WORDS_PER_CLASS = 32, 32
 LISTED = CLASSES * WORDS_PER_CLASS
 
@@ -34,6 +34,7 @@ class Gru:
         self.x = draw(LISTED + n_shapes + 1, 3 * h)
         self.u, self.b = draw(h, 3 * h), np.zeros(3 * h, np.float32)
         self.wc, self.bc = draw(h, CLASSES + n_shapes), np.zeros(CLASSES + n_shapes, np.float32)
+        self.moments, self.steps = None, 0
         self.wo, self.bo = draw(CLASSES, h, WORDS_PER_CLASS), np.zeros((CLASSES, WORDS_PER_CLASS), np.float32)
 
     def biases(self, listed: np.ndarray, shapes: np.ndarray) -> Gru:
@@ -87,11 +88,16 @@ class Gru:
     @staticmethod
     def _softmax(h, w, b, pick, rows, grads, wn, bn, at=slice(None)):
         s = h @ w + b
-        s -= s.max(axis=1, keepdims=True)
-        chosen = s[rows, pick]
+        ones = np.ones(s.shape[1], s.dtype)
+        if grads is None:
+            with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+                lp = s[rows, pick] - np.log(np.exp(s) @ ones)
+            if np.isfinite(lp).all():
+                return lp, None
+        s -= s.max(axis=1, keepdims=True)  # exponents beyond the number range
         e = np.exp(s)
-        total = e.sum(axis=1)
-        lp = chosen - np.log(total)
+        total = e @ ones
+        lp = s[rows, pick] - np.log(total)
         if grads is None:
             return lp, None
         e /= total[:, None]
@@ -135,10 +141,12 @@ class Gru:
         return out
 
     def train(self, docs: list[np.ndarray], rate: float = 0.01, window: int = WINDOW, lanes: int = LANES) -> Gru:
-        """One pass of Adam over the sequences, ``lanes`` at a time, by windows."""
-        m = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        v = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        steps = 0
+        """One pass of Adam over the sequences, ``lanes`` at a time, by windows.
+
+        The moments carry over to the next call."""
+        if self.moments is None:
+            self.moments = [{n: np.zeros_like(getattr(self, n)) for n in self.NAMES} for _ in range(2)]
+        m, v = self.moments
         by_length = sorted(range(len(docs)), key=lambda i: len(docs[i]))
         groups = [by_length[i:i + lanes] for i in range(0, len(docs), lanes)]
         np.random.default_rng(len(docs)).shuffle(groups)
@@ -147,15 +155,15 @@ class Gru:
             h = np.zeros((len(group), self.hidden), np.float32)
             for t0 in range(0, int(size[0]), window):
                 grads, n_tokens, h = self._window(h, size, flat, starts, t0, window)
-                steps += 1
-                warm = min(1.0, steps / 20)
+                self.steps += 1
+                warm = min(1.0, self.steps / 20)
                 for name in self.NAMES:
                     g = grads[name] / n_tokens
                     np.clip(g, -1, 1, out=g)
                     m[name] += 0.1 * (g - m[name])
                     v[name] += 0.01 * (g * g - v[name])
                     a = getattr(self, name)
-                    a -= rate * warm * (m[name] / (1 - 0.9 ** steps)) / (np.sqrt(v[name] / (1 - 0.99 ** steps)) + 1e-5)
+                    a -= rate * warm * (m[name] / (1 - 0.9 ** self.steps)) / (np.sqrt(v[name] / (1 - 0.99 ** self.steps)) + 1e-5)
         return self
 
     def _window(self, h, size, flat, starts, t0: int, window: int):

@@ -33,7 +33,7 @@ from tabprep.functions.names import qcol
 from tabprep.llm.common import mix64, table
 
 N, DIMS, UNKNOWN = 3, 512, "und"
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
 
 
 @lru_cache(maxsize=1)

@@ -23,6 +23,7 @@ text every token is unseen; repeated rows count and are scored each.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,7 +40,8 @@ from tabprep.llm.gru import LISTED, Gru
 from tabprep.llm.language import fold
 
 END = b"\n"  # no word holds white space
-SHAPES, COUNTED, ROUNDS, SHARE, LEAST, FAN_IN, FLUSH = 12, 200_000, 3, 0.25, 32, 32, 300_000
+SHAPES, COUNTED, ROUNDS, SHARE, LEAST, FAN_IN, FLUSH = 12, 200_000, 3, 0.3, 32, 32, 300_000
+TRAINED_AT_ONCE = 1024
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -48,11 +50,13 @@ def words_of(text: bytes) -> list[bytes]:
     return words
 
 
+#: Of a last byte: a letter or digit, a full stop or comma, another sign.
+_ENDS = [0 if b >= 0x80 or chr(b).isalnum() else 1 if b in b".," else 2 for b in range(256)]
+
+
 def shape_of(word: bytes) -> int:
-    """Class of a word beyond the list: script, last byte, length."""
-    last = word[-1]
-    kind = 0 if last >= 0x80 or chr(last).isalnum() else 1 if last in b".," else 2
-    return kind + 3 * (not word.isascii()) + 6 * (len(word) > 8)
+    """Class of a word beyond the list: last byte, script, length."""
+    return _ENDS[word[-1]] + (0 if word.isascii() else 3) + (6 if len(word) > 8 else 0)
 
 
 def _hash(word: bytes) -> int:
@@ -93,7 +97,15 @@ class Vocabulary:
         total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
         self.tokens, self.kinds = total["n"] or 0, total["v"]
         end = np.array([_hash(END)], np.uint64).view(np.int64)[0]
-        top = counts.orderBy(F.desc(F.col("word") == F.lit(int(end))), F.desc("n"), "word").limit(COUNTED).toPandas()
+        # the most frequent words, by a count that at most COUNTED words reach
+        floor, held = 1 << 62, 0
+        for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+            held += r["words"]
+            if held >= COUNTED:
+                break
+            floor = r["n"]
+        top = counts.where((F.col("n") >= floor) | (F.col("word") == int(end))).toPandas()
+        top = top.assign(end=top["word"] == end).sort_values(["end", "n", "word"], ascending=[False, False, True])
         listed = top.head(LISTED)
         self.listed = {int(w): i for i, w in enumerate(listed["word"])}
         self.listed_n = listed["n"].to_numpy(np.int64)
@@ -120,30 +132,27 @@ class _Lookup:
 
         def __missing__(self, word: bytes) -> int:
             i = self[word] = len(self)
-            self.owner.add(i, word)
+            o = self.owner
+            h = _hash(word)
+            token = o.listed.get(h)
+            o.hashes.append(h)
+            o.tokens.append(LISTED + shape_of(word) if token is None else token)
+            o.counts.append(o.common.get(h, -1))
             return i
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 300_000):
-        self.v, self.limit, self.ids = vocabulary, limit, self._Ids(self)
-        self.hash, self.token, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
-
-    def add(self, i: int, word: bytes) -> None:
-        if i >= len(self.hash):
-            for name in ("hash", "token", "n"):
-                a = getattr(self, name)
-                setattr(self, name, np.concatenate([a, np.zeros_like(a)]))
-        h = _hash(word)
-        h -= (h >> 63) << 64
-        token = self.v.listed.get(h)
-        at = np.searchsorted(self.v.words, h)
-        self.hash[i] = h
-        self.token[i] = LISTED + shape_of(word) if token is None else token
-        self.n[i] = self.v.n[at] if at < len(self.v.words) and self.v.words[at] == h else -1
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
+        self.limit, self.ids = limit, self._Ids(self)
+        self.listed = {w % (1 << 64): i for w, i in vocabulary.listed.items()}
+        self.common = dict(zip(vocabulary.words.view(np.uint64).tolist(), vocabulary.n.tolist()))  # at most COUNTED words
+        self.hashes, self.tokens, self.counts = array("Q"), array("q"), array("q")
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(tokens, counts or -1, hashes) of the words."""
         if len(self.ids) > self.limit:
             self.ids.clear()
-        return np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+            self.hashes, self.tokens, self.counts = array("Q"), array("q"), array("q")
+        ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        return tuple(np.frombuffer(a, np.int64)[ids] for a in (self.tokens, self.counts, self.hashes))
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id",
@@ -155,29 +164,30 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
     place = F.pmod(F.xxhash64(qcol(key), F.lit("place")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model.flat())
-        rate = 0.02 / (1 + r)
+        rate = 0.03 / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
-            look, own, tokens = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0
+            look, own, tokens, pieces = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0, []
             for batch in batches:
-                pieces = []
                 for body, at in zip(batch.column(0), batch.column(1).to_pylist()):
                     w = words_of(body.as_py())
                     n = max(LEAST, int(len(w) * share))
                     start = int(at * max(1, len(w) - n + 1))
-                    ids = look(w[start:start + n])
-                    pieces.append(look.token[ids].astype(np.int64))
-                own.train(pieces, rate)
-                tokens += sum(map(len, pieces))
+                    pieces.append(look(w[start:start + n])[0])
+                    if len(pieces) >= TRAINED_AT_ONCE:
+                        tokens += sum(map(len, pieces))
+                        own.train(pieces, rate)
+                        pieces = []
+            tokens += sum(map(len, pieces))
+            own.train(pieces, rate)
             if tokens:
                 yield _row(TaskContext.get().partitionId(), own.flat().astype(np.float64) * tokens, tokens)
 
         part = docs.where(turn == r).select(utf8(qcol(text)), place.alias("at"))
         copies = store(part.mapInArrow(run, _COPY), "gru-copies")
         n = copies.count()
-        while n > FAN_IN:  # groups of at most FAN_IN copies
-            place_of = copies.select(F.row_number().over(_by_place()).alias("place") - 1, "flat", "tokens")
-            copies = store(place_of.withColumn("place", F.floor(F.col("place") / FAN_IN).cast("int"))
+        while n > FAN_IN:  # copies of FAN_IN neighbouring partitions at a time
+            copies = store(copies.withColumn("place", F.floor(F.col("place") / FAN_IN).cast("int"))
                            .groupBy("place").applyInPandas(_add, _COPY), "gru-copies")
             n = copies.count()
         rows = copies.collect()  # at most FAN_IN
@@ -194,12 +204,6 @@ def _row(place: int, flat: np.ndarray, tokens: int) -> pa.RecordBatch:
                                        pa.array([tokens], pa.int64())], ["place", "flat", "tokens"])
 
 
-def _by_place():
-    from pyspark.sql import Window
-
-    return Window.orderBy("place")  # a row a partition
-
-
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("place")
     return pd.DataFrame({"place": [int(pdf["place"].iloc[0])], "flat": [np.sum(np.array(pdf["flat"].tolist()), axis=0)],
@@ -220,16 +224,15 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
         for batch in batches:
             tokens, sums, rare = [], [], []
             for body in batch.column(1):
-                ids = look(words_of(body.as_py()))
-                token, n = look.token[ids].astype(np.int64), look.n[ids]
+                token, n, word = look(words_of(body.as_py()))
                 known = n >= 0
                 seen = np.log10(n[known] + 0.5)
                 beyond = token >= LISTED
                 # within their shape: log10(n + 0.5) less the shape's total; rare words' n follows by join
                 within = np.log10(n[known & beyond] + 0.5).sum() - of_shape[token[beyond] - LISTED].sum()
                 tokens.append(token)
-                sums.append((len(ids), known.sum(), seen.sum() - whole * len(ids), within))
-                rare.append(look.hash[ids[~known]])
+                sums.append((len(token), known.sum(), seen.sum() - whole * len(token), within))
+                rare.append(word[~known])
             s = np.array(sums, float).reshape(-1, 4)
             own = gru.score(tokens) / np.log(10) + s[:, 3]
             yield pa.RecordBatch.from_arrays([

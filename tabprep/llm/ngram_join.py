@@ -68,6 +68,14 @@ def shingle_hashes(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64(out))
 
 
+def set_identity(hashes: np.ndarray) -> int:
+    """64-bit identity of a set of hashes; 0 for the empty one."""
+    if not len(hashes):
+        return 0
+    with np.errstate(over="ignore"):
+        return int(mix64((mix64(hashes) * _ODD[3]).sum(keepdims=True) + np.uint64(len(hashes)))[0])
+
+
 def band_tops(limit: int) -> np.ndarray:
     """Largest set size of each band, up to the first that holds ``limit``."""
     tops = [1]
@@ -126,8 +134,7 @@ def sketch(docs: DataFrame, text: str, key: str, k: int, near: int, out_of: int)
             size, ids, in_cells, coords, seen = [], [], [], [], set()
             for body in batch.column(1):
                 h = shingle_hashes(hashed(body.as_py().lower().split()), k)
-                with np.errstate(over="ignore"):
-                    ident = int(mix64((mix64(h) * _ODD[3]).sum(keepdims=True) + np.uint64(len(h)))[0]) if len(h) else 0
+                ident = set_identity(h)
                 first = len(h) > 0 and ident not in seen
                 seen.add(ident)
                 size.append(len(h))
@@ -207,11 +214,11 @@ def _bounded(pairs: DataFrame, points: DataFrame, near: int, out_of: int) -> Dat
 
 
 def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame, k: int) -> DataFrame:
-    """(set_id, hashes) of the wanted ids' documents.
+    """(set_id, hashes) of the documents with the wanted ids (and of some others).
 
     A bitmap of fixed size (2 ** BITMAP_BITS bits) of the wanted ids spares
-    the other texts the hashing and the shuffle; ids that share a bit are
-    sorted out by the join.
+    the other texts the hashing and the shuffle; the caller's join on the
+    set sorts out ids that share a bit or repeat.
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS))
     words = wanted.select(F.shiftright(bit, 5).alias("w"), F.call_function("shiftleft", F.lit(1), (bit % 32).cast("int")).alias("b")) \
@@ -227,13 +234,13 @@ def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame, k: int) -> Da
             hit = np.flatnonzero((bits[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1))
             for part in np.array_split(hit, max(1, len(hit) // 500)):
                 sets = [shingle_hashes(hashed(batch.column(2)[i].as_py().lower().split()), k) for i in part.tolist()]
+                ids = np.array([set_identity(s) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(part)), list_array([s.view(np.int64) for s in sets], pa.int64())],
-                    ["doc_id", "hashes"])
+                    [pa.array(ids), list_array([s.view(np.int64) for s in sets], pa.int64())], ["set_id", "hashes"])
 
     rows = docs.select(qcol(key).cast("long").alias("doc_id"), utf8(qcol(text)).alias("body")) \
         .select("doc_id", bit.alias("place"), "body")
-    return rows.mapInArrow(run, "doc_id long, hashes array<long>")
+    return rows.mapInArrow(run, "set_id long, hashes array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, sketches: DataFrame,
@@ -244,12 +251,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, sketches:
     with many partners is dealt in parts of about STAR_ROWS partners.
     """
     ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    holder = sketches.where("size(cells) > 0").join(ids, "set_id").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    holder = store(holder, "holders")
-    found = _sets(docs, text, key, holder.select("doc_id"), k)
-    sets = store(found.join(holder, "doc_id").where(F.size("hashes") == F.col("n"))
-                 .select("set_id", "hashes").dropDuplicates(["set_id"]), "sets")
+    holder = store(sketches.where("size(cells) > 0").join(ids, "set_id").groupBy("set_id").agg(
+        F.min("doc_id").alias("doc_id")), "holders")
+    sets = store(_sets(docs, text, key, holder.select("doc_id"), k).join(holder.select("set_id"), "set_id", "left_semi")
+                 .dropDuplicates(["set_id"]), "sets")
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.hash("b"), F.col("parts")))
     centres = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \

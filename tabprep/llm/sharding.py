@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.names import qcol
-from tabprep.llm.common import literal_table, store, table
+from tabprep.llm.common import literal_table, row, store, table
 
 COORD_BITS, HASH_BITS, DIGIT_BITS = 20, 40, 12
 KEY_BITS = COORD_BITS + HASH_BITS
@@ -52,17 +52,19 @@ def _as_number(df: DataFrame, name: str) -> Column:
 
 
 def kd_shards(df: DataFrame, text: str, dims: list[str], target_bytes: int | None = None,
-              n_shards: int | None = None, key: str = "doc_id", tolerance: float = 1e-3) -> DataFrame:
+              n_shards: int | None = None, key: str = "doc_id", tolerance: float = 1e-3,
+              lean: bool = False) -> DataFrame:
     """``df`` with ``size``, ``text_crc32`` and ``shard``.
 
     Give ``target_bytes`` (leaves of about that size) or ``n_shards``.
+    ``lean`` gives the key and the text's hash (``_h``) instead of ``df``'s columns.
     A node stops narrowing its cut when the interval holds less than
     ``tolerance`` of a leaf, which bounds the error of each cut.
     """
     spark = df.sparkSession
     df = df.drop("size", "text_crc32", "shard")
     sized = df.select(
-        "*",
+        F.struct(qcol(key)).alias("_row") if lean else row(df),
         (F.coalesce(F.octet_length(qcol(text)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(qcol(text), "UTF-8")).alias("text_crc32"),
         F.xxhash64(qcol(text)).alias("_h"),
@@ -92,13 +94,12 @@ def kd_shards(df: DataFrame, text: str, dims: list[str], target_bytes: int | Non
                     (F.col(f"_d{i}") - F.lit(float(lo))) / F.lit(float(width))) if width else F.lit(0.0))
         spread.append(F.least(F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)))
     tie = F.shiftrightunsigned(F.xxhash64("_h", "_part"), 64 - HASH_BITS)
-    points = store(points.select(
-        *group, "_part", (F.col("_w") / F.col("_n")).alias("_w"),
+    assigned = store(points.select(
+        *group, "_part", F.lit(0).alias("_node"), (F.col("_w") / F.col("_n")).alias("_w"),
         *[(F.shiftleft(F.floor(c * (2 ** COORD_BITS - 1)).cast("long"), HASH_BITS).bitwiseOR(tie)).alias(f"_k{i}")
           for i, c in enumerate(spread)]), "kd-points")
 
     nodes = {0: leaves}  # node -> leaves below it; a node is the number of its first leaf
-    assigned = points.withColumn("_node", F.lit(0))
     while any(k > 1 for k in nodes.values()):
         cuts = _cuts(assigned, nodes, len(dims), tolerance * leaf)
         assigned = _split(assigned, cuts, len(dims))
@@ -113,8 +114,7 @@ def kd_shards(df: DataFrame, text: str, dims: list[str], target_bytes: int | Non
         .select(sized["*"], F.coalesce(F.pmod(F.col("_salt"), F.col("_parts")), F.lit(0)).alias("_part"))
     joined = rows.join(shard_of, (rows["_h"] == shard_of["_h"]) & (rows["_part"] == shard_of["_part"])
                        & rows["text_crc32"].eqNullSafe(shard_of["_c"]))
-    return joined.select(*[df_col for df_col in (rows[f"`{c}`"] for c in df.columns)],
-                         rows["size"], rows["text_crc32"], "shard")
+    return joined.select("_row.*", *([rows["_h"]] if lean else []), "size", "text_crc32", "shard")
 
 
 def _cuts(points: DataFrame, nodes: dict[int, int], n_dims: int, enough: float) -> dict[int, tuple]:
@@ -176,15 +176,18 @@ def add_slots(df: DataFrame, shard: str, order: list[str], rows_per_bucket: int
     Rows are numbered within (shard, bucket of a hash of the order columns)
     and moved on by the rows of the shard's earlier buckets.
     """
+    df = df.drop("slot")
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
-    df = df.withColumn("_b", F.pmod(F.xxhash64(*[qcol(c) for c in order]), F.lit(buckets)))
-    before = Window.partitionBy(shard).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = df.groupBy(shard, "_b").count().select(
-        shard, "_b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(shard, "_b").orderBy(*[qcol(c) for c in order])
-    return (df.withColumn("_r", F.row_number().over(within) - 1).join(offsets, [shard, "_b"])
-            .withColumn("slot", (F.col("_before") + F.col("_r")).cast("long")).drop("_b", "_r", "_before"))
+    by = [f"_o{i}" for i in range(len(order))]
+    rows = df.select(row(df), qcol(shard).alias("_shard"), *[qcol(c).alias(o) for c, o in zip(order, by)],
+                     F.pmod(F.xxhash64(*[qcol(c) for c in order]), F.lit(buckets)).alias("_b"))
+    before = Window.partitionBy("_shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_shard", "_b").count().select(
+        "_shard", "_b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_shard", "_b").orderBy(*by)
+    return rows.withColumn("_r", F.row_number().over(within) - 1).join(offsets, ["_shard", "_b"]).select(
+        "_row.*", (F.col("_before") + F.col("_r")).cast("long").alias("slot"))
 
 
 #: Production parameters: eight leaves over these attributes.
@@ -192,16 +195,30 @@ DIMS, SHARDS = ["n_chars", "source", "lang"], 8
 
 
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
-    """Documents in near equal bytes: columns of the documents, size, crc, shard and slot."""
-    sharded = kd_shards(docs.drop("slot"), "text", [d for d in DIMS if d in docs.columns], n_shards=n_shards)
-    narrow = store(sharded, "kd-shards")
-    return add_slots(narrow, "shard", ["doc_id", "text_crc32", "size"])
+    """Documents in near equal bytes: columns of the documents, size, text_crc32, shard and slot.
+
+    Shards and slots are found on narrow rows; the texts are shuffled once, to meet them.
+    """
+    docs = docs.drop("size", "text_crc32", "shard", "slot")
+    dims = [d for d in DIMS if d in docs.columns]
+    keys = ["_id", "_h", "_crc"]
+    # rows of one id and text are told apart by their number among their like
+    nth = lambda *by: F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    found = add_slots(store(kd_shards(docs.select("doc_id", "text", *dims), "text", dims, n_shards=n_shards, lean=True),
+                            "kd-shards"), "shard", ["doc_id", "text_crc32", "size"])
+    narrow = found.select(F.col("doc_id").alias("_id"), "_h", F.col("text_crc32").alias("_crc"), "size", "shard", "slot") \
+        .withColumn("_nth", nth("shard", "slot")).select(*[F.col(k).alias(k + "2") for k in (*keys, "_nth")], "size", "shard", "slot")
+    wide = docs.select(row(docs), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"),
+                       F.crc32(F.encode("text", "UTF-8")).alias("_crc")).withColumn("_nth", nth(F.xxhash64("_row")))
+    same = (F.col("_h") == F.col("_h2")) & (F.col("_nth") == F.col("_nth2")) \
+        & F.col("_id").eqNullSafe(F.col("_id2")) & F.col("_crc").eqNullSafe(F.col("_crc2"))
+    return wide.join(narrow, same).select("_row.*", "size", F.col("_crc").alias("text_crc32"), "shard", "slot")
 
 
 def op8_kd_tree_shards(spark, sf_dir: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of all documents."""
     docs = table(spark, sf_dir, "documents")
-    sharded = kd_shards(docs, "text", DIMS, n_shards=SHARDS).select("doc_id", "size", "text_crc32", "shard")
+    sharded = kd_shards(docs, "text", DIMS, n_shards=SHARDS, lean=True)
     slotted = add_slots(store(sharded, "kd-shards"), "shard", ["doc_id", "text_crc32", "size"])
     return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"))
