@@ -1,16 +1,13 @@
-"""Standard normal CDF and inverse CDF as Column expressions.
+"""Standard normal CDF and inverse CDF on numpy arrays, for Arrow-batched tasks.
 
-Spark SQL has neither, and a Python UDF would leave whole-stage codegen, so
-both are published rational approximations written as arithmetic on
-Columns.
+Both are published rational approximations.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import numpy as np
 
 # Abramowitz & Stegun (1964), formula 26.2.17, |error| < 7.5e-8.
 AS_P = 0.2316419
@@ -29,39 +26,7 @@ AC_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
 AC_P_LOW = 0.02425
 
 
-def _horner(coefs, x: Column) -> Column:
-    acc = F.lit(coefs[0])
-    for c in coefs[1:]:
-        acc = acc * x + F.lit(c)
-    return acc
-
-
-def norm_cdf(z: Column) -> Column:
-    az = F.abs(z)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(AS_P) * az)
-    poly = t * _horner(list(reversed(AS_B)), t)
-    pdf = F.exp(-(az * az) / 2.0) / F.lit(math.sqrt(2 * math.pi))
-    upper = F.lit(1.0) - pdf * poly
-    return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
-
-
-def norm_ppf(p: Column) -> Column:
-    """Inverse CDF for p in (0, 1).  Pass a column reference (not a nested
-    expression): ``p`` appears in every branch."""
-    q_low = F.sqrt(-2.0 * F.log(p))
-    low = _horner(AC_C, q_low) / (_horner(AC_D, q_low) * q_low + F.lit(1.0))
-    q_high = F.sqrt(-2.0 * F.log(F.lit(1.0) - p))
-    high = -_horner(AC_C, q_high) / (_horner(AC_D, q_high) * q_high + F.lit(1.0))
-    q = p - 0.5
-    r = q * q
-    mid = _horner(AC_A, r) * q / (_horner(AC_B, r) * r + F.lit(1.0))
-    return (F.when(p < AC_P_LOW, low).when(p > 1 - AC_P_LOW, high).otherwise(mid))
-
-
-# ---- numpy versions (same fixed coefficients), for Arrow-batched tasks ----
-
 def np_norm_cdf(z):
-    import numpy as np
     az = np.abs(z)
     t = 1.0 / (1.0 + AS_P * az)
     poly = np.zeros_like(t)
@@ -73,7 +38,6 @@ def np_norm_cdf(z):
 
 
 def np_norm_ppf(p):
-    import numpy as np
     p = np.asarray(p, dtype=float)
 
     def horner(coefs, x):

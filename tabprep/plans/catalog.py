@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.functions.hashing import hash_key
 from tabprep.functions.names import qcol
-from tabprep.functions.ranks import hash_rank
 from tabprep.operators import features, metrics, sampling, stats
 from tabprep.sources.csv import NA_TOKENS, infer_types, normalize_na
 
