@@ -136,7 +136,8 @@ def train_prototypes(docs: DataFrame, text: str, label: str, n: int = N, dims: i
                 for k, name in enumerate(names):
                     mine = of == k
                     counts = np.bincount(triples[mine, 1], triples[mine, 2], len(letters))
-                    sums[name] = sums.get(name, 0) + counts.astype(np.float32) @ vectors
+                    # whole numbers: exact within a chunk, and in doubles across chunks
+                    sums[name] = sums.get(name, 0.0) + (counts.astype(np.float32) @ vectors).astype(float)
         for name, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * dims), pa.array(np.arange(dims), pa.int32()),
                                               pa.array(np.asarray(v, float))], ["lang", "dim", "value"])
