@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, WINDOW, LANES = 16, 12, 64
+HIDDEN, WINDOW, LANES = 16, 12, 128
 CLASSES, WORDS_PER_CLASS = 32, 32
 LISTED = CLASSES * WORDS_PER_CLASS
 

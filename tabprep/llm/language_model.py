@@ -9,8 +9,8 @@
    words.  So the model is a proper distribution over all tokens.
 3. **Training.**  ``ROUNDS`` rounds of local training with averaging: every
    partition trains a copy of the model on its documents of the round (each
-   training document in one round, ``SHARE`` of its tokens in one piece, at
-   least ``LEAST``), and the copies are averaged by tokens, in groups of at
+   training document in one round, ``SHARE`` of its tokens in one run, at
+   least ``LEAST``, cut in lanes of ``LANE``), and the copies are averaged by tokens, in groups of at
    most ``FAN_IN``, until few are left.
 4. **Scores.**  Tasks hold the counts of the ``COUNTED`` most frequent words
    (a bounded broadcast) and score their documents whole.  The words beyond
@@ -41,7 +41,8 @@ from tabprep.llm.language import fold
 
 END = b"\n"  # no word holds white space
 SHAPES, COUNTED, ROUNDS, SHARE, LEAST, FAN_IN, FLUSH = 12, 200_000, 3, 0.3, 32, 32, 300_000
-TRAINED_AT_ONCE = 1024
+#: Tokens of a training lane (a longer piece becomes several), of a training call, and scored together.
+LANE, TRAINED_AT_ONCE, SCORED_AT_ONCE = 120, 300_000, 2_500_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -164,22 +165,23 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
     place = F.pmod(F.xxhash64(qcol(key), F.lit("place")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model.flat())
-        rate = 0.03 / (1 + r)
+        rate = 0.04 / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
-            look, own, tokens, pieces = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0, []
+            look, own, tokens, pieces, held = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0, [], 0
             for batch in batches:
                 for body, at in zip(batch.column(0), batch.column(1).to_pylist()):
                     w = words_of(body.as_py())
                     n = max(LEAST, int(len(w) * share))
                     start = int(at * max(1, len(w) - n + 1))
-                    pieces.append(look(w[start:start + n])[0])
-                    if len(pieces) >= TRAINED_AT_ONCE:
-                        tokens += sum(map(len, pieces))
+                    piece = look(w[start:start + n])[0]
+                    pieces += [piece[i:i + LANE] for i in range(0, len(piece), LANE)]
+                    held += len(piece)
+                    if held >= TRAINED_AT_ONCE:
                         own.train(pieces, rate)
-                        pieces = []
-            tokens += sum(map(len, pieces))
+                        tokens, pieces, held = tokens + held, [], 0
             own.train(pieces, rate)
+            tokens += held
             if tokens:
                 yield _row(TaskContext.get().partitionId(), own.flat().astype(np.float64) * tokens, tokens)
 
@@ -221,24 +223,35 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
         look, gru = _Lookup(v), Gru(SHAPES).load(flat)
         whole = np.log10(v.tokens + 0.5 * (v.kinds + 1))
         of_shape = np.log10(v.shape_n + 0.5 * (v.shape_v + 1))
+
+        def scored(keys, tokens, sums, rare):
+            s = np.array(sums, float).reshape(-1, 4)
+            own = gru.score(tokens) / np.log(10) + s[:, 3]
+            return pa.RecordBatch.from_arrays([
+                pa.concat_arrays(keys), pa.array(s[:, 0].astype(np.int64)), pa.array(s[:, 1].astype(np.int64)),
+                pa.array(s[:, 2]), pa.array(own), list_array(rare, pa.int64())],
+                ["_key", "n_tokens", "n_common", "base", "own", "rare"])
+
+        # long documents cost a step a token: many documents share the steps
+        keys, tokens, sums, rare, held = [], [], [], [], 0
         for batch in batches:
-            tokens, sums, rare = [], [], []
-            for body in batch.column(1):
+            for i, body in enumerate(batch.column(1)):
                 token, n, word = look(words_of(body.as_py()))
                 known = n >= 0
                 seen = np.log10(n[known] + 0.5)
                 beyond = token >= LISTED
                 # within their shape: log10(n + 0.5) less the shape's total; rare words' n follows by join
                 within = np.log10(n[known & beyond] + 0.5).sum() - of_shape[token[beyond] - LISTED].sum()
-                tokens.append(token)
+                keys.append(batch.column(0).slice(i, 1))
+                tokens.append(token.astype(np.int32))
                 sums.append((len(token), known.sum(), seen.sum() - whole * len(token), within))
-                rare.append(word[~known])
-            s = np.array(sums, float).reshape(-1, 4)
-            own = gru.score(tokens) / np.log(10) + s[:, 3]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(s[:, 0].astype(np.int64)), pa.array(s[:, 1].astype(np.int64)),
-                pa.array(s[:, 2]), pa.array(own), list_array(rare, pa.int64())],
-                ["_key", "n_tokens", "n_common", "base", "own", "rare"])
+                rare.append(word[~known].view(np.int64))
+                held += len(token)
+                if held >= SCORED_AT_ONCE:
+                    yield scored(keys, tokens, sums, rare)
+                    keys, tokens, sums, rare, held = [], [], [], [], 0
+        if keys:
+            yield scored(keys, tokens, sums, rare)
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(qcol(key).alias("_key"), utf8(qcol(text)).alias("body")).mapInArrow(
