@@ -123,7 +123,7 @@ def _encode(fitted: features.FittedPreprocessor, part: DataFrame, label: str, ke
 
 def synthesize(spark: SparkSession, spec: TabularSpec, out_dir: str, synthesizer: str = "independent",
                generator_trials: int = 16, generator_parallelism: int = 4, inner_trials: int = 6,
-               inner_space: training.SearchSpace | None = None) -> None:
+               inner_space: training.SearchSpace | None = None, report: bool = True) -> None:
     """Stage 2 (only with a strategy): synthetic rows, their report, and the encoded augmented train rows.
 
     ``synthesizer="tuned"`` searches the generator's settings by downstream
@@ -148,8 +148,9 @@ def synthesize(spark: SparkSession, spec: TabularSpec, out_dir: str, synthesizer
                             spec.seed, synthesizer, conditional, source=source, fitted=generator)
     rows.write.mode("overwrite").partitionBy("origin").parquet(f"{out_dir}/train_augmented")
     rows = read_table(spark, f"{out_dir}/train_augmented")
-    feats = [label, *fitted.input_columns]
-    write_synthetic_report(train, rows.where(F.col("origin") == "synthetic"), feats, f"{out_dir}/synthetic", spec.seed)
+    if report:
+        write_synthetic_report(train, rows.where(F.col("origin") == "synthetic"), [label, *fitted.input_columns],
+                               f"{out_dir}/synthetic", spec.seed)
     _encode(fitted, rows, label).write.mode("overwrite").parquet(f"{out_dir}/encoded_augmented")
 
 
@@ -214,8 +215,8 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
                  inner_trials: int = 6) -> WorkflowResult:
     """Run the whole job, stage by stage, each from the files of the one before.
 
-    Without ``out_dir`` the files go to the session's shared folder and
-    nothing is published.  Parity options: ``fit_on`` (see ``prepare``);
+    Without ``out_dir`` the files go to the session's shared folder, nothing
+    is published and the synthetic rows get no report.  Parity options: ``fit_on`` (see ``prepare``);
     ``synthesizer="tuned"`` searches the generator (``generator_trials``, so
     many at once, ``inner_trials`` models each: the reference's sizes);
     ``tune_on_hard_labels`` scores tuning trials on 0/1 predictions instead
@@ -223,7 +224,8 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
     """
     where = out_dir or f"{ensure_checkpoint_dir(spark)}/tabprep-job-{uuid.uuid4().hex}"
     fitted = prepare(spark, df, spec, where, test_df, val_df, fit_on)
-    synthesize(spark, spec, where, synthesizer, generator_trials, generator_parallelism, inner_trials, space)
+    synthesize(spark, spec, where, synthesizer, generator_trials, generator_parallelism, inner_trials, space,
+               report=out_dir is not None)
     tuning = train_stage(spark, spec, where, space, n_trials, parallelism, tune_on_hard_labels)
     flat = evaluate_stage(spark, spec, where)
     g, published = gate_stage(spark, spec, where, strict_gate, publish=out_dir is not None)
