@@ -9,9 +9,9 @@
    words.  So the model is a proper distribution over all tokens.
 3. **Training.**  ``ROUNDS`` rounds of local training with averaging: every
    partition trains a copy of the model on its documents of the round (each
-   training document in one round, ``SHARE`` of its tokens in one run, at
-   least ``LEAST``, cut in lanes of ``LANE``), and the copies are averaged by tokens, in groups of at
-   most ``FAN_IN``, until few are left.
+   training document whole in one round, cut in lanes of ``LANE``), and the
+   copies are averaged by tokens, in groups of at most ``FAN_IN``, until few
+   are left.
 4. **Scores.**  Tasks hold the counts of the ``COUNTED`` most frequent words
    (a bounded broadcast) and score their documents whole.  The words beyond
    are looked up by a join on the hash; as the frequent ones never enter it,
@@ -40,7 +40,7 @@ from tabprep.llm.gru import LISTED, Gru
 from tabprep.llm.language import fold
 
 END = b"\n"  # no word holds white space
-SHAPES, COUNTED, ROUNDS, SHARE, LEAST, FAN_IN, FLUSH = 12, 200_000, 3, 0.3, 32, 32, 300_000
+SHAPES, COUNTED, ROUNDS, FAN_IN, FLUSH = 12, 200_000, 3, 32, 300_000
 #: Tokens of a training lane (a longer piece becomes several), of a training call, and scored together.
 LANE, TRAINED_AT_ONCE, SCORED_AT_ONCE = 120, 300_000, 2_500_000
 
@@ -157,12 +157,11 @@ class _Lookup:
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id",
-          rounds: int = ROUNDS, share: float = SHARE) -> Gru:
+          rounds: int = ROUNDS) -> Gru:
     """The averaged model after all rounds."""
     spark, model = docs.sparkSession, vocabulary.model()
     words = spark.sparkContext.broadcast(vocabulary)
     turn = F.pmod(F.xxhash64(qcol(key), F.lit("round")), F.lit(rounds))
-    place = F.pmod(F.xxhash64(qcol(key), F.lit("place")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model.flat())
         rate = 0.04 / (1 + r)
@@ -170,11 +169,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
             look, own, tokens, pieces, held = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0, [], 0
             for batch in batches:
-                for body, at in zip(batch.column(0), batch.column(1).to_pylist()):
-                    w = words_of(body.as_py())
-                    n = max(LEAST, int(len(w) * share))
-                    start = int(at * max(1, len(w) - n + 1))
-                    piece = look(w[start:start + n])[0]
+                for body in batch.column(0):
+                    piece = look(words_of(body.as_py()))[0]
                     pieces += [piece[i:i + LANE] for i in range(0, len(piece), LANE)]
                     held += len(piece)
                     if held >= TRAINED_AT_ONCE:
@@ -185,7 +181,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
             if tokens:
                 yield _row(TaskContext.get().partitionId(), own.flat().astype(np.float64) * tokens, tokens)
 
-        part = docs.where(turn == r).select(utf8(qcol(text)), place.alias("at"))
+        part = docs.where(turn == r).select(utf8(qcol(text)))
         copies = store(part.mapInArrow(run, _COPY), "gru-copies")
         n = copies.count()
         while n > FAN_IN:  # copies of FAN_IN neighbouring partitions at a time

@@ -255,6 +255,23 @@ def test_base_scores_and_gain(spark, sf):
     assert sum(r["score"] for r in rows if r["held_out"]) > 0.95 * sum(r["base_score"] for r in rows if r["held_out"])
 
 
+def test_training_reads_every_token(spark, monkeypatch):
+    """The copies of all rounds have seen each training token once, long texts' too."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(_words(rng, rng.choice([0, 1, 40, 300, 2000])))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    vocabulary, seen = language_model.Vocabulary(language_model.count_words(docs)), []
+
+    def stored(df, label="step", keep=language_model.store):
+        out = keep(df, label)
+        seen.extend(r["tokens"] for r in out.collect() if label == "gru-copies")
+        return out
+
+    monkeypatch.setattr(language_model, "store", stored)
+    language_model.train(docs, vocabulary)
+    assert sum(seen) == vocabulary.tokens == sum(len(t.split()) + 1 for _, t in rows)
+
+
 # ---------------------------------------------------------------- 3: passages
 
 def test_chains_against_all_predecessors():
