@@ -8,6 +8,8 @@
    source's hash order that fits, plus a few later documents that fill
    the gap (``FILL_ROUNDS``).  The prefix ends at one hash per source, found by sums
    per hash prefix, so no rows are sorted and a hot source is one more sum.
+   If documents still fit, the longest prefix of those follows, and so on
+   until the gap is below the smallest document left.
 3. Blocks: the draws of a source are dealt at random (by hash) to blocks of
    about ``block_words`` words.  The tree splits the vector of block counts
    per source: a node hands its left half of the output shards a
@@ -113,7 +115,8 @@ def _cut(docs: DataFrame, rest: DataFrame, n_sources: int) -> dict[int, tuple[st
 def _fill(docs: DataFrame, gaps: dict[int, tuple[str, float]]) -> dict[int, list[str]]:
     """source index -> hashes of later documents that fill the gap after its prefix.
 
-    Each round takes the largest document that fits, the last one the nearest.
+    Each round takes the largest document that fits, the last one the nearest,
+    unless that goes over by more than the smallest document.
     """
     found: dict[int, list[str]] = {}
     for last in [False] * (FILL_ROUNDS - 1) + [True]:
@@ -123,14 +126,37 @@ def _fill(docs: DataFrame, gaps: dict[int, tuple[str, float]]) -> dict[int, list
         rest = _small(literal_table(docs.sparkSession, state, "_s int, _cut string, _gap double, _used array<string>"), len(state))
         miss = F.abs(F.col("size") - F.col("_gap"))
         rows = docs.join(rest, "_s").where((F.col("_hash") > F.col("_cut")) & ~F.array_contains("_used", F.col("_hash")))
-        rows = rows.where(miss < F.col("_gap")) if last else rows.where(F.col("size") <= F.col("_gap"))
-        best = rows.groupBy("_s").agg(F.min(F.struct(miss.alias("m"), "_hash", "size")).alias("c")).select("_s", "c.*").collect()
+        may = miss < F.col("_gap") if last else F.col("size") <= F.col("_gap")
+        best = rows.groupBy("_s").agg(F.min(F.when(may, F.struct(miss.alias("m"), "_hash", "size"))).alias("c"),
+                                      F.min("size").alias("least")).where("c IS NOT NULL").select("_s", "c.*", "least").collect()
         for r in best:
+            if r["size"] - gaps[r["_s"]][1] >= r["least"]:
+                continue
             found.setdefault(r["_s"], []).append(r["_hash"])
             gaps[r["_s"]] = (gaps[r["_s"]][0], gaps[r["_s"]][1] - r["size"])
     return found
 
 
+def _stretch(docs: DataFrame, gaps: dict[int, tuple[str, float]], used: dict[int, list[str]]) -> dict[int, list[tuple]]:
+    """source index -> (after, last hash, largest size) of further stretches, until no document left fits its gap.
+
+    A stretch takes the documents between its hashes that are no larger than
+    the gap before it; those it passes over exceed every later gap.
+    """
+    found: dict[int, list[tuple]] = {}
+    gaps = {i: x for i, x in gaps.items() if x[1] >= 1}  # sizes are whole words
+    while gaps:
+        state = _small(literal_table(docs.sparkSession, [(i, c, g, used.get(i, [])) for i, (c, g) in gaps.items()],
+                                     "_s int, _after string, _rest double, _used array<string>"), len(gaps))
+        fit = docs.join(state, "_s").where((F.col("_hash") > F.col("_after")) & (F.col("size") <= F.col("_rest"))
+                                           & ~F.array_contains("_used", F.col("_hash"))).select("_s", "_hash", "size")
+        cut = _cut(fit, state.select("_s", "_rest"), len(gaps))
+        for i, (after, gap) in gaps.items():
+            found.setdefault(i, []).append((after, cut[i][0] if i in cut else "~", gap))  # "~": all that fit
+        gaps = {i: (c, gaps[i][1] - w) for i, (c, w) in cut.items() if gaps[i][1] - w >= 1}
+    return found
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights=WEIGHTS,
         amount: float = AMOUNT, max_repeat: float = MAX_REPEAT, n_shards: int = SHARDS,
         block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
@@ -153,18 +179,24 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     narrow = sizes_only.join(index.select("_s", "_source"), F.col("_source").eqNullSafe(F.col("_name"))) \
         .select("_s", "_hash", "size").where("size > 0")
     cut = _cut(narrow, index.select("_s", "_rest"), n)
-    fillers = _fill(narrow, {i: (c[0], want[names[i]] - full[names[i]] * size[names[i]] - c[1]) for i, c in cut.items()})
+    gaps = {i: (c[0], want[names[i]] - full[names[i]] * size[names[i]] - c[1]) for i, c in cut.items()}
+    fillers = _fill(narrow, gaps)  # lessens the gaps
+    further = _stretch(narrow, gaps, fillers)
 
     # the tree over block counts
     blocks = np.array([max(1, math.ceil(want[s] / block_words)) for s in names], dtype=np.int64)
     quotas = split_quotas(blocks, n_shards, seed) if n else np.zeros((n_shards, 0), dtype=np.int64)
     ends = quotas.cumsum(axis=0)
     plan = _small(literal_table(
-        spark, [(i, *(cut.get(i) or ("~", 0))[:1], fillers.get(i, []), int(blocks[i]), [int(e) for e in ends[:, i]])
-                for i in range(n)],
-        "_s int, _cut string, _fillers array<string>, _blocks int, _ends array<int>"), n)
+        spark, [(i, *(cut.get(i) or ("~", 0))[:1], fillers.get(i, []), *([x[k] for x in further.get(i, [])] for k in range(3)),
+                 int(blocks[i]), [int(e) for e in ends[:, i]]) for i in range(n)],
+        "_s int, _cut string, _fillers array<string>, _after array<string>, _upto array<string>, _most array<double>, "
+        "_blocks int, _ends array<int>"), n)
     docs = docs.join(plan, "_s")
-    extra = ((F.col("_rest") > 0) & ((F.col("_hash") <= F.col("_cut")) | F.array_contains("_fillers", F.col("_hash"))))
+    stretch = F.exists(F.arrays_zip("_after", "_upto", "_most"), lambda x: (F.col("_hash") > x["_after"])
+                       & (F.col("_hash") <= x["_upto"]) & (F.col("size") <= x["_most"]))
+    extra = ((F.col("_rest") > 0) & ((F.col("_hash") <= F.col("_cut")) | F.array_contains("_fillers", F.col("_hash"))
+                                     | ((F.col("size") > 0) & stretch)))
     copies = F.col("_full") + extra.cast("int")
     block = lambda c: F.floor(uniform_from_hex(F.md5(F.concat_ws("|", F.lit("block"), c.cast("string"), "_hash")))
                               * F.col("_blocks"))

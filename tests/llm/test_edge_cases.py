@@ -49,6 +49,16 @@ def test_sharding(docs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_mixing_with_one_very_long_document(spark):
+    """Wherever the long document falls in the hash order, the gap is below the smallest document left out."""
+    for seed in range(4):
+        rows = [(i, "a", "w " * (1 + i % 20)) for i in range(300)] + [(300, "a", "w " * 2000)]
+        out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"),
+                         weights=(1,), amount=0.7, seed=seed).collect()
+        gap = out[0]["target"] - sum(r["size"] * len(r["shards"]) for r in out)
+        assert abs(gap) < min(r["size"] for r in out if not r["shards"])
+
+
 def test_mixing(docs, empty):
     out = mixing.mix(docs).collect()
     assert len(out) == len(ROWS)
