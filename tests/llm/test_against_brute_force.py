@@ -329,6 +329,33 @@ def test_shared_runs_of_the_tables(spark, sf):
     assert len(shared) > 20 and len(shared - named) <= 0.02 * len(shared)
 
 
+def test_passage_of_common_lines(spark):
+    """Two texts that alone share two adjacent lines are linked, though many texts hold either line."""
+    rng, rows, pairs = random.Random(5), [], []
+    for _ in range(8):
+        lines = [_words(rng, 25, 10 ** 6) for _ in range(2)]
+        pairs.append((len(rows), len(rows) + 1))
+        for own in [lines[0] + lines[1]] * 2 + [x for x in lines for _ in range(40)]:
+            rows.append((len(rows), " ".join(_words(rng, 60, 10 ** 6) + own + _words(rng, 60, 10 ** 6))))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in got} == set(pairs)
+    assert all(r["n_equal"] >= 50 for r in got)
+
+
+def test_no_shared_run_is_missing(spark, sf):
+    """Every document that shares MIN_WORDS words (not of one repeated word) is reported."""
+    texts = {r["doc_id"]: (r["text"] or "").lower().split() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = substring_dedup.op3_collinear_chaining(spark, sf).collect()
+    named = {r["doc_id"] for r in got} | {r["other_id"] for r in got}
+    first, shared = {}, set()
+    for i, w in sorted(texts.items()):
+        for j in range(len(w) - 49):
+            run = tuple(w[j:j + 50])
+            if len(set(run)) > 1 and first.setdefault(run, i) != i:
+                shared |= {i, first[run]}
+    assert len(shared) > 20 and shared <= named
+
+
 # ---------------------------------------------------------------- 6: embeddings
 
 def test_small_cells_lose_no_link(spark):
