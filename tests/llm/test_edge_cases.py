@@ -49,6 +49,11 @@ def test_sharding(docs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_patterns_vote_without_a_listed_word():
+    for text, voter in [(b"just shut up and go away", "dismissal"), (b"what a joke", "contempt"), (b"u pathetic fools", "second person attack")]:
+        assert toxicity.fixed_votes(text, toxicity.words_of(text)) >> toxicity.VOTERS.index(voter) & 1
+
+
 def test_mixing_with_one_very_long_document(spark):
     """Wherever the long document falls in the hash order, the gap is below the smallest document left out."""
     for seed in range(4):
