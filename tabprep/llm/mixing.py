@@ -4,12 +4,13 @@
    target stops at ``max_repeat`` times its source's words and the excess is
    shared again by weight (water-filling, in closed form over the sources).
 2. Copies per document: every document of a source is drawn
-   ``floor(target / words)`` times; the rest is the longest prefix of the
-   source's hash order that fits, plus a few later documents that fill
-   the gap (``FILL_ROUNDS``).  The prefix ends at one hash per source, found by sums
-   per hash prefix, so no rows are sorted and a hot source is one more sum.
-   If documents still fit, the longest prefix of those follows, and so on
-   until the gap is below the smallest document left.
+   ``floor(target / words)`` times.  The rest of the target is filled by first
+   fit: in the source's hash order each document is taken once more if its
+   words still fit, so what is left of the target is less than any document
+   passed over.  No rows are sorted for that: the longest run that fits ends at
+   one hash, found by sums per hash prefix (a hot source is one more sum);
+   what is too large for the gap then left is filtered out, the next run follows, and
+   so on (some ten rounds, for all sources at once).
 3. Blocks: the draws of a source are dealt at random (by hash) to blocks of
    about ``block_words`` words.  The tree splits the vector of block counts
    per source: a node hands its left half of the output shards a
@@ -21,10 +22,10 @@
 
 The driver holds one row per source and the quota of each (source, shard).
 
-Defined cases: null or blank text has no words and is drawn like any other
-row of its source but adds none; null is a source of its own, last in
-order; repeated rows (same id) are drawn alike; an empty table gives an
-empty result.
+Defined cases: null or blank text has no words and always fits; null is a source
+of its own, last in order; rows of one source and id (of one text, where the id is null)
+are drawn alike, so they are one group in the first fit, whose words are their sum; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,11 +38,11 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_key, uniform_from_hex
 from tabprep.functions.names import qcol
-from tabprep.llm.common import SPACE, literal_table, row, store, table, word_count
+from tabprep.llm.common import SPACE, literal_table, row, small_side, store, table, word_count
 
 SEED, WEIGHTS, AMOUNT, MAX_REPEAT = 7, (5, 2, 1), 1.5, 2.0
 SHARDS, BLOCK_WORDS = 8, 4096
-PREFIX, ROWS_AT_CUT, FILL_ROUNDS = 3, 200_000, 5
+PREFIX, ROWS_AT_CUT = 3, 200_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, amount=AMOUNT,
@@ -105,55 +106,31 @@ def _cut(docs: DataFrame, rest: DataFrame, n_sources: int) -> dict[int, tuple[st
     last = _small(literal_table(docs.sparkSession, [(r["_s"], r["_p"], r["_cum"] - r["_w"], r["_rest"]) for r in at],
                                 "_s int, _at string, _base double, _rest double"), n_sources)
     inside = docs.join(last, "_s").where(F.col("_hash").startswith(F.col("_at")))
-    run = Window.partitionBy("_s").orderBy("_hash")  # ties (repeated rows) together; at most ROWS_AT_CUT rows
+    run = Window.partitionBy("_s").orderBy("_hash")  # at most ROWS_AT_CUT rows
     fits = inside.withColumn("_cum", F.col("_base") + F.sum("size").over(run)).where("_cum <= _rest") \
         .groupBy("_s").agg(F.max(F.struct("_hash", "_cum")).alias("c")).select("_s", "c.*").collect()
     cut = {r["_s"]: (r["_p"], r["_cum"] - r["_w"]) for r in at}  # nothing of the interval fits
     return cut | {r["_s"]: (r["_hash"], r["_cum"]) for r in fits}
 
 
-def _fill(docs: DataFrame, gaps: dict[int, tuple[str, float]]) -> dict[int, list[str]]:
-    """source index -> hashes of later documents that fill the gap after its prefix.
+def _runs(groups: DataFrame, gaps: dict[int, float]) -> dict[int, list[tuple]]:
+    """source index -> (after, last hash, most words) of each run of the first fit.
 
-    Each round takes the largest document that fits, the last one the nearest,
-    unless that goes over by more than the smallest document.
-    """
-    found: dict[int, list[str]] = {}
-    for last in [False] * (FILL_ROUNDS - 1) + [True]:
-        state = [(i, c, g, found.get(i, [])) for i, (c, g) in gaps.items() if g > 0]
-        if not state:
-            break
-        rest = _small(literal_table(docs.sparkSession, state, "_s int, _cut string, _gap double, _used array<string>"), len(state))
-        miss = F.abs(F.col("size") - F.col("_gap"))
-        rows = docs.join(rest, "_s").where((F.col("_hash") > F.col("_cut")) & ~F.array_contains("_used", F.col("_hash")))
-        may = miss < F.col("_gap") if last else F.col("size") <= F.col("_gap")
-        best = rows.groupBy("_s").agg(F.min(F.when(may, F.struct(miss.alias("m"), "_hash", "size"))).alias("c"),
-                                      F.min("size").alias("least")).where("c IS NOT NULL").select("_s", "c.*", "least").collect()
-        for r in best:
-            if r["size"] - gaps[r["_s"]][1] >= r["least"]:
-                continue
-            found.setdefault(r["_s"], []).append(r["_hash"])
-            gaps[r["_s"]] = (gaps[r["_s"]][0], gaps[r["_s"]][1] - r["size"])
-    return found
-
-
-def _stretch(docs: DataFrame, gaps: dict[int, tuple[str, float]], used: dict[int, list[str]]) -> dict[int, list[tuple]]:
-    """source index -> (after, last hash, largest size) of further stretches, until no document left fits its gap.
-
-    A stretch takes the documents between its hashes that are no larger than
-    the gap before it; those it passes over exceed every later gap.
+    A run takes the groups between its hashes that have no more words than the gap
+    before it; those it passes over exceed every later gap.  Each run takes at
+    least one group or ends the source's search.
     """
     found: dict[int, list[tuple]] = {}
-    gaps = {i: x for i, x in gaps.items() if x[1] >= 1}  # sizes are whole words
-    while gaps:
-        state = _small(literal_table(docs.sparkSession, [(i, c, g, used.get(i, [])) for i, (c, g) in gaps.items()],
-                                     "_s int, _after string, _rest double, _used array<string>"), len(gaps))
-        fit = docs.join(state, "_s").where((F.col("_hash") > F.col("_after")) & (F.col("size") <= F.col("_rest"))
-                                           & ~F.array_contains("_used", F.col("_hash"))).select("_s", "_hash", "size")
-        cut = _cut(fit, state.select("_s", "_rest"), len(gaps))
-        for i, (after, gap) in gaps.items():
+    left = {i: ("", gap) for i, gap in gaps.items() if gap >= 1}  # sizes are whole words
+    while left:
+        state = _small(literal_table(groups.sparkSession, [(i, c, g) for i, (c, g) in left.items()],
+                                     "_s int, _after string, _rest double"), len(left))
+        fit = groups.join(state, "_s").where((F.col("_hash") > F.col("_after")) & (F.col("size") <= F.col("_rest"))) \
+            .select("_s", "_hash", "size")
+        cut = _cut(fit, state.select("_s", "_rest"), len(left))
+        for i, (after, gap) in left.items():
             found.setdefault(i, []).append((after, cut[i][0] if i in cut else "~", gap))  # "~": all that fit
-        gaps = {i: (c, gaps[i][1] - w) for i, (c, w) in cut.items() if gaps[i][1] - w >= 1}
+        left = {i: (c, left[i][1] - w) for i, (c, w) in cut.items() if left[i][1] - w >= 1}
     return found
 
 
@@ -163,40 +140,41 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     """``df`` with ``size``, ``source_size``, ``target`` and ``shards``: the output shard of each draw."""
     spark = df.sparkSession
     df = df.drop("size", "source_size", "target", "shards")
+    of_text = F.concat(F.lit("text "), F.md5(F.coalesce(qcol(text).cast("string"), F.lit(""))))
     sized = df.select(row(df), qcol(source).cast("string").alias("_name"), word_count(qcol(text)).alias("size"),
-                      hash_key(seed, qcol(key)).alias("_hash"))
-    sizes_only = store(sized.select("_name", "_hash", "size"), "mix-sizes")
+                      hash_key(seed, F.coalesce(qcol(key).cast("string"), of_text)).alias("_hash"))
+    groups = store(sized.groupBy("_name", "_hash").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("_n")), "mix-sizes")
     # one row a source
-    sizes = [(r[0], r[1] or 0) for r in sizes_only.groupBy("_name").agg(F.sum("size")).collect()]
+    sizes = [(r[0], r[1] or 0) for r in groups.groupBy("_name").agg(F.sum("size")).collect()]
     want = targets(sizes, weights, amount, max_repeat)
     names, n = list(want), len(want)
     size = dict(sizes)
     full = {s: min(int(want[s] // size[s]), math.floor(max_repeat)) if size[s] else 1 for s in names}
-    index = _small(literal_table(spark, [(i, s, size[s], want[s], full[s], want[s] - full[s] * size[s] if size[s] else 0.0)
-                                         for i, s in enumerate(names)],
+    rest = {s: want[s] - full[s] * size[s] if size[s] else 0.0 for s in names}
+    index = _small(literal_table(spark, [(i, s, size[s], want[s], full[s], rest[s]) for i, s in enumerate(names)],
                                  "_s int, _source string, source_size long, target double, _full int, _rest double"), n)
-    docs = sized.join(index, sized["_name"].eqNullSafe(index["_source"]))
-    narrow = sizes_only.join(index.select("_s", "_source"), F.col("_source").eqNullSafe(F.col("_name"))) \
+    # rows whose words are not those of their group
+    several = small_side(groups.where("_n > 1").select(F.col("_name").alias("_n2"), F.col("_hash").alias("_h2"),
+                                                      F.col("size").alias("_of_group")), "mix-repeated")
+    docs = sized.join(index, sized["_name"].eqNullSafe(index["_source"])) \
+        .join(several, (F.col("_hash") == F.col("_h2")) & F.col("_name").eqNullSafe(F.col("_n2")), "left")
+    narrow = groups.join(index.select("_s", "_source"), F.col("_source").eqNullSafe(F.col("_name"))) \
         .select("_s", "_hash", "size").where("size > 0")
-    cut = _cut(narrow, index.select("_s", "_rest"), n)
-    gaps = {i: (c[0], want[names[i]] - full[names[i]] * size[names[i]] - c[1]) for i, c in cut.items()}
-    fillers = _fill(narrow, gaps)  # lessens the gaps
-    further = _stretch(narrow, gaps, fillers)
+    runs = _runs(narrow, {i: rest[s] for i, s in enumerate(names)})
 
     # the tree over block counts
     blocks = np.array([max(1, math.ceil(want[s] / block_words)) for s in names], dtype=np.int64)
     quotas = split_quotas(blocks, n_shards, seed) if n else np.zeros((n_shards, 0), dtype=np.int64)
     ends = quotas.cumsum(axis=0)
     plan = _small(literal_table(
-        spark, [(i, *(cut.get(i) or ("~", 0))[:1], fillers.get(i, []), *([x[k] for x in further.get(i, [])] for k in range(3)),
-                 int(blocks[i]), [int(e) for e in ends[:, i]]) for i in range(n)],
-        "_s int, _cut string, _fillers array<string>, _after array<string>, _upto array<string>, _most array<double>, "
-        "_blocks int, _ends array<int>"), n)
+        spark, [(i, *([x[k] for x in runs.get(i, [])] for k in range(3)), int(blocks[i]), [int(e) for e in ends[:, i]])
+                for i in range(n)],
+        "_s int, _after array<string>, _upto array<string>, _most array<double>, _blocks int, _ends array<int>"), n)
     docs = docs.join(plan, "_s")
-    stretch = F.exists(F.arrays_zip("_after", "_upto", "_most"), lambda x: (F.col("_hash") > x["_after"])
-                       & (F.col("_hash") <= x["_upto"]) & (F.col("size") <= x["_most"]))
-    extra = ((F.col("_rest") > 0) & ((F.col("_hash") <= F.col("_cut")) | F.array_contains("_fillers", F.col("_hash"))
-                                     | ((F.col("size") > 0) & stretch)))
+    words = F.coalesce("_of_group", "size")
+    taken = F.exists(F.arrays_zip("_after", "_upto", "_most"), lambda x: (F.col("_hash") > x["_after"])
+                     & (F.col("_hash") <= x["_upto"]) & (words <= x["_most"]))
+    extra = (F.col("_rest") > 0) & ((words == 0) | taken)
     copies = F.col("_full") + extra.cast("int")
     block = lambda c: F.floor(uniform_from_hex(F.md5(F.concat_ws("|", F.lit("block"), c.cast("string"), "_hash")))
                               * F.col("_blocks"))
@@ -227,21 +205,9 @@ def op2_hypergeometric_mix(spark, sf_dir: str) -> DataFrame:
                         (F.col("size") * draws).alias("taken"), draws.alias("draws"))
 
 
-def _sql_fill() -> str:
-    """One step per round: pick a row of each source, lessen its gap."""
-    steps = []
-    for r in range(FILL_ROUNDS):
-        fits = "abs(size - gap) < gap" if r == FILL_ROUNDS - 1 else "size <= gap"
-        steps.append(f"""
-e{r} AS (SELECT *, NOT fits AND NOT fills AND size > 0 AND rest > 0 AND gap > 0 AND {fits} AS may FROM p{r}),
-k{r} AS (SELECT * EXCLUDE (may), may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(size - gap), h) = 1 AS pick FROM e{r}),
-p{r + 1} AS (SELECT * EXCLUDE (pick, fills, gap), fills OR pick AS fills,
-    gap - coalesce(sum(CASE WHEN pick THEN size END) OVER (PARTITION BY source), 0) AS gap FROM k{r})""")
-    return ",".join(steps)
-
-
 SQL_OP2 = f"""
-WITH d AS (SELECT doc_id, source, md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR))) AS h,
+WITH RECURSIVE d AS (SELECT doc_id, source,
+    md5(concat_ws('|', '{SEED}', coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, ''))))) AS h,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS s_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM s),
@@ -252,13 +218,15 @@ l AS (SELECT arg_min((want - full_before) / rest, r) FILTER ((want - full_before
 t AS (SELECT source, s_size, least(2.0 * s_size, level * weight)::DOUBLE AS target FROM c, l),
 f AS (SELECT *, CASE WHEN s_size = 0 THEN 1 ELSE CAST(floor(target / s_size) AS INT) END AS whole,
     CASE WHEN s_size = 0 THEN 0 ELSE target - floor(target / s_size) * s_size END AS rest FROM t),
-o AS (SELECT d.*, f.s_size, f.target, f.whole, f.rest,
-    sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS cum
-  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
-g AS (SELECT source, max(rest) - coalesce(max(cum) FILTER (cum <= rest), 0) AS gap FROM o GROUP BY source),
-p0 AS (SELECT o.*, gap, o.cum <= o.rest AND o.rest > 0 AS fits, false AS fills FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source),
-{_sql_fill()}
-SELECT doc_id, size, s_size AS source_size, round(target, 6) AS target,
-  size * (whole + CASE WHEN fits OR fills THEN 1 ELSE 0 END) AS taken,
-  CAST(whole + CASE WHEN fits OR fills THEN 1 ELSE 0 END AS INT) AS draws FROM p{FILL_ROUNDS}
+o AS MATERIALIZED (SELECT coalesce(source, '') || CASE WHEN source IS NULL THEN 'n' ELSE 's' END AS src, h, CAST(sum(size) AS BIGINT) AS g,
+    row_number() OVER (PARTITION BY source ORDER BY h) AS k FROM d GROUP BY source, h),
+r AS (SELECT coalesce(source, '') || CASE WHEN source IS NULL THEN 'n' ELSE 's' END AS src, CAST(0 AS BIGINT) AS k, rest AS gap, '' AS h, false AS took
+    FROM f WHERE rest > 0
+  UNION ALL SELECT r.src, o.k, CASE WHEN o.g <= r.gap THEN r.gap - o.g ELSE r.gap END, o.h, o.g <= r.gap
+    FROM r JOIN o ON o.src = r.src AND o.k = r.k + 1)
+SELECT d.doc_id, d.size, f.s_size AS source_size, round(f.target, 6) AS target,
+  d.size * (whole + CASE WHEN coalesce(took, false) THEN 1 ELSE 0 END) AS taken,
+  CAST(whole + CASE WHEN coalesce(took, false) THEN 1 ELSE 0 END AS INT) AS draws
+FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+LEFT JOIN r ON r.k > 0 AND r.h = d.h AND r.src = coalesce(d.source, '') || CASE WHEN d.source IS NULL THEN 'n' ELSE 's' END
 """

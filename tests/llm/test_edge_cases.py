@@ -64,6 +64,47 @@ def test_mixing_with_one_very_long_document(spark):
         assert abs(gap) < min(r["size"] for r in out if not r["shards"])
 
 
+def _mix_equals_sql(spark, rows):
+    """(worst gap of a source, smallest group left out) of a mix that equals its SQL twin row by row."""
+    import duckdb
+
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    drawn = mixing.mix(df.repartition(3)).collect()
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(mixing.SQL_OP2).fetchall()
+    got = [(r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["size"] * len(r["shards"]), len(r["shards"])) for r in drawn]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    return drawn
+
+
+def test_mixing_of_repeated_rows_and_null_ids(spark):
+    """Twenty rows an id, a hundred rows without one, one huge text: rows of one id are drawn alike and as a group."""
+    import collections
+
+    twenty = [(i, "a", "w " * 60) for i in range(40) for _ in range(20)]
+    nameless = [(None, "b", f"w{i} " + "w " * (i % 50)) for i in range(100)] + [(None, "b", "same text")] * 30
+    mixed = [(1000 + i, "c", "w " * (100 if i % 2 else 300)) for i in range(300)] + [(2000, "c", "w " * 20_000)]
+    odd = [(3000 + i, None, t) for i, t in enumerate([None, "", " ", "one", "two words"])]
+    drawn = _mix_equals_sql(spark, twenty + nameless + mixed + odd)
+    for s in "abc":
+        mine = [r for r in drawn if r["source"] == s]
+        gap = mine[0]["target"] - sum(r["size"] * len(r["shards"]) for r in mine)
+        whole = min(len(r["shards"]) for r in mine)
+        groups = collections.Counter()
+        for r in mine:
+            if len(r["shards"]) == whole:
+                groups[r["doc_id"] if r["doc_id"] is not None else r["text"]] += r["size"]
+        assert -1e-6 <= gap < max(1, min(groups.values()))
+    assert all(len({len(r["shards"]) for r in drawn if r["doc_id"] == i}) == 1 for i in range(40))
+
+
+def test_mixing_where_many_runs_are_needed(spark):
+    rows = [(i, "a", "w " * (100 if i % 10 == 0 else 300)) for i in range(900)] + [(5000, "a", "w " * 20_000), (5001, "z", "w " * 90_000)] \
+        + [(6000 + i, "z", "w " * (1 + i * 7 % 400)) for i in range(200)]
+    _mix_equals_sql(spark, rows)
+
+
 def test_mixing(docs, empty):
     out = mixing.mix(docs).collect()
     assert len(out) == len(ROWS)
