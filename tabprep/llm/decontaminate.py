@@ -20,7 +20,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z and a
 compared by 64-bit hash.
 
 Defined cases: null and wordless texts have no words, no hits, and are not
-contaminated; a wordless item has no window; repeated items each count;
+contaminated; a wordless item has no window; repeated items each count; an item
+without an id hits like any other, but is not listed;
 an empty test set hits nothing; repeated documents each get a row; columns
 beyond the named ones are not read.
 """
@@ -97,7 +98,7 @@ def _blocks(items: DataFrame, key: str, text: str, block_words: int, window: int
         terms = np.zeros((len(windows), window), np.uint64)
         for row, w in zip(terms, windows):
             row[:len(w)] = w
-        return terms, np.array([len(w) for w in windows]), [sorted(s) for s in windows.values()]
+        return terms, np.array([len(w) for w in windows]), [sorted(s - {None}) for s in windows.values()]
 
     windows, held = {}, 0
     for item, body in items.select(qcol(key).cast("string"), utf8(qcol(text))).toLocalIterator():
