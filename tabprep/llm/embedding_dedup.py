@@ -19,7 +19,9 @@ spanning forest of its links, never the pairs themselves.
 Defined cases: null labels and vectors that are null, empty, zero or hold
 null or non-finite components link with nothing and are their own component;
 vectors of different lengths do not link; repeated rows count as further
-equal vectors; an empty table gives an empty result.
+equal vectors; rows of one id with different vectors are told apart, each with its own
+links; a null id is never the smallest, and a component without any id has a null one;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,13 +66,14 @@ def _vector(name: str):
 
 
 def _points(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """One row per distinct usable vector of a label: point (smallest id), multiplicity."""
+    """One row per distinct usable vector of a label: its number, smallest id and multiplicity."""
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = vectors.select(qcol(key).cast("long").alias("id"), qcol(label).cast("string").alias("label"),
                             _vector(vector).alias("v")) \
         .where(F.col("label").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
-    return store(usable.groupBy("label", "v").agg(F.min("id").alias("point"), F.count(F.lit(1)).alias("copies"))
-                 .withColumn("label", F.concat_ws("|", F.size("v").cast("string"), "label")), "points")
+    return store(usable.groupBy("label", "v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+                 .withColumn("label", F.concat_ws("|", F.size("v").cast("string"), "label"))
+                 .withColumn("point", F.monotonically_increasing_id()), "points")  # storing fixes the numbers
 
 
 def _centres(points: DataFrame, cell: int, sample: int) -> dict[str, np.ndarray]:
@@ -186,12 +189,15 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     found = store(blocks.groupBy("label", "cell", "i", "j").applyInPandas(
         compare, "point long, links long, root long"), "block-links")
     links = found.groupBy("point").agg(F.sum("links").alias("links"))
-    comp = components(found.where("point != root").select("point", "root"))
-    per_point = points.select("point", "copies", "label", "v").join(links, "point", "left") \
-        .join(comp.withColumnRenamed("node", "point"), "point", "left").select(
+    comp = store(components(found.where("point != root").select("point", "root"))
+                 .join(points.select(F.col("point").alias("node"), "least"), "node"), "vector-components")
+    ids = comp.groupBy("component").agg(F.min("least").alias("smallest"))
+    comp = comp.join(ids, "component").select(F.col("node").alias("point"), "smallest", F.lit(True).alias("in_one"))
+    per_point = points.select("point", "copies", "label", "v", "least").join(links, "point", "left") \
+        .join(comp, "point", "left").select(
         F.col("label").alias("_l"), F.col("v").alias("_v"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "point").alias("component_id"))
+        F.when(F.col("in_one"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
     vectors = vectors.drop("n_links", "component_id", "kept")
     wide = vectors.select(row(vectors), qcol(key).cast("long").alias("_id"), qcol(label).cast("string").alias("_label"),
                           _vector(vector).alias("_dv"))
@@ -201,7 +207,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
                        & (F.col("_dv") == F.col("_v")), "left")
     component = F.coalesce("component_id", "_id")
     return joined.select("_row.*", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                         component.alias("component_id"), (component == F.col("_id")).alias("kept"))
+                         component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"))
 
 
 def op6_spherical_kmeans_dedup(spark, sf_dir: str) -> DataFrame:

@@ -125,6 +125,14 @@ def test_decontaminate(docs, empty, items):
     assert decontaminate.drop_contaminated(docs, items).columns == docs.columns
 
 
+def test_decontaminate_with_null_item_ids(spark, docs):
+    """A window shared by a named and a nameless item: it counts as hit, only the named item is listed."""
+    items = spark.createDataFrame([(None, "one"), (3, "one"), (None, "tie tie tie tie")], "item_id long, text string")
+    out = {r["doc_id"]: r for r in decontaminate.contamination(docs, items).collect()}
+    assert out[4]["items"] == ["3"] and out[4]["n_hit"] == 1
+    assert out[9]["items"] == [] and out[9]["n_hit"] == 4 and out[9]["contaminated"]
+
+
 def test_language(docs, empty):
     prototypes = language.train_prototypes(docs, "text", "lang")
     assert sorted(prototypes) == ["en", "fr"]
@@ -200,3 +208,15 @@ def test_embeddings(spark):
     for i in (5, 6, 7, 8, 9, 10, 11, 12, 13, 14):
         assert got[i] == (0, i, True)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embeddings_of_one_id(spark):
+    """Rows of one id with different vectors have their own links; nameless rows link like others."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 0), (None, [-1.0, 0.0], 0),
+            (None, [0.0, -1.0], 0), (7, [0.0, -1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(((r["vec_id"], tuple(r["embedding"]), r["n_links"], r["component_id"], r["kept"])
+                  for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, (1.0, 0.0), 1, 1, True), (1, (0.0, 1.0), 1, 1, True), (2, (1.0, 0.01), 1, 1, False),
+                          (3, (0.01, 1.0), 1, 1, False), (None, (-1.0, 0.0), 0, None, True),
+                          (None, (0.0, -1.0), 1, 7, False), (7, (0.0, -1.0), 1, 7, True)], key=str)
