@@ -188,10 +188,13 @@ def fold(key: str | Column, n: int) -> Column:
     return F.crc32(F.encode(F.coalesce(c.cast("string"), F.lit("")), "UTF-8")) % n
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """All documents with predictions of prototypes learnt outside the held-out fold."""
-    prototypes = train_prototypes(docs.where(fold("doc_id", 4) != 2), "text", "lang")
-    return identify(docs, "text", prototypes)
+def identified(docs: DataFrame, dims: int = DIMS) -> DataFrame:
+    """All documents with predictions of prototypes learnt outside the held-out fold.
+
+    A text in an unlearned script has a cosine of about ``1 / sqrt(dims)`` to a prototype, either way.
+    """
+    prototypes = train_prototypes(docs.where(fold("doc_id", 4) != 2), "text", "lang", dims=dims)
+    return identify(docs, "text", prototypes, dims=dims)
 
 
 def op5_hyperdimensional_language(spark, sf_dir: str) -> DataFrame:
