@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tabprep.llm import decontaminate, language, mixing, ngram_join, sharding
 from tabprep.llm.common import drop_stored, release, small_batches, store, stored_paths, table
 
-#: Texts less like every language than this are rejected, as are letterless ones.
-MIN_COSINE = 0.03
+#: Dimensions of the language profiles, and the least cosine to the nearest language: 3.4 times the
+#: noise (1 / sqrt(DIMS)) of a text in a script that no language has.  Letterless texts go as well.
+DIMS, MIN_COSINE = 2048, 0.075
 
 #: Working tables of the stages that have run; their results are written before the next stage begins.
 _WORK: list[str] = []
@@ -40,7 +41,7 @@ def _stage(fn):
 @_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages stay."""
-    rows = language.identified(docs).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_COSINE))
+    rows = language.identified(docs, DIMS).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_COSINE))
     return rows.select(*docs.columns)
 
 
