@@ -1,6 +1,6 @@
 """CSV scans with the NA-token rule and column type inference.
 
-Files are read with every column as a string; the NA tokens are mapped to
+Files are read with every column as a string (``records``); the NA tokens are mapped to
 null *before* typing (Spark's ``nullValue`` takes one token only, and with
 ``N/A`` left in, a numeric column would be typed as text).  Typing is one
 aggregate pass: a column is numeric when every non-null value casts to a
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.names import check_unique_names, qcol
+from tabprep.sources.records import read_records
 
 # The default missing-value tokens of the common CSV reader
 # the job specs were written for.
@@ -60,8 +61,8 @@ def infer_types(df: DataFrame, cols=None) -> DataFrame:
         F.count(x).alias("n")).collect()}
     kinds = {}
     for i, c in enumerate(cols):
-        row = rows[i]
-        if row["n"] == 0:
+        row = rows.get(i)
+        if row is None or row["n"] == 0:
             kinds[c] = "double"          # all missing: a numeric column of nulls
         elif row["b"] == 0:
             kinds[c] = "boolean"
@@ -101,14 +102,28 @@ def cast_like(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def read_csv(spark: SparkSession, path: str, na_tokens=NA_TOKENS, infer: bool = True,
-             **options) -> DataFrame:
-    """Header CSV (plain or ``.gz``) -> NA tokens to null -> typed columns."""
-    reader = spark.read.option("header", True).option("inferSchema", False) \
-        .option("nullValue", None).option("emptyValue", "")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    df = reader.csv(path)
-    check_unique_names(df)
-    df = normalize_na(df, tokens=na_tokens)
-    return infer_types(df) if infer else df
+def read_csv(spark: SparkSession, path: str, na_tokens=NA_TOKENS, infer: bool = True, sep: str = ",",
+             malformed: str = "raise") -> DataFrame:
+    """Header CSV (plain or ``.gz``) -> NA tokens to null -> typed columns.
+
+    Quoted separators, quotes and line breaks are read by the rules of ``records``.
+    Rows with too many fields raise an error, like in the reader the specs were
+    written for; ``malformed="drop"`` leaves them out, and ``read_csv_apart`` returns them.
+    """
+    rows, bad = read_csv_apart(spark, path, na_tokens, infer, sep)
+    if malformed == "raise":
+        first = bad.limit(3).collect()
+        if first:
+            raise ValueError(f"{bad.count()} malformed rows in {path}, e.g. {[r['text'][:200] for r in first]}")
+    elif malformed != "drop":
+        raise ValueError(f"unknown choice for malformed rows: {malformed!r}")
+    return rows
+
+
+def read_csv_apart(spark: SparkSession, path: str, na_tokens=NA_TOKENS, infer: bool = True,
+                   sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(typed rows, malformed rows as ``text``).  Compressed files are dealt to all tasks after the scan."""
+    rows, bad = read_records(spark, path, sep)
+    check_unique_names(rows)
+    rows = normalize_na(rows, tokens=na_tokens)
+    return (infer_types(rows) if infer else rows), bad

@@ -25,7 +25,9 @@ def expand_vector(df: DataFrame, vec: str, names: list[str], keep=()) -> DataFra
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", header).csv(path)
+    """CSV that every common reader takes: quotes are doubled, blanks at the ends of texts stay."""
+    df.write.mode(mode).option("header", header).option("escape", '"').option("emptyValue", '""') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
