@@ -1,6 +1,7 @@
-"""Boosted-tree training, scoring and hyper-parameter search on Spark ML.
+"""Boosted-tree training, scoring and hyper-parameter search.
 
-Each trial is an ordinary distributed Spark ML fit; trials run concurrently
+Each trial is a distributed fit, by default of second-order boosted trees
+(``boosting``), or of Spark ML's (``engine="mllib"``); trials run concurrently
 from a small driver thread pool (``parallelism``), which is how several
 Spark jobs share one cluster.  The trial table is a DataFrame, so picking
 the winner is the same top-1 operator as everywhere else.
@@ -17,11 +18,11 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
-from tabprep.operators import metrics
+from tabprep.operators import boosting, metrics
 from tabprep.operators.publish import best_trial
 
 CLASSIFICATION_METRICS = ("auc", "aucpr", "precision", "recall", "f1")
@@ -33,8 +34,9 @@ class SearchSpace:
     """Ranges of the searched parameters (the defaults are fixed values: the
     ranges that the job specs were written for).
 
-    ``alpha`` (L1 term) has no Spark counterpart; it is sampled and recorded
-    so trial tables stay comparable, but does not change the fit.
+    ``alpha`` is the L1 term of the leaves and ``min_child_weight`` the least
+    hessian of a child; Spark ML's trees have no ``alpha`` and take the latter as a
+    number of rows.
     """
     eta: tuple = (0.0, 1.0)
     min_child_weight: tuple = (1.0, 10.0)
@@ -68,7 +70,15 @@ def spark_params(p: dict, seed: int = 42) -> dict:
 
 
 def fit_model(train: DataFrame, task: str, params: dict, features_col: str = "features",
-              label_col: str = "label", seed: int = 42):
+              label_col: str = "label", seed: int = 42, engine: str = "second_order"):
+    """A fitted model.  ``params`` are those of ``SearchSpace``; ``booster``, ``rate_drop``,
+    ``reg_lambda``, ``base_score`` and ``max_bins`` may be added for second-order trees."""
+    if engine == "second_order":
+        p = boosting.BoostParams(**{"seed": seed, **{k: v for k, v in params.items() if v is not None}})
+        p.eta, p.max_depth, p.num_round = float(p.eta), int(p.max_depth), int(p.num_round)
+        return boosting.fit(train, task, p, features_col, label_col)
+    if engine != "mllib":
+        raise ValueError(f"unknown engine {engine!r}")
     kw = spark_params(params, seed)
     if task == "classification":
         est = GBTClassifier(featuresCol=features_col, labelCol=label_col, **kw)
@@ -77,12 +87,18 @@ def fit_model(train: DataFrame, task: str, params: dict, features_col: str = "fe
     return est.fit(train.withColumn(label_col, qcol(label_col).cast("double")))
 
 
-def load_model(path: str, task: str):
+def load_model(path: str, task: str, engine: str = "second_order"):
+    if engine == "second_order":
+        return boosting.BoostedTrees.load(SparkSession.getActiveSession(), path)
     return (GBTClassificationModel if task == "classification" else GBTRegressionModel).load(path)
 
 
-def score(model, df: DataFrame, task: str, out: str = "score", hard_labels: bool = False) -> DataFrame:
+def score(model, df: DataFrame, task: str, out: str = "score", hard_labels: bool = False,
+          features_col: str = "features") -> DataFrame:
     """Probability of class 1 (classification) or the prediction (regression)."""
+    if isinstance(model, boosting.BoostedTrees):
+        s = model.predict(F.col(features_col))
+        return df.withColumn(out, (s >= 0.5).cast("double") if hard_labels and task == "classification" else s)
     scored = model.transform(df)
     if task == "classification" and not hard_labels:
         s = vector_to_array(F.col(model.getProbabilityCol()))[1]

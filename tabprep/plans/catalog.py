@@ -1012,17 +1012,15 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows,
 
 def q_supplied_file_statistics(spark, d):
     """Encoders of a job whose test file lies far outside the train source, and holds text for numbers."""
-    import uuid
-
     from tabprep.plans.workflow import prepare
-    from tabprep.session import ensure_checkpoint_dir
+    from tabprep.session import scratch_path
     from tabprep.spec import TabularSpec
     o = orders_nulled(spark, d).select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     main = o.where(F.col("o_orderkey") % 4 != 0)
     test = o.where(F.col("o_orderkey") % 4 == 0).withColumn(
         "o_totalprice", (F.col("o_totalprice") + 1e9).cast("string"))
     spec = TabularSpec(target_column="o_orderstatus", key_column="o_orderkey", seed=SEED)
-    fitted = prepare(spark, main, spec, f"{ensure_checkpoint_dir(spark)}/tabprep-job-{uuid.uuid4().hex}", test_df=test)
+    fitted = prepare(spark, main, spec, scratch_path(spark, "job"), test_df=test)
     rows = [(c, float(median), float(mean), float(std)) for c, median, mean, std in fitted.numeric]
     return spark.createDataFrame(rows, "feature string, median double, mean double, std double").select(
         "feature", rnd(F.col("median")).alias("median"), rnd(F.col("mean")).alias("mean"), rnd(F.col("std"), 4).alias("std"))
@@ -1078,7 +1076,7 @@ def _stump(spark, d, task: str, label: str):
     from tabprep.operators import training
     rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(_stump_rows(spark, d))
     params = {"eta": 1.0, "max_depth": 1, "num_round": 1, "min_child_weight": 1.0}
-    model = training.fit_model(rows, task, params, label_col=label, seed=SEED)
+    model = training.fit_model(rows, task, params, label_col=label, seed=SEED, engine="mllib")
     values = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows.select("x").distinct())
     return training.score(model, values, task).select("x", rnd(F.col("score")).alias("score"))
 
@@ -1203,3 +1201,7 @@ REGISTRY.update({
     "stump_regression": (q_stump_regression, SQL_STUMP_REGRESSION),
     "stump_classification": (q_stump_classification, SQL_STUMP_CLASSIFICATION),
 })
+
+from tabprep.plans import catalog_more  # noqa: E402  (uses the helpers above)
+
+REGISTRY.update(catalog_more.REGISTRY)

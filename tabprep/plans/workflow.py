@@ -10,7 +10,6 @@ counts, trial metrics).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,7 +21,7 @@ from tabprep.functions.names import check_unique_names, qcol, require_columns
 from tabprep.operators import features, metrics, sampling, training
 from tabprep.operators.publish import gate, publish_if_passed
 from tabprep.operators.synthesizer import SYNTH_ID, augment_training, generation_source, quality_by_column, quality_summary
-from tabprep.session import drop_stored, ensure_checkpoint_dir, store
+from tabprep.session import drop_stored, ensure_checkpoint_dir, scratch_path, store
 from tabprep.sources.csv import cast_like
 from tabprep.sources.tables import expand_vector, read_report, read_table, write_csv, write_report, write_splits
 from tabprep.spec import TabularSpec
@@ -215,17 +214,16 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
                  inner_trials: int = 6) -> WorkflowResult:
     """Run the whole job, stage by stage, each from the files of the one before.
 
-    Without ``out_dir`` the files go to the session's shared folder, nothing
-    is published and the synthetic rows get no report.  Parity options: ``fit_on`` (see ``prepare``);
+    Without ``out_dir`` the files go to the session's shared folder and nothing
+    is published.  Parity options: ``fit_on`` (see ``prepare``);
     ``synthesizer="tuned"`` searches the generator (``generator_trials``, so
     many at once, ``inner_trials`` models each: the reference's sizes);
     ``tune_on_hard_labels`` scores tuning trials on 0/1 predictions instead
     of probabilities; ``strict_gate`` makes equality fail the gate.
     """
-    where = out_dir or f"{ensure_checkpoint_dir(spark)}/tabprep-job-{uuid.uuid4().hex}"
+    where = out_dir or scratch_path(spark, "job")
     fitted = prepare(spark, df, spec, where, test_df, val_df, fit_on)
-    synthesize(spark, spec, where, synthesizer, generator_trials, generator_parallelism, inner_trials, space,
-               report=out_dir is not None)
+    synthesize(spark, spec, where, synthesizer, generator_trials, generator_parallelism, inner_trials, space)
     tuning = train_stage(spark, spec, where, space, n_trials, parallelism, tune_on_hard_labels)
     flat = evaluate_stage(spark, spec, where)
     g, published = gate_stage(spark, spec, where, strict_gate, publish=out_dir is not None)

@@ -89,6 +89,13 @@ def share_package(spark: SparkSession) -> None:
 _STORED: dict[str, list[str]] = {}
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder, listed by ``stored_paths`` and deleted by ``release``."""
+    path = f"{ensure_checkpoint_dir(spark)}/tabprep-{label}-{uuid.uuid4().hex}"
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def store(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
@@ -98,9 +105,8 @@ def store(df: DataFrame, label: str = "step") -> DataFrame:
     ``drop_stored`` or ``release``.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tabprep-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
