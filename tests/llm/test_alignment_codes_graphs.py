@@ -35,7 +35,7 @@ def by_definition(sides, texts):
     rows, held = [], Counter()
     for text in texts:
         body = (" " + (text or "")).encode()
-        ids = [s.encode(text) for s in sides] if text else [[], []]
+        ids = [s.encode([text])[0] for s in sides] if text else [[], []]
         if not text or any(b"".join(s.spelled[i] for i in x) != body for s, x in zip(sides, ids)):
             rows.append(None)
             continue
@@ -79,13 +79,24 @@ def test_alignment_equals_the_definition(spark, sides, sf, frequent):
     assert sum(r["n_a"] > 0 for r in out) > 60 and out[8]["groups_sha256"] == ""
 
 
+def test_both_libraries_of_tokenizer_a_agree_on_plain_characters(sides, spark, sf):
+    quick = token_alignment.ByteLevel(*[token_alignment.vocabulary_path(f) for f in (token_alignment.A_FILE, token_alignment.A_RANKS)])
+    plain = [c for c in map(chr, range(0x3000)) if token_alignment.PLAIN.fullmatch(c)]
+    assert len(plain) == 3 + 95 + 0x190
+    texts = [f"a{c}b {c} {c}{c}1 '{c}'s\n{c}\t {c}  {c}{d}{d}" for c in plain for d in (" ", "x", "7", "'")]
+    texts += ["<|endoftext|>", "it's we'll I'D 'S", " \r\n \n", "y" * 4000, "0123456789" * 30, "été " * 99, "日本 text"]
+    texts += [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r["text"]]
+    assert quick.encode(texts) == sides[0].encode(texts)
+    assert sum(token_alignment.PLAIN.fullmatch(t) is not None for t in texts) > 0.9 * len(texts)
+
+
 def test_windows_are_remembered_and_do_not_change_results(sides):
     text = "the cat sat on the mat and the cat sat on the rug. " * 50
-    kept, short, none = (token_alignment.Aligner(*sides, memo=m, long=n) for m, n in ((1000, 64), (2, 64), (1000, 0)))
-    results = [[x[:5] for x in (f(text), f("a mat " + text))] for f in (kept, short, none)]
+    kept, short, none = (token_alignment.Aligner(*sides, memo=m, long=n) for m, n in ((10_000, 64), (9, 64), (10_000, 0)))
+    results = [[x[:5] for t in (text, "a mat " + text) for x in f([t])] for f in (kept, short, none)]
     assert results[0] == results[1] == results[2]
     assert kept.hits > 20 * kept.misses and none.hits == 0
-    assert max(len(k) for k in kept.place) <= 64
+    assert max(len(k) for k in kept.place) <= 4 * 64
 
 
 def test_alignment_of_null_keys_and_empty_tables(spark):
