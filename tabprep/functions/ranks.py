@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
+from tabprep.session import store
 
 MAX_DIGITS = 32
 # Bucket-offset tables up to this many rows are broadcast; the size is known
@@ -190,6 +191,25 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), rank_col: str = "_ran
             .drop("_bkt", "_off", *group_cols))
 
 
+def sorted_rank(df: DataFrame, order: list, rank_col: str = "_rank") -> DataFrame:
+    """Add each row's 1-based place in the order of all rows, however many.
+
+    ``order`` holds column names or sort columns.  The rows are range-partitioned
+    and sorted, and stored with their place within their partition, which fixes
+    it; a table of the partitions' sizes gives the offsets.
+    """
+    by = [qcol(c) if isinstance(c, str) else c for c in order]
+    low = (1 << 33) - 1  # monotonically_increasing_id: partition above, place within it below
+    placed = store(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(
+        "_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    before = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))  # a row a partition
+    return placed.join(F.broadcast(offsets), part == F.col("_p")).withColumn(
+        rank_col, F.col("_off") + F.col("_at").bitwiseAND(F.lit(low)) + 1).drop("_at", "_p", "_off")
+
+
 def running_totals_desc(per_score: DataFrame, score_col: str, sum_cols: dict,
                         rows_per_bucket: int = 1_000_000, n: int | None = None) -> DataFrame:
     """Cumulative sums over rows in *descending* ``score_col`` order.

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.names import check_unique_names, qcol, require_columns
+from tabprep.functions.ranks import sorted_rank
 from tabprep.operators import stats
 
 MISSING = "missing"
@@ -90,13 +91,21 @@ def as_category(df: DataFrame, c: str) -> Column:
 
 # ---------------------------------------------------------------- label codes
 
+#: Classes that may stand in the plan as a literal map; classes or levels of a table that may be broadcast.
+LITERAL_CLASSES, BROADCAST_CLASSES = 64, 500_000
+
+
 @dataclass
 class LabelEncoding:
+    """Codes of the sorted classes: a list of a few, or a table (level, code) of any number."""
     label: str
     classes: list
+    table: stats.LevelTable | None = None
 
     def code(self) -> Column:
         """Code = position of the label in the sorted classes; null -> -1."""
+        if self.table is not None:
+            raise ValueError(f"{len(self.table)} classes are joined, see apply")
         if not self.classes:
             return F.lit(-1)
         m = F.create_map(*[x for i, v in enumerate(self.classes) for x in (F.lit(v), F.lit(i))])
@@ -109,23 +118,25 @@ class LabelEncoding:
         (broadcast up to BROADCAST_CLASSES rows), so the plan stays small.
         """
         out = out or self.label
-        if len(self.classes) <= LITERAL_CLASSES:
+        if self.table is None:
             return df.withColumn(out, self.code())
-        kind = df.schema[self.label].dataType.simpleString()
-        table = df.sparkSession.createDataFrame(list(zip(self.classes, range(len(self.classes)))), f"_class {kind}, _code int")
-        table = F.broadcast(table) if len(self.classes) <= BROADCAST_CLASSES else table
+        table = self.table.table.select(F.col("level").alias("_class"), F.col("code").cast("int").alias("_code"))
+        table = F.broadcast(table) if len(self.table) <= BROADCAST_CLASSES else table
         return df.join(table, qcol(self.label) == F.col("_class"), "left") \
             .withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_class", "_code")
 
 
-#: Classes that may stand in the plan as a literal map; classes of a table that may be broadcast.
-LITERAL_CLASSES, BROADCAST_CLASSES = 64, 500_000
-
-
 def fit_label_encoding(df: DataFrame, label: str) -> LabelEncoding:
-    """Sorted distinct labels (numbers sort as numbers, strings as strings)."""
-    counts = stats.class_counts(df, label)
-    return LabelEncoding(label, sorted(v for v in counts if v is not None))
+    """Sorted distinct labels (numbers sort as numbers, strings as strings).
+
+    Beyond LITERAL_CLASSES the classes are ranked in Spark and never reach the driver.
+    """
+    classes = df.select(qcol(label).alias("level")).where(F.col("level").isNotNull()).distinct()
+    few = classes.limit(LITERAL_CLASSES + 1).collect()
+    if len(few) <= LITERAL_CLASSES:
+        return LabelEncoding(label, sorted(r["level"] for r in few))
+    ranked = sorted_rank(classes, ["level"]).select("level", (F.col("_rank") - 1).alias("code"))
+    return LabelEncoding(label, [], stats.LevelTable(ranked, ranked.count()))
 
 
 def encode_label(df: DataFrame, label: str, out: str | None = None) -> DataFrame:
@@ -137,7 +148,7 @@ def encode_label(df: DataFrame, label: str, out: str | None = None) -> DataFrame
 @dataclass
 class FittedPreprocessor:
     numeric: list = field(default_factory=list)       # [(name, median, mean, std)]
-    categorical: list = field(default_factory=list)   # [(name, [levels])]
+    categorical: list = field(default_factory=list)   # [(name, [levels])], or LevelTable beyond max_levels
     bool_numeric: list = field(default_factory=list)  # numeric columns that are booleans
     dropped: list = field(default_factory=list)       # all-null numeric columns
     input_columns: list = field(default_factory=list)
@@ -148,6 +159,8 @@ class FittedPreprocessor:
     def feature_names(self) -> list[str]:
         names = [f"num__{c}" for c, *_ in self.numeric]
         for c, levels in self.categorical:
+            if isinstance(levels, stats.LevelTable):
+                raise ValueError(f"column {c!r} has {len(levels)} levels: their names are the rows of its level table")
             names += [f"cat__{c}_{v}" for v in levels]
         taken: set[str] = set()
         for i, name in enumerate(names):
@@ -157,6 +170,10 @@ class FittedPreprocessor:
             taken.add(names[i].lower())
         return names
 
+    @property
+    def n_features(self) -> int:
+        return len(self.numeric) + sum(len(levels) for _, levels in self.categorical)
+
     def feature_exprs(self) -> list[Column]:
         exprs = []
         for c, median, mean, std in self.numeric:
@@ -179,7 +196,8 @@ class FittedPreprocessor:
         is an error.  With ``assemble`` the features become one vector column;
         categorical columns with more than ``sparse_levels`` levels are then
         encoded as sparse one-hot vectors (hash lookup of the level, the
-        unknown-level slot dropped) instead of one column per level.
+        unknown-level slot dropped) instead of one column per level.  Levels
+        beyond the fit's ``max_levels`` are a table that is joined (needs ``assemble``).
         """
         need = [c for c, *_ in self.numeric] + [c for c, _ in self.categorical]
         require_columns(df, need)
@@ -189,9 +207,10 @@ class FittedPreprocessor:
                            *[cat_exprs[c].alias(c) for c in cat_exprs])
         if not assemble:
             return staged.select(*[qcol(k) for k in keep], *self.feature_exprs())
-        wide = [(c, lv) for c, lv in self.categorical if len(lv) > sparse_levels]
+        in_table = lambda lv: isinstance(lv, stats.LevelTable)
+        wide = [(c, lv) for c, lv in self.categorical if len(lv) > sparse_levels or in_table(lv)]
         narrow = FittedPreprocessor(self.numeric, [(c, lv) for c, lv in self.categorical
-                                                   if len(lv) <= sparse_levels],
+                                                   if len(lv) <= sparse_levels and not in_table(lv)],
                                     self.bool_numeric, self.dropped, self.input_columns)
         # assembler inputs get positional names: feature names may hold dots
         inputs = [f"_f{j}" for j in range(len(narrow.feature_names()))]
@@ -200,6 +219,10 @@ class FittedPreprocessor:
                             *[F.coalesce(qcol(c), F.lit(MISSING)).alias(f"_sp_{i}")
                               for i, (c, _) in enumerate(wide)])
         for i, (c, lv) in enumerate(wide):
+            if in_table(lv):
+                out = _joined_codes(out, lv, f"_sp_{i}", f"_ix_{i}")
+                out = OneHotEncoder(inputCols=[f"_ix_{i}"], outputCols=[f"_oh_{i}"], dropLast=True).fit(out).transform(out)
+                continue
             out = StringIndexerModel.from_labels(lv, inputCol=f"_sp_{i}", outputCol=f"_ix_{i}",
                                                  handleInvalid="keep").transform(out)
             # the indexer's "keep" slot (index = number of levels) is the last
@@ -224,25 +247,42 @@ class FittedPreprocessor:
     def _cat_source(self, df, c):
         return as_category(df, c)
 
-    # persistence: a one-row JSON parameter table written by Spark
+    # persistence: a one-row JSON parameter table written by Spark, and the level tables beside it
     def to_json(self) -> str:
-        return json.dumps(self.__dict__)
+        plain = [(c, {"levels_in_table": len(v)} if isinstance(v, stats.LevelTable) else v) for c, v in self.categorical]
+        return json.dumps({**self.__dict__, "categorical": plain})
 
     @classmethod
-    def from_json(cls, s: str) -> "FittedPreprocessor":
+    def from_json(cls, s: str, tables: dict | None = None) -> "FittedPreprocessor":
         d = json.loads(s)
+        levels = lambda c, v: stats.LevelTable(tables[c], v["levels_in_table"]) if isinstance(v, dict) else list(v)
         return cls(numeric=[tuple(x) for x in d["numeric"]],
-                   categorical=[(c, list(v)) for c, v in d["categorical"]],
+                   categorical=[(c, levels(c, v)) for c, v in d["categorical"]],
                    bool_numeric=d.get("bool_numeric", []), dropped=d.get("dropped", []),
                    input_columns=d.get("input_columns", []))
 
     def save(self, spark, path: str) -> None:
+        for i, (_, levels) in enumerate(self.categorical):
+            if isinstance(levels, stats.LevelTable):
+                levels.table.write.mode("overwrite").parquet(f"{path}_levels/{i}")
         spark.createDataFrame([(self.to_json(),)], "params string").coalesce(1) \
             .write.mode("overwrite").json(path)
 
     @classmethod
     def load(cls, spark, path: str) -> "FittedPreprocessor":
-        return cls.from_json(spark.read.json(path).first()["params"])
+        params = spark.read.json(path).first()["params"]
+        tables = {c: spark.read.parquet(f"{path}_levels/{i}")
+                  for i, (c, v) in enumerate(json.loads(params)["categorical"]) if isinstance(v, dict)}
+        return cls.from_json(params, tables)
+
+
+def _joined_codes(df: DataFrame, levels: stats.LevelTable, level: str, out: str) -> DataFrame:
+    """``df`` with the code of ``level`` as an index column ``out``; an unknown level gets the last, dropped slot."""
+    table = levels.table.select(F.col("level").alias("_level"), F.col("code").alias("_code"))
+    table = F.broadcast(table) if len(levels) <= BROADCAST_CLASSES else table
+    kind = {"ml_attr": {"type": "nominal", "num_vals": len(levels) + 1, "name": out}}
+    index = F.coalesce(F.col("_code"), F.lit(len(levels))).cast("double").alias(out, metadata=kind)
+    return df.join(table, df[level] == table["_level"], "left").select(*df.columns, index)
 
 
 class TabularPreprocessor:

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
 from tabprep.functions.names import qcol, require_columns
-from tabprep.functions.ranks import hash_cutoffs, hash_rank, prefix_counts
+from tabprep.functions.ranks import hash_cutoffs, hash_rank, prefix_counts, sorted_rank
 from tabprep.operators.stats import class_counts
+from tabprep.session import store
 
 SPLIT = "split"
 #: Strata whose thresholds may stand in the plan as literals; more become a joined table.
@@ -83,12 +84,16 @@ def approximate_mode(counts: dict, n_draws: int) -> dict:
 
 
 def _check_strata(counts: dict, n_train: int, n_test: int) -> None:
-    if min(counts.values()) < 2:
+    _check_strata_sizes(min(counts.values()), len(counts), n_train, n_test)
+
+
+def _check_strata_sizes(least: int, classes: int, n_train: int, n_test: int) -> None:
+    if least < 2:
         raise ValueError("the least populated class has only 1 member; "
                          "stratified splitting needs at least 2 per class")
-    if n_train < len(counts) or n_test < len(counts):
+    if n_train < classes or n_test < classes:
         raise ValueError(f"split sizes ({n_train}, {n_test}) must be at least the "
-                         f"number of classes ({len(counts)})")
+                         f"number of classes ({classes})")
 
 
 def split_quotas(counts: dict, test_size: float = 0.20, val_size: float = 0.25,
@@ -134,6 +139,10 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, stratify: str | None =
     require_columns(df, [key] + ([stratify] if stratify else []))
     h = "_split_h"
     hashed = df.withColumn(h, hash_key(seed, qcol(key)))
+    if stratify:
+        few = df.select(qcol(stratify).alias("y")).distinct().limit(LITERAL_STRATA + 1).count()
+        if few > LITERAL_STRATA:
+            return _split_many(df, hashed, h, stratify, test_size, val_size, has_test, has_val, split_col)
     # one scan gives both the class sizes and the first md5-prefix level
     level1 = prefix_counts(hashed, h, stratify).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -149,15 +158,47 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, stratify: str | None =
         cut = hash_cutoffs(hashed, h, wanted, group_col=stratify, first_level=level1)
     finally:
         level1.unpersist()
-    if len(quotas) <= LITERAL_STRATA:
-        return hashed.withColumn(split_col, _split_expr(F.col(h), quotas, cut, stratify)).drop(h)
-    kind = df.schema[stratify].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(
-        [(c, cut[(c, t)], cut[(c, t + v)]) for c, (t, v) in quotas.items()], f"_y {kind}, _t string, _v string")
-    table = F.broadcast(table) if len(quotas) <= BROADCAST_STRATA else table
-    tagged = hashed.join(table, qcol(stratify) == F.col("_y"))
-    return tagged.withColumn(split_col, F.when(F.col(h) <= F.col("_t"), "test").when(
-        F.col(h) <= F.col("_v"), "validation").otherwise("train")).drop(h, "_y", "_t", "_v")
+    return hashed.withColumn(split_col, _split_expr(F.col(h), quotas, cut, stratify)).drop(h)
+
+
+def class_quotas(classes: DataFrame, test_size: float = 0.20, val_size: float = 0.25, has_test: bool = False,
+                 has_val: bool = False) -> DataFrame:
+    """(y, n_test, n_val) for any number of classes (y, n): ``split_quotas`` without a class list on the driver.
+
+    A side's quotas are floors of each class's share, and one more for the classes with the
+    largest remainders, which a distributed ranking finds.
+    """
+    cur = store(classes.select("y", "n", F.col("n").alias("_left"), F.lit(0).cast("long").alias("n_test"),
+                               F.lit(0).cast("long").alias("n_val")), "strata")
+    for size, given, target in ((test_size, has_test, "n_test"), (val_size, has_val, "n_val")):
+        if given:
+            continue
+        s = cur.agg(F.sum("_left").alias("n"), F.min("_left").alias("least"), F.count(F.lit(1)).alias("k")).first()
+        n_out = math.ceil(size * s["n"])
+        _check_strata_sizes(s["least"], s["k"], s["n"] - n_out, n_out)
+        share = F.col("_left") * F.lit(s["n"] - n_out) / F.lit(s["n"])
+        cur = cur.withColumn("_floor", F.floor(share)).withColumn("_part", share - F.floor(share))
+        need = s["n"] - n_out - cur.agg(F.sum("_floor")).first()[0]
+        ranked = sorted_rank(cur, [F.col("_part").desc(), F.col("y")])
+        keep = F.col("_floor") + (F.col("_rank") <= need).cast("long")
+        cur = ranked.withColumn(target, F.col("_left") - keep).withColumn("_left", keep).drop("_floor", "_part", "_rank")
+    return cur.select("y", "n_test", "n_val")
+
+
+def _split_many(df: DataFrame, hashed: DataFrame, h: str, stratify: str, test_size: float, val_size: float, has_test: bool,
+                has_val: bool, split_col: str) -> DataFrame:
+    """Rows ranked by hash within their class, compared with the class's joined quota."""
+    classes = store(df.groupBy(qcol(stratify).alias("y")).agg(F.count(F.lit(1)).alias("n")), "strata")
+    if classes.where("y IS NULL").limit(1).count():
+        raise ValueError(f"null values in stratification column {stratify!r}")
+    quotas = class_quotas(classes, test_size, val_size, has_test, has_val).toDF("_q_y", "_q_test", "_q_val")
+    n = classes.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()
+    quotas = F.broadcast(quotas) if n["k"] <= BROADCAST_STRATA else quotas
+    ranked = hash_rank(hashed, h, group_cols=[stratify], rank_col="_split_rank", n=n["n"]) \
+        .join(quotas, qcol(stratify) == F.col("_q_y"))
+    return ranked.withColumn(split_col, F.when(F.col("_split_rank") <= F.col("_q_test"), "test").when(
+        F.col("_split_rank") <= F.col("_q_test") + F.col("_q_val"), "validation").otherwise("train")) \
+        .select(*[qcol(c) for c in df.columns], split_col)
 
 
 def _split_expr(h: Column, quotas: dict, cut: dict, stratify: str | None) -> Column:

@@ -6,12 +6,15 @@ is bounded by the number of columns, levels or classes.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
+from tabprep.functions.ranks import sorted_rank
+from tabprep.session import store
 
 
 def clean_double(name: str):
@@ -28,6 +31,42 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10_000,
     return fit_columns(df, cols, {}, accuracy=accuracy, collect_limit=collect_limit)["medians"]
 
 
+@dataclass(eq=False)
+class LevelTable:
+    """The sorted levels of a column with too many for the driver: (level, code), codes from 0."""
+    table: DataFrame
+    n: int
+
+    def __len__(self) -> int:
+        return self.n
+
+
+def level_tables(pairs: DataFrame, counts: dict) -> dict:
+    """Column index -> LevelTable, for ``counts`` {column index: levels}, from distinct (i, s) rows.
+
+    One distributed ranking serves all these columns; nothing but their sizes reaches the driver.
+    """
+    wanted = pairs.where(F.col("i").isin(sorted(counts)) & F.col("s").isNotNull()).select("i", "s")
+    ranked = store(sorted_rank(wanted, ["i", "s"]), "levels")
+    starts = {r["i"]: r["r"] for r in ranked.groupBy("i").agg(F.min("_rank").alias("r")).collect()}  # a row a column
+    return {i: LevelTable(ranked.where(F.col("i") == i).select(F.col("s").alias("level"), (F.col("_rank") - start).alias("code")), counts[i])
+            for i, start in starts.items()}
+
+
+def _levels(pairs: DataFrame, names: list, max_levels: int, first: int = 0) -> dict:
+    """Column -> sorted list of levels, or a LevelTable beyond ``max_levels``, from distinct (i, s) rows; ``first`` is the index of the first name."""
+    counts = {r["i"]: r["n"] for r in pairs.where(F.col("s").isNotNull()).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = sorted(i for i, n in counts.items() if n <= max_levels)
+    levels: dict = {c: [] for c in names}
+    for r in pairs.where(F.col("i").isin(few) & F.col("s").isNotNull()).select("i", "s").collect():  # max_levels rows a column
+        levels[names[r["i"] - first]].append(r["s"])
+    levels = {c: sorted(v) for c, v in levels.items()}
+    many = {i: n for i, n in counts.items() if n > max_levels}
+    if many:
+        levels |= {names[i - first]: t for i, t in level_tables(pairs, many).items()}
+    return levels
+
+
 GRID = 1000  # narrowing grid: 1001 sketch points per column and level
 
 
@@ -57,7 +96,8 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
     pairs inside each median window and the distinct levels of every
     categorical column; a hot value collapses map-side.  The middle ranks are
     found by a running count per column in Spark, so only two values per
-    column (and the category levels) reach the driver.
+    column reach the driver, and the category levels of columns with at most
+    ``max_levels``; those of others stay a table (``LevelTable``).
     """
     xs = {c: clean_double(c) for c in numeric}
     state, medians, first = {}, {}, {}
@@ -136,21 +176,11 @@ def fit_columns(df: DataFrame, numeric: list[str], categorical: dict, max_levels
         try:
             nn = len(num_cols)
             if cat_names:
-                cap = max_levels * len(cat_names)
-                rows = pairs.where(F.col("i") >= nn).select("i", "s").limit(cap + 1).collect()
-                if len(rows) > cap:
-                    raise ValueError(f"more than {max_levels} levels in a categorical column; "
-                                     "raise max_levels or drop high-cardinality columns")
-                for r in rows:
-                    levels[cat_names[r["i"] - nn]].append(r["s"])
+                levels = _levels(pairs.where(F.col("i") >= nn), cat_names, max_levels, nn)
             if num_cols:
                 medians.update(_window_middles(pairs.where(F.col("i") < nn), num_cols, state))
         finally:
             pairs.unpersist()
-        for c in cat_names:
-            if len(levels[c]) > max_levels:
-                raise ValueError(f"column {c!r} has {len(levels[c])} levels > max_levels={max_levels}")
-            levels[c] = sorted(v for v in levels[c] if v is not None)
 
     moments = {}
     for c in numeric:
@@ -232,30 +262,21 @@ def mean_std_pop(df: DataFrame, exprs: dict) -> dict:
 
 
 def distinct_levels(df: DataFrame, exprs: dict, max_levels: int = 10_000) -> dict:
-    """Sorted distinct values of each string expression (column -> list).
+    """Sorted distinct values of each string expression: column -> list, or LevelTable beyond ``max_levels``.
 
     Stacks (column, value) pairs and de-duplicates with a partial aggregate;
-    a hot value collapses map-side.  Raises if the dictionary is data-sized.
+    a hot value collapses map-side.
     """
     if not exprs:
         return {}
     names = list(exprs)
     pairs = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), exprs[c].alias("v")) for i, c in enumerate(names)])).alias("e"))
-        .select("e.i", "e.v").distinct())
-    total_cap = max_levels * len(names)
-    rows = pairs.limit(total_cap + 1).collect()
-    if len(rows) > total_cap:
-        raise ValueError(f"more than {max_levels} levels per categorical column on average; "
-                         "raise max_levels or drop high-cardinality columns")
-    levels: dict[str, list] = {c: [] for c in names}
-    for r in rows:
-        levels[names[r["i"]]].append(r["v"])
-    for c in names:
-        if len(levels[c]) > max_levels:
-            raise ValueError(f"column {c!r} has {len(levels[c])} levels > max_levels={max_levels}")
-        levels[c] = sorted(v for v in levels[c] if v is not None)
-    return levels
+        F.struct(F.lit(i).alias("i"), exprs[c].alias("s")) for i, c in enumerate(names)])).alias("e"))
+        .select("e.i", "e.s").distinct()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _levels(pairs, names, max_levels)
+    finally:
+        pairs.unpersist()
 
 
 def class_counts(df: DataFrame, label: str) -> dict:

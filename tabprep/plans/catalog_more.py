@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabprep.operators import training
+from tabprep.operators import features, training
 from tabprep.plans import catalog as c
 from tabprep.session import scratch_path
 from tabprep.sources.csv import NA_TOKENS, read_csv
@@ -82,3 +82,26 @@ REGISTRY["boosted_regression"] = (lambda spark, d: _two_rounds(spark, d, "regres
                                   _two_rounds_sql("q", "0.5", "n * m - sy", "n", "m"))
 REGISTRY["boosted_classification"] = (lambda spark, d: _two_rounds(spark, d, "classification", "b"), _two_rounds_sql(
     "CASE WHEN q > 30 THEN 1 ELSE 0 END", "0.0", "n / (1 + exp(-m)) - sy", "n / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m)))", "1 / (1 + exp(-m))"))
+
+# ------------------------------------------------------------------ C4, H4, H5: a level per part, no dictionary on the driver
+
+def q_onehot_every_part(spark, d):
+    """Where each line's part stands in its one-hot vector; fitted on half of the orders, so some parts are unknown."""
+    li = c.t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 13 == 0, None).otherwise(
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string"))).alias("part"), "l_quantity")
+    fitted = features.TabularPreprocessor(["l_quantity", "part"], max_levels=100).fit(li.where("l_orderkey % 2 = 0"))
+    encoded = fitted.transform(li, keep=["l_orderkey", "l_linenumber"], assemble=True)
+    # a sparse vector as text: (size,[places],[values])
+    text = F.col("features").cast("string")
+    places = F.split(F.regexp_extract(text, r"\[([0-9,]*)\]", 1), ",")
+    last = F.element_at(places, -1).try_cast("int")
+    return encoded.select("l_orderkey", "l_linenumber", F.regexp_extract(text, r"^\((\d+),", 1).cast("long").alias("n_features"),
+                          F.when(last > 0, last).alias("place"))
+
+
+SQL_ONEHOT_EVERY_PART = """
+WITH b AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 13 = 0 THEN 'missing' ELSE 'part ' || l_partkey END AS part FROM lineitem),
+v AS (SELECT part, CAST(row_number() OVER (ORDER BY part) AS INTEGER) AS place FROM (SELECT DISTINCT part FROM b WHERE l_orderkey % 2 = 0))
+SELECT b.l_orderkey, b.l_linenumber, (SELECT count(*) + 1 FROM v) AS n_features, v.place FROM b LEFT JOIN v USING (part)
+"""
+REGISTRY["onehot_every_part"] = (q_onehot_every_part, SQL_ONEHOT_EVERY_PART)
