@@ -48,6 +48,7 @@ class CopulaSynthesizer:
     grid_size: int = 101
     accuracy: int = 10_000
     correlated: bool = True
+    max_levels: int = 200_000  # (class, column, level) frequencies that may reach the driver
 
     def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedCopula":
         require_columns(df, [self.label])
@@ -78,7 +79,10 @@ class CopulaSynthesizer:
             rows = (df.select(y.alias("y"), F.explode(F.array(*[
                 F.struct(F.lit(i).alias("i"), as_category(df, c).alias("v"))
                 for i, c in enumerate(categorical)])).alias("e"))
-                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect())
+                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).limit(self.max_levels + 1).collect())
+            if len(rows) > self.max_levels:
+                raise ValueError(f"more than {self.max_levels} levels in the text columns: use the independent synthesizer, "
+                                 "drop such columns or raise max_levels")
             found: dict = {}
             for r in rows:
                 found.setdefault((r["y"], categorical[r["i"]]), []).append((r["v"], r["n"]))

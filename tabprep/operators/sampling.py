@@ -24,8 +24,8 @@ from tabprep.session import store
 SPLIT = "split"
 #: Strata whose thresholds may stand in the plan as literals; more become a joined table.
 LITERAL_STRATA = 64
-#: Rows of a threshold table that may be broadcast.
-BROADCAST_STRATA = 500_000
+#: Rows of a threshold table that may be broadcast; rows of a sample that one task may sort.
+BROADCAST_STRATA, TOP_ROWS = 500_000, 10_000
 
 
 # ---------------------------------------------------------------- D1
@@ -46,13 +46,16 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42, position: str | None =
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The n rows with the smallest hash: a seeded sample of exactly n rows.
 
-    A filter by the n-th smallest hash (``hash_cutoffs``), so no task holds
-    the sample however large n is.
+    Up to TOP_ROWS rows are a top-n (one job); more are a filter by the n-th
+    smallest hash (``hash_cutoffs``), so no task holds the sample however large n is.
+    The rows are the same either way.
     """
     h = "_sample_h"
     hashed = df.withColumn(h, hash_key(seed, qcol(key)))
     if n <= 0:
         return df.limit(0)
+    if n <= TOP_ROWS:
+        return hashed.orderBy(h).limit(n).drop(h)
     level1 = prefix_counts(hashed, h, None).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if (level1.agg(F.sum("_n")).first()[0] or 0) <= n:
