@@ -5,15 +5,18 @@ listed words; the words beyond the list form classes by shape, whose members'
 probabilities come from corpus counts (see ``language_model``), so here a token
 beyond the list is just its class.  Documents advance together, longest
 first: step t is one set of array operations on those that still have a
-token.  The state is carried from window to window; gradients stop at a
-window's start (truncated backpropagation).
+token.  The state is carried from window to window and, in training, from
+lane to lane of a document; gradients stop at a window's start (truncated
+backpropagation).
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, WINDOW, LANES = 16, 12, 128
+HIDDEN, WINDOW, LANES = 16, 12, 512
+#: Tokens of a training lane: a longer document becomes several, each starting in the state that the ones before leave.
+LANE = 120
 CLASSES, WORDS_PER_CLASS = 32, 32
 LISTED = CLASSES * WORDS_PER_CLASS
 
@@ -140,21 +143,42 @@ class Gru:
         out[order] = total
         return out
 
-    def train(self, docs: list[np.ndarray], rate: float = 0.01, window: int = WINDOW, lanes: int = LANES) -> Gru:
+    def states(self, docs: list[np.ndarray], every: int = LANE) -> list[np.ndarray]:
+        """Of each sequence, the states before its tokens 0, every, 2 * every, ..."""
+        order, size, flat, starts = self._lanes(docs)
+        found = [[np.zeros(self.hidden, np.float32)] for _ in docs]
+        h = np.zeros((len(docs), self.hidden), np.float32)
+        longest = int(size[0]) if len(size) else 0
+        for t in range((longest - 1) // every * every):  # up to the last start of a lane
+            n = int(np.searchsorted(-size, -((t // every + 1) * every), "left"))  # a later lane follows
+            inputs = flat[starts[:n] + t - 1] if t else np.full(n, self.start)
+            h = self.step(inputs, h[:n])[0]
+            if (t + 1) % every == 0:
+                for row, i in enumerate(order[:n]):
+                    found[i].append(h[row])
+        return [np.array(x) for x in found]
+
+    def train(self, docs: list[np.ndarray], rate: float = 0.01, window: int = WINDOW, lanes: int = LANES,
+              lane: int = LANE) -> Gru:
         """One pass of Adam over the sequences, ``lanes`` at a time, by windows.
 
-        The moments carry over to the next call."""
+        A sequence is cut in lanes; each starts with the token before it and the
+        state that the sequence up to there leaves (by the parameters at the
+        call's start), as in scoring.  The moments carry over to the next call."""
         if self.moments is None:
             self.moments = [{n: np.zeros_like(getattr(self, n)) for n in self.NAMES} for _ in range(2)]
         m, v = self.moments
-        by_length = sorted(range(len(docs)), key=lambda i: len(docs[i]))
-        groups = [by_length[i:i + lanes] for i in range(0, len(docs), lanes)]
+        pieces = [(d[t:t + lane], h, d[t - 1] if t else self.start)
+                  for d, at in zip(docs, self.states(docs, lane)) for t, h in zip(range(0, len(d), lane), at)]
+        by_length = sorted(range(len(pieces)), key=lambda i: len(pieces[i][0]))
+        groups = [by_length[i:i + lanes] for i in range(0, len(pieces), lanes)]
         np.random.default_rng(len(docs)).shuffle(groups)
         for group in groups:
-            _, size, flat, starts = self._lanes([docs[i] for i in group])
-            h = np.zeros((len(group), self.hidden), np.float32)
+            order, size, flat, starts = self._lanes([pieces[i][0] for i in group])
+            h = np.array([pieces[group[i]][1] for i in order])
+            before = np.array([pieces[group[i]][2] for i in order], np.int64)
             for t0 in range(0, int(size[0]), window):
-                grads, n_tokens, h = self._window(h, size, flat, starts, t0, window)
+                grads, n_tokens, h = self._window(h, size, flat, starts, t0, window, before)
                 self.steps += 1
                 warm = min(1.0, self.steps / 20)
                 for name in self.NAMES:
@@ -166,12 +190,12 @@ class Gru:
                     a -= rate * warm * (m[name] / (1 - 0.9 ** self.steps)) / (np.sqrt(v[name] / (1 - 0.99 ** self.steps)) + 1e-5)
         return self
 
-    def _window(self, h, size, flat, starts, t0: int, window: int):
+    def _window(self, h, size, flat, starts, t0: int, window: int, first=None):
         k, caches, states, targets = self.hidden, [], [], []
         for t in range(t0, min(t0 + window, int(size[0]))):
             n = int(np.searchsorted(-size, -t, "left"))
             at = starts[:n] + t
-            inputs = flat[at - 1] if t else np.full(n, self.start)
+            inputs = flat[at - 1] if t else np.full(n, self.start) if first is None else first[:n]
             before = h[:n]
             h, z, r, new, gn = self.step(inputs, before)
             caches.append((inputs, before, z, r, new, gn))

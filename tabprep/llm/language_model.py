@@ -7,11 +7,13 @@
    belongs to one of ``SHAPES`` classes by its shape, within which its
    probability is its add-half count share, with one share for all unseen
    words.  So the model is a proper distribution over all tokens.
-3. **Training.**  ``ROUNDS`` rounds of local training with averaging: every
-   partition trains a copy of the model on its documents of the round (each
-   training document whole in one round, cut in lanes of ``LANE``), and the
-   copies are averaged by tokens, in groups of at most ``FAN_IN``, until few
-   are left.
+3. **Training.**  ``ROUNDS`` rounds of local training with averaging.  Each
+   training document belongs whole to one round and to one shard of about
+   ``SHARD_TOKENS`` tokens, by hashes of id and text; every shard trains a copy of the
+   model on its documents in the order of their ids, with the state carried
+   through each document, and the copies are averaged by tokens, in groups of
+   at most ``FAN_IN``, until few are left.  How the input is partitioned does not
+   matter.
 4. **Scores.**  Tasks hold the counts of the ``COUNTED`` most frequent words
    (a bounded broadcast) and score their documents whole.  The words beyond
    are looked up by a join on the hash; as the frequent ones never enter it,
@@ -30,7 +32,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +42,9 @@ from tabprep.llm.language import fold
 
 END = b"\n"  # no word holds white space
 SHAPES, COUNTED, ROUNDS, FAN_IN, FLUSH = 12, 200_000, 3, 32, 300_000
-#: Tokens of a training lane (a longer piece becomes several), of a training call, and scored together.
-LANE, TRAINED_AT_ONCE, SCORED_AT_ONCE = 120, 300_000, 2_500_000
+RATE = 0.04  # of the first round
+#: Tokens of a shard of a round, of a training call, and scored together.
+SHARD_TOKENS, TRAINED_AT_ONCE, SCORED_AT_ONCE = 1_500_000, 600_000, 2_500_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -162,29 +164,44 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
     spark, model = docs.sparkSession, vocabulary.model()
     words = spark.sparkContext.broadcast(vocabulary)
     turn = F.pmod(F.xxhash64(qcol(key), F.lit("round")), F.lit(rounds))
+    shards = 1 + vocabulary.tokens // (rounds * SHARD_TOKENS)
+    shard = F.pmod(F.xxhash64(qcol(key), qcol(text), F.lit("shard")), F.lit(shards)).cast("int")
+    kind = docs.schema[key].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _Lookup(words.value)
+        for batch in batches:
+            tokens = [look(words_of(body.as_py()))[0].astype(np.int16) for body in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(tokens, pa.int16())],
+                                             ["shard", "_key", "tokens"])
+
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model.flat())
-        rate = 0.04 / (1 + r)
+        rate = RATE / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
-            look, own, tokens, pieces, held = _Lookup(words.value), Gru(SHAPES).load(sent.value), 0, [], 0
-            for batch in batches:
-                for body in batch.column(0):
-                    piece = look(words_of(body.as_py()))[0]
-                    pieces += [piece[i:i + LANE] for i in range(0, len(piece), LANE)]
-                    held += len(piece)
+            place, own, tokens, pieces, held = None, None, 0, [], 0
+            for batch in batches:  # a partition may hold several shards, one after another
+                for at, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    if at != place:
+                        if place is not None:
+                            yield _row(place, own.train(pieces, rate), tokens)
+                        place, own, tokens, pieces, held = at, Gru(SHAPES).load(sent.value), 0, [], 0
+                    piece = ids.values.to_numpy().astype(np.int64)
+                    pieces.append(piece)
+                    tokens, held = tokens + len(piece), held + len(piece)
                     if held >= TRAINED_AT_ONCE:
                         own.train(pieces, rate)
-                        tokens, pieces, held = tokens + held, [], 0
-            own.train(pieces, rate)
-            tokens += held
-            if tokens:
-                yield _row(TaskContext.get().partitionId(), own.flat().astype(np.float64) * tokens, tokens)
-
-        part = docs.where(turn == r).select(utf8(qcol(text)))
-        copies = store(part.mapInArrow(run, _COPY), "gru-copies")
+                        pieces, held = [], 0
+            if place is not None:
+                yield _row(place, own.train(pieces, rate), tokens)
+
+        part = docs.where(turn == r).select(shard.alias("shard"), qcol(key).alias("_key"), utf8(qcol(text)))
+        dealt = part.mapInArrow(encode, f"shard int, _key {kind}, tokens array<short>").repartition(shards, "shard") \
+            .sortWithinPartitions("shard", "_key", F.xxhash64("tokens")).select("shard", "tokens")
+        copies = store(dealt.mapInArrow(run, _COPY), "gru-copies")
         n = copies.count()
-        while n > FAN_IN:  # copies of FAN_IN neighbouring partitions at a time
+        while n > FAN_IN:  # copies of FAN_IN neighbouring shards at a time
             copies = store(copies.withColumn("place", F.floor(F.col("place") / FAN_IN).cast("int"))
                            .groupBy("place").applyInPandas(_add, _COPY), "gru-copies")
             n = copies.count()
@@ -197,9 +214,10 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
 _COPY = "place int, flat array<double>, tokens long"
 
 
-def _row(place: int, flat: np.ndarray, tokens: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), list_array([flat], pa.float64()),
-                                       pa.array([tokens], pa.int64())], ["place", "flat", "tokens"])
+def _row(place: int, copy: Gru, tokens: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array([place], pa.int32()), list_array([copy.flat().astype(np.float64) * tokens], pa.float64()),
+        pa.array([tokens], pa.int64())], ["place", "flat", "tokens"])
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -241,6 +241,49 @@ def test_state_is_carried_and_probabilities_add_up():
     assert np.exp(lp).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_long_text_trains_as_it_is_scored(monkeypatch):
+    """The lanes of a text of 300 tokens start with the states and tokens that scoring has there."""
+    model = gru.Gru(2, seed=3)
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, gru.LISTED + 2, n) for n in (300, 120, 121, 1, 240)]
+    for d, states in zip(docs, model.states(docs)):
+        h, expected = np.zeros((1, model.hidden), np.float32), []
+        for t, token in enumerate(d):
+            if t % gru.LANE == 0:
+                expected.append(h[0])
+            h = model.step(np.array([d[t - 1] if t else model.start]), h)[0]
+        assert np.allclose(states, expected, atol=1e-5) and len(states) == -(-len(d) // gru.LANE)
+    seen, window = [], model._window
+
+    def watched(h, size, flat, starts, t0, *rest):
+        out = window(h, size, flat, starts, t0, *rest)
+        logp, at = 0.0, h  # the window's loss by the parameters that it was given
+        for t in range(t0, min(t0 + gru.WINDOW, int(size[0]))):
+            n = int((size > t).sum())
+            at = model.step(flat[starts[:n] + t - 1] if t else rest[1][:n], at[:n])[0]
+            logp += model.token_logp(at, flat[starts[:n] + t])[0].sum()
+        seen.append(logp)
+        return out
+
+    monkeypatch.setattr(model, "_window", watched)
+    whole = model.score(docs).sum()
+    model.train(docs, rate=0.0)
+    assert sum(seen) == pytest.approx(whole, rel=1e-4)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 2000)  # several shards a round
+    rng = random.Random(8)
+    rows = [(i, " ".join(_words(rng, rng.choice([0, 1, 40, 300])))) for i in range(120)]
+    rows += [(None, "a text without id"), (5, rows[5][1]), (7, "the same id again")]
+    scores = []
+    for parts in (2, 8):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        out = language_model.language_model_scores(docs, F.col("text") != "").collect()
+        scores.append(np.array([r["score"] for r in sorted(out, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["n_tokens"]))]))
+    assert np.allclose(scores[0], scores[1], rtol=1e-5)
+
+
 def test_base_scores_and_gain(spark, sf):
     rows = language_model.op9_gru_language_model(spark, sf).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
