@@ -140,6 +140,53 @@ def classification_report(df: DataFrame, label: str, score: str,
     return row.withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
+def classification_reports(df: DataFrame, label: str, scores: list) -> DataFrame:
+    """The report of every score column, a row each (``score_column`` first), in one pass over the rows.
+
+    Distinct scores are counted by (column, score), range-partitioned by column
+    and falling score and stored, which fixes each row's range; running totals are a
+    window within a range plus the totals of the column's earlier ranges.  Nulls
+    and NaNs raise ``UnscoredRows`` as in a single report; no rows give no report.
+    """
+    from pyspark.sql import Window
+
+    from tabprep.session import store
+
+    _check_binary(df, label)
+    y = qcol(label)
+    long = df.select(y.alias("y"), F.posexplode(F.array(*[qcol(s).cast("double") for s in scores])).alias("at", "s"))
+    per = long.groupBy("at", F.when(~F.isnan("s"), F.col("s")).alias("threshold")) \
+        .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
+    falling = [F.col("at"), F.col("threshold").desc()]
+    per = store(per.repartitionByRange(*falling).sortWithinPartitions(*falling).withColumn(
+        "part", F.shiftright(F.monotonically_increasing_id(), 33)), "score-points")  # the partition, fixed by storing
+    ranges = per.groupBy("at", "part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.sum(F.when(
+        F.col("threshold").isNull(), F.col("pos") + F.col("neg"))).alias("unscored"))
+    _check_scored(ranges.agg(F.sum("unscored").alias("n")).first()["n"] or 0)
+    own = Window.partitionBy("at")
+    before = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select("at", "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in "pn"],
+                            *[F.sum(c).over(own).alias(f"{c}all") for c in "pn"])  # a row a range
+    upto = Window.partitionBy("at", "part").orderBy(F.col("threshold").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    curve = per.join(offsets, ["at", "part"]).withColumn("tp", F.col("p0") + F.sum("pos").over(upto)) \
+        .withColumn("fp", F.col("n0") + F.sum("neg").over(upto)) \
+        .withColumn("precision", _f(F.col("tp")) / _f(F.col("tp") + F.col("fp"))) \
+        .withColumn("recall", F.when(F.col("pall") > 0, _f(F.col("tp")) / F.col("pall")).otherwise(1.0)) \
+        .withColumn("f1", _f1_of_point())
+    roc = F.sum(_f(F.col("neg")) * (2.0 * _f(F.col("tp")) - _f(F.col("pos"))))
+    rows = curve.groupBy("at").agg(
+        _best_point().alias("b"), F.max("pall").alias("P"), F.max("nall").alias("N"), roc.alias("roc"),
+        F.sum(_f(F.col("pos")) * F.col("precision")).alias("ap"))
+    names = F.array(*[F.lit(s) for s in scores])
+    area = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("roc") / (2.0 * _f(F.col("P")) * _f(F.col("N"))))
+    return rows.select(F.element_at(names, F.col("at") + 1).alias("score_column"), "b.threshold", "b.f1", "b.precision",
+                       "b.recall", (F.col("N") - F.col("b.fp")).alias("tn"), F.col("b.fp").alias("fp"),
+                       (F.col("P") - F.col("b.tp")).alias("fn"), F.col("b.tp").alias("tp"), area.alias("auc"),
+                       F.when(F.col("P") > 0, F.col("ap") / F.col("P")).otherwise(0.0).alias("aucpr")) \
+        .withColumn("confusion_matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
+
+
 # The names under which reports are stored and gated.
 def metrics_struct(report: DataFrame, names=("auc", "aucpr", "precision", "recall", "f1",
                                              "confusion_matrix")) -> Column:

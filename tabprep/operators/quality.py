@@ -62,11 +62,11 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
 
     joined = cells(real, "n_real").join(cells(synth, "n_synth"), ["i", "missing", "cell"], "full_outer") \
         .fillna(0, ["n_real", "n_synth"])
-    from pyspark.sql import Window
-    w = Window.partitionBy("i")
+    # totals by an aggregate of their own: a window would put all cells of a column in one task
+    totals = joined.groupBy("i").agg(F.sum("n_real").alias("t_real"), F.sum("n_synth").alias("t_synth"))
     # try_divide: an empty side (e.g. zero generated rows) gives null shares
-    probs = joined.select("i", F.try_divide(F.col("n_real"), F.sum("n_real").over(w)).alias("p"),
-                          F.try_divide(F.col("n_synth"), F.sum("n_synth").over(w)).alias("q"))
+    probs = joined.join(F.broadcast(totals), "i").select(  # a row a column
+        "i", F.try_divide("n_real", "t_real").alias("p"), F.try_divide("n_synth", "t_synth").alias("q"))
     name_arr = F.array(*[F.lit(c) for c in names])
     js = F.sum(_js_distance(F.col("p"), F.col("q")))
     # undefined (null) when either side has no rows
@@ -76,16 +76,23 @@ def quality_by_column(real: DataFrame, synth: DataFrame, columns: list, bins: in
                 F.when(F.col("i") < nn, "numeric").otherwise("categorical").alias("kind"))
 
 
-def pair_correlations(df: DataFrame, numeric: list) -> list:
-    """Upper-triangle Pearson correlations, each over the rows where both columns
-    are present; None where undefined.  One definition for any number of columns."""
+def correlation_matrix(df: DataFrame, numeric: list) -> np.ndarray:
+    """Pearson correlations, each over the rows where both columns are present; NaN where undefined."""
+    if len(numeric) < 2:
+        return np.eye(len(numeric))
     means = df.agg(*[F.avg(stats.clean_double(c)).alias(f"m{i}") for i, c in enumerate(numeric)]).first()
     centred = df.select(F.lit(0).alias("g"), F.array(*[
         F.coalesce(stats.clean_double(c) - F.lit(float(means[f"m{i}"] or 0.0)), F.lit(float("nan")))
         for i, c in enumerate(numeric)]).alias("v"))
     m = correlations(pairwise_moments(centred, "v", "g")).get(0)
+    return np.full((len(numeric), len(numeric)), np.nan) if m is None else m
+
+
+def pair_correlations(df: DataFrame, numeric: list) -> list:
+    """Upper triangle of ``correlation_matrix``; None where undefined."""
+    m = correlation_matrix(df, numeric)
     pairs = [(a, b) for a in range(len(numeric)) for b in range(a + 1, len(numeric))]
-    return [None if m is None or np.isnan(m[a, b]) else float(m[a, b]) for a, b in pairs]
+    return [None if np.isnan(m[a, b]) else float(m[a, b]) for a, b in pairs]
 
 
 def quality_summary(real: DataFrame, synth: DataFrame, columns: list, bins: int = 20,

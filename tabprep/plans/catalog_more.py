@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabprep.operators import features, training
+from tabprep.operators import features, metrics, training
+from tabprep.operators.association import associations, compare_associations
 from tabprep.plans import catalog as c
 from tabprep.session import scratch_path
 from tabprep.sources.csv import NA_TOKENS, read_csv
@@ -105,3 +106,106 @@ v AS (SELECT part, CAST(row_number() OVER (ORDER BY part) AS INTEGER) AS place F
 SELECT b.l_orderkey, b.l_linenumber, (SELECT count(*) + 1 FROM v) AS n_features, v.place FROM b LEFT JOIN v USING (part)
 """
 REGISTRY["onehot_every_part"] = (q_onehot_every_part, SQL_ONEHOT_EVERY_PART)
+
+# ------------------------------------------------------------------ G6: association of columns of any kinds
+
+_TEXTS, _NUMBERS = ("flag", "mode", "part"), ("quantity", "price", "tax")
+_MIXED = {"l_orderkey": "l_orderkey", "flag": "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_returnflag END", "mode": "l_linestatus",
+          "part": "concat('part ', CAST(l_partkey AS {text}))", "quantity": "CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END",
+          "price": "l_extendedprice", "tax": "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_tax END"}
+_MIXED_SQL = "SELECT " + ", ".join(f"{e.format(text='VARCHAR')} AS {n}" for n, e in _MIXED.items()) + " FROM lineitem"
+
+
+def _mixed(spark, d):
+    return c.t(spark, d, "lineitem").select(*[F.expr(e.format(text="STRING")).alias(n) for n, e in _MIXED.items()])
+
+
+def q_associations(spark, d):
+    """Every pair of three text columns (one with a level per part) and three numbers, all with missing values or ties."""
+    found = associations(_mixed(spark, d), [*_TEXTS, *_NUMBERS])
+    return found.select("column_a", "column_b", "kind", F.round("value", 6).alias("value"))
+
+
+def _v_sql(a: str, b: str, rows: str = "m") -> str:
+    return f"""SELECT '{a}' AS column_a, '{b}' AS column_b, 'cramers_v' AS kind, (
+  WITH k AS (SELECT {a} AS a, {b} AS b, count(*) AS n FROM {rows} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2),
+  w AS (SELECT n, sum(n) OVER (PARTITION BY a) AS na, sum(n) OVER (PARTITION BY b) AS nb FROM k)
+  SELECT sqrt(greatest((SELECT sum(CAST(n AS DOUBLE) * n / na / nb) FROM w) - 1, 0)
+    / (least((SELECT count(DISTINCT a) FROM k), (SELECT count(DISTINCT b) FROM k)) - 1))) AS value"""
+
+
+def _eta_sql(a: str, x: str, rows: str = "m") -> str:
+    return f"""SELECT '{a}' AS column_a, '{x}' AS column_b, 'correlation_ratio' AS kind, (
+  WITH k AS (SELECT {a} AS a, CAST({x} AS DOUBLE) AS x FROM {rows} WHERE {a} IS NOT NULL AND {x} IS NOT NULL),
+  w AS (SELECT avg(x) OVER (PARTITION BY a) AS own, avg(x) OVER () AS mean, x FROM k)
+  SELECT sqrt(sum((own - mean) * (own - mean)) / sum((x - mean) * (x - mean))) FROM w) AS value"""
+
+
+def _r_sql(x: str, y: str, rows: str = "m") -> str:
+    return f"SELECT '{x}' AS column_a, '{y}' AS column_b, 'correlation' AS kind, " \
+        f"(SELECT corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) FROM {rows}) AS value"
+
+
+def _pairs_sql(rows: str = "m") -> str:
+    names = [*_TEXTS, *_NUMBERS]
+    parts = []
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            parts.append((_v_sql if b in _TEXTS else _eta_sql if a in _TEXTS else _r_sql)(a, b, rows))
+    return " UNION ALL ".join(parts)
+
+
+SQL_ASSOCIATIONS = f"""
+WITH m AS ({_MIXED_SQL})
+SELECT column_a, column_b, kind, round(value, 6) AS value FROM ({_pairs_sql()})
+"""
+REGISTRY["associations"] = (q_associations, SQL_ASSOCIATIONS)
+
+
+def q_association_differences(spark, d):
+    """The pairs of the lines of even orders against those of odd ones, as of real against synthetic rows."""
+    rows = _mixed(spark, d)
+    found = compare_associations(rows.where("l_orderkey % 2 = 0"), rows.where("l_orderkey % 2 = 1"), [*_TEXTS, *_NUMBERS])
+    return found.select("column_a", "column_b", "kind", *[F.round(x, 6).alias(x) for x in ("real", "synthetic", "difference")])
+
+
+SQL_ASSOCIATION_DIFFERENCES = f"""
+WITH m AS ({_MIXED_SQL}),
+e AS (SELECT * FROM m WHERE l_orderkey % 2 = 0), o AS (SELECT * FROM m WHERE l_orderkey % 2 = 1),
+r AS ({_pairs_sql("e")}), s AS ({_pairs_sql("o")})
+SELECT column_a, column_b, r.kind, round(r.value, 6) AS "real", round(s.value, 6) AS synthetic,
+  round(abs(coalesce(r.value, 0) - coalesce(s.value, 0)) / CASE WHEN r.kind = 'correlation' THEN 2 ELSE 1 END, 6) AS difference
+FROM r JOIN s USING (column_a, column_b)
+"""
+REGISTRY["association_differences"] = (q_association_differences, SQL_ASSOCIATION_DIFFERENCES)
+
+# ------------------------------------------------------------------ E1-E4, C6, C8: reports of many score columns in one pass
+
+_SCORES = {"by_price": "l_extendedprice", "by_quantity": "l_quantity", "falling": "-l_extendedprice",
+           "constant": "0.5 + 0 * l_tax", "coarse": "floor(l_extendedprice / 20000)"}
+
+
+def q_reports_of_scores(spark, d):
+    """Five score columns of every line: best F1, areas and confusion counts of each."""
+    li = c.t(spark, d, "lineitem").select(F.expr("CAST(l_returnflag = 'R' AS INT)").alias("y"),
+                                          *[F.expr(f"CAST({e} AS DOUBLE)").alias(n) for n, e in _SCORES.items()])
+    out = metrics.classification_reports(li, "y", list(_SCORES))
+    return out.select("score_column", *[F.round(x, 8).alias(x) for x in ("threshold", "f1", "auc", "aucpr")], "tn", "fp", "fn", "tp")
+
+
+_LONG = " UNION ALL ".join(f"SELECT '{n}' AS score_column, CAST({e} AS DOUBLE) AS s, y FROM l" for n, e in _SCORES.items())
+SQL_REPORTS_OF_SCORES = f"""
+WITH l AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+p AS (SELECT score_column, s, sum(y) AS pos, sum(1 - y) AS neg FROM ({_LONG}) GROUP BY 1, 2),
+k AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY score_column) AS np,
+  sum(neg) OVER (PARTITION BY score_column) AS nn FROM p WINDOW w AS (PARTITION BY score_column ORDER BY s DESC)),
+f AS (SELECT *, tp / (tp + fp) AS pr, tp / np AS re FROM k),
+g AS (SELECT *, CASE WHEN pr = 0 AND re = 0 THEN NULL ELSE 2 * (pr * re) / (pr + re) END AS f1 FROM f),
+b AS (SELECT * FROM g WHERE f1 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY score_column ORDER BY f1 DESC, s) = 1),
+a AS (SELECT score_column, sum(CAST(neg AS DOUBLE) * (2 * tp - pos)) / (2.0 * max(np) * max(nn)) AS auc,
+  sum(pos * pr) / max(np) AS aucpr FROM g GROUP BY 1)
+SELECT score_column, round(s, 8) AS threshold, round(f1, 8) AS f1, round(auc, 8) AS auc, round(aucpr, 8) AS aucpr,
+  CAST(nn - fp AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(np - tp AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp
+FROM b JOIN a USING (score_column)
+"""
+REGISTRY["reports_of_scores"] = (q_reports_of_scores, SQL_REPORTS_OF_SCORES)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.names import check_unique_names, qcol, require_columns
 from tabprep.operators import features, metrics, sampling, training
-from tabprep.operators.publish import gate, publish_if_passed
+from tabprep.operators.association import compare_associations, compare_components
+from tabprep.operators.publish import gate, publish_if_passed, run_id_of
 from tabprep.operators.synthesizer import SYNTH_ID, augment_training, generation_source, quality_by_column, quality_summary
 from tabprep.session import drop_stored, ensure_checkpoint_dir, scratch_path, store
 from tabprep.sources.csv import cast_like
@@ -201,7 +202,11 @@ def gate_stage(spark: SparkSession, spec: TabularSpec, out_dir: str, strict: boo
     if not publish:
         return g, False
     model = training.load_model(f"{out_dir}/candidate_model", spec.ml_task)
-    return g, publish_if_passed(spark, g, model, f"{out_dir}/model", f"{out_dir}/registry")
+    # the same job's stored model: publishing it again adds nothing
+    params = read_report(spark, f"{out_dir}/best_params").first()
+    row = g.first()
+    run = run_id_of(out_dir, spec.seed, params.asDict(recursive=True), row["metric"], row["value"], row["threshold"])
+    return g, publish_if_passed(spark, g, model, f"{out_dir}/model", f"{out_dir}/registry", run_id=run)
 
 
 def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
@@ -233,12 +238,14 @@ def run_workflow(spark: SparkSession, df: DataFrame, spec: TabularSpec,
 
 def write_synthetic_report(real: DataFrame, synthetic: DataFrame, columns: list, path: str,
                            seed: int = 42, sample_size: int = 100) -> None:
-    """Quality by column, quality summary and a seeded sample of synthetic rows."""
+    """Quality by column, quality summary, associations and principal components, and a seeded sample of synthetic rows."""
     by_column = quality_by_column(real, synthetic, columns)
     by_column = by_column.sparkSession.createDataFrame(by_column.collect(), by_column.schema)  # a row a column
     by_column.coalesce(1).write.mode("overwrite").json(f"{path}/by_column")
     quality_summary(real, synthetic, columns, by_column=by_column).coalesce(1).write.mode("overwrite") \
         .json(f"{path}/summary")
+    compare_associations(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/associations")
+    compare_components(real, synthetic, columns).coalesce(1).write.mode("overwrite").json(f"{path}/components")
     sampling.sample_rows(synthetic, SYNTH_ID, sample_size, seed).write.mode("overwrite") \
         .parquet(f"{path}/sample")
 

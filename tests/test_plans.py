@@ -16,8 +16,8 @@ def _plan(df):
 
 #: Arrow batches in the jobs that these run while they are built: the copula's
 #: numpy marginals, the matrix sums of pairwise correlations, CSV records, histograms of boosted trees.
-ARROW = {"synth_copula", "synth_copula_class_counts", "synth_quality_summary", "quality_summary_wide", "csv_roundtrip",
-         "boosted_regression", "boosted_classification"}
+ARROW = {"synth_copula", "synth_copula_class_counts", "synth_quality_summary", "quality_summary_wide", "csv_roundtrip", "associations",
+         "association_differences",         "boosted_regression", "boosted_classification"}
 
 
 def _all_plans(spark, build):
