@@ -8,7 +8,7 @@ The length-weighted mean of the lines' P(good) is the document's quality,
 and a logistic curve turns it into the probability of label 1.
 
 Training takes a bounded sample of labelled rows (``SAMPLE`` per label, by
-hash of the id).  Labels name documents, not lines: lines start with their
+hash of the id; of several texts of one id the smallest).  Labels name documents, not lines: lines start with their
 document's label, and after a first fit the lines of bad documents that look
 good become good (at least one stays bad), and the field is fitted again.
 The driver holds the sample's line features, not its text.
@@ -111,7 +111,7 @@ def emissions(features: np.ndarray, lengths: np.ndarray, weights: np.ndarray) ->
 
 
 def forward_backward(score: np.ndarray, lengths: np.ndarray, pair: np.ndarray):
-    """P(good) of each line and P(state pair) summed over neighbouring lines.
+    """P(good) of each line, and P(state pair) of each two neighbouring lines (by the later one's place).
 
     All documents advance together, longest first, so a step is one operation
     on those that still have a line; messages are normalised at each step.
@@ -137,35 +137,40 @@ def forward_backward(score: np.ndarray, lengths: np.ndarray, pair: np.ndarray):
     later = np.flatnonzero(~first)
     both = alpha[later - 1][:, :, None] * move * (emit[later] * beta[later])[:, None, :]
     both /= np.maximum(both.sum(axis=(1, 2), keepdims=True), 1e-300)
-    return p[:, 1], both.sum(axis=0)
+    return p[:, 1], both
+
+
+def _gradient(theta: np.ndarray, features: np.ndarray, lengths: np.ndarray, state: np.ndarray, weight: np.ndarray,
+              l2: float) -> np.ndarray:
+    """Gradient of ``l2 / 2 |theta|^2`` less the documents' log P(states), each times its weight, per weighted line."""
+    w, pair = theta[:-4].reshape(3, -1), theta[-4:].reshape(2, 2)
+    line_weight = np.repeat(weight, lengths)
+    total = max(line_weight.sum(), 1e-300)
+    ends = np.cumsum(lengths)
+    last, first = (ends - 1)[lengths > 0], (ends - lengths)[lengths > 0]
+    later = np.delete(np.arange(len(state)), first)
+    p, both = forward_backward(emissions(features, lengths, w), lengths, pair)
+    err = (p - state) * line_weight / total
+    before, after = np.roll(err, -1), np.roll(err, 1)  # a line is the previous one of the next, and so on
+    before[last] = 0
+    after[first] = 0
+    g = np.zeros((3, N_FEATURES + 1))
+    for k, e in enumerate((err, before, after)):
+        g[k, :-1] = np.bincount(features.ravel(), np.repeat(e, PER_LINE), N_FEATURES)
+    g[0, -1], g[1, -1], g[2, -1] = err.sum(), err[first].sum(), err[last].sum()
+    pairs = (both * line_weight[later, None, None]).sum(axis=0)
+    np.subtract.at(pairs, (state[later - 1], state[later]), line_weight[later])
+    return np.concatenate([g.ravel(), pairs.ravel() / total]) + l2 * theta
 
 
 def train_field(features: np.ndarray, lengths: np.ndarray, state: np.ndarray, weight: np.ndarray, rounds: int = 60,
                 rate: float = 0.1, l2: float = 2e-4, start=None):
-    """Weights (3 x features) and pair scores by Adam on the conditional likelihood of the states."""
+    """Weights (3 x features) and pair scores by Adam on the conditional likelihood of the states,
+    every document with its weight in the lines' and the pairs' part alike."""
     theta = np.zeros(3 * (N_FEATURES + 1) + 4) if start is None else start.copy()
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    line_weight = np.repeat(weight, lengths)
-    total = line_weight.sum()
-    ends = np.cumsum(lengths)
-    first = np.zeros(len(state), bool)
-    first[(ends - lengths)[lengths > 0]] = True
-    later = np.flatnonzero(~first)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (state[later - 1], state[later]), 1.0)
     for t in range(1, rounds + 1):
-        w, pair = theta[:-4].reshape(3, -1), theta[-4:].reshape(2, 2)
-        p, both = forward_backward(emissions(features, lengths, w), lengths, pair)
-        err = (p - state) * line_weight / total
-        before, after = np.roll(err, -1), np.roll(err, 1)  # a line is the previous one of the next, and so on
-        before[(ends - 1)[lengths > 0]] = 0
-        after[(ends - lengths)[lengths > 0]] = 0
-        g = np.zeros((3, N_FEATURES + 1))
-        for k, e in enumerate((err, before, after)):
-            g[k, :-1] = np.bincount(features.ravel(), np.repeat(e, PER_LINE), N_FEATURES)
-        g[0, -1] = err.sum()
-        g[1, -1], g[2, -1] = err[first].sum(), err[(ends - 1)[lengths > 0]].sum()
-        grad = np.concatenate([g.ravel(), ((both - seen) / max(len(state), 1)).ravel()]) + l2 * theta
+        grad = _gradient(theta, features, lengths, state, weight, l2)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-9)
     return theta
@@ -209,12 +214,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         for batch in batches:
             lines = [lines_of(body.as_py()) for body in batch.column(0)]
             yield pa.RecordBatch.from_arrays([
-                batch.column(1), list_array([line_features(x).ravel() for x in lines], pa.int16()),
+                batch.column(2), batch.column(1), list_array([line_features(x).ravel() for x in lines], pa.int16()),
                 list_array([np.array([len(y) for y in x], np.int64) for x in lines], pa.int32())],
-                ["note", "features", "sizes"])
+                ["_id", "note", "features", "sizes"])
 
-    rows = train.join(F.broadcast(ids), "_id").select("body", "note").mapInArrow(
-        run, "note int, features array<smallint>, sizes array<int>").toArrow()
+    # a text an id, so the sample bounds rows, whatever repeats
+    texts = train.join(F.broadcast(ids), "_id").groupBy("_id", "note").agg(F.min("body").alias("body"))
+    rows = texts.select("body", "note", "_id").mapInArrow(
+        run, "_id long, note int, features array<smallint>, sizes array<int>").orderBy("_id").toArrow()
     note = rows.column("note").to_numpy().astype(np.int64)
     flat = lambda name: rows.column(name).combine_chunks().flatten().to_numpy()
     if not len(note):
