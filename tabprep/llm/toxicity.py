@@ -290,7 +290,9 @@ def fit(features: DataFrame, labels: DataFrame, terms: Terms, sample_ids: DataFr
     counts = rows.join(_annotated(labels, key, label), "_id", "left").groupBy(
         "votes", F.coalesce("note", F.lit(-1)).alias("note")).count().toPandas()  # at most 3 * 2 ** voters rows
     model = LabelModel().fit(counts["votes"].to_numpy(np.int64), counts["note"].to_numpy(np.int64), counts["count"].to_numpy())
-    got = rows.join(F.broadcast(sample_ids), "_id").orderBy("_id", "votes").toArrow()  # the bounded sample
+    # the bounded sample: a row an id (of several the smallest), whatever repeats
+    got = rows.join(F.broadcast(sample_ids), "_id").groupBy("_id", "note").agg(
+        F.min(F.struct("votes", "columns")).alias("row")).select("_id", "note", "row.*").orderBy("_id").toArrow()
     note, codes = (got.column(c).to_numpy().astype(np.int64) for c in ("note", "votes"))
     target = model.posterior(codes, note)
     lengths = got.column("columns").combine_chunks().value_lengths().to_numpy().astype(np.int64)
