@@ -8,6 +8,11 @@ are bounded by classes x columns x grid size, classes x levels and classes x
 columns squared.  Missing values take no part in a correlation; they are drawn
 apart, at each column's null rate.
 
+Text columns with more levels than may reach the driver (``max_levels``) keep
+their frequencies as a stored table of intervals (``functions.intervals``): a
+row's normal score comes from a join on (class, value), a generated value
+from the interval that holds the row's uniform.  The values are the same either way.
+
 Generate from ``spark.range(n)``: the class of a row is a hash draw on its id,
 the normals come from a counter-based hash of (seed, column, id), correlated
 by the class's Cholesky factor and mapped back through the marginals in
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.hashing import np_uniform, range_partitions, stream_key
+from tabprep.functions.intervals import cumulate, draw_values
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.normal import np_norm_cdf, np_norm_ppf
 from tabprep.operators import stats
@@ -48,7 +54,7 @@ class CopulaSynthesizer:
     grid_size: int = 101
     accuracy: int = 10_000
     correlated: bool = True
-    max_levels: int = 200_000  # (class, column, level) frequencies that may reach the driver
+    max_levels: int = 200_000  # (class, column, level) frequencies that may reach the driver; other columns' stay a table
 
     def fit(self, df: DataFrame, counts: dict | None = None) -> "FittedCopula":
         require_columns(df, [self.label])
@@ -74,24 +80,28 @@ class CopulaSynthesizer:
                     grids[(r["y"], c)] = np.asarray(r[f"g{i}"] or [0.0], dtype=float)
                     nulls[(r["y"], c)] = float(r[f"z{i}"] or 0.0)
         # level frequencies; null is a level
-        levels: dict = {}
+        levels, tables = {}, {}
         if categorical:
-            rows = (df.select(y.alias("y"), F.explode(F.array(*[
+            freq = store(df.select(y.alias("y"), F.explode(F.array(*[
                 F.struct(F.lit(i).alias("i"), as_category(df, c).alias("v"))
                 for i, c in enumerate(categorical)])).alias("e"))
-                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).limit(self.max_levels + 1).collect())
-            if len(rows) > self.max_levels:
-                raise ValueError(f"more than {self.max_levels} levels in the text columns: use the independent synthesizer, "
-                                 "drop such columns or raise max_levels")
+                .groupBy("y", "e.i", "e.v").agg(F.count(F.lit(1)).alias("n")), "levels")
+            few, room = [], self.max_levels
+            for r in freq.groupBy("i").count().orderBy("count", "i").collect():  # a row a column
+                room -= r["count"]
+                if room >= 0:
+                    few.append(r["i"])
             found: dict = {}
-            for r in rows:
+            for r in freq.where(F.col("i").isin(few)).collect():  # at most max_levels rows
                 found.setdefault((r["y"], categorical[r["i"]]), []).append((r["v"], r["n"]))
             for key, pairs in found.items():
                 pairs.sort(key=lambda t: (t[0] is None, t[0] if t[0] is not None else ""))
                 n = np.array([n for _, n in pairs], dtype=float)
                 levels[key] = (np.asarray([v for v, _ in pairs], dtype=object), np.cumsum(n) / n.sum())
+            for i in set(range(len(categorical))) - set(few):
+                tables[categorical[i]] = store(cumulate(freq.where(F.col("i") == i), ["y"], "v"), "levels")
         fitted = FittedCopula(self.label, numeric, categorical, counts, grids, nulls, levels, {}, self.seed,
-                              {c: df.schema[c].dataType for c in cols}, df.schema[self.label].dataType)
+                              {c: df.schema[c].dataType for c in cols}, df.schema[self.label].dataType, tables)
         if self.correlated and len(cols) > 1:
             fitted.chol = {lab: _psd_cholesky(m) for lab, m in fitted.correlations(df).items() if lab in set(labels)}
         return fitted
@@ -136,6 +146,7 @@ class FittedCopula:
     seed: int
     types: dict
     label_type: T.DataType
+    tables: dict = field(default_factory=dict)  # column -> intervals of its levels, for columns of many levels
 
     @property
     def labels(self):
@@ -143,7 +154,7 @@ class FittedCopula:
 
     def normal_scores(self, df: DataFrame) -> DataFrame:
         """(y, z): the normal score of each value under its class's marginals; missing values are NaN."""
-        numeric, categorical, labels = self.numeric, self.categorical, self.labels
+        numeric, categorical, labels, tabled = self.numeric, self.categorical, self.labels, set(self.tables)
         shared = df.sparkSession.sparkContext.broadcast((self.grids, {
             key: {v: hi - (hi - lo) / 2 for v, lo, hi in zip(vals, [0.0, *cum[:-1]], cum) if v is not None}
             for key, (vals, cum) in self.levels.items()}))
@@ -163,7 +174,8 @@ class FittedCopula:
                         u = np.clip((i - 1 + np.clip(part, 0, 1)) / last, 1e-4, 1 - 1e-4)
                         z[rows, a] = np.where(np.isnan(x), np.nan, np_norm_ppf(u))
                     for j, c in enumerate(categorical):
-                        u = pdf[f"c{j}"].iloc[rows].map(middle.get((lab, c), {})).to_numpy(dtype=float)
+                        u = pdf[f"c{j}"].iloc[rows]  # of a column of many levels: already the middle
+                        u = (u if c in tabled else u.map(middle.get((lab, c), {}))).to_numpy(dtype=float)
                         z[rows, len(numeric) + j] = np.where(
                             np.isnan(u), np.nan, np_norm_ppf(np.clip(np.nan_to_num(u, nan=0.5), 1e-4, 1 - 1e-4)))
                 yield pd.DataFrame({"y": pdf["y"], "z": list(z)})
@@ -171,6 +183,12 @@ class FittedCopula:
         y = qcol(self.label)
         rows = df.select(y.alias("y"), *[_number(df, c).alias(f"x{a}") for a, c in enumerate(numeric)],
                          *[as_category(df, c).alias(f"c{j}") for j, c in enumerate(categorical)])
+        for j, c in enumerate(categorical):
+            if c in tabled:  # one row a level and class, so only the rows' side can be skewed: left to the skew join
+                middles = self.tables[c].select(F.col("y").alias("_y"), F.col("v").alias("_v"),
+                                                ((F.col("lo") + F.col("hi")) / 2 / F.col("total")).alias("_u"))
+                rows = rows.join(middles, (F.col("y") == F.col("_y")) & (F.col(f"c{j}") == F.col("_v")), "left") \
+                    .withColumn(f"c{j}", F.col("_u")).drop("_y", "_v", "_u")
         return rows.mapInPandas(run, f"y {self.label_type.simpleString()}, z array<double>")
 
     def correlations(self, df: DataFrame) -> dict:
@@ -187,7 +205,7 @@ class FittedCopula:
         return store(out, "copula") if materialize else out
 
     def _generate(self, spark, n: int) -> DataFrame:
-        labels, numeric, categorical, label = self.labels, self.numeric, self.categorical, self.label
+        labels, numeric, categorical, label, tabled = self.labels, self.numeric, self.categorical, self.label, set(self.tables)
         k = len(numeric) + len(categorical)
         ends = np.cumsum([self.counts[y] for y in labels]).tolist()
         ids = spark.range(0, n, numPartitions=range_partitions(spark, n)) \
@@ -205,6 +223,7 @@ class FittedCopula:
                 e = np.column_stack([np_norm_ppf(np_uniform(s, at)) for s in normal]) if k else np.zeros((len(at), 0))
                 numbers = np.full((len(at), len(numeric)), np.nan)
                 texts = np.full((len(at), len(categorical)), None, dtype=object)
+                uniforms = np.zeros((len(at), len(categorical)))  # of columns of many levels
                 for i, rows in _by_class(list(range(len(labels))), of):
                     lab = labels[i]
                     u = np_norm_cdf(e[rows] @ chol[lab].T if lab in chol else e[rows])
@@ -216,25 +235,33 @@ class FittedCopula:
                         v = np.round(v) if whole[a] else v
                         numbers[rows, a] = np.where(np_uniform(missing[a], at[rows]) < nulls[(lab, c)], np.nan, v)
                     for j, c in enumerate(categorical):
+                        if c in tabled:
+                            uniforms[rows, j] = u[:, len(numeric) + j]
+                            continue
                         vals, cum = levels.get((lab, c), (np.array([None], dtype=object), np.ones(1)))
                         pick = np.searchsorted(cum, u[:, len(numeric) + j], side="right")
                         texts[rows, j] = vals[np.minimum(pick, len(vals) - 1)]
                 out = {"id": pdf["id"], "_class": of}
                 out |= {f"x{a}": pd.array(numbers[:, a], "Float64") for a in range(len(numeric))}
-                out |= {f"c{j}": texts[:, j] for j in range(len(categorical))}
+                out |= {f"c{j}": uniforms[:, j] if c in tabled else texts[:, j] for j, c in enumerate(categorical)}
                 frame = pd.DataFrame(out)
                 for a in range(len(numeric)):  # missing is null, not NaN
                     frame[f"x{a}"] = frame[f"x{a}"].mask(np.isnan(numbers[:, a]))
                 yield frame
 
         schema = ", ".join(["id long, _class int", *(f"x{a} double" for a in range(len(numeric))),
-                            *(f"c{j} string" for j in range(len(categorical)))])
-        rows = ids.mapInPandas(run, schema)
+                            *(f"c{j} {'double' if c in tabled else 'string'}" for j, c in enumerate(categorical))])
+        names = F.array(*[F.lit(v) for v in labels])
+        rows = ids.mapInPandas(run, schema).withColumn(
+            "_y", F.element_at(names, F.col("_class") + 1).cast(self.label_type)).drop("_class")
+        for j, c in enumerate(categorical):
+            if c in tabled:
+                of = self.tables[c].withColumnRenamed("y", "_y")
+                rows = draw_values(rows, of, ["_y"], F.col(f"c{j}"), "v", "_drawn").drop(f"c{j}") \
+                    .withColumnRenamed("_drawn", f"c{j}")
         outs = [self._typed(F.col(f"x{a}"), c) for a, c in enumerate(numeric)] \
             + [F.col(f"c{j}").alias(c) for j, c in enumerate(categorical)]
-        names = F.array(*[F.lit(v) for v in labels])
-        return rows.select(F.col("id").alias(SYNTH_ID), *outs,
-                           F.element_at(names, F.col("_class") + 1).cast(self.label_type).alias(label))
+        return rows.select(F.col("id").alias(SYNTH_ID), *outs, F.col("_y").alias(label))
 
     def _typed(self, x, c: str):
         kind = self.types[c]

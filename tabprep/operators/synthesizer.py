@@ -20,17 +20,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
+from tabprep.functions.intervals import cumulate, look_up
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.ranks import hash_rank
 from tabprep.operators import stats
 from tabprep.operators.copula import CopulaSynthesizer, FittedCopula  # noqa: F401
 from tabprep.operators.quality import pair_correlations, quality_by_column, quality_summary  # noqa: F401
-from tabprep.operators.synth import SYNTH_ID, class_index, union_real_synthetic  # noqa: F401
+from tabprep.operators.synth import SYNTH_ID, class_draw, class_index, union_real_synthetic  # noqa: F401
 from tabprep.session import store
 
 
 # ------------------------------------------------------------------ independent
 
+#: Classes that a plan holds as literals; more are a table that draws are joined to.
+FEW_CLASSES = 64
+
+
 @dataclass
 class IndependentSynthesizer:
     label: str
@@ -93,15 +98,20 @@ class FittedIndependent:
         labels = sorted(self.counts)
         ends = np.cumsum([self.counts[y] for y in labels]).tolist()
         ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
-        sizes = F.array(*[F.lit(int(self.counts[y])) for y in labels])
-        base = ids.select(F.col("id").alias(SYNTH_ID), class_index(ends, self.seed, "class", F.col("id")).alias("_class"))
-        draws = base.select(SYNTH_ID, "_class", F.explode(F.array(*[
-            F.struct(F.lit(j).alias("_j"),
-                     (F.floor(hash_uniform(self.seed, F.lit(c), F.col(SYNTH_ID))
-                              * F.element_at(sizes, F.col("_class") + 1)) + 1).cast("long").alias("_syn_rank"))
-            for j, c in enumerate(self.columns)])).alias("d")).select(
-            SYNTH_ID, F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("_class") + 1)
-            .cast(self.label_type).alias("_syn_y"), "d._j", "d._syn_rank")
+        if len(labels) <= FEW_CLASSES:
+            sizes = F.array(*[F.lit(int(self.counts[y])) for y in labels])
+            base = ids.select(F.col("id").alias(SYNTH_ID), (class_index(ends, self.seed, "class", F.col("id")) + 1).alias("_class")) \
+                .select(SYNTH_ID, F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("_class")).cast(self.label_type)
+                        .alias("_syn_y"), F.element_at(sizes, F.col("_class")).alias("_size"))
+        else:
+            classes = spark.createDataFrame([(y, self.counts[y]) for y in labels], T.StructType([
+                T.StructField("_syn_y", self.label_type), T.StructField("n", T.LongType())]))  # a row a class
+            drawn = ids.select(F.col("id").alias(SYNTH_ID), class_draw(ends[-1], self.seed, "class", F.col("id")).alias("_pos"))
+            base = look_up(drawn, cumulate(classes, [], "_syn_y"), [], "_pos", "_syn_y", "_syn_y", "_size").drop("_pos")
+        draws = base.select(SYNTH_ID, "_syn_y", F.explode(F.array(*[
+            F.struct(F.lit(j).alias("_j"), (F.floor(hash_uniform(self.seed, F.lit(c), F.col(SYNTH_ID)) * F.col("_size")) + 1)
+                     .cast("long").alias("_syn_rank"))
+            for j, c in enumerate(self.columns)])).alias("d")).select(SYNTH_ID, "_syn_y", "d._j", "d._syn_rank")
         rows = draws.join(self.cells, ["_syn_y", "_syn_rank", "_j"]).groupBy(SYNTH_ID, "_syn_y").agg(
             F.array_sort(F.collect_list(F.struct("_j", "_v"))).alias("_row"))
         out = rows.select(SYNTH_ID, *[_unpacked(F.element_at("_row", j + 1)["_v"], self.types[c]).alias(c)
