@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from tabprep.functions.hashing import hash_uniform
+from tabprep.functions.intervals import cumulate, draw_values
 from tabprep.operators import features, metrics, training
 from tabprep.operators.association import associations, compare_associations
+from tabprep.operators.synthesizer import IndependentSynthesizer
 from tabprep.plans import catalog as c
 from tabprep.session import scratch_path
 from tabprep.sources.csv import NA_TOKENS, read_csv
@@ -209,3 +212,51 @@ SELECT score_column, round(s, 8) AS threshold, round(f1, 8) AS f1, round(auc, 8)
 FROM b JOIN a USING (score_column)
 """
 REGISTRY["reports_of_scores"] = (q_reports_of_scores, SQL_REPORTS_OF_SCORES)
+
+# ------------------------------------------------------------------ G5: draws from frequencies of any number of values and classes
+
+_PART_LEVEL = """CASE WHEN l_orderkey % 3 = 0 THEN 'part 0' WHEN l_orderkey % 13 = 0 THEN NULL
+  ELSE concat('part ', CAST(l_partkey AS {text})) END"""
+
+
+def q_inverse_distribution(spark, d):
+    """A part for every order, drawn from the parts of the lines of its status (one part holds a third of them)."""
+    freq = c.t(spark, d, "lineitem").selectExpr("l_linestatus AS status", f"{_PART_LEVEL.format(text='STRING')} AS part") \
+        .groupBy("status", "part").agg(F.count(F.lit(1)).alias("n"))
+    draws = c.t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    return draw_values(draws, cumulate(freq, ["status"], "part"), ["status"], hash_uniform(c.SEED, F.lit("part"), F.col("o_orderkey")),
+                       "part", "drawn_part")
+
+
+SQL_INVERSE_DISTRIBUTION = f"""
+WITH f AS (SELECT l_linestatus AS status, {_PART_LEVEL.format(text='VARCHAR')} AS part, count(*) AS n FROM lineitem GROUP BY 1, 2),
+i AS (SELECT status, part, sum(n) OVER w AS hi, sum(n) OVER w - n AS lo FROM f
+  WINDOW w AS (PARTITION BY status ORDER BY part NULLS LAST)),
+t AS (SELECT status, max(hi) AS total FROM i GROUP BY 1),
+o AS (SELECT o_orderkey, o_orderstatus AS status, {c._u_sql('part', 'o_orderkey')} AS u FROM orders),
+p AS (SELECT o_orderkey, o.status, CAST(floor(u * total) AS BIGINT) AS position FROM o LEFT JOIN t USING (status))
+SELECT p.o_orderkey, p.status, i.part AS drawn_part
+FROM p LEFT JOIN i ON i.status = p.status AND p.position >= i.lo AND p.position < i.hi
+"""
+REGISTRY["inverse_distribution"] = (q_inverse_distribution, SQL_INVERSE_DISTRIBUTION)
+
+
+def q_synth_many_classes(spark, d):
+    """As many synthetic orders as real ones, each customer being a class."""
+    o = c.t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    fitted = IndependentSynthesizer("o_custkey", ["o_orderkey"], c.SEED, columns=["o_totalprice", "o_orderstatus"]).fit(o)
+    return fitted.generate(spark, sum(fitted.counts.values()))
+
+
+SQL_SYNTH_MANY_CLASSES = f"""
+WITH cc AS (SELECT o_custkey AS y, count(*) AS n FROM orders GROUP BY 1),
+cum AS (SELECT y, n, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM cc),
+ids AS (SELECT unnest(range((SELECT count(*) FROM orders))) AS synth_id),
+r AS (SELECT synth_id, CAST(floor({c._u_sql('class', 'synth_id')} * (SELECT count(*) FROM orders)) AS BIGINT) AS position FROM ids),
+dc AS (SELECT r.synth_id, cum.y, cum.n FROM r JOIN cum ON r.position >= cum.lo AND r.position < cum.hi),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {c._md5('o_orderkey')}) AS rk FROM orders)
+SELECT dc.synth_id, a.o_totalprice, b.o_orderstatus, dc.y AS o_custkey
+FROM dc JOIN ranked a ON a.o_custkey = dc.y AND a.rk = CAST(floor({c._u_sql('o_totalprice', 'dc.synth_id')} * dc.n) AS BIGINT) + 1
+JOIN ranked b ON b.o_custkey = dc.y AND b.rk = CAST(floor({c._u_sql('o_orderstatus', 'dc.synth_id')} * dc.n) AS BIGINT) + 1
+"""
+REGISTRY["synth_many_classes"] = (q_synth_many_classes, SQL_SYNTH_MANY_CLASSES)
