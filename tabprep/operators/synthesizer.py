@@ -14,28 +14,23 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.hashing import hash_key, hash_uniform, range_partitions
-from tabprep.functions.intervals import cumulate, look_up
+from tabprep.functions.hashing import hash_key, hash_uniform
 from tabprep.functions.names import qcol, require_columns
 from tabprep.functions.ranks import hash_rank
 from tabprep.operators import stats
 from tabprep.operators.copula import CopulaSynthesizer, FittedCopula  # noqa: F401
 from tabprep.operators.quality import pair_correlations, quality_by_column, quality_summary  # noqa: F401
-from tabprep.operators.synth import SYNTH_ID, class_draw, class_index, union_real_synthetic  # noqa: F401
+from tabprep.operators.synth import SYNTH_ID, drawn_classes, union_real_synthetic  # noqa: F401
+from tabprep.operators.tree_synthesizer import FittedTrees, TreeSynthesizer  # noqa: F401
 from tabprep.session import store
 
 
 # ------------------------------------------------------------------ independent
 
-#: Classes that a plan holds as literals; more are a table that draws are joined to.
-FEW_CLASSES = 64
-
-
 @dataclass
 class IndependentSynthesizer:
     label: str
@@ -95,19 +90,7 @@ class FittedIndependent:
     def generate(self, spark, n: int, materialize: bool = False) -> DataFrame:
         """``n`` rows: one draw per (row, column), joined to its cell; a row's
         cells are then collected.  Every step moves n * columns cells."""
-        labels = sorted(self.counts)
-        ends = np.cumsum([self.counts[y] for y in labels]).tolist()
-        ids = spark.range(0, n, numPartitions=range_partitions(spark, n))
-        if len(labels) <= FEW_CLASSES:
-            sizes = F.array(*[F.lit(int(self.counts[y])) for y in labels])
-            base = ids.select(F.col("id").alias(SYNTH_ID), (class_index(ends, self.seed, "class", F.col("id")) + 1).alias("_class")) \
-                .select(SYNTH_ID, F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("_class")).cast(self.label_type)
-                        .alias("_syn_y"), F.element_at(sizes, F.col("_class")).alias("_size"))
-        else:
-            classes = spark.createDataFrame([(y, self.counts[y]) for y in labels], T.StructType([
-                T.StructField("_syn_y", self.label_type), T.StructField("n", T.LongType())]))  # a row a class
-            drawn = ids.select(F.col("id").alias(SYNTH_ID), class_draw(ends[-1], self.seed, "class", F.col("id")).alias("_pos"))
-            base = look_up(drawn, cumulate(classes, [], "_syn_y"), [], "_pos", "_syn_y", "_syn_y", "_size").drop("_pos")
+        base = drawn_classes(spark, n, self.counts, self.label_type, self.seed, "_syn_y")
         draws = base.select(SYNTH_ID, "_syn_y", F.explode(F.array(*[
             F.struct(F.lit(j).alias("_j"), (F.floor(hash_uniform(self.seed, F.lit(c), F.col(SYNTH_ID)) * F.col("_size")) + 1)
                      .cast("long").alias("_syn_rank"))
@@ -126,6 +109,8 @@ def make_synthesizer(mode: str, label: str, key_cols: list, seed: int = 42, **op
         return IndependentSynthesizer(label, key_cols, seed, **opts)
     if mode == "copula":
         return CopulaSynthesizer(label, seed, **opts)
+    if mode == "trees":
+        return TreeSynthesizer(label, seed, **opts)
     raise ValueError(f"unknown synthesizer {mode!r}")
 
 

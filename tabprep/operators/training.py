@@ -186,6 +186,10 @@ def utility_score(synthetic: DataFrame, valid: DataFrame, fitted, label: str, ta
     return tune(tr, va, task, metric, maximize, space, n_trials, parallelism, seed).best_value
 
 
+#: Searched settings of each synthesizer.
+GENERATOR_SETTINGS = {"independent": (), "copula": ("grid_size", "correlated"), "trees": ("max_depth", "min_rows", "max_bins")}
+
+
 @dataclass
 class GeneratorSearch:
     trials: DataFrame
@@ -206,14 +210,17 @@ def tune_generator(spark, source, valid: DataFrame, fitted, label: str, task: st
     rng = np.random.default_rng(seed)
     configs = []
     for _ in range(n_trials):
-        cfg = {"mode": str(rng.choice(["independent", "copula"])),
+        cfg = {"mode": str(rng.choice(["independent", "copula", "trees"])),
                "grid_size": int(rng.choice([21, 51, 101])),
-               "correlated": bool(rng.integers(0, 2))}
+               "correlated": bool(rng.integers(0, 2)),
+               "max_depth": int(rng.integers(3, 11)),
+               "min_rows": int(np.exp(rng.uniform(np.log(5), np.log(200)))),
+               "max_bins": int(rng.choice([32, 64, 128]))}
         configs.append(adjust(cfg) if adjust else cfg)
 
     def fit(i: int):
         cfg = configs[i]
-        opts = {k: cfg[k] for k in ("grid_size", "correlated")} if cfg["mode"] == "copula" else {}
+        opts = {k: cfg[k] for k in GENERATOR_SETTINGS[cfg["mode"]]}
         return source.fit(cfg["mode"], seed + i, **opts)
 
     def run(i: int):
@@ -221,11 +228,14 @@ def tune_generator(spark, source, valid: DataFrame, fitted, label: str, task: st
         value = utility_score(generated, valid, fitted, label, task, metric, maximize, inner_space,
                               inner_trials, 1, seed)
         cfg = configs[i]
-        return (i, cfg["mode"], cfg["grid_size"], cfg["correlated"], None if math.isnan(value) else value)
+        own = {k: cfg[k] for k in GENERATOR_SETTINGS[cfg["mode"]]}  # null: a setting that the mode does not have
+        return (i, cfg["mode"], *[own.get(k) for k in ("grid_size", "correlated", "max_depth", "min_rows", "max_bins")],
+                None if math.isnan(value) else value)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = list(pool.map(run, range(n_trials)))
-    trials = spark.createDataFrame(rows, "trial int, mode string, grid_size int, correlated boolean, value double")
+    trials = spark.createDataFrame(rows, "trial int, mode string, grid_size int, correlated boolean, max_depth int, "
+                                         "min_rows int, max_bins int, value double")
     best = best_trial(trials, "value", maximize).first()
     if best is None:
         raise ValueError("no generator trial produced a metric value")
@@ -237,7 +247,7 @@ def generator_search(spark, train: DataFrame, valid: DataFrame, fitted, label: s
                      parallelism: int = 4, seed: int = 42, inner_space: SearchSpace | None = None,
                      inner_trials: int = 6, adjust=None, strategy: str = "augment",
                      target_balance: float = 1.0) -> DataFrame:
-    """Trial table (trial, mode, grid_size, correlated, value) of ``tune_generator``."""
+    """Trial table (trial, mode, the modes' settings, value) of ``tune_generator``."""
     from tabprep.operators.synthesizer import generation_source
     source = generation_source(train, label, key, strategy, target_balance, seed, task == "classification")
     return tune_generator(spark, source, valid, fitted, label, task, metric, maximize, n_trials, parallelism,

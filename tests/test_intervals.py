@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions import intervals as iv
 from tabprep.operators.copula import CopulaSynthesizer
-from tabprep.operators import synthesizer
+from tabprep.operators import synth
 from tabprep.operators.synthesizer import IndependentSynthesizer
 
 
@@ -102,5 +102,5 @@ def test_independent_of_many_classes_equals_few(spark, monkeypatch):
     df = spark.range(2000).select("id", (F.col("id") % 37).cast("string").alias("y"), (F.col("id") * 7 % 101).alias("x"))
     fitted = IndependentSynthesizer("y", ["id"], columns=["x"]).fit(df)
     few = {tuple(r) for r in fitted.generate(spark, 1500).collect()}
-    monkeypatch.setattr(synthesizer, "FEW_CLASSES", 5)
+    monkeypatch.setattr(synth, "FEW_CLASSES", 5)
     assert {tuple(r) for r in fitted.generate(spark, 1500).collect()} == few and len(few) == 1500
