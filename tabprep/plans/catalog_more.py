@@ -9,7 +9,7 @@ from tabprep.functions.hashing import hash_uniform
 from tabprep.functions.intervals import cumulate, draw_values
 from tabprep.operators import features, metrics, training
 from tabprep.operators.association import associations, compare_associations
-from tabprep.operators.synthesizer import IndependentSynthesizer
+from tabprep.operators.synthesizer import IndependentSynthesizer, TreeSynthesizer
 from tabprep.plans import catalog as c
 from tabprep.session import scratch_path
 from tabprep.sources.csv import NA_TOKENS, read_csv
@@ -260,3 +260,30 @@ FROM dc JOIN ranked a ON a.o_custkey = dc.y AND a.rk = CAST(floor({c._u_sql('o_t
 JOIN ranked b ON b.o_custkey = dc.y AND b.rk = CAST(floor({c._u_sql('o_orderstatus', 'dc.synth_id')} * dc.n) AS BIGINT) + 1
 """
 REGISTRY["synth_many_classes"] = (q_synth_many_classes, SQL_SYNTH_MANY_CLASSES)
+
+# ------------------------------------------------------------------ G5, I9: dependences kept by trees
+
+_BAND = "CASE WHEN l_quantity = 25 THEN NULL WHEN l_quantity < 10 OR l_quantity >= 40 THEN 'edge' ELSE 'middle' END"
+
+
+def q_synth_trees(spark, d):
+    """Synthetic lines by class: how many, those that break the rule between quantity and band, and values that no real line has."""
+    li = c.t(spark, d, "lineitem").select("l_returnflag", "l_quantity", F.expr(_BAND).alias("band"), "l_partkey")
+    fitted = TreeSynthesizer("l_returnflag", c.SEED).fit(li)
+    rows = fitted.generate(spark, sum(fitted.counts.values()))
+    real = li.select(F.col("l_partkey").alias("p")).distinct()
+    return rows.join(real, F.col("l_partkey") == F.col("p"), "left").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("band").eqNullSafe(F.expr(_BAND))).alias("n_broken"),
+        F.count_if(F.col("p").isNull()).alias("n_unknown_parts"))
+
+
+# broken rules and unknown values are none by the definition of the leaves
+SQL_SYNTH_TREES = f"""
+WITH cc AS (SELECT l_returnflag AS y, count(*) AS n FROM lineitem GROUP BY 1),
+cum AS (SELECT y, sum(n) OVER (ORDER BY y) - n AS lo, sum(n) OVER (ORDER BY y) AS hi FROM cc),
+ids AS (SELECT unnest(range((SELECT count(*) FROM lineitem))) AS synth_id),
+r AS (SELECT CAST(floor({c._u_sql('class', 'synth_id')} * (SELECT count(*) FROM lineitem)) AS BIGINT) AS position FROM ids)
+SELECT y AS l_returnflag, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_broken, CAST(0 AS BIGINT) AS n_unknown_parts
+FROM r JOIN cum ON r.position >= cum.lo AND r.position < cum.hi GROUP BY y
+"""
+REGISTRY["synth_trees"] = (q_synth_trees, SQL_SYNTH_TREES)
