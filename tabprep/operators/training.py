@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.names import qcol
-from tabprep.operators import boosting, metrics
+from tabprep.operators import boosting, metrics, proposals
 from tabprep.operators.publish import best_trial
 
 CLASSIFICATION_METRICS = ("auc", "aucpr", "precision", "recall", "f1")
@@ -140,29 +140,34 @@ class TuningResult:
 def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
          space: SearchSpace | None = None, n_trials: int = 6, parallelism: int = 2,
          seed: int = 42, adjust=None, features_col: str = "features", label_col: str = "label",
-         hard_labels: bool = False, cache_inputs: bool = True) -> TuningResult:
-    """Seeded random search: fit each trial on ``train``, score ``valid``.
+         hard_labels: bool = False, cache_inputs: bool = True, informed: bool = True) -> TuningResult:
+    """Seeded search: fit each trial on ``train``, score ``valid``.
+
+    The first ``STARTUP`` trials are random draws of the space; later ones are
+    proposed from finished trials (``proposals``), or drawn too if not ``informed``.
+    Each of the ``parallelism`` workers has its own pool of the FAIR scheduler.
 
     With ``cache_inputs`` the inputs are cached for the trials unless they
     already are; pass False when the caller manages their caching."""
     spark = train.sparkSession
     space = space or SearchSpace()
-    trials = space.sample(n_trials, seed, adjust)
+    drawn = space.sample(min(n_trials, proposals.STARTUP) if informed else n_trials, seed, adjust)
+    names = ("eta", "min_child_weight", "alpha", "max_depth", "num_round")
     # cache the inputs for the trials unless the caller already did (then the
     # caller also owns the unpersist)
     own = [d for d in (train, valid) if cache_inputs and not _is_cached(d)]
     for d in own:
         d.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def objective(i_p):
-        i, p = i_p
+    def objective(i, p):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{i % max(1, parallelism)}")
         model = fit_model(train, task, p, features_col, label_col, seed)
-        value = evaluate(score(model, valid, task, hard_labels=hard_labels), task, metric, label_col)
-        return (i, *[p[k] for k in ("eta", "min_child_weight", "alpha", "max_depth", "num_round")], value)
+        return evaluate(score(model, valid, task, hard_labels=hard_labels), task, metric, label_col)
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(objective, enumerate(trials)))
+        found = proposals.search(objective, {k: getattr(space, k) for k in names}, n_trials, maximize, parallelism, seed,
+                                 drawn, adjust)
+        rows = [(i, *[p[k] for k in names], value) for i, (p, value) in enumerate(found)]
     finally:
         for d in own:
             d.unpersist()
@@ -173,7 +178,7 @@ def tune(train: DataFrame, valid: DataFrame, task: str, metric, maximize: bool,
     best = best_trial(table, "value", maximize).first()
     if best is None:
         raise ValueError("no trial produced a metric value")
-    best_params = {k: best[k] for k in ("eta", "min_child_weight", "alpha", "max_depth", "num_round")}
+    best_params = {k: best[k] for k in names}
     return TuningResult(table, best_params, float(best["value"]))
 
 
