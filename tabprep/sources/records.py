@@ -39,7 +39,8 @@ from tabprep.functions.names import qcol
 from tabprep.session import drop_stored, store
 
 ROW, MALFORMED, PIECE = 0, 1, 2
-ROWS_AT_ONCE = 20_000
+#: Lines, and bytes of them, that a task takes apart at a time: its memory does not grow with its block.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 2_000, 4 << 20
 HEAD_LINES = 1000
 
 
@@ -105,13 +106,17 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[str]]]:
-    """((file, block), lines) runs, in order."""
+    """((file, block), lines) runs of at most ROWS_AT_ONCE lines and, but for single lines, BYTES_AT_ONCE bytes, in order."""
     for batch in batches:
         files, blocks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         edge = ((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])).nonzero()[0] + 1 if len(files) else []
         for lo, hi in zip([0, *edge], [*edge, len(files)]):
-            if hi > lo:
-                yield (int(files[lo]), int(blocks[lo])), batch.column(2).slice(lo, hi - lo).to_pylist()
+            while lo < hi:
+                n = min(ROWS_AT_ONCE, int(hi - lo))
+                while n > 1 and batch.column(2).slice(lo, n).get_total_buffer_size() > BYTES_AT_ONCE:
+                    n //= 2
+                yield (int(files[lo]), int(blocks[lo])), batch.column(2).slice(lo, n).to_pylist()
+                lo += n
 
 
 def open_blocks(lines: DataFrame, sep: str = ",") -> tuple[set, int]:
@@ -236,9 +241,9 @@ def read_records(spark: SparkSession, path, sep: str = ",") -> tuple[DataFrame,
                 if expect and done:
                     done, expect = without_header(done), False
                 held += rows_of.parsed(done, key, sep)
-                while len(held) >= ROWS_AT_ONCE:
-                    yield rows_of.batch(held[:ROWS_AT_ONCE])
-                    del held[:ROWS_AT_ONCE]
+                if held:
+                    yield rows_of.batch(held)
+                    held = []
             if tail:
                 held.append((PIECE, "\n".join(tail), *now, 1, []))
             if held:

@@ -144,3 +144,21 @@ def test_line_states_agree_with_the_record_parser(text):
             field_start = False
     records_found.append(current)
     assert list(records.join_lines(text.split("\n"))) == records_found
+
+
+def test_a_task_takes_few_lines_and_bytes_apart_at_a_time():
+    import pyarrow as pa
+
+    lines = ["x" * 1000] * 9000 + ["y" * (records.BYTES_AT_ONCE + 1)] + ["z"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(lines)), pa.array([0] * len(lines)), pa.array(lines)], ["file", "block", "line"])
+    parts = [some for _, some in records._runs(iter([batch]))]
+    assert [x for some in parts for x in some] == lines
+    assert all(len(some) == 1 or sum(map(len, some)) <= records.BYTES_AT_ONCE for some in parts)
+    assert max(map(len, parts)) <= 2000
+
+
+def test_rows_leave_a_task_in_small_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "ROWS_AT_ONCE", 7)
+    p = tmp_path / "f.csv"
+    p.write_text("id,txt\n" + "".join(f'{i},"line {i}\nsecond"\n' for i in range(100)))
+    assert sorted(int(r["id"]) for r in read_csv(spark, str(p)).collect()) == list(range(100))
