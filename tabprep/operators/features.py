@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tabprep.functions.names import check_unique_names, qcol, require_columns
 from tabprep.functions.ranks import sorted_rank
 from tabprep.operators import stats
+from tabprep.session import drop_stored, store
 
 MISSING = "missing"
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -116,14 +117,21 @@ class LabelEncoding:
 
         A few classes are a literal map; more are a table that is joined
         (broadcast up to BROADCAST_CLASSES rows), so the plan stays small.
+        Rows without a label meet no class; in a shuffled join they are dealt to all tasks.
         """
         out = out or self.label
         if self.table is None:
             return df.withColumn(out, self.code())
         table = self.table.table.select(F.col("level").alias("_class"), F.col("code").cast("int").alias("_code"))
-        table = F.broadcast(table) if len(self.table) <= BROADCAST_CLASSES else table
-        return df.join(table, qcol(self.label) == F.col("_class"), "left") \
-            .withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_class", "_code")
+        same = qcol(self.label) == F.col("_class")
+        if len(self.table) <= BROADCAST_CLASSES:
+            joined = df.join(F.broadcast(table), same, "left")
+        else:
+            dealt = df.withColumn("_dealt", F.when(qcol(self.label).isNull(), F.monotonically_increasing_id()).otherwise(0))
+            # 0 for every class, but no literal: it has to stay a key of the join
+            table = table.withColumn("_place", F.when(F.col("_code") < 0, 1).otherwise(0).cast("long"))
+            joined = dealt.join(table, same & (F.col("_dealt") == F.col("_place")), "left").drop("_dealt", "_place")
+        return joined.withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_class", "_code")
 
 
 def fit_label_encoding(df: DataFrame, label: str) -> LabelEncoding:
@@ -131,12 +139,15 @@ def fit_label_encoding(df: DataFrame, label: str) -> LabelEncoding:
 
     Beyond LITERAL_CLASSES the classes are ranked in Spark and never reach the driver.
     """
-    classes = df.select(qcol(label).alias("level")).where(F.col("level").isNotNull()).distinct()
+    classes = store(df.select(qcol(label).alias("level")).where(F.col("level").isNotNull()).distinct(), "classes")  # one pass over the rows
     few = classes.limit(LITERAL_CLASSES + 1).collect()
     if len(few) <= LITERAL_CLASSES:
+        drop_stored(classes)
         return LabelEncoding(label, sorted(r["level"] for r in few))
     ranked = sorted_rank(classes, ["level"]).select("level", (F.col("_rank") - 1).alias("code"))
-    return LabelEncoding(label, [], stats.LevelTable(ranked, ranked.count()))
+    n = classes.count()
+    drop_stored(classes)
+    return LabelEncoding(label, [], stats.LevelTable(ranked, n))
 
 
 def encode_label(df: DataFrame, label: str, out: str | None = None) -> DataFrame:

@@ -154,3 +154,18 @@ def test_approximate_median_option(spark, sf):
     assert abs(m_apx - m_exact) / m_exact < 1e-3          # within the sketch's rank error
     assert mu_a == pytest.approx(mu_e, rel=1e-9) and sd_a == pytest.approx(sd_e, rel=1e-9)
     assert approx.categorical == exact.categorical
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_many_labels_take_one_pass_and_nulls_are_dealt(spark, monkeypatch, broadcast):
+    from tabprep.operators import features
+
+    monkeypatch.setattr(features, "BROADCAST_CLASSES", broadcast)
+    rows = [(i, None if i % 3 == 0 else f"p{i % 200:03d}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "id int, part string")
+    order = {v: i for i, v in enumerate(sorted({r[1] for r in rows if r[1]}))}
+    out = features.encode_label(df, "part", "code")
+    assert out.columns == ["id", "part", "code"]
+    assert sorted(map(tuple, out.collect())) == sorted(((i, p, order.get(p, -1)) for i, p in rows), key=lambda r: r[0])
+    if not broadcast:  # the rows without a label have a key of their own
+        assert "_dealt" in out._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1].splitlines()[0]
