@@ -10,7 +10,8 @@ positions are cut in buckets, an interval is laid into each bucket it reaches,
 and one sort per (group, bucket) of intervals and draws gives every draw the
 last interval that starts at or before it.  A frequent value reaches many
 buckets, so its draws are spread; a bucket holds at most as many intervals
-as it is wide.
+as it is wide.  Where all intervals and buckets make a small table, it is
+broadcast and the draws stay where they are.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tabprep.session import store
 
 #: A bucket's least width in positions, and about the most buckets of a group.
 WIDTH, BUCKETS = 4096, 100_000
+#: Rows, and bytes of their values, of a table of intervals in buckets that may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 16 << 20
 _BEFORE = Window.unboundedPreceding, -1
 _UPTO = Window.unboundedPreceding, Window.currentRow
 
@@ -70,20 +73,29 @@ def look_up(draws: DataFrame, intervals: DataFrame, groups: list, position: str,
     null or beyond the group's total, and draws of unknown groups, get null.
     """
     g = _names(groups)
-    top = intervals.agg(F.max("total").alias("t")).first()["t"] or 1
-    width = max(WIDTH, math.ceil(top / BUCKETS))
+    sizes = intervals.agg(F.max("total").alias("t"), F.count(F.lit(1)).alias("n"), F.sum(F.col("hi") - F.col("lo")).alias("s"),
+                          F.max(F.octet_length(qcol(value).cast("string"))).alias("v")).first()
+    width = max(WIDTH, math.ceil((sizes["t"] or 1) / BUCKETS))
     bucket = lambda p: F.floor(p / F.lit(width)).cast("long")
     row = F.struct(*[qcol(c) for c in draws.columns])
     asked = draws.select(*[qcol(c).alias(a) for c, a in zip(groups, g)], bucket(qcol(position)).alias("_bucket"),
                          qcol(position).cast("long").alias("_at"), F.lit(1).alias("_draw"), row.alias("_row"))
     starts = intervals.select(*[qcol(c).alias(a) for c, a in zip(groups, g)],
                               F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi") - 1))).alias("_bucket"), "lo",
-                              F.struct(qcol(value).alias("v"), "lo", "hi").alias("_held")) \
-        .withColumn("_at", F.greatest("lo", F.col("_bucket") * F.lit(width))).withColumn("_draw", F.lit(0)).drop("lo")
-    # a bucket's intervals are disjoint: only the last that starts at or before a draw can hold it
-    before = Window.partitionBy(*g, "_bucket").orderBy("_at", "_draw").rowsBetween(*_UPTO)
-    met = starts.unionByName(asked, allowMissingColumns=True) \
-        .withColumn("_held", F.last("_held", ignorenulls=True).over(before)).where("_draw = 1")
+                              F.struct(qcol(value).alias("v"), "lo", "hi").alias("_held"))
+    n_starts = 2 * sizes["n"] + (sizes["s"] or 0) // width  # at most
+    if n_starts <= BROADCAST_ROWS and n_starts * (sizes["v"] or 0) <= BROADCAST_BYTES:
+        held = starts.select(*[F.col(a).alias(f"{a}h") for a in g], F.col("_bucket").alias("_bucketh"), "_held")
+        same = (F.col("_bucket") == F.col("_bucketh")) & (F.col("_at") >= F.col("_held")["lo"]) & (F.col("_at") < F.col("_held")["hi"])
+        for a in g:
+            same = same & F.col(a).eqNullSafe(F.col(f"{a}h"))
+        met = asked.join(F.broadcast(held), same, "left")  # disjoint intervals: at most one holds a draw
+    else:
+        starts = starts.withColumn("_at", F.greatest("lo", F.col("_bucket") * F.lit(width))).withColumn("_draw", F.lit(0)).drop("lo")
+        # a bucket's intervals are disjoint: only the last that starts at or before a draw can hold it
+        before = Window.partitionBy(*g, "_bucket").orderBy("_at", "_draw").rowsBetween(*_UPTO)
+        met = starts.unionByName(asked, allowMissingColumns=True) \
+            .withColumn("_held", F.last("_held", ignorenulls=True).over(before)).where("_draw = 1")
     inside = F.col("_at") < F.col("_held")["hi"]
     more = [F.when(inside, F.col("_held")["hi"] - F.col("_held")["lo"]).alias(size)] if size else []
     return met.select(*[F.col("_row").getField(c).alias(c) for c in draws.columns],
@@ -94,7 +106,9 @@ def draw_values(draws: DataFrame, intervals: DataFrame, groups: list, uniform: C
     """``draws`` with a value (``out``) of their group, drawn from its frequencies by ``uniform`` in [0, 1)."""
     g = _names(groups)
     if groups:
-        totals = intervals.groupBy(*[qcol(c).alias(a) for c, a in zip(groups, g)]).agg(F.max("total").alias("_total"))
+        totals = store(intervals.groupBy(*[qcol(c).alias(a) for c, a in zip(groups, g)]).agg(F.max("total").alias("_total")), "totals")
+        if totals.count() <= BROADCAST_ROWS:  # a row a group
+            totals = F.broadcast(totals)
         same = F.lit(True)
         for c, a in zip(groups, g):
             same = same & qcol(c).eqNullSafe(F.col(a))

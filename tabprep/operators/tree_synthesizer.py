@@ -13,8 +13,11 @@ the driver.  The driver holds the trees (at most ``2 ** max_depth`` leaves a
 column) and, as features, the ``max_levels`` most frequent levels of each text
 column; rarer levels share the rest's features but are drawn like others.
 
-Every column costs a tree fit over the rows and one shuffle of the rows
-generated so far, which are stored after each column.  Drawing depends on a
+Every column costs a tree fit and one pass over the rows generated so far,
+which are stored after each column (and shuffled, where the leaves hold many
+values).  Rows alike in the columns before are one weighted point of the fit, with
+their number, or its mean (the spread within them is the same whatever the split);
+once such rows are few, every row is a point.  Drawing depends on a
 row's id only.
 
 Defined cases: null is a value like others (a number's absence is a feature of
@@ -90,22 +93,40 @@ class TreeSynthesizer:
         names = [self.label, *cols]
         rows = store(df.select(*[qcol(c).alias(f"v{j}") for j, c in enumerate(names)]), "tree-rows")
         codes = self._encodings(rows, df, names)
-        models, tables = [], []
+        models, tables, n, alike = [], [], sum(counts.values()), True
         for j in range(1, len(names)):
             e, x = codes[j], F.col(f"v{j}")
-            target = e.number(x) if e.mean is not None else e.code(x)
-            points = rows.select(f"v{j}", _vector(codes[:j]).alias("features"), target.alias("target"))
-            common = dict(featuresCol="features", labelCol="target", maxDepth=self.max_depth, maxBins=self.max_bins,
-                          minInstancesPerNode=self.min_rows, seed=self.seed, maxMemoryInMB=512)
-            tree = DecisionTreeRegressor(**common) if e.mean is not None else DecisionTreeClassifier(**common)
-            model = _leaves_only(tree.fit(points))
-            freq = model.transform(points).groupBy(F.col("leaf").cast("int").alias("leaf"), F.col(f"v{j}").alias("v")) \
-                .agg(F.count(F.lit(1)).alias("n"))
+            before, grouped = [f"v{i}" for i in range(j)], None
+            if alike:
+                kinds = rows.groupBy(*before, e.code(x).alias("target")).agg(F.count(F.lit(1)).alias("weight")) if e.mean is None \
+                    else rows.groupBy(*before).agg(F.avg(e.number(x)).alias("target"), F.count(F.lit(1)).alias("weight"))
+                grouped = store(kinds.withColumn("weight", F.col("weight").cast("double")), "tree-points")
+                alike = 2 * grouped.count() <= n
+            points = grouped if alike else rows.withColumn("target", e.number(x) if e.mean is not None else e.code(x))
+            model = _leaves_only(self._tree(e.mean is not None, n, alike).fit(
+                points.select(_vector(codes[:j]).alias("features"), "target", *(["weight"] if alike else []))))
+            if grouped is not None:
+                drop_stored(grouped)
+            by_value = rows.groupBy(*before, f"v{j}").agg(F.count(F.lit(1)).alias("n")) if alike else rows.withColumn("n", F.lit(1))
+            freq = model.transform(by_value.select(f"v{j}", "n", _vector(codes[:j]).alias("features"))) \
+                .groupBy(F.col("leaf").cast("int").alias("leaf"), F.col(f"v{j}").alias("v")).agg(F.sum("n").alias("n"))
             models.append(model)
             tables.append(store(cumulate(freq, ["leaf"], "v"), "tree-leaves"))
         drop_stored(rows)
         return FittedTrees(self.label, cols, counts, codes, models, tables, self.seed, df.schema[self.label].dataType)
 
+    def _tree(self, number: bool, n: int, weighted: bool):
+        """An unfitted tree of ``n`` rows; weighted points must add up to ``min_rows`` rows a leaf."""
+        common = dict(featuresCol="features", labelCol="target", maxDepth=self.max_depth, maxBins=self.max_bins,
+                      seed=self.seed, maxMemoryInMB=512)
+        if not weighted:
+            common |= dict(minInstancesPerNode=self.min_rows)
+        elif n < 2 * self.min_rows:
+            common |= dict(maxDepth=0)  # too few for two leaves
+        else:
+            common |= dict(weightCol="weight", minWeightFractionPerNode=(self.min_rows - 0.5) / n)
+        return DecisionTreeRegressor(**common) if number else DecisionTreeClassifier(**common)
+
     def _encodings(self, rows: DataFrame, df: DataFrame, names: list) -> list:
         numeric, _ = split_types(df, names)
         numbers = [j for j, c in enumerate(names) if c in set(numeric)]

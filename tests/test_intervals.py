@@ -104,3 +104,19 @@ def test_independent_of_many_classes_equals_few(spark, monkeypatch):
     few = {tuple(r) for r in fitted.generate(spark, 1500).collect()}
     monkeypatch.setattr(synth, "FEW_CLASSES", 5)
     assert {tuple(r) for r in fitted.generate(spark, 1500).collect()} == few and len(few) == 1500
+
+
+@pytest.mark.parametrize("rows", [0, 300_000])
+def test_few_intervals_are_broadcast_with_the_same_draws(spark, monkeypatch, rows):
+    from tabprep.functions import intervals
+
+    monkeypatch.setattr(intervals, "BROADCAST_ROWS", rows)
+    counts = spark.createDataFrame([("a", "x", 5000), ("a", None, 4000), ("a", "z", 1), (None, "x", 7), ("b", "y", 1)], "g string, v string, n long")
+    table = intervals.cumulate(counts, ["g"], "v")
+    asked = [("a", 0), ("a", 4999), ("a", 5000), ("a", 5001), ("a", 9000), ("a", 9001), (None, 6), (None, 7), ("b", 0), ("c", 0), ("a", None)]
+    draws = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "i int, g string, p long")
+    met = intervals.look_up(draws, table, ["g"], "p", "v", "drawn", "size")
+    got = {r["i"]: (r["drawn"], r["size"]) for r in met.collect()}
+    assert got == {0: ("x", 5000), 1: ("x", 5000), 2: ("z", 1), 3: (None, 4000), 4: (None, 4000), 5: (None, None), 6: ("x", 7),
+                   7: (None, None), 8: ("y", 1), 9: (None, None), 10: (None, None)}
+    assert ("_bucketh" in met._jdf.queryExecution().optimizedPlan().toString()) == (rows > 0)  # else a window over shuffled draws

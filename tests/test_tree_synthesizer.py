@@ -72,3 +72,22 @@ def test_augment_with_trees(spark):
     df = _ring(spark, 900).withColumn("key", F.col("x") * 1000)
     out = augment_training(spark, df.where("y < 2"), "y", "key", "augment", 0.5, synthesizer="trees")
     assert {r["origin"]: r["count"] for r in out.groupBy("origin").count().collect()} == {"real": 600, "synthetic": 300}
+
+
+def test_rows_alike_are_one_point_of_the_same_tree(spark, monkeypatch):
+    import numpy as np
+
+    from tabprep.operators import tree_synthesizer as ts
+
+    rng = np.random.default_rng(4)
+    rows = [("ab"[i % 2], int(q), "low" if q < 5 else "high", float(q * 3 + i % 2)) for i, q in enumerate(rng.integers(0, 12, 900))]
+    df = spark.createDataFrame(rows, "y string, q int, band string, x double")
+    seen, fit = [], ts.TreeSynthesizer._tree
+    monkeypatch.setattr(ts.TreeSynthesizer, "_tree", lambda self, number, n, weighted: seen.append(weighted) or fit(self, number, n, weighted))
+    own = ts.TreeSynthesizer("y", max_depth=4).fit(df)
+    assert seen == [True] * 3
+    for table in own.tables:
+        totals = [r[0] for r in table.groupBy("leaf").agg({"total": "max"}).select("max(total)").collect()]
+        assert min(totals) >= 20 and sum(totals) == 900
+    few = ts.TreeSynthesizer("y").fit(df.limit(30))
+    assert all(m.depth == 0 for m in few.models)
