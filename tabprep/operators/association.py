@@ -11,7 +11,7 @@ What is collected has a row per pair of columns.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.operators import stats
@@ -49,16 +49,23 @@ def contingency(df: DataFrame, categorical: list, numeric: list) -> DataFrame:
 
 
 def _cramers_v(cells: DataFrame) -> DataFrame:
-    side = lambda v, name: cells.groupBy("i", "j", v).agg(F.sum("n").alias(name))
-    of_a, of_b = side("a", "na"), side("b", "nb")
+    """(i, j, n, value), from the sum of n * n / na / nb over the cells.
+
+    Cells are brought together by the levels of the pair's side with more of them
+    (about), so a key has at most as many cells as the other side has levels; the
+    other side's totals are partial sums, however many cells a level has.
+    """
+    more = cells.groupBy("i", "j").agg((F.approx_count_distinct("a") > F.approx_count_distinct("b")).alias("turn"))  # a row a pair
+    pick = lambda x, y: F.when(F.col("turn"), F.col(x)).otherwise(F.col(y))
     n = F.col("n").cast("double")
-    total = cells.join(of_a, ["i", "j", "a"]).join(of_b, ["i", "j", "b"]) \
-        .groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum(n * n / F.col("na") / F.col("nb")).alias("q"))
-    levels = of_a.groupBy("i", "j").agg(F.count(F.lit(1)).alias("ka")) \
-        .join(of_b.groupBy("i", "j").agg(F.count(F.lit(1)).alias("kb")), ["i", "j"])
-    free = F.least("ka", "kb") - 1
-    return total.join(levels, ["i", "j"]).select(
-        "i", "j", "n", F.when(free > 0, F.sqrt(F.greatest(F.col("q") - 1, F.lit(0.0)) / free)).alias("value"))
+    many = Window.partitionBy("i", "j", "many")
+    met = cells.join(F.broadcast(more), ["i", "j"]).select("i", "j", pick("b", "a").alias("few"), pick("a", "b").alias("many"), "n") \
+        .withColumn("total", F.sum("n").over(many)).withColumn("first", F.row_number().over(many.orderBy("few")) == 1)
+    sums = met.groupBy("i", "j", "few").agg(F.sum("n").alias("n"), F.sum(n * n / F.col("total")).alias("q"),
+                                            F.count_if("first").alias("own"))
+    free = F.least(F.count(F.lit(1)), F.sum("own")) - 1
+    return sums.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum(F.col("q") / F.col("n")).alias("q"), free.alias("free")).select(
+        "i", "j", "n", F.when(F.col("free") > 0, F.sqrt(F.greatest(F.col("q") - 1, F.lit(0.0)) / F.col("free"))).alias("value"))
 
 
 def _correlation_ratio(cells: DataFrame) -> DataFrame:

@@ -106,3 +106,19 @@ def test_reports_of_one_class_no_rows_and_missing_scores(spark):
     assert metrics.classification_reports(df.limit(0), "y", ["a", "b"]).count() == 0
     with pytest.raises(metrics.UnscoredRows):
         metrics.classification_reports(df, "y", ["a", "b"])
+
+
+def test_few_levels_against_many_bring_few_cells_together(spark, tmp_path):
+    """Cells of a pair meet by the side with more levels, in either order of the columns."""
+    from tabprep.operators import association
+
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"few": rng.choice(["x", "y"], 4000, p=[0.9, 0.1]), "many": rng.integers(0, 900, 4000).astype(str)})
+    df = spark.createDataFrame(pdf)
+    for order in (["few", "many"], ["many", "few"]):
+        found = associations(df, order).first()
+        assert found["value"] == pytest.approx(_v(pdf["few"], pdf["many"]))
+        plan = association._cramers_v(association.contingency(df, order, []))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window") >= 1 and "few" in plan
+        joins = [x for x in plan.splitlines() if "Join" in x]
+        assert all("rightHint=(strategy=broadcast)" in x for x in joins)  # no level's cells are shuffled to one task
