@@ -412,6 +412,50 @@ def test_passage_of_common_lines(spark):
     assert all(r["n_equal"] >= 50 for r in got)
 
 
+@pytest.mark.parametrize("stretch, n_others", [(9, 20), (20, 40)])
+def test_edited_passages_of_common_stretches(spark, stretch, n_others):
+    """Two texts that share an edited passage are linked, though other texts hold each equal stretch (or its halves)."""
+    rng, rows, pairs = random.Random(6), [], []
+    half = stretch if n_others <= substring_dedup.PARTNERS_OF_KEY else stretch // 2
+    for _ in range(6):
+        equal = [_words(rng, stretch, 10 ** 6) for _ in range(100 // stretch)]
+        held = [e[k:k + half] for e in equal for k in range(0, stretch, half)]
+        pairs.append((len(rows), len(rows) + 1))
+        for side in range(2):
+            passage = [w for e in equal for w in [*e, f"new{side}{rng.random()}"]]
+            rows.append((len(rows), " ".join(_words(rng, 60, 10 ** 6) + passage + _words(rng, 60, 10 ** 6))))
+        for part in [x for x in held for _ in range(n_others)]:
+            rows.append((len(rows), " ".join(_words(rng, 30, 10 ** 6) + part + _words(rng, 30, 10 ** 6))))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in got} == set(pairs)
+
+
+def test_texts_of_few_share_all_pairs():
+    """Every two texts of a key meet, wherever they stand among its texts; of a key of many, first and previous."""
+    n = substring_dedup.PARTNERS_OF_KEY
+    for size in (n, n + 1):
+        text = np.arange(size, dtype=np.int64)
+        code, at, span = np.full(size, 7, np.int32), (3 * text).astype(np.int32), np.full(size, 5, np.int32)
+        (b, a, at_b, at_a, _), many = substring_dedup.matches(code, text, at, span, np.zeros((3, 0), np.int64))
+        pairs = set(zip(b.tolist(), a.tolist()))
+        assert pairs == {(y, x) for y in range(size) for x in range(y) if size == n or x in (0, y - 1)}
+        assert (at_b == 3 * b).all() and (at_a == 3 * a).all() and len(many) == (0 if size == n else size)
+
+
+def test_hot_seeds_in_several_buckets(spark, monkeypatch):
+    """Texts of a hot seed are linked over its anchor, and by longer keys, whatever buckets they are dealt to."""
+    monkeypatch.setattr(substring_dedup, "HOT_ONE_IN", 2)
+    monkeypatch.setattr(substring_dedup, "WORDS_PER_BUCKET", 500)
+    rng = random.Random(8)
+    lines = [_words(rng, 12, 10 ** 6) for _ in range(5)]
+    whole, rows = [w for x in lines for w in x], []
+    for i in range(150):
+        own = whole if i in (20, 120) else whole[:30] if i % 2 else whole[30:]
+        rows.append((i, " ".join(_words(rng, 30, 10 ** 6) + own + _words(rng, 30, 10 ** 6))))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in got} == {(20, 120)}
+
+
 def test_no_shared_run_is_missing(spark, sf):
     """Every document that shares MIN_WORDS words (not of one repeated word) is reported."""
     texts = {r["doc_id"]: (r["text"] or "").lower().split() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
