@@ -442,6 +442,19 @@ def test_texts_of_few_share_all_pairs():
         assert (at_b == 3 * b).all() and (at_a == 3 * a).all() and len(many) == (0 if size == n else size)
 
 
+def test_runs_with_a_repeated_word(spark):
+    """Texts that alone share a run of 50 words are linked, though most of it is one repeated word or in many texts."""
+    rng, rows, pairs = random.Random(10), [], []
+    for n in (0, 45):
+        lines = [_words(rng, 7, 10 ** 6) for _ in range(2)]
+        pairs.append((len(rows), len(rows) + 1))
+        for own in [lines[0] + ["x"] * 36 + lines[1]] * 2 + [x for x in lines for _ in range(n)]:
+            rows.append((len(rows), " ".join(_words(rng, 40, 10 ** 6) + own + _words(rng, 40, 10 ** 6))))
+    rows += [(len(rows) + i, " ".join(_words(rng, 40, 10 ** 6) + ["x"] * 60)) for i in range(3)]  # one repeated word is no passage
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in got} == set(pairs)
+
+
 def test_hot_seeds_in_several_buckets(spark, monkeypatch):
     """Texts of a hot seed are linked over its anchor, and by longer keys, whatever buckets they are dealt to."""
     monkeypatch.setattr(substring_dedup, "HOT_ONE_IN", 2)
