@@ -21,10 +21,6 @@ CLASSES, WORDS_PER_CLASS = 32, 32
 LISTED = CLASSES * WORDS_PER_CLASS
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 class Gru:
     """Parameters: x (input rows), u, b (recurrence), wc, bc (classes), wo, bo (words of a class)."""
 
@@ -63,13 +59,31 @@ class Gru:
 
     # ------------------------------------------------------------ forward
 
-    def step(self, inputs: np.ndarray, h: np.ndarray):
-        k = self.hidden
-        a, g = self.x[inputs] + self.b, h @ self.u
-        gates = _sigmoid(a[:, :2 * k] + g[:, :2 * k])
-        z, r = gates[:, :k], gates[:, k:]
-        n = np.tanh(a[:, 2 * k:] + r * g[:, 2 * k:])
-        return n + z * (h - n), z, r, n, g[:, 2 * k:]
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """Input rows with the bias and the recurrence, of the gates and of the new state.
+
+        The gates' are halved, as their sigmoid is 0.5 * tanh(half) + 0.5."""
+        k, x = 2 * self.hidden, self.x + self.b
+        half = x.dtype.type(0.5)
+        return x[:, :k] * half, x[:, k:].copy(), self.u[:, :k] * half, self.u[:, k:].copy()
+
+    def step(self, inputs: np.ndarray, h: np.ndarray, tables: tuple[np.ndarray, ...] | None = None):
+        """(next state, update gate, reset gate, new state, its recurrent part); ``tables`` saves making them a step."""
+        x_gates, x_new, u_gates, u_new = tables or self.tables()
+        gates = x_gates.take(inputs, axis=0)
+        gates += h @ u_gates
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        z, r = gates[:, :self.hidden], gates[:, self.hidden:]
+        recurrent = h @ u_new
+        n = r * recurrent
+        n += x_new.take(inputs, axis=0)
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return out, z, r, n, recurrent
 
     def token_logp(self, h: np.ndarray, token: np.ndarray, grads: dict | None = None):
         """Log probability of each token; with ``grads``, adds -d/d(parameter), returns also -d/dh."""
@@ -90,7 +104,8 @@ class Gru:
 
     @staticmethod
     def _softmax(h, w, b, pick, rows, grads, wn, bn, at=slice(None)):
-        s = h @ w + b
+        s = h @ w
+        s += b
         ones = np.ones(s.shape[1], s.dtype)
         if grads is None:
             with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
@@ -98,9 +113,10 @@ class Gru:
             if np.isfinite(lp).all():
                 return lp, None
         s -= s.max(axis=1, keepdims=True)  # exponents beyond the number range
-        e = np.exp(s)
+        lp = s[rows, pick]
+        e = np.exp(s, out=s)
         total = e @ ones
-        lp = s[rows, pick] - np.log(total)
+        lp -= np.log(total)
         if grads is None:
             return lp, None
         e /= total[:, None]
@@ -122,7 +138,7 @@ class Gru:
     def score(self, docs: list[np.ndarray], tokens_at_once: int = 60_000) -> np.ndarray:
         """Natural log probability of each whole token sequence."""
         order, size, flat, starts = self._lanes(docs)
-        total = np.zeros(len(docs))
+        total, tables = np.zeros(len(docs)), self.tables()
         h = np.zeros((len(docs), self.hidden), np.float32)
         t, longest = 0, int(size[0]) if len(size) else 0
         while t < longest:
@@ -131,7 +147,7 @@ class Gru:
                 n = int(np.searchsorted(-size, -t, "left"))
                 at = starts[:n] + t
                 inputs = flat[at - 1] if t else np.full(n, self.start)
-                h = self.step(inputs, h[:n])[0]
+                h = self.step(inputs, h[:n], tables)[0]
                 states.append(h), targets.append(flat[at]), live.append(n)
                 held, t = held + n, t + 1
             lp, _ = self.token_logp(np.concatenate(states), np.concatenate(targets))
@@ -147,12 +163,12 @@ class Gru:
         """Of each sequence, the states before its tokens 0, every, 2 * every, ..."""
         order, size, flat, starts = self._lanes(docs)
         found = [[np.zeros(self.hidden, np.float32)] for _ in docs]
-        h = np.zeros((len(docs), self.hidden), np.float32)
+        h, tables = np.zeros((len(docs), self.hidden), np.float32), self.tables()
         longest = int(size[0]) if len(size) else 0
         for t in range((longest - 1) // every * every):  # up to the last start of a lane
             n = int(np.searchsorted(-size, -((t // every + 1) * every), "left"))  # a later lane follows
             inputs = flat[starts[:n] + t - 1] if t else np.full(n, self.start)
-            h = self.step(inputs, h[:n])[0]
+            h = self.step(inputs, h[:n], tables)[0]
             if (t + 1) % every == 0:
                 for row, i in enumerate(order[:n]):
                     found[i].append(h[row])
@@ -191,33 +207,45 @@ class Gru:
         return self
 
     def _window(self, h, size, flat, starts, t0: int, window: int, first=None):
-        k, caches, states, targets = self.hidden, [], [], []
+        k, tables, caches, states, targets = self.hidden, self.tables(), [], [], []
         for t in range(t0, min(t0 + window, int(size[0]))):
             n = int(np.searchsorted(-size, -t, "left"))
             at = starts[:n] + t
             inputs = flat[at - 1] if t else np.full(n, self.start) if first is None else first[:n]
             before = h[:n]
-            h, z, r, new, gn = self.step(inputs, before)
-            caches.append((inputs, before, z, r, new, gn))
+            h, z, r, new, recurrent = self.step(inputs, before, tables)
+            caches.append((inputs, before, z, r, new, recurrent))
             states.append(h), targets.append(flat[at])
         grads = {name: np.zeros_like(getattr(self, name)) for name in self.NAMES}
         tokens = np.concatenate(targets)
         _, dout = self.token_logp(np.concatenate(states), tokens, grads)
         ends = np.cumsum([len(s) for s in targets])
         dh = np.zeros((0, k), np.float32)
-        rows, dx = [], []
-        for i in range(len(caches) - 1, -1, -1):
-            inputs, before, z, r, new, gn = caches[i]
-            d = dout[ends[i] - len(inputs):ends[i]].copy()
+        dx = np.empty((len(tokens), 3 * k), dout.dtype)
+        u = np.ascontiguousarray(self.u.T)
+        for start, end, (_, before, z, r, new, recurrent) in zip((ends - [len(s) for s in targets])[::-1], ends[::-1], caches[::-1]):
+            d = dout[start:end]
             d[:len(dh)] += dh
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
+            keep = 1 - z
+            dn = d * keep
+            dz = before - new
+            new *= new
+            dn *= np.subtract(1, new, out=new)
+            dz *= d
+            dz *= z
+            dz *= keep
+            dr = dn * recurrent
+            dr *= r
+            dr *= np.subtract(1, r, out=keep)
+            dx[start:end, :k], dx[start:end, k:2 * k], dx[start:end, 2 * k:] = dz, dr, dn
+            dn *= r
+            dg = np.concatenate([dz, dr, dn], axis=1)
             grads["u"] += before.T @ dg
-            rows.append(inputs), dx.append(np.concatenate([dz, dr, dn], axis=1))
-            dh = d * z + dg @ self.u.T
-        rows, dx = np.concatenate(rows), np.concatenate(dx)
+            dh = dg @ u
+            d *= z
+            dh += d
+        rows = np.concatenate([c[0] for c in caches[::-1]])
+        dx = np.concatenate([dx[e - len(t):e] for e, t in zip(ends[::-1], targets[::-1])])  # the last step's first
         order = np.argsort(rows, kind="stable")
         kinds, first = np.unique(rows[order], return_index=True)
         grads["x"][kinds] = np.add.reduceat(dx[order], first, axis=0)

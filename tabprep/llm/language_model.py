@@ -25,13 +25,12 @@ text every token is unseen; repeated rows count and are scored each.
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +44,8 @@ SHAPES, COUNTED, ROUNDS, FAN_IN, FLUSH = 12, 200_000, 3, 32, 300_000
 RATE = 0.04  # of the first round
 #: Tokens of a shard of a round, of a training call, and scored together.
 SHARD_TOKENS, TRAINED_AT_ONCE, SCORED_AT_ONCE = 1_500_000, 600_000, 2_500_000
+#: Bytes of texts whose words are looked up together.
+TEXT_AT_ONCE = 2_000_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -68,26 +69,82 @@ def _hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+class _Words:
+    """The words of some texts: ``distinct`` (binary), the number of each in ``ids``, the texts' ``lengths`` without ends."""
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+        words = lists.flatten()
+        full = pc.binary_length(words).to_numpy() > 0  # white space at a text's ends leaves empty words
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.lengths = np.diff(np.concatenate([[0], np.cumsum(full)])[ends])
+        coded = words.filter(pa.array(full)).dictionary_encode()
+        self.distinct, self.ids = coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy()
+
+    def _bytes(self) -> tuple[np.ndarray, pa.Buffer]:
+        """(ends of the distinct words, with a 0 before them, and their bytes)."""
+        if not len(self.distinct):
+            return np.zeros(1, np.int64), b""
+        return np.frombuffer(self.distinct.buffers()[1], np.int64)[self.distinct.offset:][:len(self.distinct) + 1], self.distinct.buffers()[2]
+
+    def hashes(self) -> np.ndarray:
+        import xxhash
+
+        ends, data = self._bytes()
+        data, ends = memoryview(data), ends.tolist()
+        found = map(xxhash.xxh64_intdigest, (data[s:e] for s, e in zip(ends, ends[1:])))
+        return np.fromiter(found, np.uint64, len(ends) - 1).view(np.int64)
+
+    def shapes(self) -> np.ndarray:
+        """``shape_of`` each distinct word."""
+        ends, data = self._bytes()
+        data = np.frombuffer(data, np.uint8)
+        beyond = np.concatenate([[0], np.cumsum(data >= 0x80)])[ends]
+        return np.array(_ENDS)[data[ends[1:] - 1]] + 3 * (np.diff(beyond) > 0) + 6 * (np.diff(ends) > 8)
+
+
+def _texts(column: pa.Array, at_once: int) -> Iterator[pa.Array]:
+    """Slices of whole texts of about ``at_once`` bytes."""
+    size = pc.cumulative_sum(pc.binary_length(column).cast(pa.int64())).to_numpy()
+    edge = np.flatnonzero(np.diff(size // at_once)) + 1
+    for s, e in zip([0, *edge], [*edge, len(column)]):
+        if e > s:
+            yield column.slice(s, e - s)
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(hashes, shapes, counts) with a row a hash."""
+    word, shape, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(word, kind="stable")
+    word = word[order]
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[first], shape[order][first], np.add.reduceat(n[order], first)
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, shape, n): counts of every word of all texts, by signed 64-bit hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(counts):
-            words = list(counts)
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.array([_hash(w) for w in words], np.uint64).view(np.int64)),
-                pa.array([shape_of(w) for w in words], pa.int32()),
-                pa.array(list(counts.values()), pa.int64())], ["word", "shape", "n"])
-
-        counts: Counter = Counter()
+        row = lambda *columns: pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.int64()))], ["word", "shape", "n"])
+        parts, held, ends = [], 0, 0
         for batch in batches:
-            for body in batch.column(0):
-                counts.update(words_of(body.as_py()))
-                if len(counts) > FLUSH:
-                    yield rows(counts)
-                    counts.clear()
-        if counts:
-            yield rows(counts)
+            ends += batch.num_rows
+            for texts in _texts(batch.column(0), TEXT_AT_ONCE):
+                words = _Words(texts)
+                if len(words.distinct):
+                    parts.append((words.hashes(), words.shapes(), np.bincount(words.ids, minlength=len(words.distinct))))
+                    held += len(words.distinct)
+                if held > 2 * FLUSH:
+                    parts = [_summed(parts)]
+                    held = len(parts[0][0])
+                    if held > FLUSH:
+                        yield row(*parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield row(*_summed(parts))
+        if ends:
+            yield row(np.array([_hash(END)], np.uint64).view(np.int64), [shape_of(END)], [ends])
 
     found = docs.select(utf8(qcol(text))).mapInArrow(run, "word long, shape int, n long")
     return store(found.groupBy("word", "shape").agg(F.sum("n").alias("n")), "word-counts")
@@ -126,36 +183,37 @@ class Vocabulary:
 
 
 class _Lookup:
-    """Word -> token, hash and count within a task; memory bounded as in WordHashes."""
-
-    class _Ids(dict):
-        def __init__(self, owner):
-            super().__init__()
-            self.owner = owner
-
-        def __missing__(self, word: bytes) -> int:
-            i = self[word] = len(self)
-            o = self.owner
-            h = _hash(word)
-            token = o.listed.get(h)
-            o.hashes.append(h)
-            o.tokens.append(LISTED + shape_of(word) if token is None else token)
-            o.counts.append(o.common.get(h, -1))
-            return i
-
-    def __init__(self, vocabulary: Vocabulary, limit: int = 300_000):
-        self.limit, self.ids = limit, self._Ids(self)
-        self.listed = {w % (1 << 64): i for w, i in vocabulary.listed.items()}
-        self.common = dict(zip(vocabulary.words.view(np.uint64).tolist(), vocabulary.n.tolist()))  # at most COUNTED words
-        self.hashes, self.tokens, self.counts = array("Q"), array("q"), array("q")
-
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(tokens, counts or -1, hashes) of the words."""
-        if len(self.ids) > self.limit:
-            self.ids.clear()
-            self.hashes, self.tokens, self.counts = array("Q"), array("q"), array("q")
-        ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-        return tuple(np.frombuffer(a, np.int64)[ids] for a in (self.tokens, self.counts, self.hashes))
+    """Token, hash and count of every word and end of texts."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.words, self.n = vocabulary.words, vocabulary.n  # by hash, at most COUNTED
+        self.token = np.full(len(self.words), -1, np.int64)
+        listed = np.fromiter(vocabulary.listed, np.int64, len(vocabulary.listed))
+        self.token[np.searchsorted(self.words, listed)] = np.fromiter(vocabulary.listed.values(), np.int64, len(listed))
+        end = np.array([_hash(END)], np.uint64).view(np.int64)
+        self.end = [int(x[0]) for x in self._of(end, np.array([shape_of(END)]))]
+
+    def _of(self, hashes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        token, n = LISTED + shapes, np.full(len(hashes), -1, np.int64)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            known = self.words[at] == hashes
+            n[known] = self.n[at[known]]
+            token = np.where(known & (self.token[at] >= 0), self.token[at], token)
+        return token, n, hashes
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first places of the texts and the end, tokens, counts or -1, hashes) of the texts, one after another."""
+        words = _Words(texts)
+        ends = np.cumsum(words.lengths + 1)
+        is_word = np.ones(ends[-1], bool)
+        is_word[ends - 1] = False
+        found = []
+        for of_word, of_end in zip(self._of(words.hashes(), words.shapes()), self.end):
+            every = np.full(len(is_word), of_end, np.int64)
+            every[is_word] = of_word[words.ids]
+            found.append(every)
+        return np.concatenate([[0], ends]), *found
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id",
@@ -171,9 +229,12 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _Lookup(words.value)
         for batch in batches:
-            tokens = [look(words_of(body.as_py()))[0].astype(np.int16) for body in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(tokens, pa.int16())],
-                                             ["shard", "_key", "tokens"])
+            at = 0
+            for texts in _texts(batch.column(2), TEXT_AT_ONCE):
+                places, tokens, _, _ = look(texts)
+                own, at = batch.slice(at, len(texts)), at + len(texts)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.ListArray.from_arrays(
+                    pa.array(places, pa.int32()), pa.array(tokens, pa.int16()))], ["shard", "_key", "tokens"])
 
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model.flat())
@@ -239,7 +300,7 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
         of_shape = np.log10(v.shape_n + 0.5 * (v.shape_v + 1))
 
         def scored(keys, tokens, sums, rare):
-            s = np.array(sums, float).reshape(-1, 4)
+            s = np.concatenate(sums)
             own = gru.score(tokens) / np.log(10) + s[:, 3]
             return pa.RecordBatch.from_arrays([
                 pa.concat_arrays(keys), pa.array(s[:, 0].astype(np.int64)), pa.array(s[:, 1].astype(np.int64)),
@@ -249,17 +310,20 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model: Gru
         # long documents cost a step a token: many documents share the steps
         keys, tokens, sums, rare, held = [], [], [], [], 0
         for batch in batches:
-            for i, body in enumerate(batch.column(1)):
-                token, n, word = look(words_of(body.as_py()))
-                known = n >= 0
-                seen = np.log10(n[known] + 0.5)
-                beyond = token >= LISTED
+            at = 0
+            for texts in _texts(batch.column(1), TEXT_AT_ONCE):
+                places, token, n, word = look(texts)
+                known, beyond = n >= 0, token >= LISTED
+                logs = np.log10(np.where(known, n, 0) + 0.5)
+                per = lambda x: np.add.reduceat(x, places[:-1])  # noqa: B023, E731
+                size = np.diff(places)
                 # within their shape: log10(n + 0.5) less the shape's total; rare words' n follows by join
-                within = np.log10(n[known & beyond] + 0.5).sum() - of_shape[token[beyond] - LISTED].sum()
-                keys.append(batch.column(0).slice(i, 1))
-                tokens.append(token.astype(np.int32))
-                sums.append((len(token), known.sum(), seen.sum() - whole * len(token), within))
-                rare.append(word[~known].view(np.int64))
+                within = per(np.where(beyond, np.where(known, logs, 0) - of_shape[np.where(beyond, token - LISTED, 0)], 0))
+                sums.append(np.stack([size, per(known.astype(np.int64)), per(np.where(known, logs, 0)) - whole * size, within], axis=1))
+                keys.append(batch.column(0).slice(at, len(texts)))
+                at += len(texts)
+                tokens += np.split(token.astype(np.int16), places[1:-1])
+                rare += np.split(word[~known], np.cumsum(per((~known).astype(np.int64)))[:-1])
                 held += len(token)
                 if held >= SCORED_AT_ONCE:
                     yield scored(keys, tokens, sums, rare)

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, duck
 from pyspark.sql import functions as F
@@ -298,6 +299,25 @@ def test_base_scores_and_gain(spark, sf):
     assert sum(r["score"] for r in rows if r["held_out"]) > 0.95 * sum(r["base_score"] for r in rows if r["held_out"])
 
 
+def test_words_of_many_texts_are_looked_up_together():
+    """A task looks up each distinct word of a slice of texts once: tokens, counts and hashes are those of word by word."""
+    texts = [b"first", b"A b  c\tA", b"", b" \n ", " \x0b É É. \x1f x\n".encode(), b"a-very-long-word, a-very-long-word,", b"b"]
+    words = [language_model.words_of(t) for t in texts]
+    hashes = {w: int(np.array([language_model._hash(w)], np.uint64).view(np.int64)[0]) for ws in words for w in ws}
+    counts = {w: 3 + i for i, w in enumerate([language_model.END, b"a", b"x", b"first"])}
+    vocabulary = object.__new__(language_model.Vocabulary)
+    vocabulary.words, vocabulary.n = (np.array(x, np.int64) for x in zip(*sorted((hashes[w], n) for w, n in counts.items())))
+    vocabulary.listed = {hashes[w]: i for i, w in enumerate([language_model.END, b"a"])}
+    look = language_model._Lookup(vocabulary)
+    for begin, at_once in ((0, 10 ** 6), (1, 10 ** 6), (0, 1), (2, 8)):
+        got = []
+        for part in language_model._texts(pa.array(texts, pa.binary()).slice(begin), at_once):
+            places, *found = look(part)
+            got += [[c[s:e].tolist() for c in found] for s, e in zip(places, places[1:])]
+        assert got == [[[vocabulary.listed.get(hashes[w], gru.LISTED + language_model.shape_of(w)) for w in ws],
+                        [counts.get(w, -1) for w in ws], [hashes[w] for w in ws]] for ws in words[begin:]]
+
+
 def test_training_reads_every_token(spark, monkeypatch):
     """The copies of all rounds have seen each training token once, long texts' too."""
     rng = random.Random(3)
