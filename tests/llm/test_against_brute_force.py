@@ -462,6 +462,22 @@ def test_texts_of_few_share_all_pairs():
         assert (at_b == 3 * b).all() and (at_a == 3 * a).all() and len(many) == (0 if size == n else size)
 
 
+def test_words_are_sent_once_for_all_pairs_of_a_group(spark, monkeypatch):
+    """20 texts that are all partners: their words go to one place once each, or to each part that has pairs of theirs."""
+    pairs = [(a, b, [[0, 0, 60]]) for b in range(1, 20) for a in range(b)] + [(30, 31, [[0, 0, 60]]), (25, 31, [[0, 0, 60]])]
+    of_pair = spark.createDataFrame(pairs, "a long, b long, chains array<array<int>>")
+    texts = spark.createDataFrame([(i, [i]) for i in [*range(20), 25, 30, 31]], "text_id long, words array<int>")
+    for most, sent in ((2000, 20), (15, None)):
+        monkeypatch.setattr(substring_dedup, "PARTNERS", most)
+        rows = substring_dedup._meetings(of_pair, texts).collect()
+        held = {(r["place"], r["part"], r["a"]): r["words"] for r in rows if r["b"] is None}
+        met = [r for r in rows if r["b"] is not None]
+        assert sorted((r["a"], r["b"], r["chains"]) for r in met) == sorted(pairs)
+        assert all(held[r["place"], r["part"], x] == [x] for r in met for x in (r["a"], r["b"]))
+        assert len(held) == sum(r["b"] is None for r in rows)
+        assert sent is None or sum(x < 20 for _, _, x in held) == sent
+
+
 def test_runs_with_a_repeated_word(spark):
     """Texts that alone share a run of 50 words are linked, though most of it is one repeated word or in many texts."""
     rng, rows, pairs = random.Random(10), [], []
