@@ -59,26 +59,18 @@ class Gru:
 
     # ------------------------------------------------------------ forward
 
-    def tables(self) -> tuple[np.ndarray, ...]:
-        """Input rows with the bias and the recurrence, of the gates and of the new state.
-
-        The gates' are halved, as their sigmoid is 0.5 * tanh(half) + 0.5."""
-        k, x = 2 * self.hidden, self.x + self.b
-        half = x.dtype.type(0.5)
-        return x[:, :k] * half, x[:, k:].copy(), self.u[:, :k] * half, self.u[:, k:].copy()
-
-    def step(self, inputs: np.ndarray, h: np.ndarray, tables: tuple[np.ndarray, ...] | None = None):
-        """(next state, update gate, reset gate, new state, its recurrent part); ``tables`` saves making them a step."""
-        x_gates, x_new, u_gates, u_new = tables or self.tables()
-        gates = x_gates.take(inputs, axis=0)
-        gates += h @ u_gates
+    def step(self, inputs: np.ndarray, h: np.ndarray, x: np.ndarray | None = None):
+        """(next state, update gate, reset gate, new state, its recurrent part); ``x``: the input rows with the bias."""
+        k = 2 * self.hidden
+        a, g = (self.x + self.b if x is None else x).take(inputs, axis=0), h @ self.u
+        gates = a[:, :k] + g[:, :k]
+        gates *= 0.5  # a sigmoid is 0.5 * tanh(half) + 0.5
         np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        z, r = gates[:, :self.hidden], gates[:, self.hidden:]
-        recurrent = h @ u_new
+        z, r, recurrent = gates[:, :self.hidden], gates[:, self.hidden:], g[:, k:]
         n = r * recurrent
-        n += x_new.take(inputs, axis=0)
+        n += a[:, k:]
         np.tanh(n, out=n)
         out = h - n
         out *= z
@@ -138,7 +130,7 @@ class Gru:
     def score(self, docs: list[np.ndarray], tokens_at_once: int = 60_000) -> np.ndarray:
         """Natural log probability of each whole token sequence."""
         order, size, flat, starts = self._lanes(docs)
-        total, tables = np.zeros(len(docs)), self.tables()
+        total, x = np.zeros(len(docs)), self.x + self.b
         h = np.zeros((len(docs), self.hidden), np.float32)
         t, longest = 0, int(size[0]) if len(size) else 0
         while t < longest:
@@ -147,7 +139,7 @@ class Gru:
                 n = int(np.searchsorted(-size, -t, "left"))
                 at = starts[:n] + t
                 inputs = flat[at - 1] if t else np.full(n, self.start)
-                h = self.step(inputs, h[:n], tables)[0]
+                h = self.step(inputs, h[:n], x)[0]
                 states.append(h), targets.append(flat[at]), live.append(n)
                 held, t = held + n, t + 1
             lp, _ = self.token_logp(np.concatenate(states), np.concatenate(targets))
@@ -163,12 +155,12 @@ class Gru:
         """Of each sequence, the states before its tokens 0, every, 2 * every, ..."""
         order, size, flat, starts = self._lanes(docs)
         found = [[np.zeros(self.hidden, np.float32)] for _ in docs]
-        h, tables = np.zeros((len(docs), self.hidden), np.float32), self.tables()
+        h, x = np.zeros((len(docs), self.hidden), np.float32), self.x + self.b
         longest = int(size[0]) if len(size) else 0
         for t in range((longest - 1) // every * every):  # up to the last start of a lane
             n = int(np.searchsorted(-size, -((t // every + 1) * every), "left"))  # a later lane follows
             inputs = flat[starts[:n] + t - 1] if t else np.full(n, self.start)
-            h = self.step(inputs, h[:n], tables)[0]
+            h = self.step(inputs, h[:n], x)[0]
             if (t + 1) % every == 0:
                 for row, i in enumerate(order[:n]):
                     found[i].append(h[row])
@@ -207,13 +199,13 @@ class Gru:
         return self
 
     def _window(self, h, size, flat, starts, t0: int, window: int, first=None):
-        k, tables, caches, states, targets = self.hidden, self.tables(), [], [], []
+        k, x, caches, states, targets = self.hidden, self.x + self.b, [], [], []
         for t in range(t0, min(t0 + window, int(size[0]))):
             n = int(np.searchsorted(-size, -t, "left"))
             at = starts[:n] + t
             inputs = flat[at - 1] if t else np.full(n, self.start) if first is None else first[:n]
             before = h[:n]
-            h, z, r, new, recurrent = self.step(inputs, before, tables)
+            h, z, r, new, recurrent = self.step(inputs, before, x)
             caches.append((inputs, before, z, r, new, recurrent))
             states.append(h), targets.append(flat[at])
         grads = {name: np.zeros_like(getattr(self, name)) for name in self.NAMES}
@@ -222,7 +214,6 @@ class Gru:
         ends = np.cumsum([len(s) for s in targets])
         dh = np.zeros((0, k), np.float32)
         dx = np.empty((len(tokens), 3 * k), dout.dtype)
-        u = np.ascontiguousarray(self.u.T)
         for start, end, (_, before, z, r, new, recurrent) in zip((ends - [len(s) for s in targets])[::-1], ends[::-1], caches[::-1]):
             d = dout[start:end]
             d[:len(dh)] += dh
@@ -241,7 +232,7 @@ class Gru:
             dn *= r
             dg = np.concatenate([dz, dr, dn], axis=1)
             grads["u"] += before.T @ dg
-            dh = dg @ u
+            dh = dg @ self.u.T
             d *= z
             dh += d
         rows = np.concatenate([c[0] for c in caches[::-1]])
