@@ -39,6 +39,11 @@ from tabprep.functions.names import qcol
 from tabprep.llm.common import WordHashes, list_array, small_side, store, table, utf8
 
 WINDOW, SEGMENT_WORDS, BLOCK_WORDS = 13, 500_000, 2_000_000
+#: Segments that a task writes or reads at once: Parquet's writer holds a row group, by itself of 100 rows at
+#: least, and its reader decodes one, so a task's memory would grow with the segments of its input.  Hashes and
+#: positions hardly repeat: no dictionaries.
+ROW_GROUP = 4
+_WRITER = {"parquet.block.row.count.limit": str(ROW_GROUP), "parquet.enable.dictionary": "false"}
 GAP = 64  # at least the longest window or phrase with its slack
 
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
@@ -87,7 +92,7 @@ def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     rows = docs.select(qcol(key).cast("long").alias("id"), F.xxhash64(qcol(text)).alias("k"),
                        utf8(qcol(text)).alias("body"))
-    return store(rows.mapInArrow(index, INDEX_SCHEMA), "postings")
+    return store(rows.mapInArrow(index, INDEX_SCHEMA), "postings", **_WRITER)
 
 
 def _blocks(items: DataFrame, key: str, text: str, block_words: int, window: int):
