@@ -1,16 +1,18 @@
 """Operators against SQL twins, direct re-implementations and held-out accuracy."""
 
+import glob
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from oracle import compare, duck
 from pyspark.sql import functions as F
 
-from tabprep.llm import (decontaminate, embedding_dedup, gru, language, language_model, mixing, ngram_join, queries,
+from tabprep.llm import (common, decontaminate, embedding_dedup, gru, language, language_model, mixing, ngram_join, queries,
                          sharding, substring_dedup)
 
 TWINS = {n: sql for n, (_, sql) in queries.REGISTRY.items() if sql}
@@ -102,6 +104,23 @@ def test_blocks_and_proximity(spark, sf):
     assert got == [(1, 0, 5), (4, 0, 4), (4, 1, 4)]
 
 
+def test_a_task_holds_few_segments_at_once(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 50) AS text").coalesce(1)
+    index = decontaminate.build_index(docs, segment_words=100)
+    groups = [f.metadata.row_group(i).num_rows for f in map(pq.ParquetFile, glob.glob(f"{index._stored_at.removeprefix('file://')}/*.parquet"))
+              for i in range(f.metadata.num_row_groups)]
+    assert sum(groups) == 40 and max(groups) <= decontaminate.ROW_GROUP
+    items = spark.createDataFrame([(1, "w7 w7 w7")], "item_id long, text string")
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in decontaminate.search(index, items).collect() if r["spans"]} == {7: [(0, 50)]}
+
+
+def test_rows_go_to_tasks_in_batches_of_few_bytes(spark):
+    common.small_batches(spark)
+    seen = spark.range(64).coalesce(1).selectExpr("repeat('x', 1000000) AS text").mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+    assert sum(r["n"] for r in seen) >= 64_000_000 and max(r["n"] for r in seen) < 20_000_000
+
+
 # ---------------------------------------------------------------- 2: mixing
 
 def test_splitting_tree():
