@@ -469,6 +469,15 @@ def test_edited_passages_of_common_stretches(spark, stretch, n_others):
     assert {(r["other_id"], r["doc_id"]) for r in got} == set(pairs)
 
 
+def test_long_keys_of_many_texts_are_matched(spark):
+    """The texts of a long key, however many, meet its first and its previous text."""
+    n = substring_dedup.PARTNERS_OF_KEY + 8
+    keys = spark.createDataFrame([([7 << 40], [i], [3 * i], [29]) for i in range(n)], substring_dedup._KEYS)
+    rows = substring_dedup._level(keys, substring_dedup._key_rows, None, 3).where("b is not null").collect()
+    assert {(r["b"], r["a"]) for r in rows} == {(y, x) for y in range(1, n) for x in (0, y - 1)}
+    assert all(r["chain"] == [3 * r["b"], 3 * r["a"], 29] for r in rows)
+
+
 def test_texts_of_few_share_all_pairs():
     """Every two texts of a key meet, wherever they stand among its texts; of a key of many, first and previous."""
     n = substring_dedup.PARTNERS_OF_KEY
